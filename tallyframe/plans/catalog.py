@@ -116,3 +116,354 @@ def log_generate(spark, sf_dir):
     parsed and counted per level.  No oracle: the level draw is a Spark hash."""
     ids = B.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
     return logs.level_counts(logs.parse_lines(fake_log_lines(ids)))
+
+
+# ---------------------------------------------------------------------------
+# DuckDB helpers for the oracle text
+# ---------------------------------------------------------------------------
+
+from tallyframe.functions.text import WHITESPACE  # noqa: E402
+from tallyframe.functions.values import DATE_PATTERN  # noqa: E402
+
+_WS = "||".join(f"chr({ord(ch)})" for ch in WHITESPACE)
+
+
+def sql_strip(x: str) -> str:
+    return f"trim({x}, {_WS})"
+
+
+def sql_half_even(num: str, den: str) -> str:
+    """round_half_even(num / den) on hugeint, as text."""
+    n, d = f"CAST({num} AS HUGEINT)", f"CAST({den} AS HUGEINT)"
+    q, r = f"({n} // {d})", f"({n} % {d})"
+    return f"({q} + CASE WHEN 2 * {r} > {d} OR (2 * {r} = {d} AND {q} % 2 = 1) THEN 1 ELSE 0 END)"
+
+
+def sql_avg(total: str, n: str) -> str:
+    return f"CAST(CAST({sql_half_even(f'{total} * 100', n)} AS DECIMAL(38,0)) * 0.01 AS DECIMAL(38,2))"
+
+
+def sql_share(part: str, whole: str) -> str:
+    tenths = sql_half_even(f"CAST({part} * 100 AS HUGEINT) * 1000", f"{whole} * 100")
+    return f"CAST(CAST({tenths} AS DECIMAL(38,0)) * 0.1 AS DECIMAL(5,1))"
+
+
+def sql_money_text(x: str) -> str:
+    return f"'₹' || format('{{:,.2f}}', {x})"
+
+
+def sql_amount(x: str) -> str:
+    return f"TRY_CAST({sql_strip(x)} AS DECIMAL(28,2))"
+
+
+def sql_date(x: str) -> str:
+    p = DATE_PATTERN
+    iso = (f"regexp_extract({x}, '{p}', 1) || '-' || lpad(regexp_extract({x}, '{p}', 2), 2, '0') || '-' || "
+           f"lpad(trim(regexp_extract({x}, '{p}', 3)), 2, '0')")
+    return (f"CASE WHEN regexp_full_match({x}, '{p}') AND regexp_extract({x}, '{p}', 1) <> '0000' "
+            f"THEN CAST(try_strptime({iso}, '%Y-%m-%d') AS DATE) END")
+
+
+# ---------------------------------------------------------------------------
+# Ledger family
+# ---------------------------------------------------------------------------
+
+from tallyframe.operators import ledger as L  # noqa: E402
+from tallyframe.operators import reports as R  # noqa: E402
+
+import datetime as _dt  # noqa: E402
+
+CATEGORY = "  2-high "
+MONTH = "1996-3"
+RANGE = (_dt.date(1996, 1, 5), _dt.date(1996, 2, 1))
+LIST_CATEGORY, LIST_MONTH = "3-MEDIUM", "1997-07"
+LAST_CATEGORY, LAST_N = "5-low", 10
+
+_LEDGER_COLS = "pos, txn_id, date, title, category, amount, description"
+
+
+@register("ledger_money", f"""
+SELECT pos, amount AS raw, {sql_amount('amount')} AS money,
+       {sql_amount('amount')} > 0 AS positive FROM {B.RAW_LEDGER_SQL}""")
+def ledger_money(spark, sf_dir):
+    from tallyframe.functions.values import amount_from_text
+    raw = B.raw_ledger(spark, sf_dir)
+    money = amount_from_text("amount")
+    return raw.select("pos", F.col("amount").alias("raw"), money.alias("money"), (money > 0).alias("positive"))
+
+
+@register("ledger_date", f"SELECT pos, date AS raw, {sql_date('date')} AS parsed FROM {B.RAW_LEDGER_SQL}")
+def ledger_date(spark, sf_dir):
+    from tallyframe.functions.values import date_from_text
+    raw = B.raw_ledger(spark, sf_dir)
+    return raw.select("pos", F.col("date").alias("raw"), date_from_text("date").alias("parsed"))
+
+
+@register("ledger_clean", f"""
+SELECT pos, {sql_strip('title')} AS title, {sql_strip('category')} AS category,
+       {sql_strip('description')} AS description FROM {B.RAW_LEDGER_SQL}""")
+def ledger_clean(spark, sf_dir):
+    return L.clean(B.raw_ledger(spark, sf_dir)).select("pos", "title", "category", "description")
+
+
+_VALIDATE_SQL = f"""
+SELECT pos, txn_id, {sql_date('date')} AS date, {sql_strip('title')} AS title,
+       {sql_strip('category')} AS category, {sql_amount('amount')} AS amount,
+       {sql_strip('description')} AS description,
+       CASE WHEN title IS NULL OR {sql_strip('title')} = '' THEN 'text'
+            WHEN category IS NULL OR {sql_strip('category')} = '' THEN 'text'
+            WHEN {sql_amount('amount')} IS NULL THEN 'amount_type'
+            WHEN {sql_amount('amount')} <= 0 THEN 'amount_value'
+            WHEN {sql_date('date')} IS NULL THEN 'date'
+            WHEN description IS NULL THEN 'text' END AS error_code,
+       CASE WHEN title IS NULL OR {sql_strip('title')} = '' THEN 'Invalid title: must be a non-empty string.'
+            WHEN category IS NULL OR {sql_strip('category')} = '' THEN 'Invalid category: must be a non-empty string.'
+            WHEN {sql_amount('amount')} IS NULL
+              THEN 'Invalid amount type: ''str'' (''' || amount || '''). Amount must be a Decimal, int, or numeric string.'
+            WHEN {sql_amount('amount')} <= 0 THEN 'Invalid amount: ' || amount || '. Amount must be greater than zero.'
+            WHEN {sql_date('date')} IS NULL
+              THEN 'Invalid date: ''' || date || '''. Date must be a real calendar date in YYYY-MM-DD format.'
+            WHEN description IS NULL THEN 'Invalid description: must be a non-empty string.' END AS error
+  FROM {B.RAW_LEDGER_SQL}"""
+
+
+@register("ledger_validate", _VALIDATE_SQL)
+def ledger_validate(spark, sf_dir):
+    return L.validate_text(B.raw_ledger(spark, sf_dir))
+
+
+@register("ledger_serialize", f"""
+SELECT pos, to_json(struct_pack(txn_id := txn_id, date := strftime(date, '%Y-%m-%d'), title := title,
+       category := category, amount := CAST(amount AS VARCHAR), description := description))::VARCHAR AS json
+  FROM {B.LEDGER_SQL}""")
+def ledger_serialize(spark, sf_dir):
+    lg = B.ledger(spark, sf_dir)
+    return lg.select("pos", L.serialize(lg).alias("json"))
+
+
+@register("ledger_label", f"""
+SELECT pos, concat_ws(' | ', coalesce(CAST(txn_id AS VARCHAR), '--'), strftime(date, '%Y-%m-%d'), title,
+       category, {sql_money_text('amount')}) AS label, {sql_money_text('amount')} AS money
+  FROM {B.LEDGER_SQL}""")
+def ledger_label(spark, sf_dir):
+    from tallyframe.functions.text import money_text
+    lg = B.ledger(spark, sf_dir)
+    return lg.select("pos", L.label(lg).alias("label"), money_text("amount").alias("money"))
+
+
+@register("ledger_by_category", f"""
+SELECT {_LEDGER_COLS} FROM {B.LEDGER_SQL}
+ WHERE upper({sql_strip('category')}) = upper({sql_strip("'" + CATEGORY + "'")})""")
+def ledger_by_category(spark, sf_dir):
+    return L.by_category(B.ledger(spark, sf_dir), CATEGORY)
+
+
+@register("ledger_by_month", f"""
+SELECT {_LEDGER_COLS} FROM {B.LEDGER_SQL} WHERE date >= DATE '1996-03-01' AND date < DATE '1996-04-01'""")
+def ledger_by_month(spark, sf_dir):
+    return L.by_month(B.ledger(spark, sf_dir), MONTH)
+
+
+@register("ledger_between", f"""
+SELECT {_LEDGER_COLS} FROM {B.LEDGER_SQL}
+ WHERE date BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'""")
+def ledger_between(spark, sf_dir):
+    return L.between(B.ledger(spark, sf_dir), *RANGE)
+
+
+@register("ledger_list", f"""
+SELECT {_LEDGER_COLS} FROM {B.LEDGER_SQL}
+ WHERE upper({sql_strip('category')}) = upper('{LIST_CATEGORY}')
+   AND date >= DATE '1997-07-01' AND date < DATE '1997-08-01'""")
+def ledger_list(spark, sf_dir):
+    return L.list_rows(B.ledger(spark, sf_dir), LIST_CATEGORY, LIST_MONTH)
+
+
+_LAST_SQL = f"""(SELECT * FROM {B.LEDGER_SQL}
+  WHERE upper({sql_strip('category')}) = upper('{LAST_CATEGORY}')
+  ORDER BY date DESC, coalesce(txn_id, 0) DESC, pos DESC LIMIT {LAST_N})"""
+
+
+@register("ledger_last_n", f"SELECT {_LEDGER_COLS} FROM {_LAST_SQL}")
+def ledger_last_n(spark, sf_dir):
+    return L.last_n(L.by_category(B.ledger(spark, sf_dir), LAST_CATEGORY), LAST_N)
+
+
+@register("ledger_list_footer", f"""
+SELECT CAST(count(*) AS BIGINT) AS n, coalesce(sum(amount), 0)::DECIMAL(38,2) AS total FROM {_LAST_SQL}""")
+def ledger_list_footer(spark, sf_dir):
+    return L.totals(L.last_n(L.by_category(B.ledger(spark, sf_dir), LAST_CATEGORY), LAST_N))
+
+
+@register("ledger_total", f"""
+SELECT CAST(count(*) AS BIGINT) AS n, coalesce(sum(amount), 0)::DECIMAL(38,2) AS total FROM {B.LEDGER_SQL}""")
+def ledger_total(spark, sf_dir):
+    return L.totals(B.ledger(spark, sf_dir))
+
+
+@register("ledger_category_total", f"""
+SELECT CAST(count(*) AS BIGINT) AS n, coalesce(sum(amount), 0)::DECIMAL(38,2) AS total FROM {B.LEDGER_SQL}
+ WHERE upper({sql_strip('category')}) = upper({sql_strip("'" + CATEGORY + "'")})""")
+def ledger_category_total(spark, sf_dir):
+    return L.totals(L.by_category(B.ledger(spark, sf_dir), CATEGORY))
+
+
+@register("ledger_summary", f"""
+SELECT n, total, earliest, latest, CASE WHEN n > 0 THEN {sql_avg('total', 'n')} END AS average
+  FROM (SELECT CAST(count(*) AS BIGINT) AS n, coalesce(sum(amount), 0)::DECIMAL(38,2) AS total,
+               min(date) AS earliest, max(date) AS latest FROM {B.LEDGER_SQL})""")
+def ledger_summary(spark, sf_dir):
+    return R.summary(B.ledger(spark, sf_dir))
+
+
+@register("ledger_category", f"""
+SELECT category, n, total, first_pos, {sql_share('total', f'(SELECT sum(amount) FROM {B.LEDGER_SQL})')} AS share,
+       CAST(row_number() OVER (ORDER BY total DESC, first_pos) AS BIGINT) AS rank
+  FROM (SELECT category, CAST(count(*) AS BIGINT) AS n, sum(amount) AS total, min(pos) AS first_pos
+          FROM {B.LEDGER_SQL} GROUP BY category)""")
+def ledger_category(spark, sf_dir):
+    return R.category_breakdown(B.ledger(spark, sf_dir))
+
+
+@register("ledger_monthly", f"""
+SELECT strftime(date, '%Y-%m') AS month, CAST(count(*) AS BIGINT) AS n, sum(amount) AS total
+  FROM {B.LEDGER_SQL} GROUP BY 1""")
+def ledger_monthly(spark, sf_dir):
+    return R.monthly(B.ledger(spark, sf_dir))
+
+
+@register("ledger_category_rollup", f"""
+SELECT CASE WHEN grouping(category) = 1 THEN 'TOTAL' ELSE category END AS label,
+       grouping(category) = 1 AS is_total, CAST(count(*) AS BIGINT) AS n, sum(amount) AS total
+  FROM {B.LEDGER_SQL} GROUP BY ROLLUP (category)""")
+def ledger_category_rollup(spark, sf_dir):
+    return R.category_rollup(B.ledger(spark, sf_dir))
+
+
+@register("ledger_monthly_rollup", f"""
+SELECT CASE WHEN grouping(month) = 1 THEN 'TOTAL' ELSE month END AS label,
+       grouping(month) = 1 AS is_total, CAST(count(*) AS BIGINT) AS n, sum(amount) AS total
+  FROM (SELECT strftime(date, '%Y-%m') AS month, amount FROM {B.LEDGER_SQL}) GROUP BY ROLLUP (month)""")
+def ledger_monthly_rollup(spark, sf_dir):
+    return R.monthly_rollup(B.ledger(spark, sf_dir))
+
+
+@register("ledger_categories", f"SELECT DISTINCT category FROM {B.LEDGER_SQL}")
+def ledger_categories(spark, sf_dir):
+    return L.categories(B.ledger(spark, sf_dir))
+
+
+@register("ledger_next_id", f"""
+SELECT CAST(coalesce(max(txn_id), 0) + 1 AS BIGINT) AS next_id FROM {B.LEDGER_SQL}""")
+def ledger_next_id(spark, sf_dir):
+    lg = B.ledger(spark, sf_dir)
+    return spark.range(1).select(L.next_id(lg).alias("next_id"))
+
+
+_COARSE_SQL = f"""(SELECT NULL::BIGINT AS txn_id, CAST(date_trunc('year', o_orderdate) AS DATE) AS date,
+        o_orderstatus AS title, o_orderpriority AS category,
+        CAST(CAST(floor(o_totalprice / 100000) AS BIGINT) * 100000 + 100 AS DECIMAL(28,2)) AS amount,
+        '' AS description FROM orders)"""
+
+
+def _coarse_ledger(spark, sf_dir):
+    o = B.table(spark, sf_dir, "orders")
+    return o.select(
+        F.lit(None).cast("bigint").alias("txn_id"), F.trunc(F.col("o_orderdate").cast("date"), "year").alias("date"),
+        F.col("o_orderstatus").alias("title"), F.col("o_orderpriority").alias("category"),
+        (F.floor(F.col("o_totalprice") / 100000).cast("bigint") * 100000 + 100).cast("decimal(28,2)").alias("amount"),
+        F.lit("").alias("description"))
+
+
+@register("ledger_distinct", f"""
+SELECT DISTINCT txn_id, date, title, category, amount, description FROM (
+  SELECT txn_id, date, title, category, amount, description FROM {B.LEDGER_SQL}
+  UNION ALL SELECT txn_id, date, title, category, amount, description FROM {B.LEDGER_SQL}
+  UNION ALL SELECT * FROM {_COARSE_SQL})""")
+def ledger_distinct(spark, sf_dir):
+    lg = B.ledger(spark, sf_dir).select(*L.FIELDS)
+    return L.distinct_rows(lg.unionByName(lg).unionByName(_coarse_ledger(spark, sf_dir)))
+
+
+@register("ledger_show", f"""
+SELECT pos, field_no, label, value FROM (
+  SELECT pos, unnest([1, 2, 3, 4, 5, 6])::BIGINT AS field_no,
+         unnest(['Transaction', 'Date', 'Title', 'Category', 'Amount', 'Description']) AS label,
+         unnest([CAST(txn_id AS VARCHAR), strftime(date, '%Y-%m-%d'), title, category,
+                 {sql_money_text('amount')}, coalesce(nullif(description, ''), '(none)')]) AS value
+    FROM {B.LEDGER_SQL})""")
+def ledger_show(spark, sf_dir):
+    return L.show_rows(B.ledger(spark, sf_dir))
+
+
+def _keys(spark, sf_dir):
+    """Every customer key, plus one negative key per nation that never matches."""
+    cust = B.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("txn_id"))
+    absent = B.table(spark, sf_dir, "nation").select((-1 - F.col("n_nationkey")).cast("bigint").alias("txn_id"))
+    return cust.unionByName(absent)
+
+
+_KEYS_SQL = "(SELECT c_custkey AS txn_id FROM customer UNION ALL SELECT CAST(-1 - n_nationkey AS BIGINT) FROM nation)"
+
+
+@register("ledger_get", f"""
+SELECT k.txn_id, f.pos, f.date, f.title, f.category, f.amount, f.description,
+       CASE WHEN f.pos IS NULL THEN 'not_found' END AS error_code,
+       CASE WHEN f.pos IS NULL THEN 'No expense found with transaction ID ' || CAST(k.txn_id AS VARCHAR) || '.' END AS error
+  FROM (SELECT DISTINCT txn_id FROM {_KEYS_SQL}) k
+  LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY pos) AS rn
+                              FROM {B.LEDGER_BY_CUSTOMER_SQL}) WHERE rn = 1) f ON k.txn_id = f.txn_id""")
+def ledger_get(spark, sf_dir):
+    return L.get_many(B.ledger_by_customer(spark, sf_dir), _keys(spark, sf_dir))
+
+
+@register("ledger_contains", f"""
+SELECT c_custkey AS key, c_custkey IN (SELECT txn_id FROM {B.LEDGER_BY_CUSTOMER_SQL}) AS contains FROM customer""")
+def ledger_contains(spark, sf_dir):
+    keys = B.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"))
+    return L.contains(B.ledger_by_customer(spark, sf_dir), keys, "key")
+
+
+_FIRSTS_SQL = f"""(SELECT min(pos) AS pos FROM {B.LEDGER_BY_CUSTOMER_SQL}
+   WHERE txn_id IN (SELECT txn_id FROM {_KEYS_SQL}) GROUP BY txn_id)"""
+
+
+@register("ledger_remove", f"""
+SELECT {_LEDGER_COLS} FROM {B.LEDGER_BY_CUSTOMER_SQL} WHERE pos NOT IN {_FIRSTS_SQL}""")
+def ledger_remove(spark, sf_dir):
+    return L.remove(B.ledger_by_customer(spark, sf_dir), _keys(spark, sf_dir))[0]
+
+
+@register("ledger_removed_rows", f"""
+SELECT {_LEDGER_COLS} FROM {B.LEDGER_BY_CUSTOMER_SQL} WHERE pos IN {_FIRSTS_SQL}""")
+def ledger_removed_rows(spark, sf_dir):
+    return L.remove(B.ledger_by_customer(spark, sf_dir), _keys(spark, sf_dir))[1]
+
+
+@register("ledger_missing_ids", f"""
+SELECT DISTINCT txn_id FROM {_KEYS_SQL}
+ WHERE txn_id NOT IN (SELECT txn_id FROM {B.LEDGER_BY_CUSTOMER_SQL})""")
+def ledger_missing_ids(spark, sf_dir):
+    return L.remove(B.ledger_by_customer(spark, sf_dir), _keys(spark, sf_dir))[2]
+
+
+def _new_expenses(spark, sf_dir):
+    c = B.table(spark, sf_dir, "customer")
+    return c.select(
+        F.col("c_custkey").alias("pos"), F.lit(None).cast("bigint").alias("txn_id"),
+        F.lit(_dt.date(2026, 1, 5)).alias("date"), F.col("c_name").alias("title"),
+        F.col("c_mktsegment").alias("category"),
+        (F.abs(F.col("c_acctbal")) + 1).cast("decimal(28,2)").alias("amount"),
+        F.lit("").alias("description"))
+
+
+@register("ledger_append", f"""
+SELECT {_LEDGER_COLS} FROM {B.LEDGER_SQL}
+UNION ALL
+SELECT (SELECT max(pos) FROM {B.LEDGER_SQL}) + rn AS pos,
+       CAST((SELECT coalesce(max(txn_id), 0) + 1 FROM {B.LEDGER_SQL}) + rn - 1 AS BIGINT) AS txn_id,
+       DATE '2026-01-05' AS date, c_name AS title, c_mktsegment AS category,
+       CAST(abs(c_acctbal) + 1 AS DECIMAL(28,2)) AS amount, '' AS description
+  FROM (SELECT *, row_number() OVER (ORDER BY c_custkey) AS rn FROM customer)""")
+def ledger_append(spark, sf_dir):
+    return L.append(B.ledger(spark, sf_dir), _new_expenses(spark, sf_dir))
