@@ -31,35 +31,48 @@ def default_buckets(df: DataFrame) -> int:
     return max(1, 4 * parts)
 
 
-def _numeric_key(df: DataFrame, order_col: str):
+def numeric_key(df: DataFrame, order_col: str):
+    """A double that never decreases when ``order_col`` increases.
+
+    Dates become day numbers and timestamps microseconds since the epoch;
+    ``timestamp_ntz`` is measured without going through the session time
+    zone (a DST gap would otherwise break monotonicity).  Precision loss on
+    very large keys only merges neighbours into one bucket, never reorders.
+    """
     dtype = df.schema[order_col].dataType.typeName()
     c = F.col(order_col)
     if dtype == "date":
         c = F.unix_date(c)
+    elif dtype == "timestamp_ntz":
+        c = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{order_col}`)")
     elif dtype.startswith("timestamp"):
-        c = F.unix_micros(c.cast("timestamp")) if dtype == "timestamp_ntz" else F.unix_micros(c)
+        c = F.unix_micros(c)
     # Null keys sort first, as in an ascending Spark sort.
     return F.coalesce(c.cast("double"), F.lit(float("-inf")))
 
 
 def split_points(df: DataFrame, order_col: str, buckets: int) -> list[float]:
     """Sorted, de-duplicated bucket boundaries (at most ``buckets + 1`` values)."""
-    keyed = df.select(_numeric_key(df, order_col).alias(_KEY))
+    keyed = df.select(numeric_key(df, order_col).alias(_KEY))
     probs = [i / buckets for i in range(1, buckets)]
     qs = keyed.approxQuantile(_KEY, probs, 1.0 / (8 * buckets)) if probs else []
     inner = sorted({q for q in qs if q == q})  # drop NaN, dedupe
     return [float("-inf"), *inner, float("inf")]
 
 
+def bucketize(df: DataFrame, order_col: str, splits: list[float], out: str) -> DataFrame:
+    """Add the range number of ``order_col`` (JVM binary search over the splits)."""
+    keyed = df.withColumn(_KEY, numeric_key(df, order_col))
+    binned = Bucketizer(splits=splits, inputCol=_KEY, outputCol=out,
+                        handleInvalid="keep").transform(keyed)
+    return binned.withColumn(out, F.col(out).cast("int")).drop(_KEY)
+
+
 def with_row_number(df: DataFrame, order_col: str, out: str = "rn",
                     buckets: int | None = None) -> DataFrame:
     """Add a 1-based ``bigint`` row number in ascending ``order_col`` order."""
     buckets = buckets or default_buckets(df)
-    splits = split_points(df, order_col, buckets)
-    keyed = df.withColumn(_KEY, _numeric_key(df, order_col))
-    bucketed = Bucketizer(splits=splits, inputCol=_KEY, outputCol=_BUCKET,
-                          handleInvalid="keep").transform(keyed)
-    bucketed = bucketed.withColumn(_BUCKET, F.col(_BUCKET).cast("int")).drop(_KEY)
+    bucketed = bucketize(df, order_col, split_points(df, order_col, buckets), _BUCKET)
 
     # One row per bucket: safe to order globally and to broadcast.
     counts = bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias(_COUNT))

@@ -33,13 +33,17 @@ LOG_LINES_SQL = """(SELECT event_id AS pos,
 # -- record family: customers as pipeline records -----------------------------
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id = c_custkey``, padded ``name`` (blank for nation 7), ``value = c_acctbal``."""
     c = table(spark, sf_dir, "customer")
-    return c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+    name = F.when(F.col("c_nationkey") == 7, F.lit(" \u3000 ")).otherwise(
+        F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")))
+    return c.select(F.col("c_custkey").alias("id"), name.alias("name"),
                     F.col("c_acctbal").alias("value"), F.col("c_mktsegment").alias("segment"))
 
 
-RECORDS_SQL = """(SELECT c_custkey AS id, c_name AS name, c_acctbal AS value,
-        c_mktsegment AS segment FROM customer)"""
+RECORDS_SQL = """(SELECT c_custkey AS id,
+        CASE WHEN c_nationkey = 7 THEN ' ' || chr(12288) || ' ' ELSE '  ' || c_name || ' ' END AS name,
+        c_acctbal AS value, c_mktsegment AS segment FROM customer)"""
 
 
 # -- ledger family: orders as expenses ----------------------------------------
@@ -81,13 +85,14 @@ LEDGER_BY_CUSTOMER_SQL = """(SELECT o_orderkey AS pos, o_custkey AS txn_id, CAST
 
 def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger fields as unvalidated text, with faults derived from the data:
-    blank titles for status P, three-decimal amounts, zero and negative amounts
-    for the cheapest orders, unpadded dates and impossible days."""
+    blank titles for status P, three-decimal amounts, zero, negative and non-numeric
+    amounts for the cheapest orders, unpadded dates and impossible days."""
     o = table(spark, sf_dir, "orders")
     d = F.col("o_orderdate").cast("date")
     amount = (
         F.when(F.col("o_totalprice") < 1500, F.lit("0.004"))
         .when(F.col("o_totalprice") < 2500, F.concat(F.lit("-"), F.col("o_custkey").cast("string")))
+        .when(F.col("o_totalprice") < 5000, F.concat(F.lit("USD "), F.col("o_custkey").cast("string")))
         .otherwise(F.concat(F.col("o_custkey").cast("string"), F.lit("."),
                             F.lpad(F.pmod(F.col("o_orderkey") * 7, F.lit(1000)).cast("string"), 3, "0"))))
     day = F.dayofmonth(d) + F.when(F.dayofmonth(d) >= 28, F.lit(3)).otherwise(F.lit(0))
@@ -111,6 +116,7 @@ RAW_LEDGER_SQL = """(SELECT o_orderkey AS pos, o_orderkey AS txn_id,
         ' ' || o_orderpriority AS category,
         CASE WHEN o_totalprice < 1500 THEN '0.004'
              WHEN o_totalprice < 2500 THEN '-' || CAST(o_custkey AS VARCHAR)
+             WHEN o_totalprice < 5000 THEN 'USD ' || CAST(o_custkey AS VARCHAR)
              ELSE CAST(o_custkey AS VARCHAR) || '.' || lpad(CAST((o_orderkey * 7) % 1000 AS VARCHAR), 3, '0') END AS amount,
         CAST(year(o_orderdate) AS VARCHAR) || '-' || CAST(month(o_orderdate) AS VARCHAR) || '-' ||
         CAST(day(o_orderdate) + CASE WHEN day(o_orderdate) >= 28 THEN 3 ELSE 0 END AS VARCHAR) AS date,

@@ -467,3 +467,265 @@ SELECT (SELECT max(pos) FROM {B.LEDGER_SQL}) + rn AS pos,
   FROM (SELECT *, row_number() OVER (ORDER BY c_custkey) AS rn FROM customer)""")
 def ledger_append(spark, sf_dir):
     return L.append(B.ledger(spark, sf_dir), _new_expenses(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Record pipeline family (PRJ-2, PRJ-3, VAL-1, VAL-2, VAL-9, UDF-1..6, SNK-3)
+# ---------------------------------------------------------------------------
+
+from pyspark.sql import Observation  # noqa: E402
+
+from tallyframe.operators import records as P  # noqa: E402
+from tallyframe.operators import rules  # noqa: E402
+
+SCALE = 1.1
+
+_PIPE_ERR = (f"CASE WHEN name IS NULL OR {sql_strip('name')} = '' THEN 'record ' || id || ' has an empty name' "
+             f"WHEN value < 0 THEN 'negative value in record ' || id END")
+_PIPE_RUN_SQL = f"""(SELECT id, lower({sql_strip('name')}) AS name, value * {SCALE} AS value, segment,
+        {_PIPE_ERR} AS error FROM {B.RECORDS_SQL})"""
+
+
+def _pipe_run(spark, sf_dir):
+    return P.run(B.records(spark, sf_dir), P.default_steps())
+
+
+@register("pipe_normalize", f"SELECT id, lower({sql_strip('name')}) AS name, value, segment FROM {B.RECORDS_SQL}")
+def pipe_normalize(spark, sf_dir):
+    return P.normalize()(B.records(spark, sf_dir))
+
+
+@register("pipe_scale", f"SELECT id, name, value * {SCALE} AS value, segment FROM {B.RECORDS_SQL}")
+def pipe_scale(spark, sf_dir):
+    return P.scale(SCALE)(B.records(spark, sf_dir))
+
+
+@register("pipe_validate", f"SELECT id, name, value, segment, {_PIPE_ERR} AS error FROM {B.RECORDS_SQL}")
+def pipe_validate(spark, sf_dir):
+    return P.run(B.records(spark, sf_dir), [P.required_name(), P.require_non_negative_value()])
+
+
+@register("pipe_run", f"SELECT * FROM {_PIPE_RUN_SQL}")
+def pipe_run(spark, sf_dir):
+    return _pipe_run(spark, sf_dir)
+
+
+@register("pipe_prefix", f"""
+SELECT id, name, value, segment FROM {_PIPE_RUN_SQL}
+ WHERE id < coalesce((SELECT min(id) FROM {_PIPE_RUN_SQL} WHERE error IS NOT NULL), 9223372036854775807)""")
+def pipe_prefix(spark, sf_dir):
+    return rules.prefix(_pipe_run(spark, sf_dir), pos_col="id", code_col="__none")
+
+
+@register("pipe_quarantine", f"SELECT id, name, value, segment FROM {_PIPE_RUN_SQL} WHERE error IS NULL")
+def pipe_quarantine(spark, sf_dir):
+    return rules.quarantine(_pipe_run(spark, sf_dir), code_col="__none").good
+
+
+@register("pipe_rejects", f"SELECT id, error FROM {_PIPE_RUN_SQL} WHERE error IS NOT NULL")
+def pipe_rejects(spark, sf_dir):
+    return rules.quarantine(_pipe_run(spark, sf_dir), code_col="__none").bad.select("id", "error")
+
+
+@register("pipe_step_counts", f"""
+SELECT CAST(count(*) AS BIGINT) AS seen_first,
+       CAST(count(*) FILTER (WHERE NOT (name IS NULL OR {sql_strip('name')} = '')) AS BIGINT) AS ok_after_name,
+       CAST(count(*) FILTER (WHERE {_PIPE_ERR} IS NULL) AS BIGINT) AS ok_after_value
+  FROM {B.RECORDS_SQL}""")
+def pipe_step_counts(spark, sf_dir):
+    """Spy steps between pipeline steps; their observed counts as one row."""
+    spies = [Observation(f"spy{i}") for i in range(3)]
+
+    def spy(obs):
+        return lambda df: df.observe(obs, F.count(F.lit(1)).alias("seen"),
+                                     F.count_if(F.col(P.ERROR).isNull()).alias("ok"))
+
+    steps = [spy(spies[0]), P.required_name(), spy(spies[1]), P.require_non_negative_value(),
+             spy(spies[2]), P.normalize(), P.scale(SCALE)]
+    P.run(B.records(spark, sf_dir), steps).write.format("noop").mode("overwrite").save()
+    seen, ok1, ok2 = spies[0].get["seen"], spies[1].get["ok"], spies[2].get["ok"]
+    return spark.createDataFrame([(int(seen), int(ok1), int(ok2))],
+                                 "seen_first bigint, ok_after_name bigint, ok_after_value bigint")
+
+
+@register("pipe_to_json", f"""
+SELECT id, '{{' || chr(10) || '  "id": ' || CAST(id AS VARCHAR) || ',' || chr(10) ||
+       '  "name": ' || to_json(name)::VARCHAR || ',' || chr(10) ||
+       '  "value": ' || CAST(value AS VARCHAR) || ',' || chr(10) ||
+       '  "segment": ' || to_json(segment)::VARCHAR || chr(10) || '}}' AS json
+  FROM {_PIPE_RUN_SQL} WHERE error IS NULL""")
+def pipe_to_json(spark, sf_dir):
+    good = rules.quarantine(_pipe_run(spark, sf_dir), code_col="__none").good
+    return good.select("id", P.pretty_json(good).alias("json"))
+
+
+def _divide_by_id(value, event_id):
+    return value / (event_id % 7)
+
+
+@register("map_capture", """
+SELECT event_id AS pos, CASE WHEN event_id % 7 <> 0 THEN value / (event_id % 7) END AS result,
+       CASE WHEN event_id % 7 = 0 THEN 'ZeroDivisionError: float division by zero' END AS error
+  FROM events""")
+def map_capture(spark, sf_dir):
+    ev = B.table(spark, sf_dir, "events").select(F.col("event_id").alias("pos"), "value", "event_id")
+    return P.capture_map(ev, _divide_by_id, ["value", "event_id"])
+
+
+# ---------------------------------------------------------------------------
+# Responses and intervals (FLT-9, AGG-13, AGG-14)
+# ---------------------------------------------------------------------------
+
+from tallyframe.operators import events as EV  # noqa: E402
+
+
+@register("response_summary", """
+SELECT CAST(count(*) AS BIGINT) AS completed,
+       CAST(count(*) FILTER (WHERE event_type <> 'error') AS BIGINT) AS successful FROM events""")
+def response_summary(spark, sf_dir):
+    return EV.response_summary(B.responses(spark, sf_dir))
+
+
+@register("peak_overlap", """
+WITH d AS (SELECT ts AS t, 1 AS d FROM events WHERE event_type = 'click'
+           UNION ALL SELECT ts + INTERVAL 10 MINUTE, -1 FROM events WHERE event_type = 'click')
+SELECT CAST(greatest(coalesce(max(r), 0), 0) AS BIGINT) AS peak
+  FROM (SELECT sum(d) OVER (ORDER BY t, d ROWS UNBOUNDED PRECEDING) AS r FROM d)""")
+def peak_overlap(spark, sf_dir):
+    return EV.peak_overlap(B.click_intervals(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Status updates and labels (DML-5, PRJ-14, PRJ-15)
+# ---------------------------------------------------------------------------
+
+from tallyframe.operators import changes as C  # noqa: E402
+
+_STATUS_SQL = """(SELECT c_custkey AS key, c_name AS title, c_mktsegment AS author,
+        coalesce(l.v, false) AS is_borrowed
+   FROM customer LEFT JOIN (SELECT user_id, arg_max(event_type = 'purchase', event_id) AS v
+                              FROM events WHERE event_type IN ('purchase', 'view') GROUP BY user_id) l
+     ON l.user_id = c_custkey)"""
+
+
+def _status(spark, sf_dir):
+    return C.apply_status(B.catalogue(spark, sf_dir), B.status_commands(spark, sf_dir))
+
+
+@register("status_apply", f"SELECT key, title, author, is_borrowed FROM {_STATUS_SQL}")
+def status_apply(spark, sf_dir):
+    return _status(spark, sf_dir).select("key", "title", "author", "is_borrowed")
+
+
+@register("status_label", f"""
+SELECT key, title || ' by ' || author || CASE WHEN is_borrowed THEN ' (Borrowed)' ELSE ' (Available)' END AS label
+  FROM {_STATUS_SQL}""")
+def status_label(spark, sf_dir):
+    return _status(spark, sf_dir).select("key", C.status_label().alias("label"))
+
+
+@register("task_label", """
+SELECT o_orderkey AS pos, 'order ' || CAST(o_orderkey AS VARCHAR) || ' (Priority: ' || o_orderpriority || ')' AS label
+  FROM orders""")
+def task_label(spark, sf_dir):
+    o = B.table(spark, sf_dir, "orders")
+    tasks = o.select(F.col("o_orderkey").alias("pos"),
+                     F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("title"),
+                     F.col("o_orderpriority").alias("priority"))
+    return tasks.select("pos", C.task_label().alias("label"))
+
+
+# ---------------------------------------------------------------------------
+# Corpus family (SRC-6, SNK-4, PRJ-16..19, FLT-8, JN-1)
+# ---------------------------------------------------------------------------
+
+from tallyframe.operators import corpus as K  # noqa: E402
+
+_LINE_BREAK_RE2 = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
+_SKIP_SQL = " OR ".join(f"starts_with(s, '{p}')" for p in K.SKIP_PREFIXES)
+_IGNORE_SQL = ", ".join(f"'{n}'" for n in K.IGNORE)
+
+
+def sql_title(text: str, name: str) -> str:
+    pat = r"(?m)^#\s+(.+)$"
+    return (f"CASE WHEN regexp_matches({text}, '{pat}') "
+            f"THEN {sql_strip(f'regexp_extract({text}, {chr(39)}{pat}{chr(39)}, 1)')} ELSE {name} END")
+
+
+def sql_blurb(text: str) -> str:
+    lines = f"string_split_regex({text}, '{_LINE_BREAK_RE2}')"
+    stripped = f"list_transform({lines}, lambda x: {sql_strip('x')})"
+    return f"coalesce(list_filter({stripped}, lambda s: s <> '' AND NOT ({_SKIP_SQL}))[1], '')"
+
+
+def sql_quote(x: str) -> str:
+    return f"replace(url_encode({x}), '%2F', '/')"
+
+
+_INDEX_SQL = f"""(SELECT doc_id, name, {sql_title('text', 'name')} AS title, {sql_blurb('text')} AS blurb, text
+   FROM {B.CORPUS_SQL} WHERE name NOT IN ({_IGNORE_SQL}) AND NOT starts_with(name, '.'))"""
+
+
+def sql_index_row() -> str:
+    return (f"'| [' || title || '](./' || {sql_quote('name')} || ') | ' || "
+            f"CASE WHEN blurb = '' THEN '{K.PLACEHOLDER}' ELSE blurb END || ' |'")
+
+
+def _index(spark, sf_dir):
+    docs = B.corpus(spark, sf_dir)
+    return docs.where(K.visible("name")).select(
+        "doc_id", "name", "text", K.title_of("text", "name").alias("title"), K.blurb_of("text").alias("blurb"))
+
+
+@register("corpus_index", f"SELECT name, title, blurb FROM {_INDEX_SQL}")
+def corpus_index(spark, sf_dir):
+    return _index(spark, sf_dir).select("name", "title", "blurb")
+
+
+@register("corpus_index_rows", f"SELECT name, {sql_index_row()} AS row FROM {_INDEX_SQL}")
+def corpus_index_rows(spark, sf_dir):
+    return _index(spark, sf_dir).select("name", K.index_row().alias("row"))
+
+
+@register("url_quote", f"SELECT doc_id, {sql_quote('name')} AS quoted_name, {sql_quote('text')} AS quoted_text FROM {B.CORPUS_SQL}")
+def url_quote(spark, sf_dir):
+    from tallyframe.functions.text import url_quote as q
+    docs = B.corpus(spark, sf_dir)
+    return docs.select("doc_id", q("name").alias("quoted_name"), q("text").alias("quoted_text"))
+
+
+_README_SQL = f"""(SELECT i.*, CASE WHEN l.doc_id IS NOT NULL
+          THEN 'Intro' || chr(10) || '{K.START}' || chr(10) || 'stale' || chr(10) || '{K.END}' || chr(10) || i.text
+          ELSE i.text END AS readme
+   FROM {_INDEX_SQL} i LEFT JOIN labels l ON l.doc_id = i.doc_id)"""
+
+
+@register("block_replace", f"""
+SELECT doc_id,
+       CASE WHEN regexp_matches(readme, '{K.block_pattern()}')
+            THEN regexp_replace(readme, '{K.block_pattern()}', replace(block, '\\', '\\\\'), 'g') ELSE readme END AS new_text,
+       regexp_matches(readme, '{K.block_pattern()}')
+         AND regexp_replace(readme, '{K.block_pattern()}', replace(block, '\\', '\\\\'), 'g') <> readme AS changed,
+       CASE WHEN NOT regexp_matches(readme, '{K.block_pattern()}')
+            THEN 'Markers not found. Add {K.START} and {K.END} to README.md.' END AS error
+  FROM (SELECT *, '{K.START}' || chr(10) || chr(10) || '| Project | What it covers |' || chr(10) || '| --- | --- |'
+                  || chr(10) || {sql_index_row()} || chr(10) || chr(10) || '{K.END}' AS block FROM {_README_SQL})""")
+def block_replace(spark, sf_dir):
+    idx = _index(spark, sf_dir)
+    labelled = B.table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("__has"))
+    readme = F.when(F.col("__has"), F.concat(F.lit(f"Intro\n{K.START}\nstale\n{K.END}\n"), F.col("text"))).otherwise(
+        F.col("text"))
+    docs = idx.join(labelled, "doc_id", "left").withColumn("readme", readme)
+    out = K.replace_block(docs, "readme", K.marked_block(K.index_row()))
+    return out.select("doc_id", "new_text", "changed", "error")
+
+
+@register("corpus_left_join", """
+SELECT d.doc_id, coalesce(l.quality, 0) AS quality, coalesce(l.toxic, 0) AS toxic, l.doc_id IS NOT NULL AS labelled
+  FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
+def corpus_left_join(spark, sf_dir):
+    d = B.table(spark, sf_dir, "documents").select("doc_id")
+    lab = B.table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic", F.lit(True).alias("labelled"))
+    return d.join(lab, "doc_id", "left").select(
+        "doc_id", F.coalesce("quality", F.lit(0)).alias("quality"), F.coalesce("toxic", F.lit(0)).alias("toxic"),
+        F.coalesce("labelled", F.lit(False)).alias("labelled"))
