@@ -62,6 +62,8 @@ def split_points(df: DataFrame, order_col: str, buckets: int) -> list[float]:
 
 def bucketize(df: DataFrame, order_col: str, splits: list[float], out: str) -> DataFrame:
     """Add the range number of ``order_col`` (JVM binary search over the splits)."""
+    if len(splits) < 3:  # one range: nothing to search
+        return df.withColumn(out, F.lit(0))
     keyed = df.withColumn(_KEY, numeric_key(df, order_col))
     binned = Bucketizer(splits=splits, inputCol=_KEY, outputCol=out,
                         handleInvalid="keep").transform(keyed)

@@ -7,6 +7,8 @@ seen" tie-breaks work on many files and many splits.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ MESSAGES = [
 LOG_DATE = "2026-06-11"
 LOG_HOUR = "10"
 
+_EMPTY_AUTHORITY = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*:)//(?=/)")
 _SPLIT_SCALE = 10 ** 9   # rows per split stay far below this
 _FILE_SCALE = 10 ** 24   # byte offsets inside one file stay far below 10**15
 
@@ -38,11 +41,17 @@ def read_log_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
         (F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
         .alias("__row"),
     )
-    files = sorted(raw.inputFiles())
+    # ``inputFiles`` writes an empty authority as ``file:///``, the metadata
+    # column as ``file:/``; compare both in the short form.
+    files = sorted({_EMPTY_AUTHORITY.sub(r"\1", f) for f in raw.inputFiles()})
     file_rank = spark.createDataFrame(
         [(f, i) for i, f in enumerate(files)], "__file string, __file_idx long")
-    pos = (F.col("__file_idx").cast("decimal(38,0)") * F.lit(_FILE_SCALE)
-           + F.col("__block").cast("decimal(38,0)") * F.lit(_SPLIT_SCALE)
+    raw = raw.withColumn("__file", F.regexp_replace("__file", _EMPTY_AUTHORITY.pattern, "$1"))
+    def scale(n: int):
+        return F.lit(str(n)).cast("decimal(38,0)")
+
+    pos = (F.col("__file_idx").cast("decimal(38,0)") * scale(_FILE_SCALE)
+           + F.col("__block").cast("decimal(38,0)") * scale(_SPLIT_SCALE)
            + F.col("__row")).cast("decimal(38,0)")
     # The file table has one row per input file; Spark chooses broadcast or a
     # shuffle join from its size.
