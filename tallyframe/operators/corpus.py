@@ -102,7 +102,7 @@ def read_folders(spark: SparkSession, root: str) -> DataFrame:
              .select(F.col("path")))
     rel = F.regexp_extract("path", r"^.*?" + regex_literal(root.split(":", 1)[-1]) + r"/([^/]+)/", 1)
     folders = files.select(rel.alias("name")).where(F.col("name") != "").distinct()
-    readmes = (spark.read.option("wholetext", True).text(f"{root}/*/README.md")
+    readmes = (spark.read.text(f"{root}/*/README.md", wholetext=True)
                .select(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/README\.md$", 1).alias("name"),
                        F.col("value").alias("text")))
     return folders.join(readmes, "name", "left")

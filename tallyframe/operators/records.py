@@ -60,7 +60,12 @@ def scale(factor: float) -> Step:
 
 
 def spy(observation: Observation) -> Step:
-    """Observe how many records reach this point; changes nothing."""
+    """Observe how many records reach this point; changes nothing.
+
+    The count is per execution of the plan: a global ``orderBy`` downstream
+    samples its input in an extra pass, which is observed too, so read spies
+    from an action without a range sort (e.g. a write or ``collect``).
+    """
     return lambda df: df.observe(observation, F.count(F.lit(1)).alias("records"))
 
 

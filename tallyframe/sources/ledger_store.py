@@ -149,7 +149,7 @@ def read_elements(spark: SparkSession, path: str, json_lines: bool = False) -> D
             if bad is not None:
                 raise LoadError(f"Could not load expenses from {path}: invalid JSON at line {bad + 1}")
             return parsed.select("pos", "v")
-        doc = spark.read.option("wholetext", True).text(path)
+        doc = spark.read.text(path, wholetext=True)
         parsed = doc.select(F.try_parse_json("value").alias("doc"))
         head = parsed.select(F.col("doc").isNull().alias("invalid"),
                              F.coalesce(_kind(F.col("doc")), F.lit("VOID")).alias("kind")).collect()
