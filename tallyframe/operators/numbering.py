@@ -72,7 +72,14 @@ def bucketize(df: DataFrame, order_col: str, splits: list[float], out: str) -> D
 
 def with_row_number(df: DataFrame, order_col: str, out: str = "rn",
                     buckets: int | None = None) -> DataFrame:
-    """Add a 1-based ``bigint`` row number in ascending ``order_col`` order."""
+    """Add a 1-based ``bigint`` row number in ascending ``order_col`` order.
+
+    Cost: the input is read three times — a quantile sketch and a per-bucket
+    count (both aggregates whose scans are pruned to the key and filter
+    columns, shuffling one row per task or bucket) and the numbering job,
+    which shuffles the rows once by bucket.  For an expensive derived input,
+    write it to a table or ``checkpoint()`` it first.
+    """
     buckets = buckets or default_buckets(df)
     bucketed = bucketize(df, order_col, split_points(df, order_col, buckets), _BUCKET)
 

@@ -176,6 +176,10 @@ def load_ledger(spark: SparkSession, path: str, mode: str = "strict",
     """
     latest = latest_version(spark, path)
     if latest is not None:
+        if _is_parquet(spark, latest):
+            typed = spark.read.schema(L.LEDGER_DDL).parquet(latest)
+            return typed if mode == "strict" else Split(typed, typed.limit(0).withColumns(
+                {"error_code": F.lit(None).cast("string"), "error": F.lit(None).cast("string")}))
         path, json_lines = latest, True
     elements = read_elements(spark, path, json_lines)
     if elements is None:
@@ -216,17 +220,24 @@ def latest_version(spark: SparkSession, path: str) -> str | None:
     return vs[-1][1] if vs else None
 
 
-def save_ledger(df: DataFrame, path: str) -> str:
+def _is_parquet(spark: SparkSession, version_dir: str) -> bool:
+    fs, p, _ = _fs(spark, version_dir)
+    return any(st.getPath().getName().endswith(".parquet") for st in fs.listStatus(p))
+
+
+def save_ledger(df: DataFrame, path: str, fmt: str = "json") -> str:
     """Write ``df`` as the next version of the ledger at ``path``; returns the
-    version folder.  Amounts and dates are stored as strings; ``pos`` orders
-    the records."""
+    version folder.  ``json``: JSON Lines with amounts and dates as strings,
+    in ``pos`` order; ``parquet``: the typed columns."""
     spark = df.sparkSession
     try:
-        fs, _, _ = _fs(spark, path)
         n = max([v for v, _ in _versions(spark, path)] + [0]) + 1
         target = f"{path.rstrip('/')}/v{n:06d}"
-        out = df.orderBy("pos").select(L.serialize(df).alias("value"))
-        out.write.mode("errorifexists").text(target)
+        if fmt == "parquet":
+            df.select(*[c for c in L.LEDGER_DDL_COLS]).write.mode("errorifexists").parquet(target)
+        else:
+            out = df.orderBy("pos").select(L.serialize(df).alias("value"))
+            out.write.mode("errorifexists").text(target)
         return target
     except Exception as e:  # noqa: BLE001 - storage failures become one error type
         raise SaveError(f"Could not save expenses to {path}: {e}") from e
@@ -241,10 +252,8 @@ class Storage:
 
 
 JSON_STORAGE = Storage(load=lambda spark, path: load_ledger(spark, path), save=save_ledger)
-PARQUET_STORAGE = Storage(
-    load=lambda spark, path: spark.read.schema(L.LEDGER_DDL).parquet(path),
-    save=lambda df, path: df.write.mode("overwrite").parquet(path),
-)
+PARQUET_STORAGE = Storage(load=lambda spark, path: load_ledger(spark, path),
+                          save=lambda df, path: save_ledger(df, path, fmt="parquet"))
 
 __all__ = ["JSON_STORAGE", "PARQUET_STORAGE", "LoadError", "SaveError", "Storage", "ValidationError",
            "latest_version", "load_ledger", "save_ledger", "typed_elements"]

@@ -103,3 +103,13 @@ def test_json_lines_form(spark, tmp):
     p = write(tmp, "\n".join(json.dumps(r) for r in GOOD) + "\n", "lines.jsonl")
     df = load_ledger(spark, p, json_lines=True)
     assert [r.txn_id for r in df.orderBy("pos").collect()] == [1, 2, 7]
+
+
+def test_parquet_storage_versions(spark, tmp):
+    from tallyframe.sources.ledger_store import JSON_STORAGE, PARQUET_STORAGE
+    store = os.path.join(tmp, "pq")
+    df = JSON_STORAGE.load(spark, write(tmp, GOOD))
+    PARQUET_STORAGE.save(df, store)
+    back = PARQUET_STORAGE.load(spark, store)
+    PARQUET_STORAGE.save(back.where("txn_id > 1"), store)  # reads v1 while writing v2
+    assert sorted(r.txn_id for r in PARQUET_STORAGE.load(spark, store).collect()) == [2, 7]
