@@ -48,13 +48,13 @@ RECORDS_SQL = """(SELECT c_custkey AS id,
 
 # -- ledger family: orders as expenses ----------------------------------------
 
-def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ledger(spark: SparkSession, sf_dir: str, id_col: str = "o_orderkey") -> DataFrame:
     """Typed ledger.  The double→decimal cast belongs to this binding; the
     ledger functions themselves never accept doubles as money."""
     o = table(spark, sf_dir, "orders")
     return o.select(
         F.col("o_orderkey").alias("pos"),
-        F.col("o_orderkey").alias("txn_id"),
+        F.col(id_col).alias("txn_id"),
         F.col("o_orderdate").cast("date").alias("date"),
         F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("title"),
         F.col("o_orderpriority").alias("category"),
@@ -72,9 +72,7 @@ LEDGER_SQL = """(SELECT o_orderkey AS pos, o_orderkey AS txn_id, CAST(o_orderdat
 def ledger_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same rows keyed by customer: ``txn_id = o_custkey`` repeats, which is
     the duplicate-id case (first match by ``pos`` wins)."""
-    return ledger(spark, sf_dir).join(
-        table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("pos"), "o_custkey"), "pos"
-    ).withColumn("txn_id", F.col("o_custkey")).drop("o_custkey")
+    return ledger(spark, sf_dir, id_col="o_custkey")
 
 
 LEDGER_BY_CUSTOMER_SQL = """(SELECT o_orderkey AS pos, o_custkey AS txn_id, CAST(o_orderdate AS DATE) AS date,
