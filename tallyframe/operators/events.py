@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.operators.numbering import bucketize, default_buckets, split_points
+from tallyframe.operators.numbering import bucketize, split_points
 
 
 def response_summary(df: DataFrame, status_col: str = "status") -> DataFrame:
@@ -30,7 +30,6 @@ def peak_overlap(df: DataFrame, start: str = "start", end: str = "end",
         df.select(F.col(end).alias("t"), F.lit(-1).alias("d")))
     net = deltas.groupBy("t").agg(F.sum("d").cast("bigint").alias("d"))
 
-    buckets = buckets or default_buckets(df)
     binned = bucketize(net, "t", split_points(net, "t", buckets), "__b")
 
     running = F.sum("d").over(Window.partitionBy("__b").orderBy("t")

@@ -25,7 +25,12 @@ _OFFSET = "__tf_offset"
 _COUNT = "__tf_count"
 
 
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 10_000
+
+
 def default_buckets(df: DataFrame) -> int:
+    """Lower bound on the range count: four per shuffle partition."""
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(1, 4 * parts)
@@ -51,12 +56,32 @@ def numeric_key(df: DataFrame, order_col: str):
     return F.coalesce(c.cast("double"), F.lit(float("-inf")))
 
 
-def split_points(df: DataFrame, order_col: str, buckets: int) -> list[float]:
-    """Sorted, de-duplicated bucket boundaries (at most ``buckets + 1`` values)."""
-    keyed = df.select(numeric_key(df, order_col).alias(_KEY))
+def _sketch(df: DataFrame, key, buckets: int):
     probs = [i / buckets for i in range(1, buckets)]
-    qs = keyed.approxQuantile(_KEY, probs, 1.0 / (8 * buckets)) if probs else []
-    inner = sorted({q for q in qs if q == q})  # drop NaN, dedupe
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 F.percentile_approx(key, probs, 4 * buckets).alias("q")).first()
+    return row["n"], row["q"] or []
+
+
+def split_points(df: DataFrame, order_col: str, buckets: int | None = None) -> list[float]:
+    """Sorted, de-duplicated range boundaries, ``-inf`` and ``+inf`` included.
+
+    With ``buckets=None`` the range count follows the data: the first sketch
+    (``default_buckets`` ranges) also counts the rows; if that leaves more
+    than ``ROWS_PER_BUCKET`` rows per range, a second sketch with enough
+    ranges (at most ``MAX_BUCKETS``) is taken.  Only boundaries reach the
+    driver.
+    """
+    key = numeric_key(df, order_col)
+    want = buckets if buckets is not None else default_buckets(df)
+    if want <= 1:
+        return [float("-inf"), float("inf")]
+    n, qs = _sketch(df, key, want)
+    if buckets is None and n > want * ROWS_PER_BUCKET:
+        finer = min(MAX_BUCKETS, -(-n // ROWS_PER_BUCKET))
+        if finer > want:
+            _, qs = _sketch(df, key, finer)
+    inner = sorted({float(q) for q in qs if q is not None and q == q and abs(q) != float("inf")})
     return [float("-inf"), *inner, float("inf")]
 
 
@@ -80,7 +105,6 @@ def with_row_number(df: DataFrame, order_col: str, out: str = "rn",
     which shuffles the rows once by bucket.  For an expensive derived input,
     write it to a table or ``checkpoint()`` it first.
     """
-    buckets = buckets or default_buckets(df)
     bucketed = bucketize(df, order_col, split_points(df, order_col, buckets), _BUCKET)
 
     # One row per bucket: safe to order globally and to broadcast.

@@ -73,3 +73,14 @@ def test_assign_ids_continue_from_base(spark):
     batch = spark.createDataFrame([(30, "c"), (10, "a"), (20, "b")], "pos long, title string")
     got = assign_ids(batch, "pos", 8).orderBy("pos").collect()
     assert [(r.title, r.txn_id) for r in got] == [("a", 8), ("b", 9), ("c", 10)]
+
+
+def test_range_count_grows_with_rows(spark, monkeypatch):
+    from tallyframe.operators import numbering as N
+    df = spark.range(0, 20000, 1, 4).select((F.col("id") * 3).alias("pos"))
+    coarse = N.split_points(df, "pos")
+    monkeypatch.setattr(N, "ROWS_PER_BUCKET", 100)
+    fine = N.split_points(df, "pos")
+    assert len(fine) > len(coarse) and len(fine) - 1 <= N.MAX_BUCKETS
+    got = N.with_row_number(df, "pos", "rn").orderBy("pos").collect()
+    assert [r.rn for r in got] == list(range(1, 20001))
