@@ -13,7 +13,10 @@ WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 assert sys.maxunicode >= 0x3000
 
 # Line boundaries used by Python's str.splitlines().
-LINE_BREAK_PATTERN = "\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]"
+LINE_BREAKS = "\n\r\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029"
+LINE_BREAK_PATTERN = "\r\n|[" + LINE_BREAKS + "]"
+# Whitespace that can occur inside one line.
+INLINE_WHITESPACE = "".join(ch for ch in WHITESPACE if ch not in LINE_BREAKS)
 
 RUPEE = "₹"
 
@@ -70,6 +73,11 @@ def lines_of(c: Column | str) -> Column:
     return F.split(_col(c), LINE_BREAK_PATTERN)
 
 
+def char_class(chars: str) -> str:
+    """A Java regex character class body matching exactly ``chars``."""
+    return "".join(f"\\x{{{ord(ch):x}}}" for ch in chars)
+
+
 def py_repr(c: Column | str) -> Column:
     """``repr(str)`` for ordinary strings: single quotes unless the text holds
     one and no double quote; backslashes, quotes and \\n \\r \\t escaped."""

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.functions.text import lines_of, regex_literal, replacement_literal, url_quote, ustrip
+from tallyframe.functions.text import (
+    INLINE_WHITESPACE, LINE_BREAKS, char_class, regex_literal, replacement_literal, url_quote, ustrip,
+)
 
 # Folder names never indexed, the block markers, the
 # placeholder blurb and the prefixes that disqualify a line as a blurb.
@@ -33,19 +35,43 @@ def title_of(text: Column | str = "text", name: Column | str = "name") -> Column
     return F.when(t.rlike(TITLE_PATTERN), ustrip(F.regexp_extract(t, TITLE_PATTERN, 1))).otherwise(n)
 
 
-def _is_prose(s: Column) -> Column:
-    skip = F.lit(False)
-    for p in SKIP_PREFIXES:
-        skip = skip | s.startswith(p)
-    return (s != "") & ~skip
+# Python line breaks that Java's multi-line ^, $ and . do not know.
+_RARE_BREAKS = "\u000b\u000c\u001c\u001d\u001e"
+
+
+def _blurb_patterns() -> tuple[str, str]:
+    # The first line (lines end at any str.splitlines() boundary) that,
+    # stripped, is non-empty and starts with none of SKIP_PREFIXES; group 1
+    # is that line up to its end (trailing space is stripped afterwards, which
+    # is cheaper than a lazy match).  Built from the fixed prefix list.  The fast
+    # form relies on Java's multi-line anchors (\n, \r\n, \r, \x85, \u2028,
+    # \u2029); the full form also ends lines at the rare breaks.
+    ws = char_class(INLINE_WHITESPACE)
+    br = char_class(LINE_BREAKS)
+    singles = "".join("\\" + p if p in "-[]\\^" else p for p in SKIP_PREFIXES if len(p) == 1)
+    two = [p for p in SKIP_PREFIXES if len(p) == 2]
+    assert all(p[0] == "[" for p in two)
+    not_two = "".join(f"(?!{regex_literal(p[1:])})" for p in two)
+    first = f"(?:[^{ws}{br}{singles}\\[]|\\[{not_two})"
+    fast = f"(?m)^[{ws}]*({first}.*)"
+    full = f"(?:\\A|(?<=[{br}]))[{ws}]*({first}[^{br}]*)"
+    return fast, full
+
+
+BLURB_FAST, BLURB_FULL = _blurb_patterns()
 
 
 def blurb_of(text: Column | str = "text") -> Column:
     """First stripped, non-empty line that is not a heading, image, tag,
-    badge, quote, list item, table row or code fence; ``''`` if none."""
+    badge, quote, list item, table row or code fence; ``''`` if none.
+
+    One regex over the whole text: the scan stops at the first qualifying
+    line and neither a per-line array nor a rewritten copy is built.
+    """
     t = F.col(text) if isinstance(text, str) else text
-    prose = F.filter(F.transform(lines_of(t), lambda x: ustrip(x)), _is_prose)
-    return F.coalesce(F.get(prose, 0), F.lit(""))
+    rare = t.rlike(f"[{char_class(_RARE_BREAKS)}]")
+    found = F.when(rare, F.regexp_extract(t, BLURB_FULL, 1)).otherwise(F.regexp_extract(t, BLURB_FAST, 1))
+    return F.coalesce(ustrip(found), F.lit(""))
 
 
 def index(docs: DataFrame, name: str = "name", text: str = "text") -> DataFrame:
