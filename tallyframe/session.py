@@ -49,6 +49,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError(
+                f"{CHECKPOINT_CONF} is not set; point it at a folder shared by the cluster")
         path = tempfile.mkdtemp(prefix="tallyframe-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     sc = spark.sparkContext
