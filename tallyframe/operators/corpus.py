@@ -104,13 +104,15 @@ def replace_block(df: DataFrame, text: str, block: Column, start: str = START,
     """
     pat = block_pattern(start, end)
     t = F.col(text)
-    has = t.rlike(pat)
-    new = F.regexp_replace(t, F.lit(pat), replacement_literal(block))
-    return df.withColumns({
+    # the replaced text is computed once; the outputs refer to it
+    staged = df.withColumns({"__has": t.rlike(pat),
+                             "__new": F.regexp_replace(t, F.lit(pat), replacement_literal(block))})
+    has, new = F.col("__has"), F.col("__new")
+    return staged.withColumns({
         "new_text": F.when(has, new).otherwise(t),
         "changed": has & (new != t),
         "error": F.when(~has, F.lit(f"Markers not found. Add {start} and {end} to README.md.")),
-    })
+    }).drop("__has", "__new")
 
 
 def marked_block(rows: Column, start: str = START, end: str = END) -> Column:
