@@ -71,16 +71,18 @@ def scan_depth(parsed: DataFrame, level: str, page_size: int, pos_col: str = "po
     """How many lines a lazy reader consumes before the first page is full.
 
     That is the number of lines up to and including the ``page_size``-th
-    match, or every line when there are fewer matches.  Two scalar
-    subqueries feed one counting pass; nothing is numbered or sorted globally.
+    match, or every line when there are fewer matches.  One scalar subquery
+    (a bounded top-n) feeds one counting pass; nothing is numbered or sorted
+    globally.
     """
     if page_size <= 0:
         return parsed.limit(1).select(
             F.lit(0).cast("bigint").alias("lines_read"),
             F.lit(0).cast("bigint").alias("matches_in_page"))
     head = first_page(parsed, level, page_size, pos_col)
-    last_pos: Column = head.agg(F.max(pos_col)).scalar()
-    found: Column = head.agg(F.count(F.lit(1))).scalar()
+    probe: Column = head.agg(F.struct(F.max(pos_col).alias("last"),
+                                      F.count(F.lit(1)).alias("found"))).scalar()
+    last_pos, found = probe["last"], probe["found"]
     return parsed.agg(
         F.when(found >= page_size, F.count_if(F.col(pos_col) <= last_pos))
         .otherwise(F.count(F.lit(1))).cast("bigint").alias("lines_read"),
