@@ -82,9 +82,12 @@ def scan_depth(parsed: DataFrame, level: str, page_size: int, pos_col: str = "po
     head = first_page(parsed, level, page_size, pos_col)
     probe: Column = head.agg(F.struct(F.max(pos_col).alias("last"),
                                       F.count(F.lit(1)).alias("found"))).scalar()
-    last_pos, found = probe["last"], probe["found"]
-    return parsed.agg(
-        F.when(found >= page_size, F.count_if(F.col(pos_col) <= last_pos))
-        .otherwise(F.count(F.lit(1))).cast("bigint").alias("lines_read"),
+    # the probe is bound to a column once so the subquery runs once
+    tagged = parsed.select(F.col(pos_col).alias("__pos"), probe.alias("__p"))
+    counted = tagged.agg(F.count_if(F.col("__pos") <= F.col("__p.last")).alias("__hits"),
+                         F.count(F.lit(1)).alias("__all"), F.max("__p.found").alias("__found"))
+    found = F.coalesce(F.col("__found"), F.lit(0))
+    return counted.select(
+        F.when(found >= page_size, F.col("__hits")).otherwise(F.col("__all")).cast("bigint").alias("lines_read"),
         found.cast("bigint").alias("matches_in_page"),
     )

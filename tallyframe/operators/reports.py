@@ -33,10 +33,12 @@ def category_breakdown(df: DataFrame) -> DataFrame:
     grouped = df.groupBy("category").agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"), F.min("pos").alias("first_pos"))
     order = Window.orderBy(F.desc("total"), F.asc("first_pos"))
-    return grouped.withColumns({
-        "share": share_half_even(F.col("total"), grand),
+    # the grand total is bound to a column once: every reference to a scalar
+    # subquery would otherwise run it again
+    return grouped.withColumn("__grand", grand).withColumns({
+        "share": share_half_even(F.col("total"), F.col("__grand")),
         "rank": F.row_number().over(order).cast("bigint"),
-    })
+    }).drop("__grand")
 
 
 def monthly(df: DataFrame) -> DataFrame:

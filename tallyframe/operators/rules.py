@@ -71,7 +71,9 @@ def prefix(df: DataFrame, pos_col: str = "pos", msg_col: str = "error",
            code_col: str = "error_code") -> DataFrame:
     """Rows strictly before the first failing position (all rows if none fails)."""
     cut = df.where(F.col(msg_col).isNotNull()).agg(F.min(pos_col)).scalar()
-    keep = cut.isNull() | (F.col(pos_col) < cut)
+    # the subquery is referenced exactly once, so it runs once; no failure
+    # (null cut) keeps every row
+    keep = F.coalesce(F.col(pos_col) < cut, F.lit(True))
     return df.where(keep).drop(msg_col, code_col)
 
 
