@@ -26,7 +26,7 @@ def amount_from_text(c: Column | str) -> Column:
     digits is allowed.  NaN/Infinity and over-large values give null.
     """
     s = ustrip(_col(c))
-    s = F.regexp_replace(s, r"(?<=[0-9])_(?=[0-9])", "")
+    s = F.when(F.contains(s, F.lit("_")), F.regexp_replace(s, r"(?<=[0-9])_(?=[0-9])", "")).otherwise(s)
     return s.try_cast(MONEY)
 
 
@@ -59,12 +59,13 @@ def amount_from_variant(v: Column | str) -> Column:
 
 
 def date_from_text(c: Column | str) -> Column:
-    """Text → date with ``strptime('%Y-%m-%d')`` rules; null when invalid."""
+    """Text → date with ``strptime('%Y-%m-%d')`` rules; null when invalid.
+
+    The shape (digits, optional zero or space padding) is checked by one
+    regex; the calendar check (no 2026-02-30) is Spark's strict parser on
+    ``yyyy-M-d`` after dropping a space-padded day's space.
+    """
     s = _col(c)
-    ok = s.rlike(DATE_PATTERN)
-    y = F.regexp_extract(s, DATE_PATTERN, 1)
-    m = F.regexp_extract(s, DATE_PATTERN, 2)
-    d = F.trim(F.regexp_extract(s, DATE_PATTERN, 3))
-    iso = F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0"))
-    parsed = F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).cast("date")
-    return F.when(ok & (y != "0000"), parsed)
+    ok = s.rlike(DATE_PATTERN) & ~s.startswith("0000")
+    parsed = F.try_to_timestamp(F.replace(s, F.lit("- "), F.lit("-")), F.lit("yyyy-M-d")).cast("date")
+    return F.when(ok, parsed)

@@ -94,6 +94,21 @@ def log_pages(spark, sf_dir):
         "pos", "ts", "level", "msg", "page_no", "slot")
 
 
+@register("log_page_summary", f"""
+SELECT CAST((rn - 1) // {PAGE_SIZE} + 1 AS BIGINT) AS page_no, CAST(count(*) AS BIGINT) AS n_rows,
+       min(pos) AS first_pos, max(pos) AS last_pos
+  FROM (SELECT *, row_number() OVER (ORDER BY pos) AS rn FROM {_PARSED_SQL} WHERE level = '{ERROR_LEVEL}')
+ GROUP BY 1""")
+def log_page_summary(spark, sf_dir):
+    """One row per page (the page's rows are an ordered array in ``rows``;
+    the registered result keeps the scalar columns)."""
+    from tallyframe.operators.numbering import collect_pages
+    paged = logs.pages(parsed_log(spark, sf_dir), ERROR_LEVEL, PAGE_SIZE).select("page_no", "slot", "pos")
+    pages = collect_pages(paged)
+    return pages.select("page_no", "n_rows", F.col("rows")[0]["pos"].alias("first_pos"),
+                        F.element_at("rows", -1)["pos"].alias("last_pos"))
+
+
 @register("log_first_page", f"""
 SELECT pos, ts, level, msg FROM {_PARSED_SQL} WHERE level = '{ERROR_LEVEL}' ORDER BY pos LIMIT {PAGE_SIZE}""")
 def log_first_page(spark, sf_dir):
