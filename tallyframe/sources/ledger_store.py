@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.text import py_repr, ustrip
 from tallyframe.functions.values import amount_from_variant, date_from_text
 from tallyframe.operators import ledger as L
-from tallyframe.operators.rules import Split, ValidationError, quarantine, strict, with_errors
+from tallyframe.operators.rules import Split, ValidationError, first_failure, quarantine, with_errors
 
 REQUIRED = ["amount", "category", "date", "description", "title", "txn_id"]
 
@@ -59,78 +59,109 @@ def _py_type(kind: Column) -> Column:
     return F.coalesce(F.element_at(m, kind), F.when(kind == "DECIMAL", F.lit("float")), F.lit("object"))
 
 
-def _py_value(v: Column, kind: Column) -> Column:
-    """``repr`` of a JSON value the way Python shows it after ``json.load``."""
-    text = F.to_json(v)
-    return (F.when(v.isNull() | (kind == "VOID"), F.lit("None"))
-            .when(kind == "STRING", py_repr(F.try_variant_get(v, "$", "string")))
-            .when(kind == "BOOLEAN", F.when(F.try_variant_get(v, "$", "boolean"), "True").otherwise("False"))
-            .otherwise(text))
+FIELD_NAMES = ["title", "category", "amount", "date", "description"]
 
 
-def _str_value(v: Column, kind: Column) -> Column:
-    """``str`` of a JSON value (for the amount value message)."""
-    return F.when(kind == "STRING", F.try_variant_get(v, "$", "string")).otherwise(F.to_json(v))
-
-
-def element_rules(v: Column) -> list[tuple[str, Column]]:
-    """Rules for one stored element, in the order the reference checks them."""
-    kind = _kind(v)
-    keys = F.coalesce(F.json_object_keys(F.to_json(v)), F.array().cast("array<string>"))
-    missing = F.array_sort(F.array_except(F.array(*[F.lit(k) for k in REQUIRED]), keys))
-
-    def field(name: str) -> tuple[Column, Column]:
-        fv = F.variant_get(v, f"$.{name}", "variant")
-        return fv, _kind(fv)
+def _stage(elements: DataFrame, v: str = "v") -> DataFrame:
+    """Extract every field's variant, JSON kind and text once per element, so
+    the rules below only read columns (small generated code, no repeated
+    variant lookups)."""
+    val = F.col(v)
+    cols = {"__kind": _kind(val)}
+    for name in REQUIRED:
+        cols[f"__has_{name}"] = F.variant_get(val, f"$.{name}", "variant").isNotNull()
+    for name in FIELD_NAMES:
+        cols[f"__v_{name}"] = F.variant_get(val, f"$.{name}", "variant")
+    staged = elements.withColumns(cols)
+    more = {}
+    for name in FIELD_NAMES:
+        fv = F.col(f"__v_{name}")
+        more[f"__k_{name}"] = _kind(fv)
+        more[f"__s_{name}"] = F.try_variant_get(fv, "$", "string")
+    staged = staged.withColumns(more)
+    return staged.withColumns({
+        "__money": amount_from_variant(F.col("__v_amount")),
+        "__date": F.when(F.col("__k_date") == "STRING", date_from_text(F.col("__s_date"))),
+    })
+
+
+def _staged_rules() -> list[tuple[str, Column]]:
+    """Rules over staged columns, in the order the reference checks them."""
+    c = F.col
+    missing = F.array_sort(F.filter(
+        F.array(*[F.when(~c(f"__has_{k}"), F.lit(k)) for k in REQUIRED]), lambda x: x.isNotNull()))
 
     def text_rule(name: str, allow_blank: bool) -> Column:
-        fv, fk = field(name)
-        s = F.try_variant_get(fv, "$", "string")
-        bad = (fk != "STRING") if allow_blank else ((fk != "STRING") | (ustrip(s) == ""))
+        bad = c(f"__k_{name}") != "STRING"
+        if not allow_blank:
+            bad = bad | (ustrip(c(f"__s_{name}")) == "")
         return F.when(bad, L.text_error(name))
 
-    amount_v, amount_k = field("amount")
-    money = amount_from_variant(amount_v)
-    date_v, date_k = field("date")
-    date = F.when(date_k == "STRING", date_from_text(F.try_variant_get(date_v, "$", "string")))
+    def shown(name: str) -> Column:
+        fv, fk = c(f"__v_{name}"), c(f"__k_{name}")
+        return (F.when(fk == "VOID", F.lit("None"))
+                .when(fk == "STRING", py_repr(c(f"__s_{name}")))
+                .when(fk == "BOOLEAN", F.when(c(f"__s_{name}") == "true", "True").otherwise("False"))
+                .otherwise(F.to_json(fv)))
+
+    as_str = F.when(c("__k_amount") == "STRING", c("__s_amount")).otherwise(F.to_json(c("__v_amount")))
     return [
-        (L.E_CORRUPT, F.when(kind != "OBJECT", F.concat(F.lit("expected an object, got "), _py_type(kind)))),
+        (L.E_LOAD, F.when(c("v").isNull(), F.lit("invalid JSON"))),
+        (L.E_CORRUPT, F.when(c("__kind") != "OBJECT", F.concat(F.lit("expected an object, got "),
+                                                              _py_type(c("__kind"))))),
         (L.E_CORRUPT, F.when(F.size(missing) > 0,
                              F.concat(F.lit("missing field(s): "), F.array_join(missing, ", ")))),
         (L.E_TEXT, text_rule("title", False)),
         (L.E_TEXT, text_rule("category", False)),
-        (L.E_AMOUNT_TYPE, F.when(money.isNull(), L.amount_type_error(
-            _py_value(amount_v, amount_k), _py_type(amount_k)))),
-        (L.E_AMOUNT_VALUE, F.when(money <= 0, L.amount_value_error(_str_value(amount_v, amount_k)))),
-        (L.E_DATE, F.when(date.isNull(), F.concat(
-            F.lit("Invalid date: "), _py_value(date_v, date_k),
+        (L.E_AMOUNT_TYPE, F.when(c("__money").isNull(), L.amount_type_error(shown("amount"),
+                                                                           _py_type(c("__k_amount"))))),
+        (L.E_AMOUNT_VALUE, F.when(c("__money") <= 0, L.amount_value_error(as_str))),
+        (L.E_DATE, F.when(c("__date").isNull(), F.concat(
+            F.lit("Invalid date: "), shown("date"),
             F.lit(". Date must be a real calendar date in YYYY-MM-DD format.")))),
         (L.E_TEXT, text_rule("description", True)),
     ]
 
 
-def typed_elements(elements: DataFrame, v: str = "v") -> DataFrame:
-    """``pos, v`` (variant) → typed ledger columns plus ``error_code``/``error``."""
-    val = F.col(v)
-    checked = with_errors(elements, element_rules(val))
+def _typed_columns(v: str = "v") -> list[Column]:
+    return [
+        F.col("pos").cast("bigint").alias("pos"),
+        F.try_variant_get(F.col(v), "$.txn_id", "bigint").alias("txn_id"),
+        F.col("__date").alias("date"),
+        ustrip(F.col("__s_title")).alias("title"), ustrip(F.col("__s_category")).alias("category"),
+        F.col("__money").alias("amount"),
+        ustrip(F.col("__s_description")).alias("description"),
+    ]
+
+
+def typed_values(elements: DataFrame) -> DataFrame:
+    """Typed ledger columns only (for input already known to be valid)."""
+    return _stage(elements).select(*_typed_columns())
 
-    def s(name: str) -> Column:
-        return ustrip(F.try_variant_get(val, f"$.{name}", "string"))
 
-    corrupt = F.col("error_code") == L.E_CORRUPT
-    message = F.when(corrupt, F.concat(F.lit("Record at position "), F.col("pos").cast("string"),
-                                       F.lit(" is invalid: "), F.col("error"))).otherwise(F.col("error"))
+def typed_elements(elements: DataFrame, v: str = "v") -> DataFrame:
+    """``pos, v`` (variant) → typed ledger columns plus ``error_code``/``error``."""
+    checked = with_errors(_stage(elements.withColumnRenamed(v, "v"), "v"), _staged_rules(), msg_col="reason")
     return checked.select(
         F.col("pos").cast("bigint").alias("pos"),
-        F.try_variant_get(val, "$.txn_id", "bigint").alias("txn_id"),
-        date_from_text(F.try_variant_get(val, "$.date", "string")).alias("date"),
-        s("title").alias("title"), s("category").alias("category"),
-        amount_from_variant(F.variant_get(val, "$.amount", "variant")).alias("amount"),
-        s("description").alias("description"),
-        "error_code", message.alias("error"),
+        F.try_variant_get(F.col(v), "$.txn_id", "bigint").alias("txn_id"),
+        F.col("__date").alias("date"),
+        ustrip(F.col("__s_title")).alias("title"), ustrip(F.col("__s_category")).alias("category"),
+        F.col("__money").alias("amount"),
+        ustrip(F.col("__s_description")).alias("description"),
+        "error_code", _message(F.col("error_code"), F.col("reason"), F.col("pos")).alias("error"),
     )
 
 
+def _message(code: Column, reason: Column, position: Column) -> Column:
+    """Full error text: shape problems name their position; value errors
+    are reported as they are."""
+    return (F.when(code == L.E_CORRUPT, F.concat(F.lit("Record at position "), position.cast("string"),
+                                                  F.lit(" is invalid: "), reason))
+            .when(code == L.E_LOAD, F.concat(F.lit("invalid JSON at line "), (position + 1).cast("string")))
+            .otherwise(reason))
+
+
 def _empty(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], L.LEDGER_DDL)
 
@@ -139,16 +170,9 @@ def read_elements(spark: SparkSession, path: str, json_lines: bool = False) -> D
     """``pos, v`` per stored element, or ``None`` when the path does not exist."""
     try:
         if json_lines:
-            from tallyframe.operators.numbering import with_row_number
             from tallyframe.sources.logs import read_log_text
             lines = read_log_text(spark, path).where(ustrip("value") != "")
-            numbered = with_row_number(lines, "pos", "__line")
-            parsed = numbered.select((F.col("__line") - 1).alias("pos"), F.try_parse_json("value").alias("v"),
-                                     F.col("value"))
-            bad = parsed.where(F.col("v").isNull()).agg(F.min("pos")).first()[0]
-            if bad is not None:
-                raise LoadError(f"Could not load expenses from {path}: invalid JSON at line {bad + 1}")
-            return parsed.select("pos", "v")
+            return lines.select("pos", F.try_parse_json("value").alias("v"))
         doc = spark.read.text(path, wholetext=True)
         parsed = doc.select(F.try_parse_json("value").alias("doc"))
         head = parsed.select(F.col("doc").isNull().alias("invalid"),
@@ -186,9 +210,54 @@ def load_ledger(spark: SparkSession, path: str, mode: str = "strict",
         empty = _empty(spark)
         return empty if mode == "strict" else Split(empty, empty.withColumns(
             {"error_code": F.lit(None).cast("string"), "error": F.lit(None).cast("string")}))
+    if json_lines:
+        return _load_lines(spark, path, elements, mode)
     typed = typed_elements(elements)
     if mode == "strict":
-        return strict(typed)
+        _raise_first(path, typed.select("pos", "error_code", "error"))
+        return typed.drop("error_code", "error")
+    if mode == "quarantine":
+        return quarantine(typed)
+    raise ValueError(f"unknown mode {mode!r}")
+
+
+def _raise_first(path: str, checked: DataFrame) -> None:
+    row = first_failure(checked).first()
+    if row is None or row["position"] is None:
+        return
+    if row["code"] == L.E_LOAD:
+        raise LoadError(f"Could not load expenses from {path}: {row['message']}")
+    raise ValidationError(row["position"], row["code"], row["message"])
+
+
+def _load_lines(spark: SparkSession, path: str, elements: DataFrame, mode: str):
+    """JSON Lines: check on the file-order key (one pass, no numbering); the
+    line index of a failure is counted only when there is one.  Records that
+    carry their own ``pos`` (as written by ``save_ledger``) keep it; other
+    files are numbered by line once."""
+    from tallyframe.operators.numbering import with_row_number
+
+    own_pos = F.try_variant_get(F.col("v"), "$.pos", "bigint")
+    if mode == "strict":
+        checked = with_errors(_stage(elements), _staged_rules(), msg_col="reason")
+        probe = checked.agg(
+            F.min(F.when(F.col("reason").isNotNull(), F.col("pos"))).alias("position"),
+            F.min_by(F.col("error_code"), F.when(F.col("reason").isNotNull(), F.col("pos"))).alias("code"),
+            F.min_by(F.col("reason"), F.when(F.col("reason").isNotNull(), F.col("pos"))).alias("message"),
+            F.count_if(own_pos.isNull()).alias("without_pos")).first()
+        if probe["position"] is not None:
+            index = elements.where(F.col("pos") < F.lit(probe["position"])).count()
+            msg = spark.range(1).select(_message(F.lit(probe["code"]), F.lit(probe["message"]),
+                                                 F.lit(index))).first()[0]
+            if probe["code"] == L.E_LOAD:
+                raise LoadError(f"Could not load expenses from {path}: {msg}")
+            raise ValidationError(index, probe["code"], msg)
+        if probe["without_pos"] == 0:
+            return typed_values(elements.withColumn("pos", own_pos))
+        numbered = with_row_number(elements, "pos", "__line").select((F.col("__line") - 1).alias("pos"), "v")
+        return typed_values(numbered)
+    numbered = with_row_number(elements, "pos", "__line").select((F.col("__line") - 1).alias("pos"), "v")
+    typed = typed_elements(numbered)
     if mode == "quarantine":
         return quarantine(typed)
     raise ValueError(f"unknown mode {mode!r}")
@@ -236,7 +305,9 @@ def save_ledger(df: DataFrame, path: str, fmt: str = "json") -> str:
         if fmt == "parquet":
             df.select(*[c for c in L.LEDGER_DDL_COLS]).write.mode("errorifexists").parquet(target)
         else:
-            out = df.orderBy("pos").select(L.serialize(df).alias("value"))
+            # each line also carries ``pos`` (readers of the plain format
+            # ignore unknown keys), so loading needs no renumbering
+            out = df.orderBy("pos").select(L.serialize(df, with_pos=True).alias("value"))
             out.write.mode("errorifexists").text(target)
         return target
     except Exception as e:  # noqa: BLE001 - storage failures become one error type

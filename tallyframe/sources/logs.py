@@ -23,6 +23,7 @@ LOG_DATE = "2026-06-11"
 LOG_HOUR = "10"
 
 _EMPTY_AUTHORITY = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*:)//(?=/)")
+MAX_BROADCAST_FILES = 100_000
 _SPLIT_SCALE = 10 ** 9   # rows per split stay far below this
 _FILE_SCALE = 10 ** 24   # byte offsets inside one file stay far below 10**15
 
@@ -44,18 +45,25 @@ def read_log_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     # ``inputFiles`` writes an empty authority as ``file:///``, the metadata
     # column as ``file:/``; compare both in the short form.
     files = sorted({_EMPTY_AUTHORITY.sub(r"\1", f) for f in raw.inputFiles()})
-    file_rank = spark.createDataFrame(
-        [(f, i) for i, f in enumerate(files)], "__file string, __file_idx long")
-    raw = raw.withColumn("__file", F.regexp_replace("__file", _EMPTY_AUTHORITY.pattern, "$1"))
+    if len(files) <= 1:
+        raw = raw.withColumn("__file_idx", F.lit(0).cast("bigint"))
+    else:
+        file_rank = spark.createDataFrame(
+            [(f, i) for i, f in enumerate(files)], "__file string, __file_idx long")
+        raw = raw.withColumn("__file", F.regexp_replace("__file", _EMPTY_AUTHORITY.pattern, "$1"))
+        # one row per input file; the count is known here, so broadcast only
+        # below a fixed bound and let the planner shuffle-join beyond it
+        if len(files) <= MAX_BROADCAST_FILES:
+            file_rank = F.broadcast(file_rank)
+        raw = raw.join(file_rank, "__file")
+
     def scale(n: int):
         return F.lit(str(n)).cast("decimal(38,0)")
 
     pos = (F.col("__file_idx").cast("decimal(38,0)") * scale(_FILE_SCALE)
            + F.col("__block").cast("decimal(38,0)") * scale(_SPLIT_SCALE)
            + F.col("__row")).cast("decimal(38,0)")
-    # The file table has one row per input file; Spark chooses broadcast or a
-    # shuffle join from its size.
-    return raw.join(file_rank, "__file").select(pos.alias("pos"), "value")
+    return raw.select(pos.alias("pos"), "value")
 
 
 def fake_log_lines(ids: DataFrame, id_col: str = "id", seed: int = 42) -> DataFrame:

@@ -113,3 +113,17 @@ def test_parquet_storage_versions(spark, tmp):
     back = PARQUET_STORAGE.load(spark, store)
     PARQUET_STORAGE.save(back.where("txn_id > 1"), store)  # reads v1 while writing v2
     assert sorted(r.txn_id for r in PARQUET_STORAGE.load(spark, store).collect()) == [2, 7]
+
+
+def test_json_lines_errors_name_the_line(spark, tmp):
+    good = [json.dumps(r) for r in GOOD]
+    p = write(tmp, "\n".join(good + ["{broken", good[0]]) + "\n", "bad.jsonl")
+    with pytest.raises(LoadError, match="invalid JSON at line 4"):
+        load_ledger(spark, p, json_lines=True)
+    q = write(tmp, "\n".join(good[:2] + ['"not a record"'] + good) + "\n", "bad2.jsonl")
+    with pytest.raises(ValidationError) as e:
+        load_ledger(spark, q, json_lines=True)
+    assert e.value.position == 2
+    assert str(e.value) == "Record at position 2 is invalid: expected an object, got str"
+    split = load_ledger(spark, q, json_lines=True, mode="quarantine")
+    assert split.good.count() == 5 and [r.pos for r in split.bad.collect()] == [2]
