@@ -170,8 +170,16 @@ def read_elements(spark: SparkSession, path: str, json_lines: bool = False) -> D
     """``pos, v`` per stored element, or ``None`` when the path does not exist."""
     try:
         if json_lines:
-            from tallyframe.sources.logs import read_log_text
-            lines = read_log_text(spark, path).where(ustrip("value") != "")
+            # ``pos`` here is a struct in file order (path, split, row): it
+            # orders like the numeric key of ``read_log_text`` without the
+            # file-table join; numbering happens only if it is needed
+            lines = spark.read.text(path).select(
+                F.struct(F.col("_metadata.file_path").alias("file"),
+                         F.col("_metadata.file_block_start").alias("block"),
+                         (F.monotonically_increasing_id()
+                          - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)).alias("row")).alias("pos"),
+                "value")
+            lines = lines.where(ustrip("value") != "")
             return lines.select("pos", F.try_parse_json("value").alias("v"))
         doc = spark.read.text(path, wholetext=True)
         parsed = doc.select(F.try_parse_json("value").alias("doc"))
@@ -236,6 +244,12 @@ def _load_lines(spark: SparkSession, path: str, elements: DataFrame, mode: str):
     carry their own ``pos`` (as written by ``save_ledger``) keep it; other
     files are numbered by line once."""
     from tallyframe.operators.numbering import with_row_number
+    from tallyframe.sources.logs import read_log_text
+
+    def numbered():
+        lines = read_log_text(spark, path).where(ustrip("value") != "")
+        return with_row_number(lines, "pos", "__line").select(
+            (F.col("__line") - 1).alias("pos"), F.try_parse_json("value").alias("v"))
 
     own_pos = F.try_variant_get(F.col("v"), "$.pos", "bigint")
     if mode == "strict":
@@ -246,7 +260,10 @@ def _load_lines(spark: SparkSession, path: str, elements: DataFrame, mode: str):
             F.min_by(F.col("reason"), F.when(F.col("reason").isNotNull(), F.col("pos"))).alias("message"),
             F.count_if(own_pos.isNull()).alias("without_pos")).first()
         if probe["position"] is not None:
-            index = elements.where(F.col("pos") < F.lit(probe["position"])).count()
+            first = probe["position"]
+            index = elements.where(F.col("pos") < F.struct(
+                F.lit(first["file"]).alias("file"), F.lit(first["block"]).alias("block"),
+                F.lit(first["row"]).alias("row"))).count()
             msg = spark.range(1).select(_message(F.lit(probe["code"]), F.lit(probe["message"]),
                                                  F.lit(index))).first()[0]
             if probe["code"] == L.E_LOAD:
@@ -254,10 +271,8 @@ def _load_lines(spark: SparkSession, path: str, elements: DataFrame, mode: str):
             raise ValidationError(index, probe["code"], msg)
         if probe["without_pos"] == 0:
             return typed_values(elements.withColumn("pos", own_pos))
-        numbered = with_row_number(elements, "pos", "__line").select((F.col("__line") - 1).alias("pos"), "v")
-        return typed_values(numbered)
-    numbered = with_row_number(elements, "pos", "__line").select((F.col("__line") - 1).alias("pos"), "v")
-    typed = typed_elements(numbered)
+        return typed_values(numbered())
+    typed = typed_elements(numbered())
     if mode == "quarantine":
         return quarantine(typed)
     raise ValueError(f"unknown mode {mode!r}")
