@@ -754,21 +754,20 @@ def corpus_left_join(spark, sf_dir):
 SELECT level, CAST(count(*) AS BIGINT) AS n FROM {_PARSED_SQL} WHERE NOT malformed GROUP BY level""")
 def log_stream_counts(spark, sf_dir):
     """The events file read as a stream (``availableNow``), turned into log
-    lines and counted per level in complete mode; returns the sink table."""
+    lines and counted per level in complete mode; each micro-batch replaces a
+    parquet folder under the shared checkpoint dir, which is returned."""
     import uuid
 
     from tallyframe.session import checkpoint_dir
-    from tallyframe.streaming.logs import running_level_counts
+    from tallyframe.streaming.logs import start_level_counts
 
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    schema = spark.read.parquet(path).schema
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
     # the file source follows a folder; the glob filter picks the one table
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     line = F.concat_ws(" ", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.upper("event_type"), F.col("props"))
-    counts = running_level_counts(logs.parse_lines(events.select(line.alias("value"))))
     name = f"tf_stream_counts_{uuid.uuid4().hex[:8]}"
-    q = (counts.writeStream.outputMode("complete").format("memory").queryName(name)
-         .option("checkpointLocation", f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}")
-         .trigger(availableNow=True).start())
+    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    q = start_level_counts(spark, sf_dir, name, checkpoint=f"{base}/checkpoint", sink_path=f"{base}/counts",
+                           source=logs.parse_lines(events.select(line.alias("value"))))
     q.awaitTermination()
-    return spark.table(name).select("level", F.col("n").cast("bigint").alias("n"))
+    return spark.read.parquet(f"{base}/counts").select("level", F.col("n").cast("bigint").alias("n"))

@@ -40,17 +40,27 @@ def _checkpoint(spark: SparkSession, name: str) -> str:
 
 
 def start_level_counts(spark: SparkSession, directory: str, query_name: str,
-                       available_now: bool = True, checkpoint: str | None = None) -> StreamingQuery:
-    """Run the running count into an in-memory table named ``query_name``.
-
-    ``available_now`` processes everything present and stops (batch-like
-    catch-up); otherwise the query keeps following new files.
+                       available_now: bool = True, checkpoint: str | None = None,
+                       sink_path: str | None = None, source: DataFrame | None = None) -> StreamingQuery:
+    """Run the running count per level.
+
+    With ``sink_path`` every micro-batch replaces a parquet folder with the
+    complete counts (``foreachBatch``; the result has one row per level, and
+    replacing it makes a replayed batch harmless);
+    without it the counts go to an in-memory table named ``query_name`` (for
+    interactive use).  ``available_now`` processes everything present and
+    stops; otherwise the query keeps following new files.  ``source`` may be
+    any streaming DataFrame of parsed log records.
     """
-    q = (running_level_counts(follow(spark, directory)).writeStream
-         .outputMode("complete").format("memory").queryName(query_name)
+    stream = source if source is not None else follow(spark, directory)
+    w = (running_level_counts(stream).writeStream.outputMode("complete").queryName(query_name)
          .option("checkpointLocation", checkpoint or _checkpoint(spark, query_name)))
-    q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="5 seconds")
-    return q.start()
+    if sink_path:
+        w = w.foreachBatch(lambda batch, _epoch: batch.write.mode("overwrite").parquet(sink_path))
+    else:
+        w = w.format("memory")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
+    return w.start()
 
 
 def start_follow(spark: SparkSession, directory: str, level: str, sink_path: str,
