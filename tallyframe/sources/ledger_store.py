@@ -209,7 +209,7 @@ def load_ledger(spark: SparkSession, path: str, mode: str = "strict",
     latest = latest_version(spark, path)
     if latest is not None:
         if _is_parquet(spark, latest):
-            typed = spark.read.schema(L.LEDGER_DDL).parquet(latest)
+            typed = spark.read.option("basePath", latest).parquet(latest)
             return typed if mode == "strict" else Split(typed, typed.limit(0).withColumns(
                 {"error_code": F.lit(None).cast("string"), "error": F.lit(None).cast("string")}))
         path, json_lines = latest, True
@@ -306,7 +306,11 @@ def latest_version(spark: SparkSession, path: str) -> str | None:
 
 def _is_parquet(spark: SparkSession, version_dir: str) -> bool:
     fs, p, _ = _fs(spark, version_dir)
-    return any(st.getPath().getName().endswith(".parquet") for st in fs.listStatus(p))
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.endswith(".parquet") or (st.isDirectory() and name.startswith("month=")):
+            return True
+    return False
 
 
 def save_ledger(df: DataFrame, path: str, fmt: str = "json") -> str:
@@ -318,7 +322,9 @@ def save_ledger(df: DataFrame, path: str, fmt: str = "json") -> str:
         n = max([v for v, _ in _versions(spark, path)] + [0]) + 1
         target = f"{path.rstrip('/')}/v{n:06d}"
         if fmt == "parquet":
-            df.select(*[c for c in L.LEDGER_DDL_COLS]).write.mode("errorifexists").parquet(target)
+            # laid out by month so month and date-range filters prune folders
+            (df.select(*L.LEDGER_DDL_COLS).withColumn("month", F.date_format("date", "yyyy-MM"))
+             .repartition("month").write.mode("errorifexists").partitionBy("month").parquet(target))
         else:
             # each line also carries ``pos`` (readers of the plain format
             # ignore unknown keys), so loading needs no renumbering

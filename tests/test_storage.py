@@ -127,3 +127,19 @@ def test_json_lines_errors_name_the_line(spark, tmp):
     assert str(e.value) == "Record at position 2 is invalid: expected an object, got str"
     split = load_ledger(spark, q, json_lines=True, mode="quarantine")
     assert split.good.count() == 5 and [r.pos for r in split.bad.collect()] == [2]
+
+
+def test_parquet_store_prunes_by_month(spark, tmp):
+    import datetime as dt
+
+    from tallyframe.sources.ledger_store import PARQUET_STORAGE
+    store = os.path.join(tmp, "bymonth")
+    df = load_ledger(spark, write(tmp, GOOD))
+    PARQUET_STORAGE.save(df, store)
+    back = PARQUET_STORAGE.load(spark, store)
+    jan = L.by_month(back, "2026-01")
+    assert sorted(r.txn_id for r in jan.collect()) == [1, 2]
+    plan = jan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "2026-01" in plan
+    rng = L.between(back, dt.date(2026, 1, 20), dt.date(2026, 2, 1))
+    assert sorted(r.txn_id for r in rng.collect()) == [2, 7]
