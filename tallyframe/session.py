@@ -49,13 +49,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
-        master = spark.sparkContext.master or ""
+        master = spark.conf.get("spark.master", "") or ""
         if not master.startswith("local"):
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is not set; point it at a folder shared by the cluster")
         path = tempfile.mkdtemp(prefix="tallyframe-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(path)
+    try:  # classic sessions: also point RDD/Dataset checkpoint() at it
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        pass
     return path
