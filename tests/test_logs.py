@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from tallyframe.operators import logs
 from tallyframe.sources.logs import LEVELS, MESSAGES, fake_log_lines, generate_log_lines, read_log_text, write_lines
