@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tallyframe.operators.numbering import paginate
+from tallyframe.operators.numbering import paginate, rank_desc
 
 
 def parse_lines(df: DataFrame, line_col: str = "value") -> DataFrame:
@@ -41,16 +41,16 @@ def observe_lines(df: DataFrame, name: str = "log_lines") -> tuple[DataFrame, Ob
     return observed, obs
 
 
-def level_counts(parsed: DataFrame, pos_col: str = "pos") -> DataFrame:
+def level_counts(parsed: DataFrame, pos_col: str = "pos", distributed_rank: bool = False) -> DataFrame:
     """Count per level, most common first; ties keep first-seen order.
 
-    A partial + final hash aggregate; the rank is computed over the grouped
-    rows only (one per distinct level).
+    A partial + final hash aggregate.  The rank is computed over the grouped
+    rows (one per distinct level) with one window; ``distributed_rank`` uses
+    the range-numbering operator instead, for keys with very many groups.
     """
     grouped = parsed.where(~F.col("malformed")).groupBy("level").agg(
         F.count(F.lit(1)).alias("n"), F.min(pos_col).alias("first_pos"))
-    order = Window.orderBy(F.desc("n"), F.asc("first_pos"))
-    return grouped.withColumn("rank", F.row_number().over(order).cast("bigint"))
+    return rank_desc(grouped, "n", "first_pos", distributed_rank)
 
 
 def first_page(parsed: DataFrame, level: str, page_size: int, pos_col: str = "pos") -> DataFrame:

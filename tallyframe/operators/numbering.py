@@ -36,7 +36,7 @@ def default_buckets(df: DataFrame) -> int:
     return max(1, 4 * parts)
 
 
-def numeric_key(df: DataFrame, order_col: str):
+def numeric_key(df: DataFrame, order_col: str, descending: bool = False):
     """A double that never decreases when ``order_col`` increases.
 
     Dates become day numbers and timestamps microseconds since the epoch;
@@ -52,7 +52,10 @@ def numeric_key(df: DataFrame, order_col: str):
         c = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{order_col}`)")
     elif dtype.startswith("timestamp"):
         c = F.unix_micros(c)
-    # Null keys sort first, as in an ascending Spark sort.
+    # Null keys sort first in an ascending Spark sort and last in a
+    # descending one; negating makes a descending order ascending.
+    if descending:
+        return F.coalesce(-c.cast("double"), F.lit(float("inf")))
     return F.coalesce(c.cast("double"), F.lit(float("-inf")))
 
 
@@ -63,7 +66,8 @@ def _sketch(df: DataFrame, key, buckets: int):
     return row["n"], row["q"] or []
 
 
-def split_points(df: DataFrame, order_col: str, buckets: int | None = None) -> list[float]:
+def split_points(df: DataFrame, order_col: str, buckets: int | None = None,
+                 descending: bool = False) -> list[float]:
     """Sorted, de-duplicated range boundaries, ``-inf`` and ``+inf`` included.
 
     With ``buckets=None`` the range count follows the data: the first sketch
@@ -72,7 +76,7 @@ def split_points(df: DataFrame, order_col: str, buckets: int | None = None) -> l
     ranges (at most ``MAX_BUCKETS``) is taken.  Only boundaries reach the
     driver.
     """
-    key = numeric_key(df, order_col)
+    key = numeric_key(df, order_col, descending)
     want = buckets if buckets is not None else default_buckets(df)
     if want <= 1:
         return [float("-inf"), float("inf")]
@@ -85,19 +89,25 @@ def split_points(df: DataFrame, order_col: str, buckets: int | None = None) -> l
     return [float("-inf"), *inner, float("inf")]
 
 
-def bucketize(df: DataFrame, order_col: str, splits: list[float], out: str) -> DataFrame:
+def bucketize(df: DataFrame, order_col: str, splits: list[float], out: str,
+              descending: bool = False) -> DataFrame:
     """Add the range number of ``order_col`` (JVM binary search over the splits)."""
     if len(splits) < 3:  # one range: nothing to search
         return df.withColumn(out, F.lit(0))
-    keyed = df.withColumn(_KEY, numeric_key(df, order_col))
+    keyed = df.withColumn(_KEY, numeric_key(df, order_col, descending))
     binned = Bucketizer(splits=splits, inputCol=_KEY, outputCol=out,
                         handleInvalid="keep").transform(keyed)
     return binned.withColumn(out, F.col(out).cast("int")).drop(_KEY)
 
 
 def with_row_number(df: DataFrame, order_col: str, out: str = "rn",
-                    buckets: int | None = None) -> DataFrame:
-    """Add a 1-based ``bigint`` row number in ascending ``order_col`` order.
+                    buckets: int | None = None, descending: bool = False,
+                    tie_cols: tuple[str, ...] = ()) -> DataFrame:
+    """Add a 1-based ``bigint`` row number in ``order_col`` order (ascending
+    unless ``descending``), ties broken by ``tie_cols`` ascending.
+
+    Ranges are cut on ``order_col`` alone, so rows that tie on it share a
+    range and ``tie_cols`` order them inside it.
 
     Cost: the input is read three times — a quantile sketch and a per-bucket
     count (both aggregates whose scans are pruned to the key and filter
@@ -105,7 +115,8 @@ def with_row_number(df: DataFrame, order_col: str, out: str = "rn",
     which shuffles the rows once by bucket.  For an expensive derived input,
     write it to a table or ``checkpoint()`` it first.
     """
-    bucketed = bucketize(df, order_col, split_points(df, order_col, buckets), _BUCKET)
+    splits = split_points(df, order_col, buckets, descending)
+    bucketed = bucketize(df, order_col, splits, _BUCKET, descending)
 
     # One row per bucket: safe to order globally and to broadcast.
     counts = bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias(_COUNT))
@@ -113,7 +124,8 @@ def with_row_number(df: DataFrame, order_col: str, out: str = "rn",
     offsets = counts.select(
         _BUCKET, F.coalesce(F.sum(_COUNT).over(before), F.lit(0)).cast("bigint").alias(_OFFSET))
 
-    inside = Window.partitionBy(_BUCKET).orderBy(order_col)
+    first = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    inside = Window.partitionBy(_BUCKET).orderBy(first, *[F.col(c).asc() for c in tie_cols])
     return (
         bucketed.join(F.broadcast(offsets), _BUCKET)
         .withColumn(out, (F.col(_OFFSET) + F.row_number().over(inside)).cast("bigint"))
@@ -121,6 +133,15 @@ def with_row_number(df: DataFrame, order_col: str, out: str = "rn",
     )
 
 
+def rank_desc(grouped: DataFrame, value: str, first_seen: str, distributed: bool = False,
+              out: str = "rank") -> DataFrame:
+    """Rank rows by ``value`` descending, ties by ``first_seen`` ascending."""
+    if distributed:
+        return with_row_number(grouped, value, out, descending=True, tie_cols=(first_seen,))
+    order = Window.orderBy(F.desc(value), F.asc(first_seen))
+    return grouped.withColumn(out, F.row_number().over(order).cast("bigint"))
+
+
 def paginate(df: DataFrame, order_col: str, page_size: int,
              page_col: str = "page_no", slot_col: str = "slot",
              buckets: int | None = None) -> DataFrame:

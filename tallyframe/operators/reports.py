@@ -8,10 +8,11 @@ subquery, not a join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.exact import avg_half_even, share_half_even
+from tallyframe.operators.numbering import rank_desc
 
 
 def _zero():
@@ -26,19 +27,18 @@ def summary(df: DataFrame) -> DataFrame:
         "average", F.when(F.col("n") > 0, avg_half_even(F.col("total"), F.col("n"))))
 
 
-def category_breakdown(df: DataFrame) -> DataFrame:
+def category_breakdown(df: DataFrame, distributed_rank: bool = False) -> DataFrame:
     """Per exact category: count, total, share of grand total (half-even 0.1),
-    rank by total descending with ties in first-seen order."""
+    rank by total descending with ties in first-seen order
+    (``distributed_rank`` for very many categories)."""
     grand = df.agg(F.sum("amount")).scalar()
     grouped = df.groupBy("category").agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"), F.min("pos").alias("first_pos"))
-    order = Window.orderBy(F.desc("total"), F.asc("first_pos"))
     # the grand total is bound to a column once: every reference to a scalar
     # subquery would otherwise run it again
-    return grouped.withColumn("__grand", grand).withColumns({
-        "share": share_half_even(F.col("total"), F.col("__grand")),
-        "rank": F.row_number().over(order).cast("bigint"),
-    }).drop("__grand")
+    shared = grouped.withColumn("__grand", grand).withColumn(
+        "share", share_half_even(F.col("total"), F.col("__grand"))).drop("__grand")
+    return rank_desc(shared, "total", "first_pos", distributed_rank)
 
 
 def monthly(df: DataFrame) -> DataFrame:
