@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import ngram_join, packing, sentence_codec
+from tallyframe.llm import line_dedup, ngram_join, packing, sentence_codec
 from tallyframe.llm.common import table, vocabulary
 
 
@@ -27,7 +27,33 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_ngram_jaccard, op3_packing)
+    f.__name__: f for f in (op1_sentencepiece, op2_ngram_jaccard, op3_packing, op5_line_dedup)
+}
+ORACLE: dict[str, str] = {
+    "op5_line_dedup": r"""
+WITH raw AS (SELECT doc_id, len(string_split(text, chr(10))) AS n, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents),
+lines AS (SELECT doc_id, n, pos, trim(line, E' \t\r') AS line FROM raw WHERE trim(line, E' \t\r') <> ''),
+weighed AS (SELECT *, length(line) - length(replace(line, ' ', '')) + 1 AS words FROM lines),
+counted AS (SELECT *, coalesce(lead(pos) OVER (PARTITION BY doc_id ORDER BY pos), n) - 1 AS end_pos, (sum(words) OVER (PARTITION BY doc_id ORDER BY pos))::BIGINT AS upto, (sum(words) OVER (PARTITION BY doc_id))::BIGINT AS total FROM weighed),
+spans AS (
+  SELECT doc_id, upto - words + 50 <= total AS valid,
+         min(pos) OVER f AS first_pos, max(end_pos) OVER f AS last_pos, string_agg(line, chr(10)) OVER f AS run
+  FROM counted WINDOW f AS (PARTITION BY doc_id ORDER BY upto - words RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+  UNION ALL
+  SELECT doc_id, upto >= 50, min(pos) OVER f, max(end_pos) OVER f, string_agg(line, chr(10)) OVER f
+  FROM counted WINDOW f AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
+origin AS (SELECT run, min(struct_pack(d := doc_id, p := first_pos)) AS origin FROM spans WHERE valid GROUP BY run),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(first_pos, last_pos + 1)) AS pos
+  FROM spans JOIN origin USING (run) WHERE valid AND struct_pack(d := doc_id, p := first_pos) > origin),
+kept AS (SELECT raw.doc_id, count(*) FILTER (gone.pos IS NOT NULL) AS removed, string_agg(line, chr(10) ORDER BY raw.pos) FILTER (gone.pos IS NULL) AS text
+  FROM raw LEFT JOIN gone ON raw.doc_id = gone.doc_id AND raw.pos = gone.pos GROUP BY raw.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, d.lang, d.source, d.n_chars,
+       coalesce(k.removed, 0)::INTEGER AS lines_removed
+FROM documents d LEFT JOIN kept k USING (doc_id)""",
 }
-ORACLE: dict[str, str] = {}
