@@ -10,11 +10,13 @@ no ids are shuffled.  Only the last sequence is not full.
 
 from __future__ import annotations
 
-import re
+import functools
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,24 +25,24 @@ from tallyframe.llm.common import stored
 
 END_ID = 1
 LENGTH = 2048
-TABLE_CHUNKS = 400_000
+TABLE_WORDS = 800_000
+SLICE_BYTES = 32 << 20
 #: One row of 16 bytes for each input partition; beyond it the offsets are joined by a shuffle.
 MOST_BROADCAST_PARTITIONS = 1_000_000
 
-_ASCII_SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
-_LATIN_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LATIN_WORD = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 _STOPS = ".,!?;:"
-#: What ``str.split()`` takes for a space but is no ASCII space: such texts take the regex.
-_ODD_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \t\n\r\x0b\x0c"]
 
 
 class WordTable:
-    """Distinct space-delimited chunk -> its ids as little-endian uint32 bytes.
+    """Ids of texts through their distinct space-delimited chunks.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are its chunks' ids in order.  A chunk that is a plain Latin word with stops
-    behind it goes straight to the vocabulary's merges; any other goes through
-    the whole tokenizer.
+    are its chunks' ids in order.  Each distinct chunk of a slice of texts is
+    encoded once and its ids are gathered back by position.  A chunk that is a
+    plain Latin word with stops behind it goes straight to the vocabulary's
+    merges, which a bounded table of lower-cased words saves from batch to
+    batch; any other goes through the whole tokenizer.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -50,39 +52,71 @@ class WordTable:
         self.merges = self.tokenizer.model
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.bytes = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
-        self.ids: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def _merged(self, word: str) -> bytes:
         got = self.words.get(word)
         if got is None:
             symbols = word if word.isascii() else word.translate(self.bytes)
-            got = self.words[word] = np.array([t.id for t in self.merges.tokenize(symbols)], "<u4").tobytes()
+            got = self.words[word] = array("I", [t.id for t in self.merges.tokenize(symbols)]).tobytes()
         return got
 
-    def _chunk(self, chunk: str) -> bytes:
-        word = chunk.rstrip(_STOPS)
-        if _LATIN_WORD.fullmatch(word):
-            stops = chunk[len(word):]
-            return self._merged(word.lower()) + (self._merged(stops) if stops else b"")
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if not text.isascii() and any(c in text for c in _ODD_SPACES) or any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            parts = [p for p in _ASCII_SPACE.split(text) if p]
-        else:
-            parts = text.split()
-        table = self.ids
-        try:
-            return b"".join([table[p] for p in parts])
-        except KeyError:
-            for p in set(parts).difference(table):
-                table[p] = self._chunk(p)
-            return b"".join([table[p] for p in parts])
-
-    def trim(self) -> None:
-        if len(self.ids) > TABLE_CHUNKS:
-            self.ids, self.words = {}, {}
+    def _whole(self, chunk: str) -> bytes:
+        return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+
+    def _chunks(self, chunks: pa.StringArray) -> list[bytes]:
+        if len(self.words) > TABLE_WORDS:
+            self.words = {}
+        words = pc.utf8_rtrim(chunks, characters=_STOPS)
+        plain = pc.match_substring_regex(words, _LATIN_WORD)
+        lower = pc.utf8_lower(words.filter(plain)).dictionary_encode()
+        merged = [self._merged(w) for w in lower.dictionary.to_pylist()]
+        found = iter([merged[i] for i in lower.indices.to_numpy().tolist()])
+        ids = [next(found) if p else b"" for p in plain.to_pylist()]
+        stops = pc.less(pc.binary_length(words), pc.binary_length(chunks)).to_numpy(zero_copy_only=False)
+        plain = plain.to_numpy(zero_copy_only=False)
+        for i, word, chunk in _picked(plain & stops, words, chunks):
+            ids[i] += self._merged(chunk[len(word):])
+        for i, chunk in _picked(~plain, chunks):
+            ids[i] = self._whole(chunk)
+        return ids
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Every text's ids with ``end_id`` behind them: their counts, and all ids in one array."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        which = coded.indices.to_numpy()
+        by_chunk = self._chunks(coded.dictionary)
+        size = np.fromiter(map(len, by_chunk), "int64", len(by_chunk)) // 4
+        table, first = np.frombuffer(b"".join(by_chunk), "<u4"), np.cumsum(size) - size
+        n = size[which]
+        upto = np.concatenate(([0], np.cumsum(n)))
+        ids = table[np.repeat(first[which] - upto[:-1], n) + np.arange(upto[-1])]
+        ends = upto[bounds]
+        return np.diff(ends) + 1, np.insert(ids, ends[1:], np.uint32(end_id)).astype("<u4")
+
+
+@functools.cache
+def _table(tokenizer_path: str) -> WordTable:
+    """One table for all tasks of a Python worker."""
+    return WordTable(tokenizer_path)
+
+
+def _picked(mask: np.ndarray, *arrays: pa.Array) -> Iterator[tuple]:
+    at = np.flatnonzero(mask)
+    return zip(at.tolist(), *(a.take(pa.array(at)).to_pylist() for a in arrays))
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``SLICE_BYTES`` of text (a longer row is alone)."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype("int64"))
+    lo = 0
+    while lo < len(upto):
+        done = upto[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(upto, done + SLICE_BYTES, "right")))
+        yield lo, hi
+        lo = hi
 
 
 def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID,
@@ -93,21 +127,18 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID,
     """
     narrow = docs.select(id_col, text_col)
     id_type = narrow.schema[id_col].dataType.simpleString()
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, before, part = WordTable(tokenizer_path), 0, TaskContext.get().partitionId()
+        table, before, part = _table(tokenizer_path), 0, TaskContext.get().partitionId()
         for batch in batches:
-            rows = batch.num_rows
-            for lo in range(0, rows, 1000):
-                table.trim()
-                some = batch.slice(lo, 1000)
-                ids = [table.encode(t or "") + end for t in some.column(1).to_pylist()]
-                n = np.array([len(i) // 4 for i in ids], "int64")
-                starts = before + np.cumsum(n) - n
-                before += int(n.sum())
+            for lo, hi in _slices(batch.column(1)):
+                some = batch.slice(lo, hi - lo)
+                n, ids = table.encode(some.column(1), end_id)
+                upto = np.concatenate(([0], np.cumsum(n)))
+                starts, before = before + upto[:-1], before + int(upto[-1])
+                packed = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(4 * upto), pa.py_buffer(ids)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array(np.full(len(n), part, "int32")), pa.array(starts), pa.array(n), pa.array(ids, pa.binary())],
+                    [some.column(0), pa.array(np.full(len(n), part, "int32")), pa.array(starts), pa.array(n), packed],
                     names=[id_col, "part", "before", "n", "ids"])
 
     return narrow.mapInArrow(run, f"`{id_col}` {id_type}, part int, before long, n long, ids binary")
