@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import line_dedup, ngram_join, packing, sentence_codec
+from tallyframe.llm import ann, exact_topk, html_extract, line_dedup, ngram_join, packing, sentence_codec, toxicity, url_filter
 from tallyframe.llm.common import table, vocabulary
 
 
@@ -27,12 +27,37 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_multi_index_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_products(table(spark, sf_dir, "embeddings"))
+
+
+#: The rules that the contract names.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_ngram_jaccard, op3_packing, op5_line_dedup)
+    f.__name__: f for f in (op1_sentencepiece, op2_ngram_jaccard, op3_packing, op4_multi_index_ann, op5_line_dedup, op6_html_extract, op7_toxicity, op9_exact_topk, op10_url_filter)
 }
 ORACLE: dict[str, str] = {
     "op5_line_dedup": r"""
@@ -56,4 +81,20 @@ kept AS (SELECT raw.doc_id, count(*) FILTER (gone.pos IS NOT NULL) AS removed, s
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, d.lang, d.source, d.n_chars,
        coalesce(k.removed, 0)::INTEGER AS lines_removed
 FROM documents d LEFT JOIN kept k USING (doc_id)""",
+    "op9_exact_topk": r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+           FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+placed AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 5""",
+    "op10_url_filter": r"""
+WITH rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+rules AS (SELECT * FROM (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')) r(h, p, v)),
+fits AS (SELECT page_id, host, path, max(struct_pack(n := length(h || p), h := length(h), rule := h || p, v := v)) AS best
+  FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY page_id, host, path)
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.v, 'allow') AS verdict FROM fits""",
 }
