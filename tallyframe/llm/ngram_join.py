@@ -7,17 +7,20 @@ lists, merge the short rest, and a partner still occurs at least once; only
 what the merge finds is probed in the long lists.
 
 1. Every document's set, class key (hash of the whole set, so that copies are
-   one class from here on) and size; shingle frequencies over all documents.
-2. Each set sends its ``n - T + 1`` rarest shingles, the short lists.  Lists are
-   merged by Spark: a map task first links the entries of its own lists, so a
-   list reaches the shuffle with one entry per task however long it is.
-   Sets that meet in a list, directly or over others, form a candidate group.
-3. Groups are cut into blocks of bounded size; every two blocks of a group meet,
+   one class from here on) and size.
+2. Shingle frequencies: map tasks send their shingles to buckets, flush by
+   flush, one entry per flush and shingle however many sets have it; a bucket
+   sends back the frequency of those found in more than one document.
+3. Each set puts forward its ``n - T + 1`` rarest shingles, the short lists.
+   Lists are merged by bucket, again with one entry per flush and list.  Sets
+   that meet in a list, directly or over others, form a candidate group.
+4. Groups are cut into blocks of bounded size; every two blocks of a group meet,
    where the search counts short lists and probes long ones by binary search.
    The overlap it ends with is exact; a forest of the links is kept.
-4. Components of the links, and the smallest document id of each.
+5. Components of the links, and the smallest document id of each.
 
-Frequent shingles only order the lists: any order gives the same result.
+Buckets know shingles by 32 bits and their own number, which decides candidates
+only; overlaps and classes are those of 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,12 +39,10 @@ from tallyframe.llm.graph import components
 from tallyframe.llm.shingles import shingle_sets
 
 PERCENT = 80
-#: Entries of one merge task, and entries a map task gathers before it sends them.
+#: Shingles of one merge task, and shingles a map task gathers before it sends them.
 BUCKET_ENTRIES, FLUSH_ENTRIES = 500_000, 3_000_000
-#: At most so many frequent shingles (12 bytes each) go to every task: those above ``all / MOST_FREQUENT``.
-MOST_FREQUENT, LEAST_FREQUENT = 1 << 20, 16
-#: Shingles of a block: a group has BLOCKS blocks unless they would fall below or rise above these.
-LEAST_BLOCK, MOST_BLOCK, BLOCKS = 8_000, 1_000_000, 32
+#: A group has BLOCKS blocks, fewer if they would hold less than so many sets, more if they would hold more than so many shingles.
+BLOCKS, LEAST_SETS, MOST_SHINGLES = 32, 64, 1_000_000
 
 
 def needed(n, percent: int = PERCENT):
@@ -53,12 +55,6 @@ def class_key(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _buckets(keys: np.ndarray, buckets: int, bits: int) -> np.ndarray:
-    """Bounds of the buckets in ascending unsigned keys of so many bits."""
-    edges = (np.arange(buckets + 1, dtype=object) << bits) // buckets
-    return np.concatenate(([0], np.searchsorted(keys, edges[1:-1].astype(keys.dtype)), [len(keys)])).astype(int)
-
-
 def _sizes_and_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     id_type = docs.schema[id_col].dataType.simpleString()
 
@@ -72,41 +68,6 @@ def _sizes_and_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, n long, v long")
 
 
-def _frequencies(docs: DataFrame, text_col: str, buckets: int, least: int) -> DataFrame:
-    """``keys, counts`` (packed) of the upper halves of shingle hashes found in over ``least`` documents."""
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            keys = np.sort(np.concatenate(held))
-            cut = _buckets(keys, buckets, 32)
-            spans = [(b, keys[lo:hi]) for b, (lo, hi) in enumerate(zip(cut[:-1], cut[1:])) if hi > lo]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _ in spans], pa.int32()),
-                 pa.array([np.diff(k, prepend=np.uint32(0)).astype("<u4").tobytes() for _, k in spans], pa.binary())], names=["bucket", "steps"])
-
-        for batch in batches:
-            for one in shingle_sets(batch.column(0).to_pylist()):
-                held.append((one >> np.uint64(32)).astype("u4"))
-                size += len(one)
-                if size > FLUSH_ENTRIES:
-                    yield flush()
-                    held, size = [], 0
-        if size:
-            yield flush()
-
-    def count(group: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.cumsum(np.frombuffer(s, "<u4"), dtype="u4") for s in group.column("steps").to_pylist()])
-        found, counts = np.unique(keys, return_counts=True)
-        often = counts > least
-        return pa.table({"keys": pa.array([found[often].astype("<u4").tobytes()], pa.binary()),
-                         "counts": pa.array([counts[often].astype("<i8").tobytes()], pa.binary())})
-
-    return docs.select(text_col).mapInArrow(send, "bucket int, steps binary").groupBy("bucket").applyInArrow(count, "keys binary, counts binary")
-
-
 def _linked_runs(key: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of lists given as (key, v) pairs: each list's first v, and (first, other) edges."""
     order = np.lexsort((v, key))
@@ -121,60 +82,132 @@ def _edges(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.empty((0, 2), "i8")
 
 
-def _candidate_edges(docs: DataFrame, text_col: str, buckets: int, frequent, percent: int) -> DataFrame:
-    """Edges ``a, b`` between class keys that meet in short lists."""
+def _steps(keys: np.ndarray) -> bytes:
+    """Ascending keys as differences of their lower 32 bits, which compress well."""
+    return np.diff(keys.astype("u4"), prepend=np.uint32(0)).astype("<u4").tobytes()
+
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = frequent.value
+def _unsteps(data: bytes | None) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data or b"", "<u4"), dtype="u4")
+
+
+def _cut(keys: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
+    """``bucket, from, to`` in ascending keys, whose bits above 32 are the bucket."""
+    bounds = np.searchsorted(keys, np.arange((1 << bits) + 1, dtype="u8") << np.uint64(32)).tolist()
+    return list(zip(range(1 << bits), bounds[:-1], bounds[1:]))
+
+
+def _sent_shingles(docs: DataFrame, text_col: str, bits: int) -> DataFrame:
+    """Every task's shingles by bucket, a flush of about FLUSH_ENTRIES at a time.
+
+    A shingle that one set of the flush has goes with the set's number; one that
+    several have goes once, with their count, and who has it stays with the
+    flush (``lkey, lowner``, with the sets' keys ``v`` and sizes ``n``).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, flushes, size = TaskContext.get().partitionId(), 0, 0
         held: list[np.ndarray] = []
-        owners: list[tuple[int, int]] = []
-        size = 0
+        classes: list[int] = []
         seen: set[int] = set()
 
         def flush() -> pa.RecordBatch:
-            v = np.repeat(np.array([o for o, _ in owners], "i8"), [k for _, k in owners])
-            shingle, first, a, b = _linked_runs(np.concatenate(held), v)
-            cut, pairs = _buckets(shingle, buckets, 64), _edges(a, b)
-            share = np.linspace(0, len(pairs), buckets + 1).astype(int)  # found edges travel with any bucket
-            spans = [(n, *x) for n, x in enumerate(zip(cut[:-1], cut[1:], share[:-1], share[1:])) if x[1] > x[0] or x[3] > x[2]]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([s[0] for s in spans], pa.int32()), pa.array([shingle[s[1]:s[2]].tobytes() for s in spans], pa.binary()),
-                 pa.array([first[s[1]:s[2]].tobytes() for s in spans], pa.binary()),
-                 pa.array([pairs[s[3]:s[4]].tobytes() for s in spans], pa.binary())], names=["bucket", "shingles", "firsts", "pairs"])
+            sizes = np.array([len(s) for s in held])
+            key = np.concatenate(held) >> np.uint64(32 - bits)
+            order = np.argsort(key, kind="stable")
+            key, owner = key[order], np.repeat(np.arange(len(held), dtype="u2"), sizes)[order]
+            new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            times = np.diff(np.append(new, len(key)))
+            once, often = new[times == 1], new[times > 1]
+            shared = np.repeat(times > 1, times)
+            number = part << 32 | flushes
+            rows = [{"bucket": b, "flush": number, "once": _steps(key[once[i:j]]), "owner": owner[once[i:j]].tobytes(),
+                     "often": _steps(key[often[k:m]]), "times": times[times > 1][k:m].astype("<u4").tobytes()}
+                    for (b, i, j), (_, k, m) in zip(_cut(key[once], bits), _cut(key[often], bits)) if j > i or m > k]
+            rows.append({"bucket": number % (1 << bits), "flush": number, "lkey": key[shared].tobytes(), "lowner": owner[shared].tobytes(),
+                         "v": np.array(classes, "i8").tobytes(), "n": sizes.astype("i8").tobytes()})
+            return pa.RecordBatch.from_pylist(rows, _SENT)
 
         for batch in batches:
             for one in shingle_sets(batch.column(0).to_pylist()):
-                if not len(one):
-                    continue
-                v = class_key(one)
-                if v in seen:
+                if not len(one) or (v := class_key(one)) in seen:
                     continue
                 if len(seen) > 1_000_000:
                     seen.clear()
                 seen.add(v)
-                k = len(one) - needed(len(one), percent) + 1
-                if len(keys):
-                    upper = (one >> np.uint64(32)).astype("u4")
-                    at = np.minimum(np.searchsorted(keys, upper), len(keys) - 1)
-                    often = np.where(keys[at] == upper, counts[at], 0)
-                    one = one[np.argsort(often, kind="stable")[:k]]
-                held.append(one[:k])
-                owners.append((v, k))
-                size += k
-                if size > FLUSH_ENTRIES:
+                held.append(one)
+                classes.append(v)
+                size += len(one)
+                if size > FLUSH_ENTRIES or len(held) == 65_535:
                     yield flush()
-                    held, owners, size = [], [], 0
-        if size:
+                    held, classes, size, flushes = [], [], 0, flushes + 1
+        if held:
             yield flush()
 
-    def merge(group: pa.Table) -> pa.Table:
-        shingle, first, old = (np.frombuffer(b"".join(group.column(c).to_pylist()), t) for c, t in (("shingles", "u8"), ("firsts", "i8"), ("pairs", "i8")))
-        _, _, a, b = _linked_runs(shingle, first)
-        pairs = _edges(np.concatenate([a, old[::2]]), np.concatenate([b, old[1::2]]))
-        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+    return docs.select(text_col).mapInArrow(run, "bucket int, flush long, once binary, owner binary, often binary, times binary, lkey binary, lowner binary, v binary, n binary")
+
+
+_SENT = pa.schema([("bucket", pa.int32()), ("flush", pa.int64()), *((c, pa.binary()) for c in ("once", "owner", "often", "times", "lkey", "lowner", "v", "n"))])
+_KNOWN = pa.schema([("flush", pa.int64()), *((c, pa.binary()) for c in ("key", "owner", "df", "okey", "odf", "lkey", "lowner", "v", "n"))])
+_SHORT = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("shingles", "firsts", "pairs"))])
+
 
-    sent = docs.select(text_col).mapInArrow(send, "bucket int, shingles binary, firsts binary, pairs binary")
-    return sent.groupBy("bucket").applyInArrow(merge, "a long, b long").distinct()
+def _counted(group: pa.Table) -> pa.Table:
+    """A bucket's shingles with their document frequency, back to each flush; those of one document are left out."""
+    rows = group.to_pylist()
+    once, often = [_unsteps(r["once"]) for r in rows], [_unsteps(r["often"]) for r in rows]
+    times = [np.frombuffer(r["times"] or b"", "<u4") for r in rows]
+    _, which = np.unique(np.concatenate(once + often), return_inverse=True)
+    df = np.bincount(which, np.concatenate([*(np.ones(len(o)) for o in once), *times])).astype("u4")[which] if len(which) else np.empty(0, "u4")
+    df = np.split(df, np.cumsum([len(x) for x in once + often])[:-1])
+    out = []
+    for row, a, b, da, db in zip(rows, once, often, df, df[len(rows):]):
+        high, met = np.uint64(row["bucket"] << 32), da > 1
+        out.append({"flush": row["flush"], "key": (high | a[met]).tobytes(), "owner": np.frombuffer(row["owner"] or b"", "u2")[met].tobytes(), "df": da[met].tobytes(),
+                    "okey": (high | b).tobytes(), "odf": db.tobytes(), **{c: row[c] for c in ("lkey", "lowner", "v", "n")}})
+    return pa.Table.from_pylist(out, _KNOWN)
+
+
+def _short_lists(bits: int, percent: int):
+    """For a flush: the shared shingles among each set's rarest ``n - T + 1``, as list entries by bucket."""
+
+    def run(group: pa.Table) -> pa.Table:
+        def flat(name: str, kind: str) -> np.ndarray:
+            return np.frombuffer(b"".join(x or b"" for x in group.column(name).to_pylist()), kind)
+
+        okey, odf, lkey, v, n = flat("okey", "u8"), flat("odf", "u4"), flat("lkey", "u8"), flat("v", "i8"), flat("n", "i8")
+        by_key = np.argsort(okey)
+        local_df = odf[by_key][np.searchsorted(okey[by_key], lkey)]
+        key, owner, df = np.concatenate([flat("key", "u8"), lkey]), np.concatenate([flat("owner", "u2"), flat("lowner", "u2")]).astype(int), np.concatenate([flat("df", "u4"), local_df])
+        order = np.lexsort((key, df, owner))
+        key, owner = key[order], owner[order]
+        met = np.bincount(owner, minlength=len(n))
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(met) - met, met)
+        alone = n - met  # shingles of this document only come first and meet nobody
+        taken = nth < (n - needed(n, percent) + 1 - alone)[owner]
+        shingle, first, a, b = _linked_runs(key[taken], v[owner[taken]])
+        pairs = _edges(a, b)
+        share = np.linspace(0, len(pairs), (1 << bits) + 1).astype(int)  # found edges travel with any bucket
+        return pa.Table.from_pylist([
+            {"bucket": i, "shingles": shingle[lo:hi].tobytes(), "firsts": first[lo:hi].tobytes(), "pairs": pairs[share[i]:share[i + 1]].tobytes()}
+            for i, lo, hi in _cut(shingle, bits) if hi > lo or share[i + 1] > share[i]], _SHORT)
+
+    return run
+
+
+def _merged_lists(group: pa.Table) -> pa.Table:
+    shingle, first, old = (np.frombuffer(b"".join(group.column(c).to_pylist()), t) for c, t in (("shingles", "u8"), ("firsts", "i8"), ("pairs", "i8")))
+    _, _, a, b = _linked_runs(shingle, first)
+    pairs = _edges(np.concatenate([a, old[::2]]), np.concatenate([b, old[1::2]]))
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+
+def _candidate_edges(docs: DataFrame, text_col: str, bits: int, percent: int) -> DataFrame:
+    """Edges ``a, b`` between class keys that meet in short lists."""
+    counted = _sent_shingles(docs, text_col, bits).groupBy("bucket").applyInArrow(
+        _counted, "flush long, key binary, owner binary, df binary, okey binary, odf binary, lkey binary, lowner binary, v binary, n binary")
+    short = counted.groupBy("flush").applyInArrow(_short_lists(bits, percent), "bucket int, shingles binary, firsts binary, pairs binary")
+    return short.groupBy("bucket").applyInArrow(_merged_lists, "a long, b long").distinct()
 
 
 class Lists:
@@ -286,20 +319,11 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
     sizes = stored(_sizes_and_keys(narrow, "doc", "body"), "sizes")
     classes = sizes.where("n > 0").groupBy("v").agg(F.min("doc").alias("doc"), F.first("n").alias("n"))
     entries = sizes.agg(F.sum("n")).first()[0] or 0
-    buckets = max(16, entries // BUCKET_ENTRIES)
-
-    least = max(LEAST_FREQUENT, entries // MOST_FREQUENT)  # so at most MOST_FREQUENT shingles are above it
-    rows = _frequencies(narrow, "body", buckets, least).collect()
-    keys = np.frombuffer(b"".join(r["keys"] for r in rows), "<u4")
-    counts = np.frombuffer(b"".join(r["counts"] for r in rows), "<i8")
-    order = np.argsort(keys)
-    frequent = docs.sparkSession.sparkContext.broadcast((keys[order], counts[order]))
-
-    short_buckets = max(16, (entries * (100 - percent) // 100 + len(rows)) // BUCKET_ENTRIES)
-    groups = components(_candidate_edges(narrow, "body", short_buckets, frequent, percent))
+    bits = max(4, (entries // BUCKET_ENTRIES).bit_length())
+    groups = components(_candidate_edges(narrow, "body", bits, percent))
     members = groups.join(classes, "v")
-    weights = members.groupBy("label").agg(F.sum("n").alias("weight")).select(
-        F.col("label").alias("of"), F.greatest(F.least(F.lit(BLOCKS), F.expr(f"ceil(weight / {LEAST_BLOCK})")), F.expr(f"ceil(weight / {MOST_BLOCK})")).cast("int").alias("blocks"))
+    weights = members.groupBy("label").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("weight")).select(
+        F.col("label").alias("of"), F.greatest(F.least(F.lit(BLOCKS), F.ceil(F.col("sets") / LEAST_SETS)), F.ceil(F.col("weight") / MOST_SHINGLES)).cast("int").alias("blocks"))
     members = stored(members.join(weights, F.col("label") == F.col("of")).select(
         "v", F.col("doc").alias("member"), "label", "blocks", F.expr("cast(pmod(xxhash64(v), blocks) as int)").alias("block")), "members")
 
