@@ -38,7 +38,7 @@ MOST_INSULTS, MOST_OTHERS, LANDMARKS = 1_000, 3_000, 256
 #: Fixed values of the kernel: weight of each letter that a subsequence stretches over, and the most letters.
 DECAY, REACH = 0.7, 7
 #: Pieces of so many letters mark insults from this log-likelihood ratio on, if they stand in toxic documents so much oftener.
-PIECES, EVIDENCE, PURITY = (4, 5, 6, 7), 12.0, 8
+PIECES, EVIDENCE, PURITY = (4, 5, 6, 7), 12.0, 4
 FOLDS = 5
 _EDGES = ".,;:!?\"'()[]{}<>«»„“”‘’…*_-"
 _SPELLED = re.compile(r"(?<!\S)\w(?:[ .*_-]+\w(?!\w)){3,}(?!\S)")
@@ -214,7 +214,7 @@ class Explicit:
         return np.concatenate(parts or [np.empty((0, len(self.landmarks)))]).astype("f8")
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 60, cost: float = 10.0) -> np.ndarray:
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 150, cost: float = 300.0) -> np.ndarray:
     """Linear SVM (hinge loss, bias as last column) by dual coordinate ascent."""
     alpha, w = np.zeros(len(y)), np.zeros(x.shape[1])
     square, order = (x * x).sum(1) + 1e-12, np.random.default_rng(1)
