@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import ann, exact_topk, html_extract, line_dedup, ngram_join, packing, sentence_codec, toxicity, url_filter
+from tallyframe.llm import ann, chat_format, exact_topk, html_extract, line_dedup, ngram_join, packing, sentence_codec, toxicity, url_filter
 from tallyframe.llm.common import table, vocabulary
 
 
@@ -44,6 +44,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_products(table(spark, sf_dir, "embeddings"))
 
@@ -57,7 +61,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_ngram_jaccard, op3_packing, op4_multi_index_ann, op5_line_dedup, op6_html_extract, op7_toxicity, op9_exact_topk, op10_url_filter)
+    f.__name__: f for f in (op1_sentencepiece, op2_ngram_jaccard, op3_packing, op4_multi_index_ann, op5_line_dedup, op6_html_extract, op7_toxicity, op8_chat_format, op9_exact_topk, op10_url_filter)
 }
 ORACLE: dict[str, str] = {
     "op5_line_dedup": r"""
