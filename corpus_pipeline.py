@@ -1,21 +1,48 @@
-"""Corpus pipeline: stages over documents, each by an operator of ``tallyframe.llm``."""
+"""Corpus pipeline over ``documents``: toxicity, line dedup, n-gram Jaccard join, packing.
+
+Each stage takes the documents that the one before kept, written as Parquet and
+read again, and returns documents (the last: packed pieces).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyframe.llm import packing
+from tallyframe.llm import line_dedup, ngram_join, packing, toxicity
 from tallyframe.llm.common import stored, table, vocabulary
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxicity: documents that the classifier rejects go; it learns from the labelled ones."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.annotated(docs, model).where("predicted = 0").select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup: later repeated runs of lines go, and documents that were nothing else."""
+    kept = line_dedup.dedup_lines(docs).where("lines_removed = 0 or text <> ''")
+    length = F.when(F.col("lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return kept.withColumn("n_chars", length).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: of each group the document of the smallest id stays (null ids last), once."""
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"))
+    groups = ngram_join.ngram_jaccard_join(docs.select(place.alias("place"), "text"), id_col="place")
+    first = groups.where("place = component_id").select(F.col("place").alias("first")).distinct()
+    kept = docs.withColumn("place", place).join(first, F.col("place") == F.col("first"), "left_semi")
+    return kept.dropDuplicates(["place"]).select(*docs.columns)
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing: the pieces of the remaining documents, with their ids."""
     return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 
-STAGES = [("packing", pack_sequences)]
+STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_repeated_lines), ("ngram_jaccard", drop_near_copies), ("packing", pack_sequences)]
 
-#: Tokenisation, string kernels and similarity joins have no SQL form.
+#: String kernels, similarity joins and tokenisation have no SQL form.
 ORACLE_SQL = None
 
 

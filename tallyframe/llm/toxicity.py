@@ -31,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bounds of the training sample (documents) and of what the SVM sees of it (words).
 MOST_TOXIC, MOST_CLEAN = 2_500, 5_000
@@ -137,7 +138,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     draw = F.xxhash64(F.col("labelled").cast("string"))
     some = [known.where(F.col("toxic") == v).dropDuplicates(["labelled"]).orderBy(draw, "labelled").limit(n) for v, n in ((1, MOST_TOXIC), (0, MOST_CLEAN))]
     chosen = F.broadcast(some[0].union(some[1]))  # at most MOST_TOXIC + MOST_CLEAN rows of two numbers
-    return docs.join(chosen, F.col(id_col) == F.col("labelled")).select(F.coalesce(F.col(text_col), F.lit("")).alias("body"), "toxic")
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
+    return texts.join(chosen, F.col("id") == F.col("labelled")).select("body", "toxic")
 
 
 def _surroundings(sample: DataFrame) -> list:
@@ -294,22 +296,28 @@ def _threshold(margins: np.ndarray, default: float) -> tuple[float, float]:
     return float((m[at, 0] + m[at - 1, 0]) / 2), float(min(50, 4 / max(gaps.max(), 0.08)))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``id_col, held_out, score, predicted``.
+def annotated(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of ``docs``, and ``held_out, score, predicted`` (in place of columns of these names).
 
     A null or empty text, or one without words, has the lowest score.  The
     score depends on the text alone; repeated rows come back as often as they
     stand there, a null id counts as not held out.
     """
-    narrow = docs.select(id_col, held_out(id_col).alias("held_out"), text_col)
-    id_type = narrow.schema[id_col].dataType.simpleString()
+    own = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
+    rows = docs.select(*own, held_out(id_col).alias("held_out"))
+    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    at = own.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 2000):
                 some = batch.slice(lo, 2000)
-                value = model.scores(document_margins(model, some.column(2)))
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), some.column(1), pa.array(value), pa.array((value >= 0.5).astype("i4"))], names=[id_col, "held_out", "score", "predicted"])
+                value = model.scores(document_margins(model, some.column(at)))
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(value), pa.array((value >= 0.5).astype("i4"))], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
 
-    return narrow.mapInArrow(run, f"`{id_col}` {id_type}, held_out boolean, score double, predicted int")
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: ``id_col, held_out, score, predicted``, as ``annotated`` gives them."""
+    return annotated(docs.select(id_col, text_col), model, id_col, text_col).drop(text_col)
