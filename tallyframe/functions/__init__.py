@@ -17,12 +17,11 @@ from tallyframe.functions.values import (
     amount_from_text,
     amount_from_variant,
     date_from_text,
-    variant_type,
 )
 
 __all__ = [
     "amount_from_text", "amount_from_variant", "avg_half_even", "casefold_key",
     "date_from_text", "half_even_div", "lines_of", "money_text", "pad_left",
     "pad_right", "py_repr", "regex_literal", "replacement_literal",
-    "share_half_even", "url_quote", "ustrip", "variant_type",
+    "share_half_even", "url_quote", "ustrip",
 ]

@@ -35,9 +35,14 @@ def ustrip(c: Column | str) -> Column:
 
 
 def casefold_key(c: Column | str) -> Column:
-    """Case-insensitive match key.  ``upper`` folds ß→SS and ligatures like
-    ``str.casefold`` does for comparison purposes (``lower`` does not)."""
-    return F.upper(ustrip(c))
+    """Case-insensitive match key: equal for two texts exactly when ``str.casefold`` is.
+
+    Folding is ``lower(upper(lower(x)))`` letter by letter; a dotless i is kept
+    apart, since ``upper`` would make it a plain one, and sharp S is written out
+    before ``lower`` makes it a small one.
+    """
+    apart = F.replace(F.replace(ustrip(c), F.lit("ı"), F.lit("\ufdd0")), F.lit("ẞ"), F.lit("ss"))
+    return F.lower(F.upper(F.lower(F.replace(apart, F.lit("İ"), F.lit("i\u0307")))))
 
 
 def money_text(c: Column | str) -> Column:

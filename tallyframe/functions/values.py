@@ -22,21 +22,14 @@ def _col(c: Column | str) -> Column:
 def amount_from_text(c: Column | str) -> Column:
     """Text → ``decimal(28,2)`` rounded half-up, or null if it is not a finite number.
 
-    Mirrors ``Decimal(str)``: Unicode whitespace is stripped and ``_`` between
-    digits is allowed.  NaN/Infinity and over-large values give null.
+    Mirrors ``Decimal(str)``: Unicode whitespace is stripped and ``_`` is
+    ignored wherever it stands.  NaN/Infinity and over-large values give null.
     """
     s = ustrip(_col(c))
-    s = F.when(F.contains(s, F.lit("_")), F.regexp_replace(s, r"(?<=[0-9])_(?=[0-9])", "")).otherwise(s)
+    s = F.replace(s, F.lit("_"), F.lit(""))
     return s.try_cast(MONEY)
 
 
-def variant_type(v: Column | str) -> Column:
-    """Top-level JSON type name of a variant (``STRING``, ``BIGINT``, ``OBJECT``...)."""
-    t = F.schema_of_variant(_col(v))
-    return F.when(t.startswith("OBJECT"), F.lit("OBJECT")).when(
-        t.startswith("ARRAY"), F.lit("ARRAY")).otherwise(t)
-
-
 def _integral_json(t: Column) -> Column:
     # JSON integers arrive as BIGINT; ones too large for BIGINT arrive as
     # DECIMAL(p,0) with p > 18.  A literal such as 20.0 arrives as DECIMAL(2,0),

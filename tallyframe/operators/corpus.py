@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tallyframe.functions.text import (
     INLINE_WHITESPACE, LINE_BREAKS, char_class, regex_literal, replacement_literal, url_quote, ustrip,
 )
+from tallyframe.operators.numbering import rank_text
+from tallyframe.session import shared_table
 
 # Folder names never indexed, the block markers, the
 # placeholder blurb and the prefixes that disqualify a line as a blurb.
@@ -75,10 +77,21 @@ def blurb_of(text: Column | str = "text") -> Column:
 
 
 def index(docs: DataFrame, name: str = "name", text: str = "text") -> DataFrame:
-    """``name, title, blurb`` for every visible folder (sorted by name)."""
-    return (docs.where(visible(name))
-            .select(F.col(name).alias("name"), title_of(text, name).alias("title"),
-                    blurb_of(text).alias("blurb")))
+    """``name, title, blurb, pos`` for every visible folder; ``pos`` is its place in name order."""
+    rows = docs.where(visible(name)).select(
+        F.col(name).alias("name"), title_of(text, name).alias("title"), blurb_of(text).alias("blurb"))
+    return rank_text(shared_table(rows, "index"), "name", "pos")
+
+
+def index_table(rows: DataFrame) -> DataFrame:
+    """``pos, line`` of the whole marked block: its markers, the header, a row per folder in name order."""
+    header = [F.struct(F.lit(i - 2).cast("bigint").alias("pos"), F.lit(line).alias("line")) for i, line in enumerate(TABLE_HEADER.split("\n"))]
+    head = rows.sparkSession.range(1).select(F.inline(F.array(*header)))
+    ends = [F.struct(F.lit(p).cast("bigint").alias("pos"), F.lit(line).alias("line")) for p, line in ((-4, START), (-3, ""))]
+    last = rows.agg(F.coalesce(F.max("pos"), F.lit(-1)).alias("last")).select(F.inline(F.array(
+        F.struct((F.col("last") + 1).alias("pos"), F.lit("").alias("line")), F.struct((F.col("last") + 2).alias("pos"), F.lit(END).alias("line")))))
+    begin = rows.sparkSession.range(1).select(F.inline(F.array(*ends)))
+    return begin.unionAll(head).unionAll(rows.select("pos", index_row().alias("line"))).unionAll(last)
 
 
 def index_row(title: Column | str = "title", name: Column | str = "name",
@@ -128,9 +141,10 @@ def read_folders(spark: SparkSession, root: str) -> DataFrame:
     root = root.rstrip("/")
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
              .select(F.col("path")))
+    # both columns in the plain form: ``path`` is decoded, ``_metadata.file_path`` is not
     rel = F.regexp_extract("path", r"^.*?" + regex_literal(root.split(":", 1)[-1]) + r"/([^/]+)/", 1)
     folders = files.select(rel.alias("name")).where(F.col("name") != "").distinct()
+    plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     readmes = (spark.read.text(f"{root}/*/README.md", wholetext=True)
-               .select(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/README\.md$", 1).alias("name"),
-                       F.col("value").alias("text")))
+               .select(F.regexp_extract(plain, r"/([^/]+)/README\.md$", 1).alias("name"), F.col("value").alias("text")))
     return folders.join(readmes, "name", "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.operators.numbering import bucketize, split_points
+from tallyframe.operators.numbering import _CELL, _RANGE, assign_cells, numeric_key, plan_cells
 
 
 def response_summary(df: DataFrame, status_col: str = "status") -> DataFrame:
@@ -18,26 +18,28 @@ def peak_overlap(df: DataFrame, start: str = "start", end: str = "end",
                  buckets: int | None = None) -> DataFrame:
     """Largest number of half-open intervals ``[start, end)`` open at once.
 
-    Sweep line without a global sort: every interval contributes +1 at its
-    start and -1 at its end; deltas are summed per distinct instant first
-    (ends before starts at the same instant means only the net change per
-    instant matters, and a hot instant collapses to one row map-side).  The
-    instants are cut into ranges at quantiles; each range computes its own
-    net change and its highest running sum; a scan over the per-range rows
-    (one per range) adds the earlier ranges' net changes.
+    An interval without an end is still open; one without a start is not an
+    interval and is left out.
+
+    Sweep line without a global sort: one scan turns every interval into +1 at
+    its start and -1 at its end; deltas are summed per distinct instant (a hot
+    instant collapses map-side).  Instants are cut into cells; each gives its
+    net change and its highest running sum, cells are added up inside their
+    range, and the last step sees one row per range, a constant number.
     """
-    deltas = df.select(F.col(start).alias("t"), F.lit(1).alias("d")).unionByName(
-        df.select(F.col(end).alias("t"), F.lit(-1).alias("d")))
+    intervals = df.where(F.col(start).isNotNull()).select(F.col(start).alias("t"), F.col(end).alias("end"))
+    cells = plan_cells(intervals, numeric_key(intervals, "t"), None, buckets)
+    deltas = intervals.select(F.inline(F.array(
+        F.struct(F.col("t"), F.lit(1).alias("d")), F.struct(F.col("end").alias("t"), F.lit(-1).alias("d"))))).where("t is not null")
     net = deltas.groupBy("t").agg(F.sum("d").cast("bigint").alias("d"))
+    placed = assign_cells(net, numeric_key(net, "t"), cells)
+
+    def add_up(rows: DataFrame, keys: list[str], within: Window) -> DataFrame:
+        run = F.coalesce(F.sum("d").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("peak")
+        return rows.withColumn("run", run).groupBy(*keys).agg(F.sum("d").alias("d"), F.max("run").alias("peak"))
 
-    binned = bucketize(net, "t", split_points(net, "t", buckets), "__b")
-
-    running = F.sum("d").over(Window.partitionBy("__b").orderBy("t")
-                              .rowsBetween(Window.unboundedPreceding, 0))
-    per_bucket = binned.withColumn("run", running).groupBy("__b").agg(
-        F.sum("d").alias("net"), F.max("run").alias("peak_in"))
-    earlier = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    shifted = per_bucket.select(
-        (F.coalesce(F.sum("net").over(earlier), F.lit(0)) + F.col("peak_in")).alias("peak"))
-    return shifted.agg(F.greatest(F.coalesce(F.max("peak"), F.lit(0)), F.lit(0))
-                       .cast("bigint").alias("peak"))
+    instants = placed.withColumn("peak", F.col("d"))
+    by_cell = add_up(instants, [_RANGE, _CELL], Window.partitionBy(_RANGE, _CELL).orderBy("t"))
+    by_range = add_up(by_cell, [_RANGE], Window.partitionBy(_RANGE).orderBy(_CELL))
+    whole = add_up(by_range, [], Window.orderBy(_RANGE))
+    return whole.select(F.greatest(F.coalesce("peak", F.lit(0)), F.lit(0)).cast("bigint").alias("peak"))

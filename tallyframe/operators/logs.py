@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.operators.numbering import paginate, rank_desc
 
 
+E_LINE = "malformed"
+
+
 def parse_lines(df: DataFrame, line_col: str = "value") -> DataFrame:
     """Split ``DATE TIME LEVEL message`` into ``ts``, ``level``, ``msg``.
 
@@ -30,27 +33,29 @@ def only(df: DataFrame, level: str) -> DataFrame:
     return df.where(F.col("level") == F.lit(level))
 
 
-def observe_lines(df: DataFrame, name: str = "log_lines") -> tuple[DataFrame, Observation]:
-    """Attach line counters to a parsed log: read in the same pass as the query."""
-    obs = Observation(name)
-    observed = df.observe(
-        obs,
-        F.count(F.lit(1)).alias("lines_read"),
-        F.count_if(F.col("malformed")).alias("malformed"),
-    )
-    return observed, obs
+def line_metrics(parsed: DataFrame) -> DataFrame:
+    """Lines read, malformed lines and distinct levels, from one aggregate."""
+    return parsed.agg(F.count(F.lit(1)).alias("lines_read"), F.count_if("malformed").alias("malformed"),
+                      F.countDistinct(F.when(~F.col("malformed"), F.col("level"))).alias("levels"))
+
+
+def line_errors(parsed: DataFrame, pos_col: str = "pos") -> DataFrame:
+    """``error_code`` and ``error`` of malformed lines, for the policies of ``operators.rules``."""
+    bad = F.col("malformed")
+    return parsed.withColumns({
+        "error_code": F.when(bad, F.lit(E_LINE)),
+        "error": F.when(bad, F.concat(F.lit("line at position "), F.col(pos_col).cast("string"), F.lit(" has fewer than four fields")))})
 
 
-def level_counts(parsed: DataFrame, pos_col: str = "pos", distributed_rank: bool = False) -> DataFrame:
+def level_counts(parsed: DataFrame, pos_col: str = "pos") -> DataFrame:
     """Count per level, most common first; ties keep first-seen order.
 
-    A partial + final hash aggregate.  The rank is computed over the grouped
-    rows (one per distinct level) with one window; ``distributed_rank`` uses
-    the range-numbering operator instead, for keys with very many groups.
+    A partial + final hash aggregate; the groups are ranked by range numbering,
+    since a level is free text and there may be very many.
     """
     grouped = parsed.where(~F.col("malformed")).groupBy("level").agg(
         F.count(F.lit(1)).alias("n"), F.min(pos_col).alias("first_pos"))
-    return rank_desc(grouped, "n", "first_pos", distributed_rank)
+    return rank_desc(grouped, "n", "first_pos")
 
 
 def first_page(parsed: DataFrame, level: str, page_size: int, pos_col: str = "pos") -> DataFrame:
@@ -71,23 +76,13 @@ def scan_depth(parsed: DataFrame, level: str, page_size: int, pos_col: str = "po
     """How many lines a lazy reader consumes before the first page is full.
 
     That is the number of lines up to and including the ``page_size``-th
-    match, or every line when there are fewer matches.  One scalar subquery
-    (a bounded top-n) feeds one counting pass; nothing is numbered or sorted
-    globally.
+    match, or every line when there are fewer matches.  The page itself (at most
+    ``page_size`` positions) is taken first; the count then stops at its last
+    position, a filter that reaches the scan.
     """
+    page = [r[0] for r in first_page(parsed, level, page_size, pos_col).select(pos_col).collect()]
     if page_size <= 0:
-        return parsed.limit(1).select(
-            F.lit(0).cast("bigint").alias("lines_read"),
-            F.lit(0).cast("bigint").alias("matches_in_page"))
-    head = first_page(parsed, level, page_size, pos_col)
-    probe: Column = head.agg(F.struct(F.max(pos_col).alias("last"),
-                                      F.count(F.lit(1)).alias("found"))).scalar()
-    # the probe is bound to a column once so the subquery runs once
-    tagged = parsed.select(F.col(pos_col).alias("__pos"), probe.alias("__p"))
-    counted = tagged.agg(F.count_if(F.col("__pos") <= F.col("__p.last")).alias("__hits"),
-                         F.count(F.lit(1)).alias("__all"), F.max("__p.found").alias("__found"))
-    found = F.coalesce(F.col("__found"), F.lit(0))
-    return counted.select(
-        F.when(found >= page_size, F.col("__hits")).otherwise(F.col("__all")).cast("bigint").alias("lines_read"),
-        found.cast("bigint").alias("matches_in_page"),
-    )
+        parsed = parsed.limit(0)
+    elif len(page) == page_size:
+        parsed = parsed.where(F.col(pos_col) <= F.lit(max(page)))
+    return parsed.agg(F.count(F.lit(1)).alias("lines_read")).withColumn("matches_in_page", F.lit(len(page)).cast("bigint"))

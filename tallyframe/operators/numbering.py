@@ -1,39 +1,40 @@
 """Global row numbers, pages and id assignment without a one-partition window.
 
 ``row_number() OVER (ORDER BY pos)`` with no partition moves every row into a
-single task.  Instead the order key is cut into ``buckets`` ranges at
-approximate quantiles (a bounded list of split points), rows are numbered
-inside their range by a window partitioned on the range, and each range is
-shifted by the count of all earlier ranges.  The per-range counts have one row
-per range, so they are broadcast with a known size bound.
-
-The order key must be numeric (or date/timestamp) and unique; ties would make
-any numbering, including the reference's list order, ambiguous.  Bucket
-assignment is a pure function of the key and the fixed split points, so a
-re-computed stage (lost executor) produces the same numbers.
+single task.  Instead the order key is cut into ``RANGES`` ranges at quantiles
+(a sketch of constant size), each range into as many equal cells as its rows
+need, rows are numbered inside their cell by a window partitioned on the cell,
+and cells are shifted by the counts of those before.  A value that fills whole
+quantiles is a range of its own and is cut by the tie column instead, so equal
+keys are split too.  The number of cells follows the rows without a ceiling;
+what reaches the driver is the sketch and one count per range, both constant.
+
+The order key (with its tie columns) must be unique, or any numbering is
+ambiguous.  Cells are a pure function of the key and fixed numbers, so a stage
+that is run again after a lost executor gives the same numbers, and the split
+points only balance: they never change the answer.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyframe.session import shared_table
+
 _KEY = "__tf_key"
-_BUCKET = "__tf_bucket"
+_TIE = "__tf_tie"
+_RANGE = "__tf_range"
+_CELL = "__tf_cell"
 _OFFSET = "__tf_offset"
 _COUNT = "__tf_count"
 
-
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 10_000
-
-
-def default_buckets(df: DataFrame) -> int:
-    """Lower bound on the range count: four per shuffle partition."""
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, 4 * parts)
+#: First-level ranges, accuracy of the sketch, and rows that a cell should hold.
+RANGES, ACCURACY, CELL_ROWS = 256, 4096, 1_000_000
 
 
 def numeric_key(df: DataFrame, order_col: str, descending: bool = False):
@@ -59,87 +60,132 @@ def numeric_key(df: DataFrame, order_col: str, descending: bool = False):
     return F.coalesce(c.cast("double"), F.lit(float("-inf")))
 
 
-def _sketch(df: DataFrame, key, buckets: int):
-    probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx(key, probs, 4 * buckets).alias("q")).first()
-    return row["n"], row["q"] or []
+@dataclass
+class Cells:
+    """Where to cut: ranges of the key, cells of a range, and cuts of a tie column."""
 
+    splits: list[float]
+    per_range: int
+    heavy: list[int]
+    ties: list[float]
 
-def split_points(df: DataFrame, order_col: str, buckets: int | None = None,
-                 descending: bool = False) -> list[float]:
-    """Sorted, de-duplicated range boundaries, ``-inf`` and ``+inf`` included.
+    @property
+    def simple(self) -> bool:
+        return self.per_range == 1 and not self.heavy
 
-    With ``buckets=None`` the range count follows the data: the first sketch
-    (``default_buckets`` ranges) also counts the rows; if that leaves more
-    than ``ROWS_PER_BUCKET`` rows per range, a second sketch with enough
-    ranges (at most ``MAX_BUCKETS``) is taken.  Only boundaries reach the
-    driver.
-    """
-    key = numeric_key(df, order_col, descending)
-    want = buckets if buckets is not None else default_buckets(df)
-    if want <= 1:
-        return [float("-inf"), float("inf")]
-    n, qs = _sketch(df, key, want)
-    if buckets is None and n > want * ROWS_PER_BUCKET:
-        finer = min(MAX_BUCKETS, -(-n // ROWS_PER_BUCKET))
-        if finer > want:
-            _, qs = _sketch(df, key, finer)
-    inner = sorted({float(q) for q in qs if q is not None and q == q and abs(q) != float("inf")})
-    return [float("-inf"), *inner, float("inf")]
-
-
-def bucketize(df: DataFrame, order_col: str, splits: list[float], out: str,
-              descending: bool = False) -> DataFrame:
-    """Add the range number of ``order_col`` (JVM binary search over the splits)."""
-    if len(splits) < 3:  # one range: nothing to search
+
+def _finite(values) -> list[float]:
+    return sorted({float(v) for v in values or [] if v is not None and v == v and abs(v) != float("inf")})
+
+
+def plan_cells(df: DataFrame, key: Column, tie: Column | None = None, ranges: int | None = None) -> Cells:
+    """One aggregate over the key (and tie) column: quantiles and the row count."""
+    ranges = RANGES if ranges is None else max(1, ranges)
+    probs = [i / ranges for i in range(1, ranges)] or [0.5]
+    tie = F.lit(None).cast("double") if tie is None else tie
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high"),
+                 F.percentile_approx(key, probs, ACCURACY).alias("q"), F.percentile_approx(tie, probs, ACCURACY).alias("t")).first()
+    q = [float(v) for v in (row["q"] or []) if abs(v) != float("inf")] if ranges > 1 else []
+    heavy = _finite(v for v, w in zip(q, q[1:]) if v == w) if row["t"] else []  # fills a whole quantile
+    inner = sorted(set(q) | {float(np.nextafter(v, np.inf)) for v in heavy})
+    splits = [float("-inf"), *inner, float("inf")]
+    per_range = max(1, -(-(row["n"] or 0) // (ranges * CELL_ROWS)))
+    return Cells(splits, per_range, [splits.index(v) for v in heavy], _finite(row["t"]) if heavy else [])
+
+
+def _range_of(df: DataFrame, column: str, splits: list[float], out: str) -> DataFrame:
+    """Number of the range a value falls in (JVM binary search over the splits)."""
+    if len(splits) < 3:
         return df.withColumn(out, F.lit(0))
-    keyed = df.withColumn(_KEY, numeric_key(df, order_col, descending))
-    binned = Bucketizer(splits=splits, inputCol=_KEY, outputCol=out,
-                        handleInvalid="keep").transform(keyed)
-    return binned.withColumn(out, F.col(out).cast("int")).drop(_KEY)
+    return Bucketizer(splits=splits, inputCol=column, outputCol=out, handleInvalid="keep").transform(df).withColumn(out, F.col(out).cast("int"))
+
+
+def assign_cells(df: DataFrame, key: Column, cells: Cells, tie: Column | None = None) -> DataFrame:
+    """Add the range and cell of every row; both never decrease in key (and tie) order."""
+    ranged = _range_of(df.withColumn(_KEY, key), _KEY, cells.splits, _RANGE)
+    if cells.simple:
+        return ranged.withColumn(_CELL, F.lit(0).cast("bigint")).drop(_KEY)
+    cell = F.lit(0).cast("bigint")
+    if cells.per_range > 1:  # equal steps between the range's ends
+        ends = F.array(*[F.lit(s) for s in cells.splits])
+        low, high = F.get(ends, F.col(_RANGE)), F.get(ends, F.col(_RANGE) + 1)
+        low = F.when(F.col(_RANGE) == 0, high - F.abs(high) - 1).otherwise(low)  # open ends: a step beyond
+        high = F.when(F.col(_RANGE) == len(cells.splits) - 2, low + F.abs(low) + 1).otherwise(high)
+        step = F.floor((F.col(_KEY) - low) / (high - low) * cells.per_range)
+        cell = F.least(F.greatest(F.coalesce(step, F.lit(0)), F.lit(0)), F.lit(cells.per_range - 1)).cast("bigint")
+    if cells.heavy and cells.ties:
+        ranged = _range_of(ranged.withColumn(_TIE, tie), _TIE, [float("-inf"), *cells.ties, float("inf")], "__tf_tie_range").drop(_TIE)
+        cell = F.when(F.col(_RANGE).isin(cells.heavy), F.col("__tf_tie_range").cast("bigint")).otherwise(cell)
+    return ranged.withColumn(_CELL, cell).drop(_KEY, "__tf_tie_range")
+
+
+def _prefix(totals: list) -> dict[int, int]:
+    out, before = {}, 0
+    for r, n in sorted(totals):
+        out[r], before = before, before + n
+    return out
+
+
+def _offsets(counts: DataFrame) -> DataFrame:
+    """Rows before each cell.  Ranges are constant in number and are summed on the
+    driver; cells are summed inside their range."""
+    base = _prefix([tuple(r) for r in counts.groupBy(_RANGE).agg(F.sum(_COUNT)).collect()])
+    inside = Window.partitionBy(_RANGE).orderBy(_CELL).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(_RANGE, _CELL, (F.coalesce(F.sum(_COUNT).over(inside), F.lit(0)) + _lookup(base)).cast("bigint").alias(_OFFSET))
+
+
+def _lookup(base: dict[int, int]) -> Column:
+    if not base:
+        return F.lit(0).cast("bigint")
+    return F.get(F.array(*[F.lit(base.get(i, 0)).cast("bigint") for i in range(max(base) + 1)]), F.col(_RANGE))
 
 
 def with_row_number(df: DataFrame, order_col: str, out: str = "rn",
                     buckets: int | None = None, descending: bool = False,
                     tie_cols: tuple[str, ...] = ()) -> DataFrame:
     """Add a 1-based ``bigint`` row number in ``order_col`` order (ascending
-    unless ``descending``), ties broken by ``tie_cols`` ascending.
-
-    Ranges are cut on ``order_col`` alone, so rows that tie on it share a
-    range and ``tie_cols`` order them inside it.
+    unless ``descending``), ties broken by ``tie_cols`` ascending (the first
+    one numeric, to cut a value that very many rows share).
 
-    Cost: the input is read three times — a quantile sketch and a per-bucket
-    count (both aggregates whose scans are pruned to the key and filter
-    columns, shuffling one row per task or bucket) and the numbering job,
-    which shuffles the rows once by bucket.  For an expensive derived input,
-    write it to a table or ``checkpoint()`` it first.
+    ``buckets`` sets the number of first-level ranges.  Cost: the input is read
+    for the sketch, for the counts (both pruned to the key) and for the
+    numbering, which shuffles the rows once by cell; write an expensive derived
+    input to a table first (``rank_desc`` does).
     """
-    splits = split_points(df, order_col, buckets, descending)
-    bucketed = bucketize(df, order_col, splits, _BUCKET, descending)
+    key = numeric_key(df, order_col, descending)
+    tie = numeric_key(df, tie_cols[0]) if tie_cols else None
+    cells = plan_cells(df, key, tie, buckets)
+    placed = assign_cells(df, key, cells, tie)
+    counts = placed.groupBy(_RANGE, _CELL).agg(F.count(F.lit(1)).alias(_COUNT))
+    if cells.simple:  # one cell a range: a look-up by its number, no join
+        base = _prefix([(r[_RANGE], r[_COUNT]) for r in counts.collect()])
+        numbered = placed.withColumn(_OFFSET, _lookup(base))
+    else:
+        numbered = placed.join(_offsets(counts), [_RANGE, _CELL])
+    first = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    inside = Window.partitionBy(_RANGE, _CELL).orderBy(first, *[F.col(c).asc() for c in tie_cols])
+    return numbered.withColumn(out, (F.col(_OFFSET) + F.row_number().over(inside)).cast("bigint")).drop(_RANGE, _CELL, _OFFSET)
 
-    # One row per bucket: safe to order globally and to broadcast.
-    counts = bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias(_COUNT))
-    before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        _BUCKET, F.coalesce(F.sum(_COUNT).over(before), F.lit(0)).cast("bigint").alias(_OFFSET))
 
-    first = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    inside = Window.partitionBy(_BUCKET).orderBy(first, *[F.col(c).asc() for c in tie_cols])
-    return (
-        bucketed.join(F.broadcast(offsets), _BUCKET)
-        .withColumn(out, (F.col(_OFFSET) + F.row_number().over(inside)).cast("bigint"))
-        .drop(_BUCKET, _OFFSET)
-    )
+def rank_desc(grouped: DataFrame, value: str, first_seen: str, out: str = "rank") -> DataFrame:
+    """Rank rows by ``value`` descending, ties by ``first_seen`` ascending.
 
+    The groups are written to the shared folder once and numbered from there,
+    so the input behind them is read once however many groups there are.
+    """
+    return with_row_number(shared_table(grouped, "groups"), value, out, descending=True, tie_cols=(first_seen,))
 
-def rank_desc(grouped: DataFrame, value: str, first_seen: str, distributed: bool = False,
-              out: str = "rank") -> DataFrame:
-    """Rank rows by ``value`` descending, ties by ``first_seen`` ascending."""
-    if distributed:
-        return with_row_number(grouped, value, out, descending=True, tie_cols=(first_seen,))
-    order = Window.orderBy(F.desc(value), F.asc(first_seen))
-    return grouped.withColumn(out, F.row_number().over(order).cast("bigint"))
+
+def rank_text(df: DataFrame, name: str, out: str) -> DataFrame:
+    """Place of each row in the order of a text column's code points, from 0.
+
+    Rows are cut by the text's first six bytes as a number, those that share
+    them by the next six.  The rows should be written already.
+    """
+    hexed = F.rpad(F.hex(F.encode(F.coalesce(F.col(name), F.lit("")), "UTF-8")), 24, "0")
+    keys = {f"__tf_bytes{i}": F.conv(F.substring(hexed, 12 * i + 1, 12), 16, 10).cast("double") for i in range(2)}
+    ranked = with_row_number(df.withColumns(keys), "__tf_bytes0", out, tie_cols=("__tf_bytes1", name))
+    return ranked.withColumn(out, F.col(out) - 1).drop(*keys)
 
 
 def paginate(df: DataFrame, order_col: str, page_size: int,

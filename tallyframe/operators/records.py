@@ -9,6 +9,7 @@ values earlier steps produced.  ``run`` folds the steps with
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -90,22 +91,48 @@ def run(df: DataFrame, steps: list[Step]) -> DataFrame:
 
 # -- output -------------------------------------------------------------------
 
+def _ascii_json(c: Column) -> Column:
+    """A JSON string with every character above ASCII written as ``\\uXXXX`` (pairs above the BMP)."""
+    def units(ch: Column) -> Column:
+        wide = F.encode(ch, "UTF-16BE")
+        word = F.lower(F.hex(wide))
+        return F.when(F.octet_length(wide) == 2, F.concat(F.lit("\\u"), word)).otherwise(
+            F.concat(F.lit("\\u"), F.substring(word, 1, 4), F.lit("\\u"), F.substring(word, 5, 4)))
+
+    quoted = F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+    escaped = F.array_join(F.transform(F.split(quoted, ""), lambda ch: F.when(F.ascii(ch) > 126, units(ch)).otherwise(ch)), "")
+    return F.when(quoted.rlike(r"[^\x00-\x7e]"), escaped).otherwise(quoted)
+
+
+def _json_float(c: Column) -> Column:
+    """``repr(float)``: plain digits from 1e-4 up to 1e16, else an exponent of two digits at least."""
+    text = c.cast("string")
+    digits = F.regexp_replace(F.regexp_extract(text, r"^-?([0-9.]+)E", 1), r"\.0$", "")
+    power = F.regexp_extract(text, r"E(-?)[0-9]+$", 1)
+    number = F.regexp_extract(text, r"E-?([0-9]+)$", 1)
+    exponent = F.concat(F.when(c < 0, "-").otherwise(""), digits, F.lit("e"), F.when(power == "-", "-").otherwise("+"),
+                        F.when(F.length(number) < 2, F.concat(F.lit("0"), number)).otherwise(number))
+    plain = F.regexp_replace(text.cast("decimal(38,20)").cast("string"), r"0+$", "")
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    size = F.abs(c)
+    return (F.when(c.isNull(), "null").when(F.isnan(c), "NaN").when(size == float("inf"), F.when(c > 0, "Infinity").otherwise("-Infinity"))
+            .when(~text.contains("E"), text).when((size >= 1e-4) & (size < 1e16), plain).otherwise(exponent))
+
+
 def _json_value(c: Column, dtype: str) -> Column:
-    if dtype == "string":
-        return F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
     if dtype in ("double", "float"):
-        # json.dumps writes repr(float); Spark's shortest repr agrees for
-        # ordinary magnitudes.
-        return F.when(c.isNull(), F.lit("null")).when(F.isnan(c), F.lit("NaN")).otherwise(c.cast("string"))
+        return _json_float(c)
     if dtype == "boolean":
         return F.when(c.isNull(), F.lit("null")).when(c, F.lit("true")).otherwise(F.lit("false"))
-    return F.coalesce(c.cast("string"), F.lit("null"))
+    if dtype in ("tinyint", "smallint", "int", "bigint") or dtype.startswith("decimal"):
+        return F.coalesce(c.cast("string"), F.lit("null"))
+    return F.when(c.isNull(), "null").otherwise(_ascii_json(c.cast("string")))
 
 
 def pretty_json(df: DataFrame, indent: int = 2) -> Column:
     """One JSON document per row in the layout of ``json.dumps(obj, indent=2)``."""
     pad = " " * indent
-    fields = [F.concat(F.lit(f'{pad}"{f.name}": '), _json_value(F.col(f.name), f.dataType.simpleString()))
+    fields = [F.concat(F.lit(f"{pad}{json.dumps(f.name)}: "), _json_value(F.col(f.name), f.dataType.simpleString()))
               for f in df.schema.fields]
     return F.concat(F.lit("{\n"), F.concat_ws(",\n", *fields), F.lit("\n}"))
 
@@ -132,7 +159,10 @@ def capture_map(df: DataFrame, fn: Callable, arg_cols: list[str], pos_col: str =
             results, errors = [], []
             for args in zip(*(b[c] for c in arg_cols)):
                 try:
-                    results.append(fn(*args))
+                    result = fn(*(None if a is pd.NA or a is pd.NaT or a != a else a for a in args))
+                    if result is None:
+                        raise ValueError("no result")
+                    results.append(result)
                     errors.append(None)
                 except Exception as e:  # noqa: BLE001 - the error is the output
                     results.append(None)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.exact import avg_half_even, share_half_even
 from tallyframe.operators.numbering import rank_desc
+from tallyframe.session import shared_table
 
 
 def _zero():
@@ -27,18 +28,17 @@ def summary(df: DataFrame) -> DataFrame:
         "average", F.when(F.col("n") > 0, avg_half_even(F.col("total"), F.col("n"))))
 
 
-def category_breakdown(df: DataFrame, distributed_rank: bool = False) -> DataFrame:
+def category_breakdown(df: DataFrame) -> DataFrame:
     """Per exact category: count, total, share of grand total (half-even 0.1),
-    rank by total descending with ties in first-seen order
-    (``distributed_rank`` for very many categories)."""
-    grand = df.agg(F.sum("amount")).scalar()
-    grouped = df.groupBy("category").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"), F.min("pos").alias("first_pos"))
+    rank by total descending with ties in first-seen order."""
+    grouped = shared_table(df.groupBy("category").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"), F.min("pos").alias("first_pos")), "categories")
+    grand = grouped.agg(F.sum("total").cast("decimal(38,2)")).scalar()  # of the groups: the ledger is read once
     # the grand total is bound to a column once: every reference to a scalar
     # subquery would otherwise run it again
     shared = grouped.withColumn("__grand", grand).withColumn(
         "share", share_half_even(F.col("total"), F.col("__grand"))).drop("__grand")
-    return rank_desc(shared, "total", "first_pos", distributed_rank)
+    return rank_desc(shared, "total", "first_pos")
 
 
 def monthly(df: DataFrame) -> DataFrame:
@@ -64,8 +64,13 @@ def monthly_rollup(df: DataFrame) -> DataFrame:
                     (F.col("g") == 1).alias("is_total"), "n", "total")
 
 
+def summary_report(df: DataFrame) -> DataFrame:
+    """``summary`` as a report: no row for an empty ledger."""
+    return summary(df).where("n > 0")
+
+
 REPORTS = {
-    "summary": summary,
+    "summary": summary_report,
     "category": category_breakdown,
     "monthly": monthly,
 }

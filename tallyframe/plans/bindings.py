@@ -30,6 +30,15 @@ LOG_LINES_SQL = """(SELECT event_id AS pos,
    FROM events)"""
 
 
+def faulty_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines with one in 997 cut short, from the 400th on."""
+    bad = (F.col("pos") % 997 == 400)
+    return log_lines(spark, sf_dir).withColumn("value", F.when(bad, F.concat(F.lit("cut "), F.col("pos").cast("string"))).otherwise(F.col("value")))
+
+
+FAULTY_LOG_LINES_SQL = f"""(SELECT pos, CASE WHEN pos % 997 = 400 THEN 'cut ' || CAST(pos AS VARCHAR) ELSE value END AS value FROM {LOG_LINES_SQL})"""
+
+
 # -- record family: customers as pipeline records -----------------------------
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,6 +131,23 @@ RAW_LEDGER_SQL = """(SELECT o_orderkey AS pos, o_orderkey AS txn_id,
    FROM orders)"""
 
 
+def stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pos, v``: orders as stored JSON records, of which the key mod 11 picks the fault:
+    no object, missing fields, amounts of every JSON kind, a day that does not
+    exist, a blank title, an id that is no number, a negative amount."""
+    kind = F.pmod(F.col("o_orderkey"), F.lit(11))
+    amount = (F.when(kind == 2, (F.col("o_custkey") + 1).cast("string")).when(kind == 3, F.lit("1.5")).when(kind == 4, F.lit("true"))
+              .when(kind == 5, F.lit("null")).when(kind == 9, F.lit('"-5"'))
+              .otherwise(F.format_string('" %s "', F.col("o_totalprice").cast("decimal(28,2)").cast("string"))))
+    day = F.when(kind == 6, F.lit("2026-02-30")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    title = F.when(kind == 7, F.lit("  ")).otherwise(F.concat(F.lit(" order "), F.col("o_orderkey").cast("string")))
+    number = F.when(kind == 8, F.lit('"abc"')).otherwise(F.col("o_orderkey").cast("string"))
+    some = F.format_string('{"txn_id": %s, "title": "%s", "category": "%s", "description": "%s"', number, title, F.col("o_orderpriority"), F.col("o_orderstatus"))
+    text = (F.when(kind == 0, F.lit('"not a record"')).when(kind == 1, F.concat(some, F.lit("}")))
+            .otherwise(F.concat(some, F.format_string(', "amount": %s, "date": "%s"}', amount, day))))
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("pos"), F.try_parse_json(text).alias("v"))
+
+
 # -- status family: customers as a catalogue, events as commands --------------
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,11 +172,11 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.when(F.col("event_type") == "error", 500).otherwise(200).alias("status"))
 
 
-def click_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each click opens ``[ts, ts + 10 minutes)``."""
-    ev = table(spark, sf_dir, "events").where(F.col("event_type") == "click")
+def event_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event opens ``[ts, ts + 10 minutes)``; one in fifty never ends."""
+    ev = table(spark, sf_dir, "events")
     return ev.select(F.col("ts").alias("start"),
-                     (F.col("ts") + F.expr("INTERVAL 10 MINUTES")).alias("end"))
+                     F.when(F.col("event_id") % 50 != 7, F.col("ts") + F.expr("INTERVAL 10 MINUTES")).alias("end"))
 
 
 # -- corpus family: documents as folders with a README ------------------------

@@ -7,14 +7,16 @@ driver compares results without regard to row order.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.operators import logs
+from tallyframe.operators import logs, rules
 from tallyframe.plans import bindings as B
-from tallyframe.sources.logs import fake_log_lines
+from tallyframe.session import checkpoint_dir
+from tallyframe.sources.logs import LEVELS, fake_log_lines, read_log_text, write_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,13 +78,41 @@ SELECT CAST(count(*) AS BIGINT) AS lines_read, CAST(count_if(malformed) AS BIGIN
        CAST(count(DISTINCT level) FILTER (WHERE NOT malformed) AS BIGINT) AS levels
   FROM {_PARSED_SQL}""")
 def log_metrics(spark, sf_dir):
-    """Line counters observed during the level-count pass, returned as a row."""
-    observed, obs = logs.observe_lines(parsed_log(spark, sf_dir))
-    levels = logs.level_counts(observed).count()
-    m = obs.get
-    return spark.createDataFrame(
-        [(int(m["lines_read"]), int(m["malformed"]), int(levels))],
-        "lines_read bigint, malformed bigint, levels bigint")
+    return logs.line_metrics(parsed_log(spark, sf_dir))
+
+
+_FAULTY_SQL = _PARSED_SQL.replace(B.LOG_LINES_SQL, B.FAULTY_LOG_LINES_SQL)
+
+
+def _faulty(spark, sf_dir):
+    return logs.line_errors(logs.parse_lines(B.faulty_log_lines(spark, sf_dir)))
+
+
+@register("log_prefix", f"""
+SELECT pos, ts, level, msg FROM {_FAULTY_SQL}
+ WHERE pos < coalesce((SELECT min(pos) FROM {_FAULTY_SQL} WHERE malformed), 9223372036854775807)""")
+def log_prefix(spark, sf_dir):
+    """Lines before the first malformed one, as a reader that stops there sees them."""
+    return rules.prefix(_faulty(spark, sf_dir)).select("pos", "ts", "level", "msg")
+
+
+@register("log_quarantine", f"SELECT pos, ts, level, msg FROM {_FAULTY_SQL} WHERE NOT malformed")
+def log_quarantine(spark, sf_dir):
+    return rules.quarantine(_faulty(spark, sf_dir)).good.select("pos", "ts", "level", "msg")
+
+
+@register("log_rejects", f"""
+SELECT pos, 'line at position ' || CAST(pos AS VARCHAR) || ' has fewer than four fields' AS error FROM {_FAULTY_SQL} WHERE malformed""")
+def log_rejects(spark, sf_dir):
+    return rules.quarantine(_faulty(spark, sf_dir)).bad.select("pos", "error")
+
+
+@register("log_text_read", f"SELECT value, count(*) AS n FROM {B.LOG_LINES_SQL} GROUP BY value")
+def log_text_read(spark, sf_dir):
+    """Lines written as text files and read back, counted by text."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/log-{uuid.uuid4().hex[:12]}"
+    write_lines(B.log_lines(spark, sf_dir), folder)
+    return read_log_text(spark, folder).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("log_pages", f"""
@@ -125,10 +155,16 @@ def log_scan_depth(spark, sf_dir):
     return logs.scan_depth(parsed_log(spark, sf_dir), ERROR_LEVEL, PAGE_SIZE)
 
 
-@register("log_generate")
+_DRAWN_SQL = f"""(SELECT event_id, list_extract({LEVELS}, CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR) || ':42'), 1, 7))::INT % 6 + 1 AS INT)) AS level
+   FROM events)"""
+
+
+@register("log_generate", f"""
+SELECT level, n, first_pos, CAST(row_number() OVER (ORDER BY n DESC, first_pos) AS BIGINT) AS rank
+  FROM (SELECT level, count(*) AS n, min(event_id) AS first_pos FROM {_DRAWN_SQL} GROUP BY level)""")
 def log_generate(spark, sf_dir):
     """Synthetic lines, one per event id (so the volume follows the table),
-    parsed and counted per level.  No oracle: the level draw is a Spark hash."""
+    parsed and counted per level."""
     ids = B.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
     return logs.level_counts(logs.parse_lines(fake_log_lines(ids)))
 
@@ -488,7 +524,6 @@ def ledger_append(spark, sf_dir):
 # Record pipeline family (PRJ-2, PRJ-3, VAL-1, VAL-2, VAL-9, UDF-1..6, SNK-3)
 # ---------------------------------------------------------------------------
 
-from pyspark.sql import Observation  # noqa: E402
 
 from tallyframe.operators import records as P  # noqa: E402
 from tallyframe.operators import rules  # noqa: E402
@@ -548,19 +583,13 @@ SELECT CAST(count(*) AS BIGINT) AS seen_first,
        CAST(count(*) FILTER (WHERE {_PIPE_ERR} IS NULL) AS BIGINT) AS ok_after_value
   FROM {B.RECORDS_SQL}""")
 def pipe_step_counts(spark, sf_dir):
-    """Spy steps between pipeline steps; their observed counts as one row."""
-    spies = [Observation(f"spy{i}") for i in range(3)]
-
-    def spy(obs):
-        return lambda df: df.observe(obs, F.count(F.lit(1)).alias("seen"),
-                                     F.count_if(F.col(P.ERROR).isNull()).alias("ok"))
+    """How many records pass each step, from flags that the pipeline carries along."""
+    def after(name):
+        return lambda df: df.withColumn(name, F.col(P.ERROR).isNull())
 
-    steps = [spy(spies[0]), P.required_name(), spy(spies[1]), P.require_non_negative_value(),
-             spy(spies[2]), P.normalize(), P.scale(SCALE)]
-    P.run(B.records(spark, sf_dir), steps).write.format("noop").mode("overwrite").save()
-    seen, ok1, ok2 = spies[0].get["seen"], spies[1].get["ok"], spies[2].get["ok"]
-    return spark.createDataFrame([(int(seen), int(ok1), int(ok2))],
-                                 "seen_first bigint, ok_after_name bigint, ok_after_value bigint")
+    steps = [P.required_name(), after("name_ok"), P.require_non_negative_value(), after("value_ok"), P.normalize(), P.scale(SCALE)]
+    return P.run(B.records(spark, sf_dir), steps).agg(
+        F.count(F.lit(1)).alias("seen_first"), F.count_if("name_ok").alias("ok_after_name"), F.count_if("value_ok").alias("ok_after_value"))
 
 
 @register("pipe_to_json", f"""
@@ -602,12 +631,12 @@ def response_summary(spark, sf_dir):
 
 
 @register("peak_overlap", """
-WITH d AS (SELECT ts AS t, 1 AS d FROM events WHERE event_type = 'click'
-           UNION ALL SELECT ts + INTERVAL 10 MINUTE, -1 FROM events WHERE event_type = 'click')
+WITH d AS (SELECT ts AS t, 1 AS d FROM events
+           UNION ALL SELECT ts + INTERVAL 10 MINUTE, -1 FROM events WHERE event_id % 50 <> 7)
 SELECT CAST(greatest(coalesce(max(r), 0), 0) AS BIGINT) AS peak
   FROM (SELECT sum(d) OVER (ORDER BY t, d ROWS UNBOUNDED PRECEDING) AS r FROM d)""")
 def peak_overlap(spark, sf_dir):
-    return EV.peak_overlap(B.click_intervals(spark, sf_dir))
+    return EV.peak_overlap(B.event_intervals(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -692,14 +721,27 @@ def _index(spark, sf_dir):
         "doc_id", "name", "text", K.title_of("text", "name").alias("title"), K.blurb_of("text").alias("blurb"))
 
 
-@register("corpus_index", f"SELECT name, title, blurb FROM {_INDEX_SQL}")
+_PLACED_SQL = f"(SELECT *, row_number() OVER (ORDER BY name) - 1 AS pos FROM {_INDEX_SQL})"
+
+
+@register("corpus_index", f"SELECT name, title, blurb, pos FROM {_PLACED_SQL}")
 def corpus_index(spark, sf_dir):
-    return _index(spark, sf_dir).select("name", "title", "blurb")
+    return K.index(B.corpus(spark, sf_dir))
 
 
-@register("corpus_index_rows", f"SELECT name, {sql_index_row()} AS row FROM {_INDEX_SQL}")
+@register("corpus_index_rows", f"SELECT name, pos, {sql_index_row()} AS row FROM {_PLACED_SQL}")
 def corpus_index_rows(spark, sf_dir):
-    return _index(spark, sf_dir).select("name", K.index_row().alias("row"))
+    return K.index(B.corpus(spark, sf_dir)).select("name", "pos", K.index_row().alias("row"))
+
+
+@register("corpus_table", f"""
+WITH placed AS {_PLACED_SQL}
+SELECT pos, {sql_index_row()} AS line FROM placed
+UNION ALL SELECT * FROM (VALUES (-4, '{K.START}'), (-3, ''), (-2, '| Project | What it covers |'), (-1, '| --- | --- |'))
+UNION ALL SELECT count(*), '' FROM placed UNION ALL SELECT count(*) + 1, '{K.END}' FROM placed""")
+def corpus_table(spark, sf_dir):
+    """The whole marked block, a line a row."""
+    return K.index_table(K.index(B.corpus(spark, sf_dir)))
 
 
 @register("url_quote", f"SELECT doc_id, {sql_quote('name')} AS quoted_name, {sql_quote('text')} AS quoted_text FROM {B.CORPUS_SQL}")
@@ -754,12 +796,9 @@ def corpus_left_join(spark, sf_dir):
 SELECT level, CAST(count(*) AS BIGINT) AS n FROM {_PARSED_SQL} WHERE NOT malformed GROUP BY level""")
 def log_stream_counts(spark, sf_dir):
     """The events file read as a stream (``availableNow``), turned into log
-    lines and counted per level in complete mode; each micro-batch replaces a
-    parquet folder under the shared checkpoint dir, which is returned."""
-    import uuid
-
-    from tallyframe.session import checkpoint_dir
-    from tallyframe.streaming.logs import start_level_counts
+    lines and counted per level in complete mode; each micro-batch writes a version
+    under the shared checkpoint dir, the last complete one is returned."""
+    from tallyframe.streaming.logs import latest_counts, start_level_counts
 
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
     # the file source follows a folder; the glob filter picks the one table
@@ -770,4 +809,91 @@ def log_stream_counts(spark, sf_dir):
     q = start_level_counts(spark, sf_dir, name, checkpoint=f"{base}/checkpoint", sink_path=f"{base}/counts",
                            source=logs.parse_lines(events.select(line.alias("value"))))
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/counts").select("level", F.col("n").cast("bigint").alias("n"))
+    return latest_counts(spark, f"{base}/counts").select("level", F.col("n").cast("bigint").alias("n"))
+
+
+# ---------------------------------------------------------------------------
+# Stored ledger records (SRC-3, PRJ-8, VAL-6, VAL-7, SET-2), other tables (DML-3, DML-6, DML-7, ORD-2, SRC-2, UDF-5, UDF-7, UDF-8)
+# ---------------------------------------------------------------------------
+
+from tallyframe.operators import numbering as N  # noqa: E402
+from tallyframe.operators import reports as R  # noqa: E402
+from tallyframe.sources import ledger_store as S  # noqa: E402
+
+_STORED_SQL = """(SELECT *, CASE kind WHEN 0 THEN 'corrupt' WHEN 1 THEN 'corrupt' WHEN 8 THEN 'corrupt' WHEN 3 THEN 'amount_type' WHEN 4 THEN 'amount_type'
+          WHEN 5 THEN 'amount_type' WHEN 6 THEN 'date' WHEN 7 THEN 'text' WHEN 9 THEN 'amount_value' END AS error_code,
+        CASE kind WHEN 0 THEN said || 'expected an object, got str' WHEN 1 THEN said || 'missing field(s): amount, date'
+          WHEN 8 THEN said || 'txn_id must be an integer or null, got str'
+          WHEN 3 THEN 'Invalid amount type: ''float'' (1.5)' || kinds WHEN 4 THEN 'Invalid amount type: ''bool'' (True)' || kinds
+          WHEN 5 THEN 'Invalid amount type: ''NoneType'' (None)' || kinds
+          WHEN 6 THEN 'Invalid date: ''2026-02-30''. Date must be a real calendar date in YYYY-MM-DD format.'
+          WHEN 7 THEN 'Invalid title: must be a non-empty string.' WHEN 9 THEN 'Invalid amount: -5. Amount must be greater than zero.' END AS error
+   FROM (SELECT o_orderkey AS pos, o_orderkey % 11 AS kind, 'Record at position ' || CAST(o_orderkey AS VARCHAR) || ' is invalid: ' AS said,
+                '. Amount must be a Decimal, int, or numeric string.' AS kinds, * FROM orders))"""
+
+
+def _stored(spark, sf_dir):
+    return S.typed_elements(B.stored_records(spark, sf_dir))
+
+
+@register("ledger_load_good", f"""
+SELECT pos, pos AS txn_id, CAST(o_orderdate AS DATE) AS date, 'order ' || CAST(pos AS VARCHAR) AS title, o_orderpriority AS category,
+       CASE WHEN kind = 2 THEN CAST(o_custkey + 1 AS DECIMAL(28,2)) ELSE CAST(o_totalprice AS DECIMAL(28,2)) END AS amount, o_orderstatus AS description
+  FROM {_STORED_SQL} WHERE error IS NULL""")
+def ledger_load_good(spark, sf_dir):
+    return rules.quarantine(_stored(spark, sf_dir)).good.select(*L.LEDGER_DDL_COLS)
+
+
+@register("ledger_load_rejects", f"SELECT pos, error_code, error FROM {_STORED_SQL} WHERE error IS NOT NULL")
+def ledger_load_rejects(spark, sf_dir):
+    return rules.quarantine(_stored(spark, sf_dir)).bad.select("pos", "error_code", "error")
+
+
+@register("ledger_load_first_error", f"""
+SELECT pos AS position, error_code AS code, error AS message FROM {_STORED_SQL} WHERE error IS NOT NULL ORDER BY pos LIMIT 1""")
+def ledger_load_first_error(spark, sf_dir):
+    return rules.first_failure(_stored(spark, sf_dir))
+
+
+@register("ledger_store_roundtrip", f"SELECT * FROM {B.LEDGER_SQL}")
+def ledger_store_roundtrip(spark, sf_dir):
+    """The ledger saved to the parquet store and loaded again."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex[:12]}"
+    S.PARQUET_STORAGE.save(B.ledger(spark, sf_dir), folder)
+    return S.PARQUET_STORAGE.load(spark, folder)
+
+
+@register("ledger_clear", f"SELECT * FROM {B.LEDGER_SQL} WHERE false")
+def ledger_clear(spark, sf_dir):
+    return L.empty_like(B.ledger(spark, sf_dir))
+
+
+@register("ledger_in_order", f"SELECT pos, title, row_number() OVER (ORDER BY pos) AS place FROM {B.LEDGER_SQL}")
+def ledger_in_order(spark, sf_dir):
+    return N.with_row_number(B.ledger(spark, sf_dir).select("pos", "title"), "pos", "place")
+
+
+@register("ledger_report", f"""
+SELECT strftime(date, '%Y-%m') AS month, count(*) AS n, sum(amount) AS total FROM {B.LEDGER_SQL} GROUP BY 1""")
+def ledger_report(spark, sf_dir):
+    return R.get_report("monthly")(B.ledger(spark, sf_dir))
+
+
+@register("rows_add", "SELECT o_orderkey AS pos FROM orders UNION ALL SELECT l_orderkey FROM lineitem")
+def rows_add(spark, sf_dir):
+    return C.add_rows(B.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("pos")),
+                      B.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pos")))
+
+
+@register("rows_remove", "SELECT c_custkey AS pos, c_name FROM customer WHERE c_custkey <> (SELECT max(c_custkey) FROM customer)")
+def rows_remove(spark, sf_dir):
+    rows = B.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pos"), "c_name")
+    return C.remove_row(rows, rows.agg(F.max("pos")).first()[0])
+
+
+@register("records_read", f"SELECT id, name, value FROM {B.RECORDS_SQL}")
+def records_read(spark, sf_dir):
+    """Records written as JSON Lines and read back with the fixed schema."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/records-{uuid.uuid4().hex[:12]}"
+    B.records(spark, sf_dir).select("id", "name", "value").write.json(folder)
+    return P.read_records(spark, folder, json_lines=True)

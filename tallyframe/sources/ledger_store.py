@@ -73,7 +73,7 @@ def _stage(elements: DataFrame, v: str = "v") -> DataFrame:
     for name in FIELD_NAMES:
         cols[f"__v_{name}"] = F.variant_get(val, f"$.{name}", "variant")
     staged = elements.withColumns(cols)
-    more = {}
+    more = {"__k_id": _kind(F.variant_get(val, "$.txn_id", "variant"))}
     for name in FIELD_NAMES:
         fv = F.col(f"__v_{name}")
         more[f"__k_{name}"] = _kind(fv)
@@ -111,6 +111,8 @@ def _staged_rules() -> list[tuple[str, Column]]:
                                                               _py_type(c("__kind"))))),
         (L.E_CORRUPT, F.when(F.size(missing) > 0,
                              F.concat(F.lit("missing field(s): "), F.array_join(missing, ", ")))),
+        (L.E_CORRUPT, F.when(~F.coalesce(c("__k_id"), F.lit("VOID")).isin("BIGINT", "VOID"),
+                             F.concat(F.lit("txn_id must be an integer or null, got "), _py_type(c("__k_id"))))),
         (L.E_TEXT, text_rule("title", False)),
         (L.E_TEXT, text_rule("category", False)),
         (L.E_AMOUNT_TYPE, F.when(c("__money").isNull(), L.amount_type_error(shown("amount"),
@@ -206,20 +208,21 @@ def load_ledger(spark: SparkSession, path: str, mode: str = "strict",
     the lowest failing position; ``quarantine`` returns ``Split(good, bad)``.
     A versioned folder written by ``save_ledger`` loads its latest version.
     """
+    own_pos = False  # only what ``save_ledger`` wrote carries positions of its own
     latest = latest_version(spark, path)
     if latest is not None:
         if _is_parquet(spark, latest):
-            typed = spark.read.option("basePath", latest).parquet(latest)
+            typed = spark.read.option("basePath", latest).parquet(latest).select(*L.LEDGER_DDL_COLS)
             return typed if mode == "strict" else Split(typed, typed.limit(0).withColumns(
                 {"error_code": F.lit(None).cast("string"), "error": F.lit(None).cast("string")}))
-        path, json_lines = latest, True
+        path, json_lines, own_pos = latest, True, True
     elements = read_elements(spark, path, json_lines)
     if elements is None:
         empty = _empty(spark)
         return empty if mode == "strict" else Split(empty, empty.withColumns(
             {"error_code": F.lit(None).cast("string"), "error": F.lit(None).cast("string")}))
     if json_lines:
-        return _load_lines(spark, path, elements, mode)
+        return _load_lines(spark, path, elements, mode, own_pos)
     typed = typed_elements(elements)
     if mode == "strict":
         _raise_first(path, typed.select("pos", "error_code", "error"))
@@ -238,43 +241,37 @@ def _raise_first(path: str, checked: DataFrame) -> None:
     raise ValidationError(row["position"], row["code"], row["message"])
 
 
-def _load_lines(spark: SparkSession, path: str, elements: DataFrame, mode: str):
-    """JSON Lines: check on the file-order key (one pass, no numbering); the
-    line index of a failure is counted only when there is one.  Records that
-    carry their own ``pos`` (as written by ``save_ledger``) keep it; other
-    files are numbered by line once."""
+def _load_lines(spark: SparkSession, path: str, elements: DataFrame, mode: str, own_pos: bool):
+    """JSON Lines.  A saved version carries positions, which ``save_ledger``
+    found to be distinct; any other file is numbered by line, whatever its
+    records say.  A strict load checks on the file-order key first (one pass)
+    and counts the line of a failure only when there is one."""
     from tallyframe.operators.numbering import with_row_number
     from tallyframe.sources.logs import read_log_text
 
-    def numbered():
+    def positioned() -> DataFrame:
+        if own_pos:
+            return elements.withColumn("pos", F.try_variant_get(F.col("v"), "$.pos", "bigint"))
         lines = read_log_text(spark, path).where(ustrip("value") != "")
         return with_row_number(lines, "pos", "__line").select(
             (F.col("__line") - 1).alias("pos"), F.try_parse_json("value").alias("v"))
 
-    own_pos = F.try_variant_get(F.col("v"), "$.pos", "bigint")
     if mode == "strict":
         checked = with_errors(_stage(elements), _staged_rules(), msg_col="reason")
-        probe = checked.agg(
-            F.min(F.when(F.col("reason").isNotNull(), F.col("pos"))).alias("position"),
-            F.min_by(F.col("error_code"), F.when(F.col("reason").isNotNull(), F.col("pos"))).alias("code"),
-            F.min_by(F.col("reason"), F.when(F.col("reason").isNotNull(), F.col("pos"))).alias("message"),
-            F.count_if(own_pos.isNull()).alias("without_pos")).first()
+        failed = F.when(F.col("reason").isNotNull(), F.col("pos"))
+        probe = checked.agg(F.min(failed).alias("position"), F.min_by(F.struct("error_code", "reason"), failed).alias("what")).first()
         if probe["position"] is not None:
-            first = probe["position"]
+            first, (code, reason) = probe["position"], probe["what"]
             index = elements.where(F.col("pos") < F.struct(
                 F.lit(first["file"]).alias("file"), F.lit(first["block"]).alias("block"),
                 F.lit(first["row"]).alias("row"))).count()
-            msg = spark.range(1).select(_message(F.lit(probe["code"]), F.lit(probe["message"]),
-                                                 F.lit(index))).first()[0]
-            if probe["code"] == L.E_LOAD:
+            msg = spark.range(1).select(_message(F.lit(code), F.lit(reason), F.lit(index))).first()[0]
+            if code == L.E_LOAD:
                 raise LoadError(f"Could not load expenses from {path}: {msg}")
-            raise ValidationError(index, probe["code"], msg)
-        if probe["without_pos"] == 0:
-            return typed_values(elements.withColumn("pos", own_pos))
-        return typed_values(numbered())
-    typed = typed_elements(numbered())
+            raise ValidationError(index, code, msg)
+        return typed_values(positioned())
     if mode == "quarantine":
-        return quarantine(typed)
+        return quarantine(typed_elements(positioned()))
     raise ValueError(f"unknown mode {mode!r}")
 
 
@@ -286,7 +283,8 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str, bool]]:
+    """Number, folder and completeness of every version, the unfinished ones too."""
     fs, p, jvm = _fs(spark, path)
     if not fs.exists(p) or not fs.getFileStatus(p).isDirectory():
         return []
@@ -296,12 +294,12 @@ def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
         if st.isDirectory() and name.startswith("v") and name[1:].isdigit():
             done = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
             out.append((int(name[1:]), st.getPath().toString(), fs.exists(done)))
-    return [(n, s) for n, s, ok in sorted(out) if ok]
+    return sorted(out)
 
 
 def latest_version(spark: SparkSession, path: str) -> str | None:
-    vs = _versions(spark, path)
-    return vs[-1][1] if vs else None
+    done = [folder for _, folder, complete in _versions(spark, path) if complete]
+    return done[-1] if done else None
 
 
 def _is_parquet(spark: SparkSession, version_dir: str) -> bool:
@@ -319,12 +317,14 @@ def save_ledger(df: DataFrame, path: str, fmt: str = "json") -> str:
     in ``pos`` order; ``parquet``: the typed columns."""
     spark = df.sparkSession
     try:
-        n = max([v for v, _ in _versions(spark, path)] + [0]) + 1
+        n = max([v for v, _, _ in _versions(spark, path)], default=0) + 1  # past unfinished ones too
         target = f"{path.rstrip('/')}/v{n:06d}"
+        if not df.where("pos is null").isEmpty() or not df.groupBy("pos").count().where("count > 1").isEmpty():
+            raise ValueError("positions must be distinct and not null")
         if fmt == "parquet":
-            # laid out by month so month and date-range filters prune folders
+            # laid out by month, a large month in several files
             (df.select(*L.LEDGER_DDL_COLS).withColumn("month", F.date_format("date", "yyyy-MM"))
-             .repartition("month").write.mode("errorifexists").partitionBy("month").parquet(target))
+             .repartitionByRange("month", "pos").write.mode("errorifexists").partitionBy("month").parquet(target))
         else:
             # each line also carries ``pos`` (readers of the plain format
             # ignore unknown keys), so loading needs no renumbering

@@ -66,6 +66,12 @@ def read_log_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return raw.select(pos.alias("pos"), "value")
 
 
+def _draw(i: Column, seed: int, n: int) -> Column:
+    """A number below ``n`` from the first digits of an MD5, the same in any engine."""
+    digits = F.substring(F.md5(F.concat(i.cast("string"), F.lit(f":{seed}"))), 1, 7)
+    return F.pmod(F.conv(digits, 16, 10).cast("int"), F.lit(n))
+
+
 def fake_log_lines(ids: DataFrame, id_col: str = "id", seed: int = 42) -> DataFrame:
     """Synthetic log lines, one per id: ``YYYY-MM-DD 10:MM:SS LEVEL message``.
 
@@ -77,8 +83,8 @@ def fake_log_lines(ids: DataFrame, id_col: str = "id", seed: int = 42) -> DataFr
     mmss = F.lpad(F.pmod(i, F.lit(60)).cast("string"), 2, "0")
     levels = F.array(*[F.lit(x) for x in LEVELS])
     messages = F.array(*[F.lit(x) for x in MESSAGES])
-    level = F.element_at(levels, (F.pmod(F.xxhash64(i, F.lit(seed)), F.lit(len(LEVELS))) + 1).cast("int"))
-    message = F.element_at(messages, (F.pmod(F.xxhash64(i, F.lit(seed + 1)), F.lit(len(MESSAGES))) + 1).cast("int"))
+    level = F.element_at(levels, _draw(i, seed, len(LEVELS)) + 1)
+    message = F.element_at(messages, _draw(i, seed + 1, len(MESSAGES)) + 1)
     line = F.concat_ws(" ", F.lit(LOG_DATE), F.concat_ws(":", F.lit(LOG_HOUR), mmss, mmss), level, message)
     return ids.select(i.alias("pos"), line.alias("value"))
 

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyframe.operators.logs import parse_lines
 from tallyframe.session import checkpoint_dir
+from tallyframe.sources.ledger_store import latest_version
 
 
 def follow(spark: SparkSession, directory: str, level: str | None = None,
@@ -44,9 +45,9 @@ def start_level_counts(spark: SparkSession, directory: str, query_name: str,
                        sink_path: str | None = None, source: DataFrame | None = None) -> StreamingQuery:
     """Run the running count per level.
 
-    With ``sink_path`` every micro-batch replaces a parquet folder with the
-    complete counts (``foreachBatch``; the result has one row per level, and
-    replacing it makes a replayed batch harmless);
+    With ``sink_path`` every micro-batch writes the complete counts to a version
+    folder of its own (``foreachBatch``; a replayed batch writes the same one
+    again), which readers take once it is complete: ``latest_counts``;
     without it the counts go to an in-memory table named ``query_name`` (for
     interactive use).  ``available_now`` processes everything present and
     stops; otherwise the query keeps following new files.  ``source`` may be
@@ -56,13 +57,19 @@ def start_level_counts(spark: SparkSession, directory: str, query_name: str,
     w = (running_level_counts(stream).writeStream.outputMode("complete").queryName(query_name)
          .option("checkpointLocation", checkpoint or _checkpoint(spark, query_name)))
     if sink_path:
-        w = w.foreachBatch(lambda batch, _epoch: batch.write.mode("overwrite").parquet(sink_path))
+        w = w.foreachBatch(lambda batch, epoch: batch.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/v{epoch:06d}"))
     else:
         w = w.format("memory")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
     return w.start()
 
 
+def latest_counts(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The counts of the last complete micro-batch."""
+    folder = latest_version(spark, sink_path)
+    return spark.read.parquet(folder) if folder else spark.createDataFrame([], "level string, n bigint")
+
+
 def start_follow(spark: SparkSession, directory: str, level: str, sink_path: str,
                  checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
     """Append matching records to a parquet folder (exactly-once file sink)."""

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tallyframe.operators import numbering as N
 from tallyframe.operators.numbering import assign_ids, collect_pages, paginate, with_row_number
 
 
@@ -75,12 +76,43 @@ def test_assign_ids_continue_from_base(spark):
     assert [(r.title, r.txn_id) for r in got] == [("a", 8), ("b", 9), ("c", 10)]
 
 
-def test_range_count_grows_with_rows(spark, monkeypatch):
-    from tallyframe.operators import numbering as N
+def test_cells_grow_with_rows(spark, monkeypatch):
+    monkeypatch.setattr(N, "CELL_ROWS", 10)
     df = spark.range(0, 20000, 1, 4).select((F.col("id") * 3).alias("pos"))
-    coarse = N.split_points(df, "pos")
-    monkeypatch.setattr(N, "ROWS_PER_BUCKET", 100)
-    fine = N.split_points(df, "pos")
-    assert len(fine) > len(coarse) and len(fine) - 1 <= N.MAX_BUCKETS
+    cells = N.plan_cells(df, N.numeric_key(df, "pos"))
+    assert cells.per_range == 8 and len(cells.splits) <= N.RANGES + 1
+    placed = N.assign_cells(df, N.numeric_key(df, "pos"), cells)
+    assert placed.groupBy(N._RANGE, N._CELL).count().agg(F.max("count")).first()[0] <= 200
     got = N.with_row_number(df, "pos", "rn").orderBy("pos").collect()
     assert [r.rn for r in got] == list(range(1, 20001))
+
+
+def test_equal_values_are_cut_by_the_tie_column(spark):
+    rows = spark.range(0, 30000, 1, 4).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(7)).alias("n"), (F.col("id") * 7 % 30011).alias("seen"))
+    key, tie = N.numeric_key(rows, "n", True), N.numeric_key(rows, "seen")
+    cells = N.plan_cells(rows, key, tie)
+    assert cells.heavy
+    placed = N.assign_cells(rows, key, cells, tie).where("n = 7").groupBy(N._RANGE, N._CELL).count()
+    assert placed.count() > 50 and placed.agg(F.max("count")).first()[0] < 2000
+    got = N.with_row_number(rows, "n", "rn", descending=True, tie_cols=("seen",)).collect()
+    want = sorted((-r.n, r.seen) for r in got)
+    assert [(-r.n, r.seen) for r in sorted(got, key=lambda r: r.rn)] == want
+    assert sorted(r.rn for r in got) == list(range(1, 30001))
+
+
+@pytest.mark.parametrize("shuffles", ["1", "17", "2000"])
+def test_plan_does_not_follow_the_shuffle_partitions(spark, shuffles):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    try:
+        df = spark.range(0, 3000).select((F.col("id") * 5).alias("pos"))
+        assert len(N.plan_cells(df, N.numeric_key(df, "pos")).splits) <= N.RANGES + 1
+        assert [r.rn for r in N.with_row_number(df, "pos").orderBy("pos").collect()] == list(range(1, 3001))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_ranking_many_tied_groups(spark):
+    groups = spark.range(0, 20000).select(F.col("id").alias("g"), F.lit(1).alias("n"), (F.col("id") * 11 % 20011).alias("first_pos"))
+    got = N.rank_desc(groups, "n", "first_pos").orderBy("first_pos").collect()
+    assert [r["rank"] for r in got] == list(range(1, 20001))

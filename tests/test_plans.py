@@ -1,7 +1,7 @@
 """Plan checks over every registered query (sf0.001).
 
-A ``SinglePartition`` exchange is only allowed above an aggregate or a limit
-(one row per group / bounded top-n), never directly over scanned rows.
+A ``SinglePartition`` exchange is only allowed above a sum without keys, a
+bounded top-n or one row per numbering range, never over rows or groups.
 Scans must be column-pruned.
 """
 
@@ -10,9 +10,12 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from tallyframe.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
-SKIP = {"log_metrics", "pipe_step_counts", "log_stream_counts"}  # return driver-built result rows
+SKIP = {"log_stream_counts"}  # returns a table that its stream wrote
+#: What may stand below a single task: a sum without keys, a bounded top-n, or one row per range of the numbering.
+BOUNDED = ("keys=[]", "Limit", "TakeOrdered", "keys=[__tf_range")
 
 
 def subtree(lines, i):
@@ -27,15 +30,15 @@ def subtree(lines, i):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SKIP))
 def test_no_single_partition_over_raw_rows(spark, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     lines = plan.splitlines()
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             below = subtree(lines, i)
-            assert any(("Aggregate" in b) or ("Limit" in b) or ("TakeOrdered" in b) for b in below), (
+            assert any(word in b for b in below[:4] for word in BOUNDED), (
                 name, "\n".join(lines[i:i + 12]))
 
 
@@ -46,7 +49,16 @@ def test_check_catches_a_global_window_over_rows(spark):
     lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
     hits = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
     assert hits
-    assert not any(any(("Aggregate" in b) or ("Limit" in b) for b in subtree(lines, i)) for i in hits)
+    assert not any(any(word in b for b in subtree(lines, i)[:4] for word in BOUNDED) for i in hits)
+
+
+def test_check_catches_a_window_over_all_groups(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    df = spark.range(1000).groupBy("id").count().withColumn("rn", F.row_number().over(Window.orderBy("count")))
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    hits = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    assert hits and not any(word in b for i in hits for b in subtree(lines, i)[:4] for word in BOUNDED)
 
 
 def _partial_before_exchange(plan: str, fn: str) -> bool:

@@ -129,7 +129,7 @@ def test_json_lines_errors_name_the_line(spark, tmp):
     assert split.good.count() == 5 and [r.pos for r in split.bad.collect()] == [2]
 
 
-def test_parquet_store_prunes_by_month(spark, tmp):
+def test_parquet_store_keeps_the_ledger_columns(spark, tmp):
     import datetime as dt
 
     from tallyframe.sources.ledger_store import PARQUET_STORAGE
@@ -137,9 +137,43 @@ def test_parquet_store_prunes_by_month(spark, tmp):
     df = load_ledger(spark, write(tmp, GOOD))
     PARQUET_STORAGE.save(df, store)
     back = PARQUET_STORAGE.load(spark, store)
-    jan = L.by_month(back, "2026-01")
-    assert sorted(r.txn_id for r in jan.collect()) == [1, 2]
-    plan = jan._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(month" in plan and "2026-01" in plan
-    rng = L.between(back, dt.date(2026, 1, 20), dt.date(2026, 2, 1))
-    assert sorted(r.txn_id for r in rng.collect()) == [2, 7]
+    assert back.columns == L.LEDGER_DDL_COLS
+    assert sorted(r.txn_id for r in L.by_month(back, "2026-01").collect()) == [1, 2]
+    assert sorted(r.txn_id for r in L.between(back, dt.date(2026, 1, 20), dt.date(2026, 2, 1)).collect()) == [2, 7]
+    more = L.append(back, spark.createDataFrame([(0, None, dt.date(2026, 2, 2), "t", "c", Decimal("1.00"), "")], L.LEDGER_DDL))
+    PARQUET_STORAGE.save(more, store)
+    assert sorted(r.txn_id for r in L.by_month(PARQUET_STORAGE.load(spark, store), "2026-02").collect()) == [7, 8]
+
+
+def test_a_crashed_save_does_not_block_the_next(spark, tmp):
+    store = os.path.join(tmp, "crash")
+    df = load_ledger(spark, write(tmp, GOOD))
+    save_ledger(df, store)
+    os.makedirs(os.path.join(store, "v000002"))  # no _SUCCESS: unfinished
+    assert load_ledger(spark, store).count() == 3
+    assert save_ledger(df.where("txn_id = 1"), store).endswith("v000003")
+    assert load_ledger(spark, store).count() == 1
+
+
+def test_plain_lines_are_numbered_by_line_in_both_modes(spark, tmp):
+    rows = [dict(GOOD[0], pos=5), dict(GOOD[1], pos=5), GOOD[2]]
+    p = write(tmp, "\n".join(json.dumps(r) for r in rows) + "\n", "own.jsonl")
+    strict = load_ledger(spark, p, json_lines=True)
+    good = load_ledger(spark, p, json_lines=True, mode="quarantine").good
+    assert sorted(r.pos for r in strict.collect()) == sorted(r.pos for r in good.collect()) == [0, 1, 2]
+    remaining, _, _ = L.remove(strict, spark.createDataFrame([(1,)], "txn_id long"))
+    assert sorted(r.txn_id for r in remaining.collect()) == [2, 7]
+
+
+def test_equal_positions_are_not_saved(spark, tmp):
+    from tallyframe.sources.ledger_store import SaveError
+    df = load_ledger(spark, write(tmp, GOOD))
+    with pytest.raises(SaveError, match="distinct"):
+        save_ledger(df.union(df), os.path.join(tmp, "twice"))
+
+
+@pytest.mark.parametrize("value,kind", [(1.7, "float"), (True, "bool"), ("abc", "str"), ([1], "list")])
+def test_an_id_that_is_no_integer_is_rejected(spark, tmp, value, kind):
+    with pytest.raises(ValidationError, match=f"txn_id must be an integer or null, got {kind}"):
+        load_ledger(spark, write(tmp, [GOOD[0], dict(GOOD[1], txn_id=value)]))
+    assert load_ledger(spark, write(tmp, [dict(GOOD[0], txn_id=None)])).first().txn_id is None
