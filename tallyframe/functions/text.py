@@ -34,15 +34,19 @@ def ustrip(c: Column | str) -> Column:
     return F.trim(_col(c), F.lit(WHITESPACE))
 
 
+# Signs that are letters (kelvin, angstrom, capital theta symbol, ohm).
+_SIGNS, _SIGN_LETTERS = "\u212a\u212b\u03f4\u2126", "kå\u03b8\u03c9"
+
+
 def casefold_key(c: Column | str) -> Column:
     """Case-insensitive match key: equal for two texts exactly when ``str.casefold`` is.
 
-    Folding is ``lower(upper(lower(x)))`` letter by letter; a dotless i is kept
-    apart, since ``upper`` would make it a plain one, and sharp S is written out
-    before ``lower`` makes it a small one.
+    ``upper`` folds like ``casefold`` (ß to SS, final sigma, ligatures) but for a
+    few letters: dotless i is kept apart, since it would become a plain one, and
+    sharp capital S, dotted capital I and four signs are written out first.
     """
-    apart = F.replace(F.replace(ustrip(c), F.lit("ı"), F.lit("\ufdd0")), F.lit("ẞ"), F.lit("ss"))
-    return F.lower(F.upper(F.lower(F.replace(apart, F.lit("İ"), F.lit("i\u0307")))))
+    apart = F.translate(ustrip(c), "ı" + _SIGNS, "\ufdd0" + _SIGN_LETTERS)
+    return F.upper(F.replace(F.replace(apart, F.lit("ẞ"), F.lit("ss")), F.lit("İ"), F.lit("i\u0307")))
 
 
 def money_text(c: Column | str) -> Column:

@@ -22,7 +22,7 @@ def one_col(spark, values, expr, ddl="s string"):
 
 
 def test_ustrip_matches_str_strip_for_every_whitespace(spark):
-    values = [f"{w}a{w}b{w}" for w in WHITESPACE] + ["  Chai  ", " Food ", "\t\n", "", "x"]
+    values = [f"{w}a{w}b{w}" for w in WHITESPACE] + ["  Bread  ", " Market ", "\t\n", "", "x"]
     assert one_col(spark, values, ustrip) == [v.strip() for v in values]
 
 
@@ -39,7 +39,22 @@ def test_casefold_key_groups_like_casefold(spark):
     assert keys[3] == keys[4]
 
 
+def test_casefold_key_over_all_letters(spark):
+    # capitals that Unicode 16 added fold in the JVM and not yet in Python 3.13; U+FDD0 is no character
+    newer = {0xFDD0, 0xA7CB, 0xA7CC, 0xA7CD, 0xA7DA, 0xA7DB, 0xA7DC, 0x264, 0x19B, 0x1C89, 0x1C8A, *range(0x10D50, 0x10D86)}
+    letters = [chr(i) for i in range(0x20000) if not 0xD800 <= i < 0xE000 and not chr(i).isspace() and i not in newer and (chr(i).isalpha() or i > 0x2FF)]
+    keys = one_col(spark, letters, casefold_key)
+    by_fold, by_key = {}, {}
+    for letter, key in zip(letters, keys):
+        by_fold.setdefault(letter.casefold(), set()).add(key)
+        by_key.setdefault(key, set()).add(letter.casefold())
+    assert [f for f, k in by_fold.items() if len(k) > 1] == [] and [k for k, f in by_key.items() if len(f) > 1] == []
+    assert len(set(one_col(spark, ["Dıning", "Dining"], casefold_key))) == 2
+    assert len(set(one_col(spark, ["ẞ", "ss", "SS", "ß"], casefold_key))) == 1
+
+
 @pytest.mark.parametrize("raw,expected", [
+    ("1__0", "10.00"), ("_10", "10.00"), ("10_", "10.00"),
     ("20", "20.00"), ("20.5", "20.50"), ("20.555", "20.56"), ("20.554", "20.55"), ("2.5", "2.50"),
     ("7", "7.00"), ("0.005", "0.01"), ("0.004", "0.00"), ("1e3", "1000.00"), (".5", "0.50"),
     ("5.", "5.00"), ("+5", "5.00"), ("1_000", "1000.00"), (" 12　", "12.00"),
@@ -109,11 +124,11 @@ def _py_share(a, g):
 
 
 def test_average_half_even_fixtures(spark):
-    rows = [(Decimal("17000.74"), 5), (Decimal("31.00"), 2), (Decimal("30.25"), 2), (Decimal("30.26"), 2),
+    rows = [(Decimal("5860.98"), 5), (Decimal("31.00"), 2), (Decimal("30.25"), 2), (Decimal("30.26"), 2),
             (Decimal("15.125") * 2, 2)]
     df = spark.createDataFrame(rows, "t decimal(38,2), n bigint")
     got = [r[0] for r in df.select(avg_half_even(F.col("t"), F.col("n"))).collect()]
-    assert got == [Decimal("3400.15"), Decimal("15.50"), Decimal("15.12"), Decimal("15.13"), Decimal("15.12")]
+    assert got == [Decimal("1172.20"), Decimal("15.50"), Decimal("15.12"), Decimal("15.13"), Decimal("15.12")]
 
 
 @settings(max_examples=25, deadline=None)
@@ -125,11 +140,11 @@ def test_average_half_even_property(spark, pairs):
 
 
 def test_share_trap_and_fixtures(spark):
-    rows = [("3000.00", "2000000.01"), ("12000.00", "17000.74"), ("4500.49", "17000.74"), ("500.25", "17000.74"),
+    rows = [("3000.00", "2000000.01"), ("4300.00", "5860.98"), ("1452.43", "5860.98"), ("108.55", "5860.98"),
             ("25.00", "100.00"), ("75.00", "100.00")]
     df = spark.createDataFrame([(Decimal(a), Decimal(b)) for a, b in rows], "a decimal(38,2), g decimal(38,2)")
     got = [r[0] for r in df.select(share_half_even(F.col("a"), F.col("g"))).collect()]
-    assert got == [Decimal("0.1"), Decimal("70.6"), Decimal("26.5"), Decimal("2.9"), Decimal("25.0"), Decimal("75.0")]
+    assert got == [Decimal("0.1"), Decimal("73.4"), Decimal("24.8"), Decimal("1.9"), Decimal("25.0"), Decimal("75.0")]
 
 
 @settings(max_examples=25, deadline=None)

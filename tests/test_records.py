@@ -89,3 +89,21 @@ def test_read_records_array_and_lines(spark, tmp):
     with open(q, "w") as f:
         f.write('{"id": 1, "name": "a", "value": 1.0}\n{"id": 2, "name": "b", "value": 2.0}\n')
     assert P.read_records(spark, q, json_lines=True).count() == 2
+
+
+def test_pretty_json_equals_json_dumps(spark):
+    import json
+    values = [0.0, -0.0, 1.5, 12345678.9, 1e7, 0.0001, 0.00012345, 1e-5, 1.25e-7, 1e15, 123456789012345680.0, 1e16, 1e22, -2.5e300, 3.0, 100000.0]
+    names = ["plain", "é₹ \U0001f642", 'q"\\/\n\t', "\x01\x7f", "", None]
+    rows = [(i, names[i % len(names)], v, i % 2 == 0) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, 'id long, `n"é` string, value double, ok boolean')
+    got = [r[0] for r in df.orderBy("id").select(P.pretty_json(df)).collect()]
+    want = [json.dumps({"id": i, 'n"é': n, "value": v, "ok": o}, indent=2) for i, n, v, o in rows]
+    assert got == want
+
+
+def test_capture_map_gives_a_result_or_an_error_for_nulls(spark):
+    df = spark.createDataFrame([(1, 4), (2, None), (3, 0)], "pos long, x int")
+    got = {r.pos: (r.result, r.error) for r in P.capture_map(df, lambda x: 8 / x, ["x"]).collect()}
+    assert got[1] == (2.0, None) and got[2][0] is None and got[2][1].startswith("TypeError") and got[3][1].startswith("ZeroDivisionError")
+    assert all((r is None) != (e is None) for r, e in got.values())

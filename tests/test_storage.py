@@ -11,10 +11,10 @@ from tallyframe.operators.rules import ValidationError
 from tallyframe.sources.ledger_store import LoadError, load_ledger, save_ledger
 
 GOOD = [
-    {"txn_id": 1, "date": "2026-01-05", "title": "Chai", "category": "Food", "amount": "20.00", "description": ""},
-    {"txn_id": 2, "date": "2026-01-20", "title": "Diesel", "category": "Fuel", "amount": "2500.50",
-     "description": "tank refill"},
-    {"txn_id": 7, "date": "2026-02-01", "title": "Rent", "category": "Housing", "amount": "12000.00",
+    {"txn_id": 1, "date": "2026-01-08", "title": "Bread", "category": "Market", "amount": "31.40", "description": ""},
+    {"txn_id": 2, "date": "2026-01-19", "title": "Train pass", "category": "Travel", "amount": "812.35",
+     "description": "ten rides"},
+    {"txn_id": 7, "date": "2026-02-03", "title": "Water bill", "category": "Utility", "amount": "4300.00",
      "description": ""},
 ]
 
@@ -94,7 +94,7 @@ def test_save_replaces_and_roundtrips(spark, tmp):
     save_ledger(df, store)
     back = load_ledger(spark, store)
     assert sorted((r.txn_id, r.amount, r.description) for r in back.collect()) == [
-        (1, Decimal("20.00"), ""), (2, Decimal("2500.50"), "tank refill"), (7, Decimal("12000.00"), "")]
+        (1, Decimal("31.40"), ""), (2, Decimal("812.35"), "ten rides"), (7, Decimal("4300.00"), "")]
     save_ledger(back.where("txn_id = 2"), store)  # new version; the one being read is untouched
     assert [r.txn_id for r in load_ledger(spark, store).collect()] == [2]
 
@@ -139,7 +139,7 @@ def test_parquet_store_keeps_the_ledger_columns(spark, tmp):
     back = PARQUET_STORAGE.load(spark, store)
     assert back.columns == L.LEDGER_DDL_COLS
     assert sorted(r.txn_id for r in L.by_month(back, "2026-01").collect()) == [1, 2]
-    assert sorted(r.txn_id for r in L.between(back, dt.date(2026, 1, 20), dt.date(2026, 2, 1)).collect()) == [2, 7]
+    assert sorted(r.txn_id for r in L.between(back, dt.date(2026, 1, 19), dt.date(2026, 2, 3)).collect()) == [2, 7]
     more = L.append(back, spark.createDataFrame([(0, None, dt.date(2026, 2, 2), "t", "c", Decimal("1.00"), "")], L.LEDGER_DDL))
     PARQUET_STORAGE.save(more, store)
     assert sorted(r.txn_id for r in L.by_month(PARQUET_STORAGE.load(spark, store), "2026-02").collect()) == [7, 8]
