@@ -58,10 +58,10 @@ def corpus(seed, families=6, copies=25, passage=30):
     return [(7 * i % 1009, t) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("seed,blocks", [(1, None), (2, 100)])
+@pytest.mark.parametrize("seed,blocks", [(1, None), (2, 3)])
 def test_components_equal_all_pairs(spark, monkeypatch, seed, blocks):
     if blocks:  # many blocks in a group
-        monkeypatch.setattr(J, "LEAST_BLOCK", blocks)
+        monkeypatch.setattr(J, "LEAST_SETS", blocks)
     rows = corpus(seed)
     df = spark.createDataFrame([(d, t, 1, 2) for d, t in rows], "doc_id long, text string, n int, v int").repartition(5)
     got = sorted(map(tuple, J.ngram_jaccard_join(df).collect()))
@@ -102,4 +102,4 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(8, 60)] + [(3, 3)]
     df = spark.createDataFrame(edges, "a long, b long")
     got = dict(map(tuple, components(df).collect()))
-    assert got == {**{i: 100 for i in range(100, 161)}, **{i: 7 for i in range(7, 60)}}
+    assert got == {**{i: 100 for i in range(100, 161)}, **{i: 7 for i in range(7, 60)}, 3: 3}
