@@ -15,7 +15,7 @@ from tallyframe.plans.catalog import QUERIES
 SF = "/root/testdata/sf0.001"
 SKIP = {"log_stream_counts"}  # returns a table that its stream wrote
 #: What may stand below a single task: a sum without keys, a bounded top-n, or one row per range of the numbering.
-BOUNDED = ("keys=[]", "Limit", "TakeOrdered", "keys=[__tf_range")
+BOUNDED = ("key=[]", "keys=[]", "Limit", "TakeOrdered", "keys=[__tf_range")
 
 
 def subtree(lines, i):
