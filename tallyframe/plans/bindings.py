@@ -132,7 +132,7 @@ RAW_LEDGER_SQL = """(SELECT o_orderkey AS pos, o_orderkey AS txn_id,
 
 
 def stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``pos, v``: orders as stored JSON records, of which the key mod 11 picks the fault:
+    """``pos, value``: orders as stored JSON records, of which the key mod 11 picks the fault:
     no object, missing fields, amounts of every JSON kind, a day that does not
     exist, a blank title, an id that is no number, a negative amount."""
     kind = F.pmod(F.col("o_orderkey"), F.lit(11))
@@ -145,7 +145,7 @@ def stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     some = F.format_string('{"txn_id": %s, "title": "%s", "category": "%s", "description": "%s"', number, title, F.col("o_orderpriority"), F.col("o_orderstatus"))
     text = (F.when(kind == 0, F.lit('"not a record"')).when(kind == 1, F.concat(some, F.lit("}")))
             .otherwise(F.concat(some, F.format_string(', "amount": %s, "date": "%s"}', amount, day))))
-    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("pos"), F.try_parse_json(text).alias("v"))
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("pos"), text.alias("value"))
 
 
 # -- status family: customers as a catalogue, events as commands --------------

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators import logs, rules
 from tallyframe.plans import bindings as B
-from tallyframe.session import checkpoint_dir
+from tallyframe.session import checkpoint_dir, shared_table
 from tallyframe.sources.logs import LEVELS, fake_log_lines, read_log_text, write_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -833,7 +833,8 @@ _STORED_SQL = """(SELECT *, CASE kind WHEN 0 THEN 'corrupt' WHEN 1 THEN 'corrupt
 
 
 def _stored(spark, sf_dir):
-    return S.typed_elements(B.stored_records(spark, sf_dir))
+    lines = shared_table(B.stored_records(spark, sf_dir), "stored")  # as a file of lines would be
+    return S.typed_elements(lines.select("pos", F.try_parse_json("value").alias("v")))
 
 
 @register("ledger_load_good", f"""
