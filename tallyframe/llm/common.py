@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyframe.session import checkpoint_dir
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the cluster's shared folder and read it back.
 
     Cuts the lineage: whatever is built on the result re-reads files that every
@@ -18,7 +18,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -31,3 +31,16 @@ def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def give_back() -> None:
+    """Return a finished task's freed memory to the system: Python workers live on, two and more to an executor."""
+    import ctypes
+    import ctypes.util
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    if libc and hasattr(trim := ctypes.CDLL(libc), "malloc_trim"):
+        trim.malloc_trim(0)

@@ -34,13 +34,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import stored
+from tallyframe.llm.common import give_back, stored
 from tallyframe.llm.graph import components
 from tallyframe.llm.shingles import shingle_sets
 
 PERCENT = 80
 #: Shingles of one merge task, and shingles a map task gathers before it sends them.
-BUCKET_ENTRIES, FLUSH_ENTRIES = 500_000, 3_000_000
+BUCKET_ENTRIES, FLUSH_ENTRIES, SLICE_ROWS = 500_000, 1_500_000, 500
 #: A group has BLOCKS blocks, fewer if they would hold less than so many sets, more if they would hold more than so many shingles.
 BLOCKS, LEAST_SETS, MOST_SHINGLES = 32, 64, 1_000_000
 
@@ -60,10 +60,13 @@ def _sizes_and_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list(shingle_sets(batch.column(1).to_pylist()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([class_key(s) if len(s) else None for s in sets], pa.int64())], names=[id_col, "n", "v"])
+            for lo in range(0, batch.num_rows, SLICE_ROWS):
+                some = batch.slice(lo, SLICE_ROWS)
+                sets = list(shingle_sets(some.column(1).to_pylist()))
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([class_key(s) if len(s) else None for s in sets], pa.int64())], names=[id_col, "n", "v"])
+        give_back()
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, n long, v long")
 
@@ -128,8 +131,8 @@ def _sent_shingles(docs: DataFrame, text_col: str, bits: int) -> DataFrame:
                          "v": np.array(classes, "i8").tobytes(), "n": sizes.astype("i8").tobytes()})
             return pa.RecordBatch.from_pylist(rows, _SENT)
 
-        for batch in batches:
-            for one in shingle_sets(batch.column(0).to_pylist()):
+        for texts in (b.column(0).slice(lo, SLICE_ROWS).to_pylist() for b in batches for lo in range(0, b.num_rows, SLICE_ROWS)):
+            for one in shingle_sets(texts):
                 if not len(one) or (v := class_key(one)) in seen:
                     continue
                 if len(seen) > 1_000_000:
@@ -143,6 +146,8 @@ def _sent_shingles(docs: DataFrame, text_col: str, bits: int) -> DataFrame:
                     held, classes, size, flushes = [], [], 0, flushes + 1
         if held:
             yield flush()
+        held, seen = [], set()
+        give_back()
 
     return docs.select(text_col).mapInArrow(run, "bucket int, flush long, once binary, owner binary, often binary, times binary, lkey binary, lowner binary, v binary, n binary")
 
@@ -292,6 +297,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
                 w, queries = unpack(*row[3:]) if len(row) > 3 else (v, None)
                 links = _forest(index, queries, percent)
                 yield pa.RecordBatch.from_arrays([pa.array([v[a] for a, _ in links], pa.int64()), pa.array([w[b] for _, b in links], pa.int64())], names=["a", "b"])
+        give_back()
 
     shape = "label long, block int, blocks int, v binary, n binary, shingles binary"
     blocks = stored(sets.groupBy("label", "block").applyInArrow(block, shape), "blocks")
@@ -328,11 +334,12 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
         "v", F.col("doc").alias("member"), "label", "blocks", F.expr("cast(pmod(xxhash64(v), blocks) as int)").alias("block")), "members")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = list(shingle_sets(batch.column(0).to_pylist()))
-            keep = pa.array([bool(len(s)) and class_key(s) == v for s, v in zip(found, batch.column(1).to_pylist())], pa.bool_())
-            full = pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array([s.tobytes() for s in found], pa.binary())], names=["v", "label", "block", "blocks", "shingles"])
+        for some in (b.slice(lo, SLICE_ROWS) for b in batches for lo in range(0, b.num_rows, SLICE_ROWS)):
+            found = list(shingle_sets(some.column(0).to_pylist()))
+            keep = pa.array([bool(len(s)) and class_key(s) == v for s, v in zip(found, some.column(1).to_pylist())], pa.bool_())
+            full = pa.RecordBatch.from_arrays([*some.columns[1:], pa.array([s.tobytes() for s in found], pa.binary())], names=["v", "label", "block", "blocks", "shingles"])
             yield full.filter(keep)
+        give_back()
 
     texts = narrow.join(members.hint("shuffle_hash"), F.col("doc").eqNullSafe(F.col("member"))).select("body", "v", "label", "block", "blocks")
     links = _links(texts.mapInArrow(sets, "v long, label long, block int, blocks int, shingles binary"), percent)

@@ -21,12 +21,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import stored
+from tallyframe.llm.common import give_back, stored
 
 END_ID = 1
 LENGTH = 2048
-TABLE_WORDS = 800_000
-SLICE_BYTES = 32 << 20
+TABLE_WORDS = 600_000
+SLICE_BYTES = 16 << 20
 #: One row of 16 bytes for each input partition; beyond it the offsets are joined by a shuffle.
 MOST_BROADCAST_PARTITIONS = 1_000_000
 
@@ -88,13 +88,15 @@ class WordTable:
         coded = split.flatten().dictionary_encode()
         which = coded.indices.to_numpy()
         by_chunk = self._chunks(coded.dictionary)
-        size = np.fromiter(map(len, by_chunk), "int64", len(by_chunk)) // 4
-        table, first = np.frombuffer(b"".join(by_chunk), "<u4"), np.cumsum(size) - size
+        size = np.fromiter(map(len, by_chunk), "i4", len(by_chunk)) // 4
+        table, first = np.frombuffer(b"".join(by_chunk), "<u4"), np.cumsum(size, dtype="i4") - size
         n = size[which]
-        upto = np.concatenate(([0], np.cumsum(n)))
-        ids = table[np.repeat(first[which] - upto[:-1], n) + np.arange(upto[-1])]
+        upto = np.zeros(len(n) + 1, "i8")
+        np.cumsum(n, out=upto[1:])
+        at = np.repeat(first[which] - upto[:-1].astype("i4"), n)  # 32 bits: a slice is far below 2^31 ids
+        at += np.arange(len(at), dtype="i4")
         ends = upto[bounds]
-        return np.diff(ends) + 1, np.insert(ids, ends[1:], np.uint32(end_id)).astype("<u4")
+        return np.diff(ends) + 1, np.insert(table[at], ends[1:], np.uint32(end_id)).astype("<u4", copy=False)
 
 
 @functools.cache
@@ -140,6 +142,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID,
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array(np.full(len(n), part, "int32")), pa.array(starts), pa.array(n), packed],
                     names=[id_col, "part", "before", "n", "ids"])
+        give_back()
 
     return narrow.mapInArrow(run, f"`{id_col}` {id_type}, part int, before long, n long, ids binary")
 
@@ -153,7 +156,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end_id: int
     alone.  Repeated rows are packed as often as they stand there; an empty
     table gives no piece.  All sequences but the last are full.
     """
-    tokens = stored(tokenised(docs, tokenizer_path, end_id, id_col, text_col), "tokens")
+    tokens = stored(tokenised(docs, tokenizer_path, end_id, id_col, text_col), "tokens", "zstd")
     totals = tokens.groupBy("part").agg(F.sum("n").alias("total"))
     place = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(F.col("part").alias("at_part"), F.coalesce(F.sum("total").over(place), F.lit(0)).alias("base"))

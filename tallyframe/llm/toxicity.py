@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyframe.llm.common import give_back
+
 #: Bounds of the training sample (documents) and of what the SVM sees of it (words).
 MOST_TOXIC, MOST_CLEAN = 2_500, 5_000
 MOST_INSULTS, MOST_OTHERS, LANDMARKS = 1_000, 3_000, 256
@@ -88,7 +90,7 @@ class Model:
         codes, owner, length = self.codes(words)
         for lo, hi in ((0, 8), (8, 12), (12, 16), (16, _WIDTH)):
             some = np.flatnonzero((length > lo) & (length <= hi))
-            for part in np.array_split(some, len(some) // 100_000 + 1):
+            for part in np.array_split(some, len(some) // 20_000 + 1):
                 x = codes[part][:, :hi].astype("i4")
                 total = np.zeros(len(part), "f4")
                 for a, b in _STEPS:
@@ -314,6 +316,7 @@ def annotated(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
                 some = batch.slice(lo, 2000)
                 value = model.scores(document_margins(model, some.column(at)))
                 yield pa.RecordBatch.from_arrays([*some.columns, pa.array(value), pa.array((value >= 0.5).astype("i4"))], names=schema.names)
+        give_back()
 
     return rows.mapInArrow(run, schema)
 
