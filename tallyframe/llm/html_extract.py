@@ -2,11 +2,14 @@
 
 Every element that can be page furniture (``CONTAINERS``; outside an article
 also paragraphs) is hashed over its whole subtree: tags, structure and text.
-Spark counts on how many different pages of a host each subtree stands; one
+Spark counts on how many different pages of a host each subtree stands.  One
 that recurs on at least ``LEAST_PAGES`` pages and ``LEAST_SHARE`` of the host's
-pages is template and is deleted wherever the host shows it.  What differs from
-page to page (adverts, footers with a date) the counts cannot see: elements
-that say by their tag, role or class that they are no article go by that.
+pages is template.  A large host shows many variants of its template, none of
+them on such a share: an element that is no text of its own (``Node.counted``)
+is template as soon as it stands beside ``LEAST_PAGES`` different texts, however
+many pages the host has.  Both are deleted wherever the host shows them.  What
+differs from page to page (adverts, footers with a date) the counts cannot see:
+elements that say by their tag, role or class that they are no article go by that.
 
 The article is what stands in ``article`` elements, else in ``main``, else in
 the body.  Its own paragraphs are never taken for template, however often a
@@ -25,11 +28,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.llm.common import stored
 from tallyframe.llm.url_filter import host_and_path
 
 LEAST_PAGES, LEAST_SHARE = 5, 0.3
 #: Template hashes (8 bytes each, and a host) that are sent to all tasks; more are joined by a shuffle.
 MOST_BROADCAST_HASHES = 200_000
+#: Hashes found by count alone that go along with each page of a host; if a host has more, each page gets its own only.
+MOST_OF_HOST = 2_000
+#: Pages whose longest block has so many characters and is the same are one text; counts alone leave a page at least one part in LEAST_LEFT.
+LONG_BLOCK, LEAST_LEFT = 200, 10
+#: Salts of the join of page and subtree, where one subtree may stand on many pages of a host.
+SALTS = 32
 
 # Element and class names of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -39,6 +49,7 @@ BLOCKS = set("""address article aside blockquote body caption center dd details
 h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul""".split())
 PARAGRAPHS = set("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption caption dt dd tr".split())
 CONTAINERS = BLOCKS - PARAGRAPHS - {"html", "body", "main", "article"}
+LISTS = set("ul ol dl dir menu table thead tbody tfoot figure".split())
 SPACES = {"br", "td", "th", "img", "option"}
 CLOSES_ITSELF = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "option": {"select"}}
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
@@ -57,9 +68,14 @@ class Node:
     dropped: bool
     zone: int  # 0 outside main and article, 1 in main, 2 in an article
     parent: Node | None
+    holds: bool = False  # paragraphs
     digest: object = field(default_factory=lambda: hashlib.blake2b(digest_size=8))
     key: int | None = None
 
+    def counted(self) -> bool:
+        """Whether a number of pages alone makes it template: no list item, and in an article no list, table or holder of paragraphs."""
+        return self.tag in CONTAINERS - {"li"} and (self.zone < 2 or self.tag not in LISTS and not self.holds)
+
     def close(self) -> None:
         self.key = int.from_bytes(self.digest.digest(), "little", signed=True)
         if self.parent:
@@ -154,6 +170,10 @@ class Page:
                 self.parts.append(" ")
         self.top = Node(tag, dropped, zone, self.top)
         self.nodes.append(self.top)
+        if tag in PARAGRAPHS:
+            node = self.top.parent
+            while node and not node.holds:
+                node.holds, node = True, node.parent
 
     def _close_open(self, tag: str, within: set[str]) -> None:
         """Close an open ``tag`` that the next start tag ends, up to the elements that hold it."""
@@ -189,49 +209,91 @@ class Page:
         zone = self.zone()
         return {n.key for n in self.nodes if _can_be_template(n, zone)}
 
-    def text(self, templates: set[int]) -> str:
+    def counted(self) -> set[int]:
+        """Those of the candidates that a number of pages alone makes template."""
         zone = self.zone()
-        kept = [t for t, n in self.blocks if not n.dropped and n.zone == zone]
+        return {n.key for n in self.nodes if n.counted() and _can_be_template(n, zone)}
+
+    def story(self) -> int:
+        """Hash by which pages with the same text are known: of the longest block if it is long, else of the whole text."""
+        kept = self.text(set())
+        longest = max(kept.split("\n\n"), key=len)
+        return _hash(longest if len(longest) >= LONG_BLOCK else kept)
+
+    def text(self, templates: set[int], recurring: set[int] = frozenset()) -> str:
+        """Text without the host's ``templates`` and what recurs there by count alone."""
+        zone = self.zone()
+        kept = [(t, n) for t, n in self.blocks if not n.dropped and n.zone == zone]
         if templates:
-            own = [t for t, n in self.blocks if not n.dropped and n.zone == zone and not _in_template(n, zone, templates)]
-            kept = own or kept
-        return "\n\n".join(kept)
+            kept = [(t, n) for t, n in kept if not _in_template(n, zone, templates)] or kept
+        if recurring:
+            left = [(t, n) for t, n in kept if not _in_template(n, zone, recurring, alone=True)]
+            if LEAST_LEFT * sum(len(t) for t, _ in left) >= sum(len(t) for t, _ in kept):
+                kept = left
+        return "\n\n".join(t for t, _ in kept)
 
 
 def _can_be_template(node: Node, zone: int) -> bool:
     return node.tag in CONTAINERS or node.tag in PARAGRAPHS and zone < 2
 
 
-def _in_template(node: Node, zone: int, templates: set[int]) -> bool:
+def _in_template(node: Node, zone: int, templates: set[int], alone: bool = False) -> bool:
     while node.parent:
-        if node.key in templates and _can_be_template(node, zone):
+        if node.key in templates and _can_be_template(node, zone) and (not alone or node.counted()):
             return True
         node = node.parent
     return False
 
 
-def site_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``host, templates array<long>``: subtrees that recur across a host's pages.
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(errors="surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
-    Equal pages count once.  A host has at most (subtrees per page) /
-    ``LEAST_SHARE`` of them, so its row is bounded however many pages it has.
-    """
+
+def _subtrees(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    """``host, page, story, subtree`` of every candidate, and one row a page without subtree; the story only where a count alone may decide."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, page_keys, subtrees = [], [], []
-            for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            hosts, page_keys, stories, subtrees = [], [], [], []
+            for host, key, source in zip(*(c.to_pylist() for c in batch.columns)):
                 page = Page(source or "")
-                found = [None, *page.candidates()]  # null stands for the page itself
+                found, counted, story = [None, *page.candidates()], page.counted(), page.story()  # null stands for the page itself
                 hosts += [host] * len(found)
-                page_keys += [int.from_bytes(hashlib.blake2b((source or "").encode(), digest_size=8).digest(), "little", signed=True)] * len(found)
+                page_keys += [key] * len(found)
+                stories += [story if k in counted else None for k in found]
                 subtrees += found
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(page_keys, pa.int64()), pa.array(subtrees, pa.int64())], names=["host", "page", "subtree"])
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array(c, pa.int64()) for c in (page_keys, stories, subtrees))], names=["host", "page", "story", "subtree"])
+
+    return pages.select(host_and_path(F.col(url_col))[0].alias("host"), _page_key(html_col).alias("page"), html_col).mapInArrow(run, "host string, page long, story long, subtree long")
+
+
+def _page_key(html_col: str):
+    return F.xxhash64(F.coalesce(F.col(html_col), F.lit("")))
 
-    found = pages.select(host_and_path(F.col(url_col))[0].alias("host"), html_col).mapInArrow(run, "host string, page long, subtree long")
-    counts = found.distinct().groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("pages"))
+
+def recurring_subtrees(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``host, subtree, by_share``: subtrees that recur across a host's pages, by their share of them or by count alone.
+
+    Equal pages count once; for the count alone, so do pages with the same text.
+    """
+    found = _subtrees(pages, url_col, html_col)
+    counts = found.groupBy("host", "subtree").agg(F.countDistinct("page").alias("pages"), F.countDistinct("story").alias("stories"))
     totals = counts.where("subtree is null").select(F.col("host").alias("of"), F.col("pages").alias("total"))
     often = counts.where(f"subtree is not null and pages >= {LEAST_PAGES}")
-    return often.join(totals, often.host == totals.of).where(F.col("pages") >= LEAST_SHARE * F.col("total")).groupBy("host").agg(F.collect_list("subtree").alias("templates"))
+    return often.join(totals, often.host == totals.of).select(
+        "host", "subtree", "stories", (F.col("pages") >= LEAST_SHARE * F.col("total")).alias("by_share")).where(f"by_share or stories >= {LEAST_PAGES}").drop("stories")
+
+
+def _by_host(recurring: DataFrame, name: str) -> DataFrame:
+    return recurring.groupBy("host").agg(F.collect_list("subtree").alias(name))
+
+
+def site_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``host, templates array<long>``: subtrees on a share of a host's pages.
+
+    A host has at most (subtrees per page) / ``LEAST_SHARE`` of them, so its row
+    is bounded however many pages it has.
+    """
+    return _by_host(recurring_subtrees(pages, url_col, html_col).where("by_share"), "templates")
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -242,16 +304,24 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     empty page, and one without text, gives the empty text.  A null URL has the
     empty host.  Repeated rows come back as often as they stand there.
     """
-    templates = site_templates(pages, url_col, html_col)
+    found = stored(recurring_subtrees(pages, url_col, html_col), "subtrees")
+    shared, alone = found.where("by_share"), found.where("not by_share")
+    templates, recurring = _by_host(shared, "templates"), _by_host(alone, "recurring")
     size = templates.agg(F.sum(F.size("templates") + 8)).first()[0] or 0
-    templates = templates.withColumnRenamed("host", "template_host")
-    narrow = pages.select(F.col(id_col).alias("page"), F.col(url_col).alias("address"), F.col(html_col).alias("source"))
-    joined = narrow.join(F.broadcast(templates) if size <= MOST_BROADCAST_HASHES else templates, host_and_path(F.col("address"))[0] == F.col("template_host"), "left")
+    most, more = recurring.agg(F.max(F.size("recurring")), F.sum(F.size("recurring") + 8)).first()
+    narrow = pages.select(host_and_path(F.col(url_col))[0].alias("host"), _page_key(html_col).alias("key"), F.col(id_col).alias("page"), F.col(url_col).alias("address"), F.col(html_col).alias("source"))
+    joined = narrow.join(F.broadcast(templates) if size <= MOST_BROADCAST_HASHES else templates, "host", "left")
+    if (most or 0) <= MOST_OF_HOST and (more or 0) <= MOST_BROADCAST_HASHES:
+        joined = joined.join(F.broadcast(recurring), "host", "left")
+    else:
+        salted = alone.select("host", "subtree").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        on_pages = _subtrees(pages, url_col, html_col).select("host", F.col("page").alias("key"), "subtree").distinct().withColumn("salt", F.expr(f"cast(pmod(key, {SALTS}) as int)"))
+        joined = joined.join(on_pages.join(salted, ["host", "subtree", "salt"]).groupBy("host", "key").agg(F.collect_list("subtree").alias("recurring")), ["host", "key"], "left")
     id_type = pages.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = [Page(source or "").text(set(keys or ())) for source, keys in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            text = [Page(source or "").text(set(keys or ()), set(more or ())) for source, keys, more in zip(*(c.to_pylist() for c in batch.columns[2:]))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(text, pa.string())], names=[id_col, url_col, "text"])
 
-    return joined.select("page", "address", "source", "templates").mapInArrow(run, f"`{id_col}` {id_type}, `{url_col}` string, text string")
+    return joined.select("page", "address", "source", "templates", "recurring").mapInArrow(run, f"`{id_col}` {id_type}, `{url_col}` string, text string")

@@ -90,3 +90,18 @@ def test_given_pages_equal_a_reading_of_their_fixed_layout(spark):
         article = re.search(r"<article>(.*?)(</article>|$)", r.html, re.S)[1]
         blocks = [" ".join(html.unescape(re.sub("<br>", " ", re.sub("</?b>", "", x))).split()) for x in re.split(r"</?p>|</?h1>", article)]
         assert got[r.page_id] == "\n\n".join(b for b in blocks if b)
+
+
+def test_variants_of_a_large_host_go_by_their_count(spark, monkeypatch):
+    rows = [(i, f"http://hot.net/{i}", page(f"<div>Menu of variant {i % 60}<p>Call us</p></div><p>Own text {i}</p><p>Said before</p>")) for i in range(320)]
+    rows += [(1000 + i, f"http://hot.net/copy{i}", page(f"<div><p>{'Told at many addresses. ' * 20}</p></div><div>Advert {i}</div>")) for i in range(8)]
+    rows += [(2000 + i, f"http://hot.net/list{i}", page(f"<article><h1>Dish {i}</h1><ul><li>salt<li>rice {i}</ul><div>Follow us</div></article>")) for i in range(8)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in H.extract_text(df).collect()}
+    for i in range(320):
+        assert got[i] == f"Own text {i}"
+    for i in range(8):
+        assert got[1000 + i] == ("Told at many addresses. " * 20).strip() + f"\n\nAdvert {i}"
+        assert got[2000 + i] == f"Dish {i}\n\nsalt\n\nrice {i}"
+    monkeypatch.setattr(H, "MOST_OF_HOST", 0)  # each page with its own
+    assert {r.page_id: r.text for r in H.extract_text(df).collect()} == got
