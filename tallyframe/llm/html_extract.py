@@ -56,6 +56,10 @@ ROLES = set("navigation banner contentinfo complementary search dialog alert ale
 FURNITURE = set("""ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies
 disqus footer gdpr header hidden login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo
 promoted recommended related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget""".split())
+#: Other parts of a class name that is furniture as a whole.
+HOLDERS = set("box boxes button buttons link links list slot unit".split())
+#: Elements that are no shell around a page; an article in one counts only if the page has none elsewhere.
+ASIDES = DROPPED - {"head", "form"}
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
@@ -68,6 +72,8 @@ class Node:
     dropped: bool
     zone: int  # 0 outside main and article, 1 in main, 2 in an article
     parent: Node | None
+    furniture: bool = False  # by its own tag or attributes, whatever it stands in
+    start: int = 0  # number of its start tag
     holds: bool = False  # paragraphs
     digest: object = field(default_factory=lambda: hashlib.blake2b(digest_size=8))
     key: int | None = None
@@ -90,9 +96,13 @@ def _is_furniture(tag: str, attributes: str, zone: int) -> bool:
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), html.unescape("".join(values)).lower()
         if name in ("class", "id"):
-            parts = set(_NAME_PARTS.split(value))
-            if parts & ({"comment", "comments"} if tag == "article" else FURNITURE):
-                return True
+            if tag == "header":  # in an article: its title
+                continue
+            words = {"comment", "comments"} if tag == "article" else FURNITURE - {"header"} if zone == 2 else FURNITURE
+            for token in value.split():
+                parts = set(_NAME_PARTS.split(token)) - {""}
+                if parts & words and parts <= words | HOLDERS:
+                    return True
         elif name == "role" and value in ROLES or name == "hidden" and tag != "article" or name == "aria-hidden" and value == "true":
             return True
         elif name == "style" and re.search(r"display\s*:\s*none", value):
@@ -103,7 +113,8 @@ def _is_furniture(tag: str, attributes: str, zone: int) -> bool:
 class Page:
     """Blocks of a page with the elements around them; tolerant of unclosed and stray tags."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, spared: set[int] = frozenset()):
+        self.spared, self.starts = spared, 0
         self.blocks: list[tuple[str, Node]] = []
         self.nodes: list[Node] = []
         self.top = Node("", False, 0, None)
@@ -130,6 +141,20 @@ class Page:
         while self.top.parent:
             self._pop()
         self._flush()
+        if not spared and (shells := self._shells()):
+            self.__init__(source, shells)
+
+    def _shells(self) -> set[int]:
+        """Start tags of dropped elements that hold an article or main, which are no furniture."""
+        shells, last, free = set(), set(), False
+        for node in self.nodes:
+            if node.tag in ("article", "main") and not node.furniture and node.parent.zone < 2:
+                above, up = [], node.parent
+                while up:
+                    above, up = above + [up] * up.furniture, up.parent
+                free |= not above
+                (last if any(n.tag in ASIDES for n in above) else shells).update(n.start for n in above)
+        return shells if shells or free else last
 
     def _text(self, raw: str) -> None:
         if raw and not self.top.dropped:
@@ -152,6 +177,7 @@ class Page:
         self.top = self.top.parent
 
     def _start(self, tag: str, attributes: str) -> None:
+        self.starts += 1
         if tag in BLOCKS:
             self._flush()
             self._close_open("p", set())
@@ -162,13 +188,14 @@ class Page:
         if tag in VOID or tag not in BLOCKS and tag not in DROPPED and not _is_furniture(tag, attributes, self.top.zone):
             return  # markup inside a block
         zone = max(self.top.zone, {"main": 1, "article": 2}.get(tag, 0))
-        dropped = self.top.dropped or _is_furniture(tag, attributes, self.top.zone)
+        furniture = self.starts not in self.spared and _is_furniture(tag, attributes, self.top.zone)
+        dropped = self.top.dropped or furniture
         if dropped and not self.top.dropped:
             if tag in BLOCKS:
                 self._flush()
             else:
                 self.parts.append(" ")
-        self.top = Node(tag, dropped, zone, self.top)
+        self.top = Node(tag, dropped, zone, self.top, furniture, self.starts)
         self.nodes.append(self.top)
         if tag in PARAGRAPHS:
             node = self.top.parent

@@ -105,3 +105,21 @@ def test_variants_of_a_large_host_go_by_their_count(spark, monkeypatch):
         assert got[2000 + i] == f"Dish {i}\n\nsalt\n\nrice {i}"
     monkeypatch.setattr(H, "MOST_OF_HOST", 0)  # each page with its own
     assert {r.page_id: r.text for r in H.extract_text(df).collect()} == got
+
+
+@pytest.mark.parametrize("source,want", [
+    ("<div class='layout has-sidebar'><article><p>x</p></article></div>", "x"),
+    ("<div id='page' class='header-fixed'><p>x</p></div>", "x"),
+    ("<form><nav>no</nav><article><p>x</p></article></form>", "x"),
+    ("<form><div class='sidebar'><main><p>x</p></main><p>no</p></div></form>", "x"),
+    ("<div hidden><div class=widget><article>x<div class=ad>no</div></article></div></div>", "x"),
+    ("<head><title>no</title><body><article>x</article>", "x"),
+    ("<article><header class='entry-header'><h1>T</h1></header><p>x</p></article>", "T\n\nx"),
+    ("<article><header class='header'><h1 class=header>T</h1></header><p>x</p></article>", "T\n\nx"),
+    ("<aside><article>x</article></aside>", "x"),
+    ("<article>x</article><aside><article>no</article></aside><nav class=menu>no</nav>", "x"),
+    ("<article><p>x</p><div class=comments><article>no</article></div></article>", "x"),
+    ("<div class='share-buttons'>no</div><div class='not-shared widget'>no</div><p>x</p>", "x"),
+])
+def test_nothing_that_holds_the_article_goes(source, want):
+    assert text(source) == want
