@@ -11,9 +11,12 @@ many pages the host has.  Both are deleted wherever the host shows them.  What
 differs from page to page (adverts, footers with a date) the counts cannot see:
 elements that say by their tag, role or class that they are no article go by that.
 
-The article is what stands in ``article`` elements, else in ``main``, else in
-the body.  Its own paragraphs are never taken for template, however often a
-site repeats them.
+The article is what stands in ``article`` elements; in ``main`` with the
+articles in it, if there are none or main's own text is more than all of them or
+than the longest; in the body, if there is neither or the articles are less than a
+quarter of the page's paragraphs (teasers beside a story).  An article's own
+paragraphs are never taken for template, however often a site repeats them; a
+whole article is if main's own text beside it is longer.
 """
 
 from __future__ import annotations
@@ -72,6 +75,7 @@ class Node:
     dropped: bool
     zone: int  # 0 outside main and article, 1 in main, 2 in an article
     parent: Node | None
+    article: Node | None = None  # the outermost one it is or stands in
     furniture: bool = False  # by its own tag or attributes, whatever it stands in
     start: int = 0  # number of its start tag
     holds: bool = False  # paragraphs
@@ -195,7 +199,9 @@ class Page:
                 self._flush()
             else:
                 self.parts.append(" ")
-        self.top = Node(tag, dropped, zone, self.top, furniture, self.starts)
+        self.top = Node(tag, dropped, zone, self.top, self.top.article, furniture, self.starts)
+        if tag == "article" and not self.top.article:
+            self.top.article = self.top
         self.nodes.append(self.top)
         if tag in PARAGRAPHS:
             node = self.top.parent
@@ -227,19 +233,29 @@ class Page:
         elif tag in BLOCKS:
             self._flush()
 
-    def zone(self) -> int:
-        """2 if articles hold text, else 1 if main does, else 0."""
-        return max((n.zone for _, n in self.blocks if not n.dropped), default=0)
+    def _scope(self) -> list[tuple[str, Node]]:
+        """Blocks of articles and main; all blocks if there are none, or if paragraphs outside are more than three times the articles' text."""
+        blocks = [(t, n) for t, n in self.blocks if not n.dropped]
+        inner = [(t, n) for t, n in blocks if n.zone]
+        if not inner or all(n.zone == 2 for _, n in inner) and 3 * _length(inner) < sum(len(t) for t, n in blocks if not n.zone and n.tag in PARAGRAPHS):
+            return blocks
+        return inner
 
     def candidates(self) -> set[int]:
         """Hashes of the elements that can be template."""
-        zone = self.zone()
-        return {n.key for n in self.nodes if _can_be_template(n, zone)}
+        cards = self._cards()
+        return {n.key for n in self.nodes if _can_be_template(n, cards)}
 
     def counted(self) -> set[int]:
         """Those of the candidates that a number of pages alone makes template."""
-        zone = self.zone()
-        return {n.key for n in self.nodes if n.counted() and _can_be_template(n, zone)}
+        cards = self._cards()
+        return {n.key for n in self.nodes if _can_be_template(n, cards) and (n.counted() or n.tag == "article")}
+
+    def _cards(self) -> set[int]:
+        """Start tags of articles with less text than main has of its own."""
+        blocks = self._scope()
+        own = sum(len(t) for t, n in blocks if n.zone == 1)
+        return {start for start, n in _article_lengths(blocks).items() if n < own}
 
     def story(self) -> int:
         """Hash by which pages with the same text are known: of the longest block if it is long, else of the whole text."""
@@ -249,24 +265,45 @@ class Page:
 
     def text(self, templates: set[int], recurring: set[int] = frozenset()) -> str:
         """Text without the host's ``templates`` and what recurs there by count alone."""
-        zone = self.zone()
-        kept = [(t, n) for t, n in self.blocks if not n.dropped and n.zone == zone]
+        scope, cards = self._scope(), self._cards() if templates or recurring else set()
         if templates:
-            kept = [(t, n) for t, n in kept if not _in_template(n, zone, templates)] or kept
+            scope = [(t, n) for t, n in scope if not _in_template(n, cards, templates)] or scope
+        kept = _story(scope)
         if recurring:
-            left = [(t, n) for t, n in kept if not _in_template(n, zone, recurring, alone=True)]
-            if LEAST_LEFT * sum(len(t) for t, _ in left) >= sum(len(t) for t, _ in kept):
+            left = _story([(t, n) for t, n in scope if not _in_template(n, cards, recurring, alone=True)])
+            if LEAST_LEFT * _length(left) >= _length(kept):
                 kept = left
         return "\n\n".join(t for t, _ in kept)
 
 
-def _can_be_template(node: Node, zone: int) -> bool:
-    return node.tag in CONTAINERS or node.tag in PARAGRAPHS and zone < 2
+def _length(blocks: list[tuple[str, Node]]) -> int:
+    return sum(len(t) for t, _ in blocks)
+
+
+def _article_lengths(blocks: list[tuple[str, Node]]) -> dict[int, int]:
+    out: dict[int, int] = {}
+    for text, node in blocks:
+        if node.article:
+            out[node.article.start] = out.get(node.article.start, 0) + len(text)
+    return out
+
+
+def _story(blocks: list[tuple[str, Node]]) -> list[tuple[str, Node]]:
+    """The articles only, if they hold most of the text and the longest is no teaser beside main's own."""
+    articles = _article_lengths(blocks)
+    own = sum(len(t) for t, n in blocks if n.zone == 1)
+    if articles and all(n.zone for _, n in blocks) and own <= min(sum(articles.values()), max(articles.values())):
+        return [(t, n) for t, n in blocks if n.zone == 2]
+    return blocks
+
+
+def _can_be_template(node: Node, cards: set[int]) -> bool:
+    return node.tag in CONTAINERS or node.tag in PARAGRAPHS and node.zone < 2 or node is node.article and node.start in cards
 
 
-def _in_template(node: Node, zone: int, templates: set[int], alone: bool = False) -> bool:
+def _in_template(node: Node, cards: set[int], templates: set[int], alone: bool = False) -> bool:
     while node.parent:
-        if node.key in templates and _can_be_template(node, zone) and (not alone or node.counted()):
+        if node.key in templates and _can_be_template(node, cards) and (not alone or node.counted() or node.tag == "article"):
             return True
         node = node.parent
     return False

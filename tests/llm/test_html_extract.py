@@ -123,3 +123,32 @@ def test_variants_of_a_large_host_go_by_their_count(spark, monkeypatch):
 ])
 def test_nothing_that_holds_the_article_goes(source, want):
     assert text(source) == want
+
+
+STORY, CARD = "A long story is told here. " * 5, "Read this too"
+
+
+@pytest.mark.parametrize("source,want", [
+    (f"<main><h1>T</h1><p>{STORY}</p><article>{CARD}</article><article>{CARD}</article></main><p>no", f"T\n\n{STORY.strip()}\n\n{CARD}\n\n{CARD}"),
+    (f"<main><h1>T</h1><p>{STORY}</p>{f'<article>{CARD}</article>' * 30}</main>", "\n\n".join(["T", STORY.strip(), *[CARD] * 30])),
+    (f"<main><p>no</p><article><h1>T</h1><p>{STORY}</p></article></main>", f"T\n\n{STORY.strip()}"),
+    (f"<main><p>{STORY}</p></main><article>{CARD}</article>", f"{STORY.strip()}\n\n{CARD}"),
+    (f"<body><h1>T</h1><p>{STORY}</p><article>{CARD}</article>", f"T\n\n{STORY.strip()}\n\n{CARD}"),
+    (f"<body><div>{STORY}</div><article>{CARD}</article>", CARD),
+])
+def test_story_of_main_stays_beside_teaser_articles(source, want):
+    assert text(source) == want
+
+
+def test_counts_take_teasers_and_leave_repeated_articles(spark):
+    def cards(v):
+        return "".join(f"<article>{CARD} {v} {k}</article>" for k in range(20))
+
+    rows = [(i, f"http://a.net/{i}", page(f"<main><h1>T {i}</h1><p>{STORY} {i}</p>{cards(i % 20)}</main>")) for i in range(120)]
+    rows += [(1000 + i, f"http://a.net/copy{i}", page(f"<main><p>Line {i}</p><article><p>{STORY}</p></article></main>")) for i in range(8)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in H.extract_text(df).collect()}
+    for i in range(120):
+        assert got[i] == f"T {i}\n\n{STORY.strip()} {i}"
+    for i in range(8):
+        assert got[1000 + i] == STORY.strip()
