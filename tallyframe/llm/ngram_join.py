@@ -16,7 +16,8 @@ what the merge finds is probed in the long lists.
    that meet in a list, directly or over others, form a candidate group.
 4. Groups are cut into blocks of bounded size; every two blocks of a group meet,
    where the search counts short lists and probes long ones by binary search.
-   The overlap it ends with is exact; a forest of the links is kept.
+   The overlap it ends with is exact; every link is counted at both its ends, a
+   forest of the links is kept.
 5. Components of the links, and the smallest document id of each.
 
 Buckets know shingles by 32 bits and their own number, which decides candidates
@@ -254,10 +255,17 @@ class Lists:
         return found[100 * count >= percent * (self.sizes[found] + len(query) - count)]
 
 
-def _forest(index: list[np.ndarray], queries: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
-    """Links as a forest: (number in index, number in queries); of the index with itself if there are no queries."""
+def _forest(index: list[np.ndarray], queries: list[np.ndarray] | None, percent: int, copies: np.ndarray, others: np.ndarray | None = None) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
+    """Links as a forest: (number in index, number in queries); of the index with itself if there are no queries.
+
+    Also the documents that each set of the index, and each query, links with
+    here, by how many documents have a set (``copies``, of queries ``others``).
+    """
     lists = Lists(index)
     root = list(range(len(index) + len(queries or ())))
+    of_index = np.zeros(len(index), "i8")
+    of_queries = of_index if queries is None else np.zeros(len(queries), "i8")
+    weights = copies if queries is None else others
 
     def top(x: int) -> int:
         while root[x] != x:
@@ -267,63 +275,81 @@ def _forest(index: list[np.ndarray], queries: list[np.ndarray] | None, percent:
     out = []
     for q, query in enumerate(index if queries is None else queries):
         node = q if queries is None else len(index) + q
-        for other in lists.partners(query, percent, q if queries is None else -1).tolist():
+        found = lists.partners(query, percent, q if queries is None else -1)
+        of_index[found] += weights[q]
+        of_queries[q] += copies[found].sum()
+        for other in found.tolist():
             a, b = top(other), top(node)
             if a != b:
                 root[a] = b
                 out.append((other, q))
-    return out
+    return out, of_index, of_queries
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``a, b`` within groups: every two blocks of a group meet once."""
+    """Forest edges ``a, b`` of the links within groups, and ``a, links``: parts of the number of documents a set links with.
+
+    Every two blocks of a group meet once.
+    """
 
     def block(group: pa.Table) -> pa.Table:
         found = dict(zip(group.column("v").to_pylist(), group.column("shingles").to_pylist()))
+        copies = dict(zip(group.column("v").to_pylist(), group.column("copies").to_pylist()))
         return pa.table({
             "label": group.column("label").slice(0, 1), "block": group.column("block").slice(0, 1), "blocks": group.column("blocks").slice(0, 1),
             "v": pa.array([np.array(list(found), "i8").tobytes()], pa.binary()),
+            "copies": pa.array([np.array([copies[v] for v in found], "i8").tobytes()], pa.binary()),
             "n": pa.array([np.array([len(s) // 8 for s in found.values()], "i8").tobytes()], pa.binary()),
             "shingles": pa.array([b"".join(found.values())], pa.binary())})
 
-    def unpack(v: bytes, n: bytes, shingles: bytes) -> tuple[np.ndarray, list[np.ndarray]]:
-        return np.frombuffer(v, "i8"), np.split(np.frombuffer(shingles, "u8"), np.cumsum(np.frombuffer(n, "i8"))[:-1])
+    def unpack(v: bytes, copies: bytes, n: bytes, shingles: bytes) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        return np.frombuffer(v, "i8"), np.frombuffer(copies, "i8"), np.split(np.frombuffer(shingles, "u8"), np.cumsum(np.frombuffer(n, "i8"))[:-1])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            ends, counts = [], []
             for i in range(batch.num_rows):
                 row = [batch.column(c)[i].as_py() for c in range(batch.num_columns)]
-                v, index = unpack(*row[:3])
-                w, queries = unpack(*row[3:]) if len(row) > 3 else (v, None)
-                links = _forest(index, queries, percent)
-                yield pa.RecordBatch.from_arrays([pa.array([v[a] for a, _ in links], pa.int64()), pa.array([w[b] for _, b in links], pa.int64())], names=["a", "b"])
+                v, copies, index = unpack(*row[:4])
+                w, others, queries = unpack(*row[4:]) if len(row) > 4 else (v, None, None)
+                links, of_index, of_queries = _forest(index, queries, percent, copies, others)
+                for key, count in ((v, of_index), (w, of_queries))[:1 if queries is None else 2]:
+                    ends.append(key[count > 0])
+                    counts.append(count[count > 0])
+                yield pa.RecordBatch.from_arrays([pa.array([v[a] for a, _ in links], pa.int64()), pa.array([w[b] for _, b in links], pa.int64()), pa.nulls(len(links), pa.int64())], names=["a", "b", "links"])
+            if ends:  # a set that meets several blocks here is one row
+                keys, at = np.unique(np.concatenate(ends), return_inverse=True)
+                total = np.zeros(len(keys), "i8")
+                np.add.at(total, at, np.concatenate(counts))
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.nulls(len(keys), pa.int64()), pa.array(total, pa.int64())], names=["a", "b", "links"])
         give_back()
 
-    shape = "label long, block int, blocks int, v binary, n binary, shingles binary"
+    shape = "label long, block int, blocks int, v binary, copies binary, n binary, shingles binary"
     blocks = stored(sets.groupBy("label", "block").applyInArrow(block, shape), "blocks")
-    within = blocks.select("v", "n", "shingles").mapInArrow(search, "a long, b long")
+    within = blocks.select("v", "copies", "n", "shingles").mapInArrow(search, "a long, b long, links long")
     left = blocks.where("block + 1 < blocks").withColumn("other", F.explode(F.expr("sequence(block + 1, blocks - 1)"))).select(
-        F.col("label").alias("l"), "other", "v", "n", "shingles")
-    right = blocks.where("block > 0").select("label", "block", *(F.col(c).alias(f"{c}2") for c in ("v", "n", "shingles")))
+        F.col("label").alias("l"), "other", "v", "copies", "n", "shingles")
+    right = blocks.where("block > 0").select("label", "block", *(F.col(c).alias(f"{c}2") for c in ("v", "copies", "n", "shingles")))
     across = left.join(right, (F.col("l") == F.col("label")) & (F.col("other") == F.col("block"))).select(
-        "v", "n", "shingles", "v2", "n2", "shingles2").mapInArrow(search, "a long, b long")
+        "v", "copies", "n", "shingles", "v2", "copies2", "n2", "shingles2").mapInArrow(search, "a long, b long, links long")
     return within.union(across)
 
 
-def ngram_jaccard_join(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``id_col``, ``n_shingles``, ``component_id``.
+def ngram_jaccard_join(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", with_links: bool = False) -> DataFrame:
+    """One row per input row: ``id_col``, ``n_shingles``, ``component_id``, and ``n_links`` if asked for.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased; a set is
     the distinct shingles of 5 words, the whole sequence if there are fewer,
     empty for a null text or one without words.  Two sets link when
     ``100 |A and B| >= percent |A or B|``; the component is the smallest id
     reachable over links.  An empty set links with nothing, so its component is
-    its own id.  Repeated rows come back as often as they stand there; null ids
+    its own id.  ``n_links`` is the number of other rows that a row links with,
+    copies among them.  Repeated rows come back as often as they stand there; null ids
     take part and are never the smallest.
     """
     narrow = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body"))
     sizes = stored(_sizes_and_keys(narrow, "doc", "body"), "sizes")
-    classes = sizes.where("n > 0").groupBy("v").agg(F.min("doc").alias("doc"), F.first("n").alias("n"))
+    classes = sizes.where("n > 0").groupBy("v").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"))
     entries = sizes.agg(F.sum("n")).first()[0] or 0
     bits = max(4, (entries // BUCKET_ENTRIES).bit_length())
     groups = components(_candidate_edges(narrow, "body", bits, percent))
@@ -331,21 +357,27 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
     weights = members.groupBy("label").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("weight")).select(
         F.col("label").alias("of"), F.greatest(F.least(F.lit(BLOCKS), F.ceil(F.col("sets") / LEAST_SETS)), F.ceil(F.col("weight") / MOST_SHINGLES)).cast("int").alias("blocks"))
     members = stored(members.join(weights, F.col("label") == F.col("of")).select(
-        "v", F.col("doc").alias("member"), "label", "blocks", F.expr("cast(pmod(xxhash64(v), blocks) as int)").alias("block")), "members")
+        "v", "copies", F.col("doc").alias("member"), "label", "blocks", F.expr("cast(pmod(xxhash64(v), blocks) as int)").alias("block")), "members")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in (b.slice(lo, SLICE_ROWS) for b in batches for lo in range(0, b.num_rows, SLICE_ROWS)):
             found = list(shingle_sets(some.column(0).to_pylist()))
             keep = pa.array([bool(len(s)) and class_key(s) == v for s, v in zip(found, some.column(1).to_pylist())], pa.bool_())
-            full = pa.RecordBatch.from_arrays([*some.columns[1:], pa.array([s.tobytes() for s in found], pa.binary())], names=["v", "label", "block", "blocks", "shingles"])
+            full = pa.RecordBatch.from_arrays([*some.columns[1:], pa.array([s.tobytes() for s in found], pa.binary())], names=["v", "copies", "label", "block", "blocks", "shingles"])
             yield full.filter(keep)
         give_back()
 
-    texts = narrow.join(members.hint("shuffle_hash"), F.col("doc").eqNullSafe(F.col("member"))).select("body", "v", "label", "block", "blocks")
-    links = _links(texts.mapInArrow(sets, "v long, label long, block int, blocks int, shingles binary"), percent)
-    linked = components(stored(links, "links")).withColumnRenamed("v", "linked_v")
+    texts = narrow.join(members.hint("shuffle_hash"), F.col("doc").eqNullSafe(F.col("member"))).select("body", "v", "copies", "label", "block", "blocks")
+    links = stored(_links(texts.mapInArrow(sets, "v long, copies long, label long, block int, blocks int, shingles binary"), percent), "links")
+    linked = components(links.where("b is not null").select("a", "b")).withColumnRenamed("v", "linked_v")
+    if with_links:
+        none = F.lit(None).cast("long").alias("label")
+        counts = links.where("b is null").select("a", none, "links").union(classes.where("copies > 1").select("v", none, F.col("copies") - 1))
+        linked = linked.select("linked_v", "label", F.lit(0).cast("long").alias("links")).union(counts).groupBy("linked_v").agg(F.max("label").alias("label"), F.sum("links").alias("links"))
+    more = [F.coalesce("links", F.lit(0)).cast("long").alias("links")] if with_links else []
     named = sizes.join(linked, sizes.v == linked.linked_v, "left").select(
-        "doc", "n", F.when(F.col("n") > 0, F.coalesce("label", "v")).alias("c"))
+        "doc", "n", F.when(F.col("n") > 0, F.coalesce("label", "v")).alias("c"), *more)
     smallest = named.where("n > 0").groupBy("c").agg(F.min("doc").alias("least")).withColumnRenamed("c", "of")
     return named.join(smallest, named.c == smallest.of, "left").select(
-        F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
+        F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"),
+        *([F.col("links").alias("n_links")] if with_links else []))

@@ -19,7 +19,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"))
+    return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"), with_links=True)
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

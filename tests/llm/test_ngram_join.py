@@ -103,3 +103,16 @@ def test_components_of_a_long_chain_and_a_star(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     got = dict(map(tuple, components(df).collect()))
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 7 for i in range(7, 60)}, 3: 3}
+
+
+@pytest.mark.parametrize("blocks", [None, 3])
+def test_every_link_is_counted(spark, monkeypatch, blocks):
+    if blocks:  # many blocks in a group
+        monkeypatch.setattr(J, "LEAST_SETS", blocks)
+    rows = [*corpus(4), (None, "a b c d e f"), (None, "A B C D E F")]
+    sets = brute_sets([t for _, t in rows])
+    links = [sum(i != j and 100 * len(a & b) >= 80 * len(a | b) for j, b in enumerate(sets) if b) if a else 0 for i, a in enumerate(sets)]
+    assert sum(links) > 2 * len(rows)  # far more than a forest keeps
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted(map(str, map(tuple, J.ngram_jaccard_join(df, with_links=True).collect())))
+    assert got == sorted(str((*x, n)) for x, n in zip(brute(rows), links))
