@@ -25,6 +25,8 @@ from tallyframe.llm.common import stored
 from tallyframe.llm.vectors import INDEX_ROWS, best, matrix, met, query_blocks, ranked, sample_of, searched, unique_rows, valid_vectors
 
 BITS, COVERED, ROUNDS = 128, 0.98, 15
+#: Pairs whose products are computed at once.
+PAIRS = 50_000
 _ONES = np.array([bin(i).count("1") for i in range(256)], "u1")
 _APART = _ONES[np.arange(256)[:, None] ^ np.arange(256)[None, :]]
 
@@ -69,12 +71,23 @@ def learn_radius(x: np.ndarray, rotations: np.ndarray, k: int) -> int:
     return int(np.quantile(apart, COVERED, method="higher")) if apart.size else rotations.shape[1]
 
 
+def bucket_rows(code: np.ndarray) -> np.ndarray:
+    """For every byte position the rows in order of its value."""
+    return np.argsort(code, axis=0, kind="stable").T.astype("u4")
+
+
+def products(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Products of row i of q and row j of x, pair by pair."""
+    cuts = range(0, len(i), PAIRS)
+    return np.concatenate([np.einsum("ij,ij->i", q[i[lo:lo + PAIRS]], x[j[lo:lo + PAIRS]]) for lo in cuts]) if len(i) else np.empty(0)
+
+
 class CodeIndex:
-    """One block's codes by byte position and value."""
+    """One block's codes by byte position and value; ``rows`` is their order as ``bucket_rows`` gave it."""
 
-    def __init__(self, code: np.ndarray):
+    def __init__(self, code: np.ndarray, rows: np.ndarray | None = None):
         self.code = code
-        self.rows = [np.argsort(code[:, j], kind="stable") for j in range(code.shape[1])]
+        self.rows = bucket_rows(code) if rows is None else rows
         self.bounds = [np.concatenate(([0], np.cumsum(np.bincount(code[:, j], minlength=256)))) for j in range(code.shape[1])]
 
     def within(self, query: np.ndarray, radius: int) -> np.ndarray:
@@ -93,12 +106,15 @@ class CodeIndex:
 
 
 def _search(rotations: np.ndarray, radius: int, k: int, d: int):
-    def run(qid: bytes, qvector: bytes, ids: bytes, vector: bytes, code: bytes) -> tuple:
+    def run(qid: bytes, qvector: bytes, ids: bytes, vector: bytes, code: bytes, rows: bytes) -> tuple:
         qid, ids = np.frombuffer(qid, "i8"), np.frombuffer(ids, "i8")
         q, x = np.frombuffer(qvector, "f8").reshape(-1, d), np.frombuffer(vector, "f8").reshape(-1, d)
-        index = CodeIndex(np.frombuffer(code, "u1").reshape(len(ids), -1))
+        code = np.frombuffer(code, "u1").reshape(len(ids), -1)
+        index = CodeIndex(code, np.frombuffer(rows, "u4").reshape(code.shape[::-1]))
         found = index.within(codes(unit(q), rotations), radius) & (qid[:, None] != ids[None, :])
-        rough = np.where(found, unit(q) @ unit(x).T, -2.0)  # which to rerank
+        i, j = np.nonzero(found)
+        rough = np.full(found.shape, -2.0)  # which to rerank
+        rough[i, j] = products(unit(q), unit(x), i, j)
         at = max(0, len(ids) - k)
         least = np.maximum(np.partition(rough, at, axis=1)[:, at] - 1e-9, -1.5)
         i, j = np.nonzero(rough >= least[:, None])
@@ -138,14 +154,16 @@ def nearest(df: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
 
     def pack(group: pa.Table) -> pa.Table:
         ids, x = unique_rows(group.column("id").to_numpy(), matrix(group.column("vector").combine_chunks()))
+        code = codes(unit(x), rotations)
         return pa.table({"block": group.column("block").slice(0, 1), "ids": pa.array([ids.tobytes()], pa.binary()),
-                         "vector": pa.array([x.tobytes()], pa.binary()), "code": pa.array([codes(unit(x), rotations).tobytes()], pa.binary())})
+                         "vector": pa.array([x.tobytes()], pa.binary()), "code": pa.array([code.tobytes()], pa.binary()),
+                         "rows": pa.array([bucket_rows(code).tobytes()], pa.binary())})
 
     index = vectors.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(max(1, blocks))).cast("int")).groupBy("block").applyInArrow(
-        pack, "block int, ids binary, vector binary, code binary")
+        pack, "block int, ids binary, vector binary, code binary, rows binary")
     index = stored(index, "codes")
     queries = stored(query_blocks(vectors, every, lambda x: x), "queries")
-    columns = ["qid", "qvector", "ids", "vector", "code"]
+    columns = ["qid", "qvector", "ids", "vector", "code", "rows"]
     found = stored(ranked(searched(met(queries, index, blocks), columns, _search(rotations, radius, k, d), "double"), k), "nearest")
 
     enough = found.where(F.col("rank") == min(k, max(1, rows - 1))).select(F.col("query_id").alias("id"))

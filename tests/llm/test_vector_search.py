@@ -120,3 +120,23 @@ def test_extreme_lengths(spark):
     rows = [(i, [1e-200 * (i + 1), 1e-200]) for i in range(5)] + [(50 + i, [1e200, 1e200 * i]) for i in range(3)]
     got, want = sorted(map(tuple, ann.nearest(frame(spark, rows)).collect())), brute(rows, 5, 50, False, cosine)
     assert np.allclose([g[3] for g in got], [w[3] for w in want])
+
+
+def test_only_pairs_within_the_radius_are_multiplied(monkeypatch):
+    rnd = np.random.default_rng(6)
+    x = rnd.standard_normal((400, 16))
+    rotations = ann.learn_rotations(ann.unit(x))
+    code, seen = ann.codes(ann.unit(x), rotations), []
+    rows, ids = ann.bucket_rows(code), np.arange(400)
+    plain = ann.products
+    monkeypatch.setattr(ann, "products", lambda q, x, i, j: seen.append(len(i)) or plain(q, x, i, j))
+    monkeypatch.setattr(ann, "bucket_rows", None)  # the stored order is used
+    monkeypatch.setattr(ann, "PAIRS", 7)
+    query, near, score = ann._search(rotations, 50, 5, 16)(ids[:20].tobytes(), x[:20].tobytes(), ids.tobytes(), x.tobytes(), code.tobytes(), rows.tobytes())
+    apart = np.unpackbits(code[:20, None] ^ code[None], axis=2).sum(2)
+    within = (apart <= 50) & ~np.eye(20, 400, dtype=bool)
+    assert seen == [within.sum()] and 0 < seen[0] < 20 * 400 / 2
+    cosines = np.where(within, ann.unit(x[:20]) @ ann.unit(x).T, -2)
+    for q in range(20):
+        want = [c for c in np.argsort(-cosines[q])[:5] if within[q, c]]
+        assert near[query == q].tolist() == want and np.allclose(score[query == q], cosines[q, want])
