@@ -10,8 +10,10 @@ Conversations are sorted over the cluster by id and turn and cut into chunks of
 at most ``CHUNK_TURNS`` turns and about ``CHUNK_CHARS`` characters.  Each chunk
 gives its costs from every state to every state, a small matrix; per
 conversation the matrices are multiplied (least sums) to find the states at the
-cuts, and each chunk then repairs and renders its turns by itself.  So a
-conversation of any length is never held whole by a task.
+cuts, and each chunk then repairs and renders its turns by itself.  Matrices of
+a conversation of more than ``2 ** RUN_BITS`` chunks are multiplied run by run,
+the products again, and the states are found from the whole down to the chunks.
+So a conversation of any length is never held whole by a task.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ MERGE, INSERT, RELABEL, NAME = 1001, 2002, 3003, 1000
 #: Other names of the roles.
 ROLES = {"system": 1, "developer": 1, "user": 2, "human": 2, "assistant": 3, "bot": 3, "gpt": 3, "model": 3}
 CHUNK_TURNS, CHUNK_CHARS = 1000, 1_000_000
+#: At most two to this power matrices are multiplied by one task.
+RUN_BITS = 8
 NEVER = 1 << 60
 
 
@@ -157,29 +161,99 @@ def _chunks(turns: DataFrame) -> DataFrame:
     return turns.mapInArrow(run, f"conv {conv}, chunk long, costs array<long>, roles array<string>, texts array<string>")
 
 
+def _through(costs: list[np.ndarray], reach: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Least costs at the end of a run of matrices, and each matrix's cheapest way back."""
+    back = []
+    for matrix in costs:
+        through = np.minimum(reach[:, None] + matrix, NEVER)
+        back.append(through.argmin(0))
+        reach = through.min(0)
+    return reach, back
+
+
+def _matrices(group: pa.Table) -> list[np.ndarray]:
+    return [np.array(c, "i8").reshape(4, 4) for c in group.column("costs").to_pylist()]
+
+
+def _states(back: list[np.ndarray], leave: int) -> list[int]:
+    """States at the cuts of a run that is left in a state."""
+    out = [leave]
+    for came in reversed(back):
+        out.append(int(came[out[-1]]))
+    return out[::-1]
+
+
+def _ends(reach: np.ndarray) -> tuple[int, int]:
+    """The state in which a conversation is best left, and its cost."""
+    total = [min(int(c) + end_cost(s), NEVER) for s, c in enumerate(reach)]
+    return int(np.argmin(total)), min(total) // 1000
+
+
+_FROM_START = np.array([0, NEVER, NEVER, NEVER])
+
+
 def _cuts(chunks: DataFrame) -> DataFrame:
     """``conv, chunk, enters, leaves, before, last, cost``: each chunk's states and the turns before it."""
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by("chunk")
-        costs = [np.array(c, "i8").reshape(4, 4) for c in group.column("costs").to_pylist()]
-        reach, back = np.array([0, NEVER, NEVER, NEVER]), []
-        for matrix in costs:
-            through = np.minimum(reach[:, None] + matrix, NEVER)
-            back.append(through.argmin(0))
-            reach = through.min(0)
-        total = [min(int(c) + end_cost(s), NEVER) for s, c in enumerate(reach)]
-        leaves = [int(np.argmin(total))]
-        for came in reversed(back):
-            leaves.append(int(came[leaves[-1]]))
-        states, n = leaves[::-1], np.array(group.column("n").to_pylist())
+        reach, back = _through(_matrices(group), _FROM_START)
+        leave, cost = _ends(reach)
+        states, n = _states(back, leave), np.array(group.column("n").to_pylist())
         return pa.table({
             "conv": group.column("conv"), "chunk": group.column("chunk"), "enters": pa.array(states[:-1], pa.int32()), "leaves": pa.array(states[1:], pa.int32()),
             "before": pa.array(np.cumsum(n) - n, pa.int64()), "last": pa.array([i == len(n) - 1 for i in range(len(n))]),
-            "cost": pa.array([min(total) // 1000] * len(n), pa.int64())})
+            "cost": pa.array([cost] * len(n), pa.int64())})
 
     conv = chunks.schema["conv"].dataType.simpleString()
-    small = chunks.select("conv", "chunk", "costs", F.size("roles").alias("n"))
-    return small.groupBy("conv").applyInArrow(run, f"conv {conv}, chunk long, enters int, leaves int, before long, last boolean, cost long")
+    small = chunks.select("conv", "chunk", "costs", F.size("roles").cast("long").alias("n"))
+    many = stored(small.groupBy("conv").agg(F.count(F.lit(1)).alias("chunks")).where(F.col("chunks") > 1 << RUN_BITS).select(F.col("conv").alias("of")), "long")
+    shape = f"conv {conv}, chunk long, enters int, leaves int, before long, last boolean, cost long"
+    if many.isEmpty():
+        return small.groupBy("conv").applyInArrow(run, shape)
+    same = F.col("conv").eqNullSafe(F.col("of"))
+    return small.join(many, same, "left_anti").groupBy("conv").applyInArrow(run, shape).unionByName(_long_cuts(small.join(many, same, "left_semi"), conv))
+
+
+def _long_cuts(small: DataFrame, conv: str) -> DataFrame:
+    """The same for conversations of very many chunks, in levels of bounded groups."""
+    def multiplied(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("hi", "ascending"), ("lo", "ascending")])
+        costs = _matrices(group)
+        product = [int(c) for state in range(4) for c in _through(costs, np.where(np.arange(4) == state, 0, NEVER))[0]]
+        return pa.table({"conv": group.column("conv").slice(0, 1), "hi": group.column("up_hi").slice(0, 1), "lo": group.column("up_lo").slice(0, 1),
+                         "costs": pa.array([product], pa.list_(pa.int64())), "n": pa.array([sum(group.column("n").to_pylist())], pa.int64())})
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = [_ends(_through([m], _FROM_START)[0]) for m in _matrices(batch)]
+            k = len(ends)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array([0] * k, pa.int32()), pa.array([s for s, _ in ends], pa.int32()), pa.array([0] * k, pa.int64()),
+                 pa.array([True] * k), pa.array([c for _, c in ends], pa.int64())], names=["conv", "hi", "lo", *states])
+
+    def divided(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("hi", "ascending"), ("lo", "ascending")])
+        enter, leave, before, last, cost = (group.column(c)[0].as_py() for c in states)
+        at = _states(_through(_matrices(group), np.where(np.arange(4) == enter, 0, NEVER))[1], leave)
+        n = np.array(group.column("n").to_pylist())
+        return pa.table({
+            "conv": group.column("conv"), "hi": group.column("hi"), "lo": group.column("lo"), "enters": pa.array(at[:-1], pa.int32()), "leaves": pa.array(at[1:], pa.int32()),
+            "before": pa.array(before + np.cumsum(n) - n, pa.int64()), "last": pa.array([last and i == len(n) - 1 for i in range(len(n))]),
+            "cost": pa.array([cost] * len(n), pa.int64())})
+
+    states = ["enters", "leaves", "before", "last", "cost"]
+    shape = f"conv {conv}, hi long, lo long, enters int, leaves int, before long, last boolean, cost long"
+    table, levels = stored(small.select("conv", F.shiftright("chunk", 32).alias("hi"), F.expr("chunk & 4294967295").alias("lo"), "costs", "n"), "costs"), []
+    while any(top := table.agg(F.max("hi"), F.max("lo")).first()):
+        up_hi, up_lo = ("hi", f"shiftright(lo, {RUN_BITS})") if top[1] else (f"shiftright(hi, {RUN_BITS})", "lo")
+        levels.append(table.withColumn("up_hi", F.expr(up_hi)).withColumn("up_lo", F.expr(up_lo)))
+        table = stored(levels[-1].groupBy("conv", "up_hi", "up_lo").applyInArrow(multiplied, f"conv {conv}, hi long, lo long, costs array<long>, n long"), "costs")
+    found = table.select("conv", "hi", "lo", "costs").mapInArrow(whole, shape)
+    for level in reversed(levels):
+        above = stored(found, "cuts").select(F.col("conv").alias("of"), F.col("hi").alias("of_hi"), F.col("lo").alias("of_lo"), *states)
+        met = level.join(above, F.col("conv").eqNullSafe(F.col("of")) & (F.col("up_hi") == F.col("of_hi")) & (F.col("up_lo") == F.col("of_lo")))
+        found = met.groupBy("conv", "up_hi", "up_lo").applyInArrow(divided, shape)
+    return found.select("conv", F.expr("shiftleft(hi, 32) | lo").alias("chunk"), *states)
 
 
 def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:

@@ -108,3 +108,28 @@ def test_a_conversation_over_many_chunks_is_repaired_as_one(spark):
 def test_small_tables(spark, n):
     got = run(spark, [(9, 0, "user", "y" * 300_000)][:n])
     assert len(got) == n
+
+
+def test_matrices_of_a_long_conversation_are_multiplied_in_bounded_groups(spark, monkeypatch):
+    rnd = random.Random(8)
+    names = ["user", "assistant", "assistant", "system", None]
+    roles = {conv: [rnd.choice(names) for _ in range(n)] for conv, n in ((None, 1500), (1, 300), (2, 3))}
+    rows = [(conv, i, r, f"t{i}") for conv, x in roles.items() for i, r in enumerate(x)]
+    monkeypatch.setattr(C, "CHUNK_TURNS", 10)
+    monkeypatch.setattr(C, "RUN_BITS", 2)
+    plain = C._matrices
+
+    def bounded(group):
+        assert group.num_rows <= 4 or "hi" not in group.column_names or "up_hi" not in group.column_names
+        return plain(group)
+
+    monkeypatch.setattr(C, "_matrices", bounded)
+    got = run(spark, rows)
+    for conv, x in roles.items():
+        assert [r.position for r in got[conv]] == list(range(len(x)))
+        turns = turns_of("".join(r.rendered for r in got[conv]))
+        assert legal([t for t, _ in turns])
+        assert [y for _, text in turns if text for y in text.split("\n\n")] == [f"t{i}" for i in range(len(x))]
+        assert sum(r.inserted for r in got[conv]) == sum(not y for _, y in turns)
+        whole = min(c + C.end_cost(s) for s, c in enumerate(C.chunk_costs([C.role_of(r) for r in x])[0]))
+        assert {r.cost for r in got[conv]} == {whole // 1000}
