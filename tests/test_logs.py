@@ -69,10 +69,9 @@ def test_pages_of_level(spark):
     assert [(r.pos, r.page_no, r.slot) for r in got] == [(0, 1, 1), (1, 1, 2), (7, 2, 1)]
 
 
-def test_observed_metrics_in_same_pass(spark):
-    observed, obs = logs.observe_lines(logs.parse_lines(lines_df(spark)))
-    logs.level_counts(observed).collect()
-    assert obs.get["lines_read"] == 8 and obs.get["malformed"] == 2
+def test_line_metrics_in_one_aggregate(spark):
+    got = logs.line_metrics(logs.parse_lines(lines_df(spark))).first()
+    assert got.lines_read == 8 and got.malformed == 2
 
 
 def test_read_log_text_keeps_file_order_over_files_and_splits(spark, tmp):
