@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import ann, chat_format, exact_topk, html_extract, line_dedup, ngram_join, packing, sentence_codec, toxicity, url_filter
+from tallyframe.llm import ann, chat_format, exact_topk, filter_audit, html_extract, line_dedup, ngram_join, packing, sentence_codec, toxicity, url_filter
 from tallyframe.llm.common import table, vocabulary
 
 
@@ -60,8 +60,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_ngram_jaccard, op3_packing, op4_multi_index_ann, op5_line_dedup, op6_html_extract, op7_toxicity, op8_chat_format, op9_exact_topk, op10_url_filter)
+    f.__name__: f for f in (op1_sentencepiece, op2_ngram_jaccard, op3_packing, op4_multi_index_ann, op5_line_dedup, op6_html_extract, op7_toxicity,
+                            op8_chat_format, op9_exact_topk, op10_url_filter, op12_filter_audit)
 }
 ORACLE: dict[str, str] = {
     "op5_line_dedup": r"""
@@ -101,4 +106,26 @@ fits AS (SELECT page_id, host, path, max(struct_pack(n := length(h || p), h := l
   FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
   GROUP BY page_id, host, path)
 SELECT page_id, host, path, best.rule AS rule, coalesce(best.v, 'allow') AS verdict FROM fits""",
+    "op12_filter_audit": r"""
+WITH docs AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+words AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM docs),
+marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+failed AS (SELECT doc_id, part, CASE WHEN len(w) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t) THEN 4 ELSE 0 END + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask FROM words),
+tallies AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM failed LEFT JOIN marks USING (doc_id) GROUP BY part, mask),
+letters AS (SELECT x, chr(65 + x::INTEGER) AS c FROM range(5) r(x)),
+orders AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, [a.x, b.x, c.x, d.x, e.x] AS xs
+  FROM letters a, letters b, letters c, letters d, letters e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, step::INTEGER AS step, (1 << xs[step])::INTEGER AS one, list_sum(list_transform(xs[1:step], lambda x: 1 << x))::INTEGER AS upto
+  FROM orders, range(1, 6) s(step)),
+counted AS (SELECT part, filter_order, step, one,
+    sum(CASE WHEN mask & upto = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN mask & upto = one THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN mask & one <> 0 AND mask & (upto - one) <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN mask = one THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN mask & upto = one THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN mask & upto = one THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM tallies, steps GROUP BY part, filter_order, step, one)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, one))::BIGINT AS shapley FROM counted""",
 }
