@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.session import checkpoint_dir
@@ -33,6 +37,16 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``most`` bytes of text (a longer row is alone)."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype("i8"))
+    lo = 0
+    while lo < len(upto):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + most, "right")))
+        yield lo, hi
+        lo = hi
+
+
 def give_back() -> None:
     """Return a finished task's freed memory to the system: Python workers live on, two and more to an executor."""
     import ctypes

@@ -11,6 +11,7 @@ and a carry word, and only the last few are looked at bit by bit.
 
 from __future__ import annotations
 
+import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import permutations
@@ -18,16 +19,20 @@ from math import factorial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import stored
+from tallyframe.llm.common import byte_slices, give_back, stored
 
 FILTERS = "ABCDE"
 SUBSETS = 1 << len(FILTERS)
 CLASSES = ("all", "good", "toxic")
-#: Characters that part words, as a set of a regular expression and one by one.
-_GAPS, _GAP_CHARS = r"[\x20\x09-\x0D]+", " \t\n\x0b\x0c\r"
+_CAPITAL, _SIGN = np.zeros((2, 256), bool)
+_CAPITAL[ord("A"):ord("Z") + 1] = True
+_SIGN[list(b"#$%&*|")] = True
+#: Text that a task looks at together.
+SLICE_BYTES = 8 << 20
 #: A task adds up its counts when this many words wait, and hands them on when it holds this many parts.
 FLUSH_WORDS, FLUSH_PARTS = 1 << 20, 1 << 12
 
@@ -67,17 +72,37 @@ def weighted_counts(words: np.ndarray, copies: np.ndarray) -> np.ndarray:
     return counts
 
 
-def failures(text: Column) -> Column:
-    """Bits 0 to 3: which of the filters A to D a (non-null) text fails."""
-    trimmed = F.btrim(text, F.lit(_GAP_CHARS))
-    words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _GAPS))
-    n, distinct = F.size(words), F.size(F.array_distinct(words))
-    capitals = F.regexp_count(text, F.lit("[A-Z]"))
-    fails = [n < 50,
-             distinct.cast("long") * 100 < n.cast("long") * 65,
-             capitals.cast("long") * 100 > F.length(text).cast("long") * 5,
-             text.rlike(r"[#$%&*|]")]
-    return sum((F.when(f, 1 << i).otherwise(0) for i, f in enumerate(fails)), F.lit(0))
+def failures(texts: pa.Array) -> np.ndarray:
+    """Bits 0 to 3 for each (non-null) text: which of the filters A to D it fails."""
+    words = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts))
+    row = np.repeat(np.arange(len(texts)), np.diff(words.offsets.to_numpy()))
+    flat = words.flatten()
+    some = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)  # a text without words splits to one empty string
+    coded = flat.dictionary_encode()
+    row, which = row[some], coded.indices.to_numpy()[some]
+    n = np.bincount(row, minlength=len(texts))
+    seen = np.sort(row * len(coded.dictionary) + which)
+    distinct = np.bincount(seen[np.diff(seen, prepend=-1) != 0] // max(1, len(coded.dictionary)), minlength=len(texts))
+    raw = np.frombuffer(b"".join(texts.cast(pa.binary()).to_pylist()), "u1")
+    ends = np.concatenate(([0], np.cumsum(pc.binary_length(texts).to_numpy())))
+
+    def count(table: np.ndarray) -> np.ndarray:
+        return np.diff(np.concatenate(([0], np.cumsum(table[raw], dtype="i4")))[ends])
+
+    chars = pc.utf8_length(texts).to_numpy().astype("i8")
+    fails = [n < 50, 100 * distinct < 65 * n, 100 * count(_CAPITAL).astype("i8") > 5 * chars, count(_SIGN) > 0]
+    return sum(f.astype("i4") << i for i, f in enumerate(fails))
+
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo, hi in byte_slices(batch.column(2), SLICE_BYTES):
+            some = batch.slice(lo, hi - lo)
+            texts = some.column(2)
+            digests = [hashlib.sha256(t).digest() for t in texts.cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(digests, pa.binary()), pa.array(failures(texts), pa.int32())],
+                                             names=["__id", "__part", "__digest", "__fails"])
+    give_back()
 
 
 def _labels(labels: DataFrame, id_col: str) -> DataFrame:
@@ -93,9 +118,10 @@ def _outcomes(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, pa
     the table is a few rows a task.  The first of equal texts is found from the
     smallest ids of their groups.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("__part"),
-                       F.unhex(F.sha2(text.cast("binary"), 256)).alias("__digest"), failures(text).alias("__fails"))
+    narrow = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("__part"),
+                         F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    id_type = narrow.schema["__id"].dataType.simpleString()
+    rows = narrow.mapInArrow(_judged, f"__id {id_type}, __part string, __digest binary, __fails int")
     each = rows.groupBy("__id", "__digest", "__part", "__fails").agg(F.count(F.lit(1)).alias("__n"))
     known = each.join(_labels(labels, id_col), F.col("__id") == F.col("__label_id"), "left").fillna(0, ["__quality", "__toxic"])
     first = F.min(F.struct(F.col("__id").isNull().alias("no_id"), F.col("__id").alias("id"), F.col("__n").alias("n"))).alias("__first")
