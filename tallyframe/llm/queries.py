@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import ann, chat_format, exact_topk, filter_audit, html_extract, line_dedup, ngram_join, packing, sentence_codec, toxicity, url_filter
+from tallyframe.llm import ann, chat_format, collocations, exact_topk, filter_audit, html_extract, line_dedup, ngram_join, packing, sentence_codec, toxicity, url_filter
 from tallyframe.llm.common import table, vocabulary
 
 
@@ -60,13 +60,17 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sentencepiece, op2_ngram_jaccard, op3_packing, op4_multi_index_ann, op5_line_dedup, op6_html_extract, op7_toxicity,
-                            op8_chat_format, op9_exact_topk, op10_url_filter, op12_filter_audit)
+                            op8_chat_format, op9_exact_topk, op10_url_filter, op11_collocations, op12_filter_audit)
 }
 ORACLE: dict[str, str] = {
     "op5_line_dedup": r"""
@@ -106,6 +110,22 @@ fits AS (SELECT page_id, host, path, max(struct_pack(n := length(h || p), h := l
   FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
   GROUP BY page_id, host, path)
 SELECT page_id, host, path, best.rule AS rule, coalesce(best.v, 'allow') AS verdict FROM fits""",
+    "op11_collocations": r"""
+WITH docs AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT doc, lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs),
+words AS (SELECT row_number() OVER () AS id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+spans AS (SELECT lang, w, m.m, unnest(range(1, len(w) - m.m + 2)) AS i FROM words, range(1, 6) m(m)),
+counted AS (SELECT lang, m, w[i:i + m - 1] AS g, count(*) AS f FROM spans GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+cuts AS (SELECT c.lang, c.g, c.f AS a, t.n, k.k, l.f AS l, r.f AS r, (1000::HUGEINT * c.f * t.n) // (l.f::HUGEINT * r.f) AS score
+  FROM counted c JOIN totals t USING (lang) JOIN range(1, 5) k(k) ON k.k < c.m
+  JOIN counted l ON l.lang = c.lang AND l.g = c.g[1:k.k] JOIN counted r ON r.lang = c.lang AND r.g = c.g[k.k + 1:c.m]),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+subs AS (SELECT lang, g, m, f, s.s, unnest(range(1, m - s.s + 2)) AS i FROM counted, range(2, 5) s(s) WHERE s.s < m),
+around AS (SELECT lang, g[i:i + s - 1] AS g, max(f) AS f FROM subs GROUP BY 1, 2),
+kept AS (SELECT lowest.* FROM lowest LEFT JOIN around USING (lang, g) WHERE around.f IS NULL OR 100 * around.f < 100 * a),
+placed AS (SELECT *, array_to_string(g, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM placed WHERE rank <= 2000""",
     "op12_filter_audit": r"""
 WITH docs AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
 words AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM docs),
