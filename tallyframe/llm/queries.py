@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import ann, chat_format, collocations, exact_topk, filter_audit, html_extract, line_dedup, ngram_join, packing, sentence_codec, toxicity, url_filter
+from tallyframe.llm import ann, chat_format, collocations, exact_topk, filter_audit, html_extract, line_dedup, lm_scoring, ngram_join, packing, sentence_codec, toxicity, url_filter
 from tallyframe.llm.common import table, vocabulary
 
 
@@ -68,9 +68,16 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the seven parts of ids, 2 is held out and 5 fits the mixture's weights."""
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    part = F.when(fold == 2, lm_scoring.HELD_OUT).when(fold == 5, lm_scoring.WEIGHTS).otherwise(lm_scoring.ESTIMATES)
+    return lm_scoring.lm_scores(table(spark, sf_dir, "documents"), part)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sentencepiece, op2_ngram_jaccard, op3_packing, op4_multi_index_ann, op5_line_dedup, op6_html_extract, op7_toxicity,
-                            op8_chat_format, op9_exact_topk, op10_url_filter, op11_collocations, op12_filter_audit)
+                            op8_chat_format, op9_exact_topk, op10_url_filter, op11_collocations, op12_filter_audit, op13_lm_scoring)
 }
 ORACLE: dict[str, str] = {
     "op5_line_dedup": r"""

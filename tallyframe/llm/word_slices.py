@@ -124,6 +124,13 @@ def chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Record
             yield batch.slice(lo, hi - lo)
 
 
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one at a time: a row is a whole slice."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def words_of(sliced: DataFrame, classes: int = 1) -> DataFrame:
     """``slice, local, group, word, n0, ...``: a row for each distinct word of a slice."""
     listed = F.arrays_zip("words", *[f"n{i}" for i in range(classes)])
