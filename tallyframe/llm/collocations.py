@@ -157,13 +157,11 @@ def _counted(lines: DataFrame, ids: DataFrame, buckets: int, words: bool) -> Dat
 
 def _frequent(blocks: DataFrame, least: int) -> DataFrame:
     """``slice, keys, totals``: the frequent pairs of each slice; with slice -1, all of a bucket with their counts."""
-    def reply(slices, keys, which, sums):
-        first, total = sums
-        often = total >= least
-        yield {"slice": -1, "keys": keys[often].astype("i8").tolist(), "totals": total[often].tolist()}
-        for i, s in enumerate(slices):
-            mine = which[first[i]:first[i + 1]]
-            yield {"slice": s, "keys": keys[mine[often[mine]]].astype("i8").tolist(), "totals": None}
+    def reply(rows, keys, places, sums):
+        often = sums[0] >= least
+        yield {"slice": -1, "keys": keys[often].astype("i8").tolist(), "totals": sums[0][often].tolist()}
+        for row, mine in zip(rows, places):
+            yield {"slice": row["slice"], "keys": keys[mine[often[mine]]].astype("i8").tolist(), "totals": None}
     return W.added_up(blocks, ["n0"], reply, "slice long, keys array<long>, totals array<long>")
 
 

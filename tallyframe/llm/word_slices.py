@@ -39,10 +39,13 @@ def kinds(blanks: bytes, breaks: bytes = b"") -> np.ndarray:
     return table
 
 
+_SMALLER = pa.Codec("zstd", compression_level=4)
+
+
 def packed(numbers: np.ndarray) -> bytes:
     """Numbers as compressed bytes, low bytes first, then the next ones, and so on."""
     planes = np.ascontiguousarray(numbers).view("u1").reshape(-1, numbers.dtype.itemsize).T
-    return np.array([len(numbers)], "<i8").tobytes() + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+    return np.array([len(numbers)], "<i8").tobytes() + _SMALLER.compress(planes.tobytes(), asbytes=True)
 
 
 def unpacked(data: bytes, dtype: str) -> np.ndarray:
@@ -59,6 +62,15 @@ def unpacked_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unpacked(data, "u8"), dtype="u8")
 
 
+def packed_words(words: list[bytes]) -> bytes:
+    """Words (that hold no ASCII white space) as compressed bytes."""
+    return packed(np.frombuffer(b"\n".join(words), "u1"))
+
+
+def unpacked_words(data: bytes) -> bytes:
+    return unpacked(data, "u1").tobytes()
+
+
 def split_words(texts: list[bytes], kind: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]:
     """Words of the texts with A-Z lower-cased: the words, the first word of each text (and the end), whether a break stands before a word."""
     raw = np.frombuffer(b"\n".join(texts), "u1")
@@ -99,18 +111,22 @@ class Numbers:
             self.groups.append((group, before + 1, len(self.words)))
         return np.array(numbers, "u4")[words.indices.to_numpy()] if numbers else np.empty(0, "u4")
 
+    def counted(self) -> list[np.ndarray]:
+        """Counts of the numbers 1, 2, ... by class."""
+        return [np.pad(c, (0, len(self.words) + 1 - len(c)))[1:] for c in self.counts]
+
     def count(self, which: int, numbers: np.ndarray) -> None:
         new = np.bincount(numbers, minlength=len(self.words) + 1)
         new[:len(self.counts[which])] += self.counts[which]
         self.counts[which] = new
 
     def rows(self, of_slice: int) -> Iterator[dict]:
-        counts = [np.pad(c, (0, len(self.words) + 1 - len(c))) for c in self.counts]
+        counts = self.counted()
         for group, first, last in self.groups:
             for lo in range(first, last + 1, ROW_WORDS):
                 hi = min(lo + ROW_WORDS, last + 1)
                 yield {"slice": of_slice, "group": group, "first": lo, "words": [w.decode() for w in self.words[lo - 1:hi - 1]],
-                       **{f"n{i}": c[lo:hi].tolist() for i, c in enumerate(counts)}}
+                       **{f"n{i}": c[lo - 1:hi - 1].tolist() for i, c in enumerate(counts)}}
 
 
 def slice_number(nth: int) -> int:
@@ -139,9 +155,9 @@ def words_of(sliced: DataFrame, classes: int = 1) -> DataFrame:
         *[F.col(f"w.n{i}").alias(f"n{i}") for i in range(classes)])
 
 
-def bucketed(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of ascending keys by bucket."""
-    where = (mixed(keys) % np.uint64(buckets)).astype("i8")
+def bucketed(keys: np.ndarray, buckets: int, hashed: bool = False) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of keys by bucket; those that are hashes already are cut by their range, so that they lie close in a block."""
+    where = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32) if hashed else mixed(keys) % np.uint64(buckets)).astype("i8")
     order = np.argsort(where, kind="stable")
     cuts = np.searchsorted(where[order], np.arange(buckets + 1))
     for b in range(buckets):
@@ -149,24 +165,31 @@ def bucketed(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]
             yield b, order[cuts[b]:cuts[b + 1]]
 
 
-def added_up(blocks: DataFrame, counts: list[str], reply: Callable[[list, np.ndarray, np.ndarray, list[np.ndarray]], Iterator[dict]], schema: str) -> DataFrame:
+def added_up(blocks: DataFrame, counts: list[str], reply: Callable[[list, pa.Array, list[np.ndarray], list[np.ndarray]], Iterator[dict]], schema: str, words: bool = False) -> DataFrame:
     """Add up the blocks ``bucket, slice, keys, <counts>`` of each bucket and let ``reply`` say what goes out.
 
-    ``reply`` gets the slices, the bucket's distinct keys, where each entry's key is among them
-    (block after block, in the slices' order; with the block's first entry as the fourth argument's head) and the sums.
+    ``reply`` gets the blocks' rows, the bucket's distinct keys (``words``: the words), where each block's
+    keys are among them, and the sums.
     """
     def merge(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
-        keys = [unpacked_sorted(r["keys"]) for r in rows]
-        first = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
-        every = np.concatenate(keys)
-        order = np.argsort(every, kind="stable")
-        ranked = every[order]
-        head = np.diff(ranked, prepend=ranked[:1] - np.uint64(1)) != 0
-        which = np.empty(len(every), "i8")
-        which[order] = np.cumsum(head) - 1
-        sums = [np.bincount(which, np.concatenate([unpacked(r[c], "u4") for r in rows]), int(head.sum())).astype("i8") for c in counts]
-        out = pa.Table.from_pylist(list(reply([r["slice"] for r in rows], ranked[head], which, [first, *sums])), wire)
+        if words:
+            keys = [unpacked_words(r["keys"]).split(b"\n") for r in rows]
+            coded = pa.array([w for k in keys for w in k], pa.binary()).dictionary_encode()
+            distinct, which = coded.dictionary, coded.indices.to_numpy()
+        else:
+            keys = [unpacked_sorted(r["keys"]) for r in rows]
+            every = np.concatenate(keys)
+            order = np.argsort(every, kind="stable")
+            in_order = every[order]
+            head = np.diff(in_order, prepend=in_order[:1] - np.uint64(1)) != 0
+            which = np.empty(len(every), "i4")
+            which[order] = np.cumsum(head, dtype="i4") - 1
+            distinct = in_order[head]
+            del every, order, in_order, head
+        sums = [np.bincount(which, np.concatenate([unpacked(r[c], "u4") for r in rows]), len(distinct)).astype("i8") for c in counts]
+        places = np.split(which, np.cumsum([len(k) for k in keys])[:-1])
+        out = pa.Table.from_pylist(list(reply(rows, distinct, places, sums)), wire)
         give_back()
         return out
 

@@ -77,7 +77,8 @@ def test_equals_the_model_token_by_token(spark):
 
 
 def test_slices_and_buckets_change_nothing(spark, monkeypatch):
-    for name, value in (("SLICE_BYTES", 2000), ("CHUNK_BYTES", 700), ("ROW_WORDS", 3), ("BUCKET_WORDS", 500)):
+    monkeypatch.setattr(M, "STRETCH", 7)
+    for name, value in (("SLICE_BYTES", 2000), ("CHUNK_BYTES", 700), ("BUCKET_WORDS", 500)):
         monkeypatch.setattr(W, name, value)
     rows = some_rows()
     got = M.lm_scores(spark.createDataFrame(rows, DDL).repartition(4), F.col("part"))
