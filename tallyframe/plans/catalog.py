@@ -819,6 +819,7 @@ def log_stream_counts(spark, sf_dir):
 from tallyframe.operators import numbering as N  # noqa: E402
 from tallyframe.operators import reports as R  # noqa: E402
 from tallyframe.sources import ledger_store as S  # noqa: E402
+from tallyframe.sources.documents import write_arrays  # noqa: E402
 
 _STORED_SQL = """(SELECT *, CASE kind WHEN 0 THEN 'corrupt' WHEN 1 THEN 'corrupt' WHEN 8 THEN 'corrupt' WHEN 3 THEN 'amount_type' WHEN 4 THEN 'amount_type'
           WHEN 5 THEN 'amount_type' WHEN 6 THEN 'date' WHEN 7 THEN 'text' WHEN 9 THEN 'amount_value' END AS error_code,
@@ -833,7 +834,8 @@ _STORED_SQL = """(SELECT *, CASE kind WHEN 0 THEN 'corrupt' WHEN 1 THEN 'corrupt
 
 
 def _stored(spark, sf_dir):
-    lines = shared_table(B.stored_records(spark, sf_dir), "stored")  # as a file of lines would be
+    files = 2 * spark.sparkContext.defaultParallelism  # several, as a ledger has
+    lines = shared_table(B.stored_records(spark, sf_dir).repartition(files), "stored")
     return S.typed_elements(lines.select("pos", F.try_parse_json("value").alias("v")))
 
 
@@ -856,10 +858,31 @@ def ledger_load_first_error(spark, sf_dir):
     return rules.first_failure(_stored(spark, sf_dir))
 
 
+def _folder(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@register("ledger_array_load", f"SELECT txn_id, date, title, category, amount, description FROM {B.LEDGER_SQL}")
+def ledger_array_load(spark, sf_dir):
+    """The ledger written as JSON array files and loaded by the strict rules; every file numbers its own records."""
+    folder, rows = _folder(spark, "ledger-arrays"), B.ledger(spark, sf_dir)
+    write_arrays(rows.select(L.serialize(rows).alias("value")), folder)
+    return S.load_ledger(spark, folder).drop("pos")
+
+
+@register("ledger_lines_load", f"""
+SELECT row_number() OVER (ORDER BY pos) - 1 AS pos, txn_id, date, title, category, amount, description FROM {B.LEDGER_SQL}""")
+def ledger_lines_load(spark, sf_dir):
+    """The ledger written as JSON Lines and loaded by the strict rules, numbered by line."""
+    folder, rows = _folder(spark, "ledger-lines"), B.ledger(spark, sf_dir)
+    write_lines(rows.orderBy("pos").select(L.serialize(rows).alias("value")), folder)
+    return S.load_ledger(spark, folder, json_lines=True)
+
+
 @register("ledger_store_roundtrip", f"SELECT * FROM {B.LEDGER_SQL}")
 def ledger_store_roundtrip(spark, sf_dir):
     """The ledger saved to the parquet store and loaded again."""
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex[:12]}"
+    folder = _folder(spark, "ledger")
     S.PARQUET_STORAGE.save(B.ledger(spark, sf_dir), folder)
     return S.PARQUET_STORAGE.load(spark, folder)
 

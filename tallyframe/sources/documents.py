@@ -1,7 +1,10 @@
-"""Document sinks: one pretty JSON document per record."""
+"""Document sinks: one pretty JSON document per record, and JSON array files."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tallyframe.operators.records import pretty_json
@@ -12,3 +15,18 @@ def write_json_documents(df: DataFrame, path: str, indent: int = 2) -> None:
     layout), one document per text record, replacing ``path``."""
     df.select(pretty_json(df, indent).alias("value")).write.mode("overwrite").option(
         "lineSep", "\n\n").text(path)
+
+
+def write_arrays(df: DataFrame, path: str, col: str = "value") -> None:
+    """JSON array files, one for each partition of ``df``: its records' JSON texts, in order, one a line."""
+    def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark = "["
+        for batch in batches:
+            lines = []
+            for text in batch.column(0).to_pylist():
+                lines.append(mark + text)
+                mark = ","
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_pylist([{"value": "]" if mark == "," else "[]"}])
+
+    df.select(col).mapInArrow(bracketed, "value string").write.mode("overwrite").text(path)

@@ -3,10 +3,10 @@
 Load (``load_ledger``):
 
 * a missing path is an empty ledger (first run);
-* one JSON array per file (the interchange form) is parsed as Variant so
-  ``20``, ``"20"`` and ``20.0`` stay distinguishable, then exploded with its
-  position; JSON Lines (``json_lines=True``) is the scale form, one record per
-  line, split across tasks;
+* one JSON array per file (the interchange form) is cut into its elements by
+  many tasks (``sources.json_array``), JSON Lines (``json_lines=True``) holds one
+  record per line; both are parsed as Variant so ``20``, ``"20"`` and ``20.0``
+  stay distinguishable;
 * every element is checked in a fixed order — shape, missing fields, title,
   category, amount type, amount value, date, description — and the first
   failure per element is kept with its position;
@@ -29,9 +29,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.functions.text import py_repr, ustrip
-from tallyframe.functions.values import amount_from_variant, date_from_text
+from tallyframe.functions.values import amount_from_text, amount_from_variant, date_from_text
 from tallyframe.operators import ledger as L
-from tallyframe.operators.rules import Split, ValidationError, first_failure, quarantine, with_errors
+from tallyframe.operators.rules import Split, ValidationError, first_error, first_failure, quarantine
+from tallyframe.session import shared_table
+from tallyframe.sources.json_array import ArraySyntaxError, NotAnArray, read_array
 
 REQUIRED = ["amount", "category", "date", "description", "title", "txn_id"]
 
@@ -125,34 +127,53 @@ def _staged_rules() -> list[tuple[str, Column]]:
     ]
 
 
-def _typed_columns(v: str = "v") -> list[Column]:
-    return [
-        F.col("pos").cast("bigint").alias("pos"),
-        F.try_variant_get(F.col(v), "$.txn_id", "bigint").alias("txn_id"),
-        F.col("__date").alias("date"),
-        ustrip(F.col("__s_title")).alias("title"), ustrip(F.col("__s_category")).alias("category"),
-        F.col("__money").alias("amount"),
-        ustrip(F.col("__s_description")).alias("description"),
-    ]
+# Fixed value: how the schema of a record of the stored form reads, amounts as text.
+_PLAIN = (r"^OBJECT<amount: STRING, category: STRING, date: STRING, description: STRING, (pos: BIGINT, )?"
+          r"title: STRING, txn_id: (BIGINT|VOID)>$")
+
+
+def _checked(elements: DataFrame, v: str = "v", with_errors_: bool = True) -> DataFrame:
+    """``pos``, typed ledger columns and (``with_errors_``) ``error_code, reason`` of every element.
+
+    One look at an element's schema tells whether it has the stored form; such
+    an element is good if its five values are.  Only what is left is taken apart
+    field by field for the rules.  Fields and results come out of generators, which
+    filters are not pushed through: a filter on the error would copy the whole
+    chain of rules, and what it reads, into itself.
+    """
+    doc = F.col("__doc")
+    seen = elements.select("pos", F.col(v).alias("__doc"), F.schema_of_variant(F.col(v)).rlike(_PLAIN).alias("__plain"))
+    read = seen.select("*", *[F.when(F.col("__plain"), F.variant_get(doc, f"$.{name}", "string")).alias(f"__t_{name}") for name in FIELD_NAMES])
+    valued = read.withColumns({
+        **{f"__t_{name}": ustrip(F.col(f"__t_{name}")) for name in ("title", "category", "description")},
+        "__t_amount": amount_from_text(F.col("__t_amount")), "__t_date": date_from_text(F.col("__t_date"))})
+    ok = F.coalesce(F.col("__plain") & (F.col("__t_title") != "") & (F.col("__t_category") != "") & (F.col("__t_amount") > 0) & F.col("__t_date").isNotNull(), F.lit(False))
+    staged = _stage(valued.withColumn("__ok", ok).withColumn("v", F.when(~F.col("__ok"), doc)))
+
+    def one(name: str, checked: Column) -> Column:
+        return F.when(F.col("__ok"), F.col(f"__t_{name}")).otherwise(checked).alias(name)
+
+    staged = staged.select(F.inline(F.array(F.struct(*staged.columns))))
+    columns = [
+        F.col("pos"), F.try_variant_get(doc, "$.txn_id", "bigint").alias("txn_id"), one("date", F.col("__date")),
+        one("title", ustrip(F.col("__s_title"))), one("category", ustrip(F.col("__s_category"))), one("amount", F.col("__money")),
+        one("description", ustrip(F.col("__s_description")))]
+    if with_errors_:
+        columns += [F.when(~F.col("__ok"), e).alias(name) for name, e in zip(("error_code", "reason"), first_error(_staged_rules()))]
+    checked = staged.select(*columns)
+    return checked.select(F.inline(F.array(F.struct(*checked.columns)))) if with_errors_ else checked
 
 
 def typed_values(elements: DataFrame) -> DataFrame:
     """Typed ledger columns only (for input already known to be valid)."""
-    return _stage(elements).select(*_typed_columns())
+    return _checked(elements, with_errors_=False).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def typed_elements(elements: DataFrame, v: str = "v") -> DataFrame:
     """``pos, v`` (variant) → typed ledger columns plus ``error_code``/``error``."""
-    checked = with_errors(_stage(elements.withColumnRenamed(v, "v"), "v"), _staged_rules(), msg_col="reason")
-    return checked.select(
-        F.col("pos").cast("bigint").alias("pos"),
-        F.try_variant_get(F.col(v), "$.txn_id", "bigint").alias("txn_id"),
-        F.col("__date").alias("date"),
-        ustrip(F.col("__s_title")).alias("title"), ustrip(F.col("__s_category")).alias("category"),
-        F.col("__money").alias("amount"),
-        ustrip(F.col("__s_description")).alias("description"),
-        "error_code", _message(F.col("error_code"), F.col("reason"), F.col("pos")).alias("error"),
-    )
+    checked = _checked(elements, v)
+    return checked.select(F.col("pos").cast("bigint").alias("pos"), *[c for c in checked.columns if c not in ("pos", "reason")],
+                          _message(F.col("error_code"), F.col("reason"), F.col("pos")).alias("error"))
 
 
 def _message(code: Column, reason: Column, position: Column) -> Column:
@@ -183,21 +204,15 @@ def read_elements(spark: SparkSession, path: str, json_lines: bool = False) -> D
                 "value")
             lines = lines.where(ustrip("value") != "")
             return lines.select("pos", F.try_parse_json("value").alias("v"))
-        doc = spark.read.text(path, wholetext=True)
-        parsed = doc.select(F.try_parse_json("value").alias("doc"))
-        head = parsed.select(F.col("doc").isNull().alias("invalid"),
-                             F.coalesce(_kind(F.col("doc")), F.lit("VOID")).alias("kind")).collect()
+        return read_array(spark, path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return None
         raise LoadError(f"Could not load expenses from {path}: {e}") from e
-    for row in head:  # one row per file: bounded by the number of files
-        if row["invalid"]:
-            raise LoadError(f"Could not load expenses from {path}: invalid JSON")
-        if row["kind"] != "ARRAY":
-            got = PY_TYPE.get(row["kind"], "float" if row["kind"] == "DECIMAL" else "object")
-            raise LoadError(f"Could not load expenses from {path}: expected a list of records, got {got}")
-    return parsed.select(F.posexplode(F.col("doc").cast("array<variant>")).alias("pos", "v"))
+    except ArraySyntaxError as e:
+        raise LoadError(f"Could not load expenses from {path}: {e}") from e
+    except NotAnArray as e:
+        raise LoadError(f"Could not load expenses from {path}: expected a list of records, got {e.kind}") from e
 
 
 def load_ledger(spark: SparkSession, path: str, mode: str = "strict",
@@ -223,7 +238,7 @@ def load_ledger(spark: SparkSession, path: str, mode: str = "strict",
             {"error_code": F.lit(None).cast("string"), "error": F.lit(None).cast("string")}))
     if json_lines:
         return _load_lines(spark, path, elements, mode, own_pos)
-    typed = typed_elements(elements)
+    typed = shared_table(typed_elements(elements), "ledger-checked")
     if mode == "strict":
         _raise_first(path, typed.select("pos", "error_code", "error"))
         return typed.drop("error_code", "error")
@@ -244,34 +259,39 @@ def _raise_first(path: str, checked: DataFrame) -> None:
 def _load_lines(spark: SparkSession, path: str, elements: DataFrame, mode: str, own_pos: bool):
     """JSON Lines.  A saved version carries positions, which ``save_ledger``
     found to be distinct; any other file is numbered by line, whatever its
-    records say.  A strict load checks on the file-order key first (one pass)
-    and counts the line of a failure only when there is one."""
+    records say.  Lines are parsed and checked once, on the file-order key; the
+    line of a failure is counted only when there is one."""
     from tallyframe.operators.numbering import with_row_number
     from tallyframe.sources.logs import read_log_text
 
-    def positioned() -> DataFrame:
+    if own_pos:
+        own = F.try_variant_get(F.col("v"), "$.pos", "bigint")
+        elements = elements.withColumn("pos", F.struct("pos.*", own.alias("own")))
+    else:
+        elements = read_log_text(spark, path).where(ustrip("value") != "").select("pos", F.try_parse_json("value").alias("v"))
+    checked = shared_table(_checked(elements), "ledger-checked")  # parsed once: the checks and all later reads take it from here
+
+    def numbered() -> DataFrame:
         if own_pos:
-            return elements.withColumn("pos", F.try_variant_get(F.col("v"), "$.pos", "bigint"))
-        lines = read_log_text(spark, path).where(ustrip("value") != "")
-        return with_row_number(lines, "pos", "__line").select(
-            (F.col("__line") - 1).alias("pos"), F.try_parse_json("value").alias("v"))
+            return checked.withColumn("pos", F.col("pos.own"))
+        return with_row_number(checked, "pos", "__line").withColumn("pos", F.col("__line") - 1).drop("__line")
 
     if mode == "strict":
-        checked = with_errors(_stage(elements), _staged_rules(), msg_col="reason")
-        failed = F.when(F.col("reason").isNotNull(), F.col("pos"))
+        failed = F.when(F.col("error_code").isNotNull(), F.col("pos"))
         probe = checked.agg(F.min(failed).alias("position"), F.min_by(F.struct("error_code", "reason"), failed).alias("what")).first()
         if probe["position"] is not None:
             first, (code, reason) = probe["position"], probe["what"]
-            index = elements.where(F.col("pos") < F.struct(
-                F.lit(first["file"]).alias("file"), F.lit(first["block"]).alias("block"),
-                F.lit(first["row"]).alias("row"))).count()
+            if own_pos:
+                first = F.struct(*[F.lit(v).alias(k) for k, v in first.asDict().items()])
+            index = checked.where(F.col("pos") < first).count()
             msg = spark.range(1).select(_message(F.lit(code), F.lit(reason), F.lit(index))).first()[0]
             if code == L.E_LOAD:
                 raise LoadError(f"Could not load expenses from {path}: {msg}")
             raise ValidationError(index, code, msg)
-        return typed_values(positioned())
+        return numbered().drop("error_code", "reason")
     if mode == "quarantine":
-        return quarantine(typed_elements(positioned()))
+        told = numbered().withColumn("error", _message(F.col("error_code"), F.col("reason"), F.col("pos"))).drop("reason")
+        return quarantine(told)
     raise ValueError(f"unknown mode {mode!r}")
 
 
