@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.operators.numbering import _CELL, _RANGE, assign_cells, numeric_key, plan_cells
+from tallyframe.operators.numbering import _CELL, _PLACE, in_cells
+from tallyframe.session import shared_table
 
 
 def response_summary(df: DataFrame, status_col: str = "status") -> DataFrame:
@@ -28,18 +29,17 @@ def peak_overlap(df: DataFrame, start: str = "start", end: str = "end",
     range, and the last step sees one row per range, a constant number.
     """
     intervals = df.where(F.col(start).isNotNull()).select(F.col(start).alias("t"), F.col(end).alias("end"))
-    cells = plan_cells(intervals, numeric_key(intervals, "t"), None, buckets)
     deltas = intervals.select(F.inline(F.array(
         F.struct(F.col("t"), F.lit(1).alias("d")), F.struct(F.col("end").alias("t"), F.lit(-1).alias("d"))))).where("t is not null")
     net = deltas.groupBy("t").agg(F.sum("d").cast("bigint").alias("d"))
-    placed = assign_cells(net, numeric_key(net, "t"), cells)
+    placed, _ = in_cells(shared_table(net, "instants"), [F.col("t").asc()], buckets)
 
     def add_up(rows: DataFrame, keys: list[str], within: Window) -> DataFrame:
         run = F.coalesce(F.sum("d").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("peak")
         return rows.withColumn("run", run).groupBy(*keys).agg(F.sum("d").alias("d"), F.max("run").alias("peak"))
 
     instants = placed.withColumn("peak", F.col("d"))
-    by_cell = add_up(instants, [_RANGE, _CELL], Window.partitionBy(_RANGE, _CELL).orderBy("t"))
-    by_range = add_up(by_cell, [_RANGE], Window.partitionBy(_RANGE).orderBy(_CELL))
-    whole = add_up(by_range, [], Window.orderBy(_RANGE))
+    by_cell = add_up(instants, [_CELL], Window.partitionBy(_CELL).orderBy(_PLACE))
+    by_many = add_up(by_cell.withColumn("__tf_many", F.shiftright(_CELL, 12)), ["__tf_many"], Window.partitionBy("__tf_many").orderBy(_CELL))
+    whole = add_up(by_many, [], Window.orderBy("__tf_many"))
     return whole.select(F.greatest(F.coalesce("peak", F.lit(0)), F.lit(0)).cast("bigint").alias("peak"))

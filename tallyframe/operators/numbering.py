@@ -1,170 +1,66 @@
 """Global row numbers, pages and id assignment without a one-partition window.
 
 ``row_number() OVER (ORDER BY pos)`` with no partition moves every row into a
-single task.  Instead the order key is cut into ``RANGES`` ranges at quantiles
-(a sketch of constant size), each range into as many equal cells as its rows
-need, rows are numbered inside their cell by a window partitioned on the cell,
-and cells are shifted by the counts of those before.  A value that fills whole
-quantiles is a range of its own and is cut by the tie column instead, so equal
-keys are split too.  The number of cells follows the rows without a ceiling;
-what reaches the driver is the sketch and one count per range, both constant.
+single task.  Instead the rows are dealt into cells, ranges of the whole order
+(key and tie columns together, of any type) whose ends Spark samples from the
+data, as many as the rows need.  Each cell is sorted and written once with every
+row's place in it; a row's number is its place plus the rows of the cells before.
+A value that a third of the rows share is cut by the tie columns like any other
+stretch of the order, and so are texts with a long common beginning.
 
 The order key (with its tie columns) must be unique, or any numbering is
-ambiguous.  Cells are a pure function of the key and fixed numbers, so a stage
-that is run again after a lost executor gives the same numbers, and the split
-points only balance: they never change the answer.
+ambiguous.  Numbers are read from the written cells, so a stage that is run again
+after a lost executor gives the same ones, and the sampled ends only balance:
+they never change the answer.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-import numpy as np
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.session import shared_table
 
-_KEY = "__tf_key"
-_TIE = "__tf_tie"
-_RANGE = "__tf_range"
 _CELL = "__tf_cell"
+_PLACE = "__tf_place"
 _OFFSET = "__tf_offset"
-_COUNT = "__tf_count"
 
-#: First-level ranges, accuracy of the sketch, and rows that a cell should hold.
-RANGES, ACCURACY, CELL_ROWS = 256, 4096, 1_000_000
+#: Rows that a cell should hold; cells whose offsets (16 bytes each) are sent to all executors, beyond them they are joined by a shuffle.
+CELL_ROWS, MOST_BROADCAST_CELLS = 1_000_000, 1_000_000
 
 
-def numeric_key(df: DataFrame, order_col: str, descending: bool = False):
-    """A double that never decreases when ``order_col`` increases.
+def in_cells(df: DataFrame, order: list[Column], cells: int | None = None) -> tuple[DataFrame, int]:
+    """The rows written in cells, and how many cells were asked for.
 
-    Dates become day numbers and timestamps microseconds since the epoch;
-    ``timestamp_ntz`` is measured without going through the session time
-    zone (a DST gap would otherwise break monotonicity).  Precision loss on
-    very large keys only merges neighbours into one bucket, never reorders.
+    Adds the cell and the place (from 0) of every row; cells and places ascend
+    with the order.
     """
-    dtype = df.schema[order_col].dataType.typeName()
-    c = F.col(order_col)
-    if dtype == "date":
-        c = F.unix_date(c)
-    elif dtype == "timestamp_ntz":
-        c = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{order_col}`)")
-    elif dtype.startswith("timestamp"):
-        c = F.unix_micros(c)
-    # Null keys sort first in an ascending Spark sort and last in a
-    # descending one; negating makes a descending order ascending.
-    if descending:
-        return F.coalesce(-c.cast("double"), F.lit(float("inf")))
-    return F.coalesce(c.cast("double"), F.lit(float("-inf")))
-
-
-@dataclass
-class Cells:
-    """Where to cut: ranges of the key, cells of a range, and cuts of a tie column."""
-
-    splits: list[float]
-    per_range: int
-    heavy: list[int]
-    ties: list[float]
-
-    @property
-    def simple(self) -> bool:
-        return self.per_range == 1 and not self.heavy
-
-
-def _finite(values) -> list[float]:
-    return sorted({float(v) for v in values or [] if v is not None and v == v and abs(v) != float("inf")})
-
-
-def plan_cells(df: DataFrame, key: Column, tie: Column | None = None, ranges: int | None = None) -> Cells:
-    """One aggregate over the key (and tie) column: quantiles and the row count."""
-    ranges = RANGES if ranges is None else max(1, ranges)
-    probs = [i / ranges for i in range(1, ranges)] or [0.5]
-    tie = F.lit(None).cast("double") if tie is None else tie
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high"),
-                 F.percentile_approx(key, probs, ACCURACY).alias("q"), F.percentile_approx(tie, probs, ACCURACY).alias("t")).first()
-    q = [float(v) for v in (row["q"] or []) if abs(v) != float("inf")] if ranges > 1 else []
-    heavy = _finite(v for v, w in zip(q, q[1:]) if v == w) if row["t"] else []  # fills a whole quantile
-    inner = sorted(set(q) | {float(np.nextafter(v, np.inf)) for v in heavy})
-    splits = [float("-inf"), *inner, float("inf")]
-    per_range = max(1, -(-(row["n"] or 0) // (ranges * CELL_ROWS)))
-    return Cells(splits, per_range, [splits.index(v) for v in heavy], _finite(row["t"]) if heavy else [])
-
-
-def _range_of(df: DataFrame, column: str, splits: list[float], out: str) -> DataFrame:
-    """Number of the range a value falls in (JVM binary search over the splits)."""
-    if len(splits) < 3:
-        return df.withColumn(out, F.lit(0))
-    return Bucketizer(splits=splits, inputCol=column, outputCol=out, handleInvalid="keep").transform(df).withColumn(out, F.col(out).cast("int"))
-
-
-def assign_cells(df: DataFrame, key: Column, cells: Cells, tie: Column | None = None) -> DataFrame:
-    """Add the range and cell of every row; both never decrease in key (and tie) order."""
-    ranged = _range_of(df.withColumn(_KEY, key), _KEY, cells.splits, _RANGE)
-    if cells.simple:
-        return ranged.withColumn(_CELL, F.lit(0).cast("bigint")).drop(_KEY)
-    cell = F.lit(0).cast("bigint")
-    if cells.per_range > 1:  # equal steps between the range's ends
-        ends = F.array(*[F.lit(s) for s in cells.splits])
-        low, high = F.get(ends, F.col(_RANGE)), F.get(ends, F.col(_RANGE) + 1)
-        low = F.when(F.col(_RANGE) == 0, high - F.abs(high) - 1).otherwise(low)  # open ends: a step beyond
-        high = F.when(F.col(_RANGE) == len(cells.splits) - 2, low + F.abs(low) + 1).otherwise(high)
-        step = F.floor((F.col(_KEY) - low) / (high - low) * cells.per_range)
-        cell = F.least(F.greatest(F.coalesce(step, F.lit(0)), F.lit(0)), F.lit(cells.per_range - 1)).cast("bigint")
-    if cells.heavy and cells.ties:
-        ranged = _range_of(ranged.withColumn(_TIE, tie), _TIE, [float("-inf"), *cells.ties, float("inf")], "__tf_tie_range").drop(_TIE)
-        cell = F.when(F.col(_RANGE).isin(cells.heavy), F.col("__tf_tie_range").cast("bigint")).otherwise(cell)
-    return ranged.withColumn(_CELL, cell).drop(_KEY, "__tf_tie_range")
-
-
-def _prefix(totals: list) -> dict[int, int]:
-    out, before = {}, 0
-    for r, n in sorted(totals):
-        out[r], before = before, before + n
-    return out
-
-
-def _offsets(counts: DataFrame) -> DataFrame:
-    """Rows before each cell.  Ranges are constant in number and are summed on the
-    driver; cells are summed inside their range."""
-    base = _prefix([tuple(r) for r in counts.groupBy(_RANGE).agg(F.sum(_COUNT)).collect()])
-    inside = Window.partitionBy(_RANGE).orderBy(_CELL).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(_RANGE, _CELL, (F.coalesce(F.sum(_COUNT).over(inside), F.lit(0)) + _lookup(base)).cast("bigint").alias(_OFFSET))
-
-
-def _lookup(base: dict[int, int]) -> Column:
-    if not base:
-        return F.lit(0).cast("bigint")
-    return F.get(F.array(*[F.lit(base.get(i, 0)).cast("bigint") for i in range(max(base) + 1)]), F.col(_RANGE))
+    if cells is None:
+        cells = max(1, -(-df.count() // CELL_ROWS))
+    at = F.monotonically_increasing_id()
+    dealt = df.repartitionByRange(cells, *order).sortWithinPartitions(*order).withColumn("__tf_at", at)
+    placed = dealt.withColumns({_CELL: F.shiftright("__tf_at", 33), _PLACE: F.col("__tf_at").bitwiseAND((1 << 33) - 1)}).drop("__tf_at")
+    return shared_table(placed, "cells"), cells
 
 
 def with_row_number(df: DataFrame, order_col: str, out: str = "rn",
                     buckets: int | None = None, descending: bool = False,
                     tie_cols: tuple[str, ...] = ()) -> DataFrame:
     """Add a 1-based ``bigint`` row number in ``order_col`` order (ascending
-    unless ``descending``), ties broken by ``tie_cols`` ascending (the first
-    one numeric, to cut a value that very many rows share).
+    unless ``descending``), ties broken by ``tie_cols`` ascending.
 
-    ``buckets`` sets the number of first-level ranges.  Cost: the input is read
-    for the sketch, for the counts (both pruned to the key) and for the
-    numbering, which shuffles the rows once by cell; write an expensive derived
-    input to a table first (``rank_desc`` does).
+    Null keys come first in an ascending order and last in a descending one.
+    ``buckets`` sets the number of cells.  Cost: the rows are counted, the order
+    is sampled, and the rows are shuffled and written once.
     """
-    key = numeric_key(df, order_col, descending)
-    tie = numeric_key(df, tie_cols[0]) if tie_cols else None
-    cells = plan_cells(df, key, tie, buckets)
-    placed = assign_cells(df, key, cells, tie)
-    counts = placed.groupBy(_RANGE, _CELL).agg(F.count(F.lit(1)).alias(_COUNT))
-    if cells.simple:  # one cell a range: a look-up by its number, no join
-        base = _prefix([(r[_RANGE], r[_COUNT]) for r in counts.collect()])
-        numbered = placed.withColumn(_OFFSET, _lookup(base))
-    else:
-        numbered = placed.join(_offsets(counts), [_RANGE, _CELL])
-    first = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    inside = Window.partitionBy(_RANGE, _CELL).orderBy(first, *[F.col(c).asc() for c in tie_cols])
-    return numbered.withColumn(out, (F.col(_OFFSET) + F.row_number().over(inside)).cast("bigint")).drop(_RANGE, _CELL, _OFFSET)
+    order = [F.col(order_col).desc() if descending else F.col(order_col).asc(), *[F.col(c).asc() for c in tie_cols]]
+    placed, cells = in_cells(df, order, buckets)
+    sizes = placed.groupBy(_CELL).agg(F.count(F.lit(1)).alias("__tf_count"))
+    before = Window.orderBy(_CELL).rowsBetween(Window.unboundedPreceding, -1)  # a row a cell
+    offsets = sizes.select(_CELL, F.coalesce(F.sum("__tf_count").over(before), F.lit(0)).alias(_OFFSET))
+    if cells <= MOST_BROADCAST_CELLS:
+        offsets = F.broadcast(offsets)
+    return placed.join(offsets, _CELL).withColumn(out, (F.col(_OFFSET) + F.col(_PLACE) + 1).cast("bigint")).drop(_CELL, _PLACE, _OFFSET)
 
 
 def rank_desc(grouped: DataFrame, value: str, first_seen: str, out: str = "rank") -> DataFrame:
@@ -177,15 +73,13 @@ def rank_desc(grouped: DataFrame, value: str, first_seen: str, out: str = "rank"
 
 
 def rank_text(df: DataFrame, name: str, out: str) -> DataFrame:
-    """Place of each row in the order of a text column's code points, from 0.
+    """Place of each row in the order of a text column's code points, from 0 (a null counts as the empty text).
 
-    Rows are cut by the text's first six bytes as a number, those that share
-    them by the next six.  The rows should be written already.
+    The rows should be written already.
     """
-    hexed = F.rpad(F.hex(F.encode(F.coalesce(F.col(name), F.lit("")), "UTF-8")), 24, "0")
-    keys = {f"__tf_bytes{i}": F.conv(F.substring(hexed, 12 * i + 1, 12), 16, 10).cast("double") for i in range(2)}
-    ranked = with_row_number(df.withColumns(keys), "__tf_bytes0", out, tie_cols=("__tf_bytes1", name))
-    return ranked.withColumn(out, F.col(out) - 1).drop(*keys)
+    key = "__tf_text"
+    ranked = with_row_number(df.withColumn(key, F.coalesce(F.col(name), F.lit(""))), key, out)
+    return ranked.withColumn(out, F.col(out) - 1).drop(key)
 
 
 def paginate(df: DataFrame, order_col: str, page_size: int,

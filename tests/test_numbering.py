@@ -76,28 +76,38 @@ def test_assign_ids_continue_from_base(spark):
     assert [(r.title, r.txn_id) for r in got] == [("a", 8), ("b", 9), ("c", 10)]
 
 
-def test_cells_grow_with_rows(spark, monkeypatch):
-    monkeypatch.setattr(N, "CELL_ROWS", 10)
-    df = spark.range(0, 20000, 1, 4).select((F.col("id") * 3).alias("pos"))
-    cells = N.plan_cells(df, N.numeric_key(df, "pos"))
-    assert cells.per_range == 8 and len(cells.splits) <= N.RANGES + 1
-    placed = N.assign_cells(df, N.numeric_key(df, "pos"), cells)
-    assert placed.groupBy(N._RANGE, N._CELL).count().agg(F.max("count")).first()[0] <= 200
-    got = N.with_row_number(df, "pos", "rn").orderBy("pos").collect()
-    assert [r.rn for r in got] == list(range(1, 20001))
-
-
-def test_equal_values_are_cut_by_the_tie_column(spark):
-    rows = spark.range(0, 30000, 1, 4).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(7)).alias("n"), (F.col("id") * 7 % 30011).alias("seen"))
-    key, tie = N.numeric_key(rows, "n", True), N.numeric_key(rows, "seen")
-    cells = N.plan_cells(rows, key, tie)
-    assert cells.heavy
-    placed = N.assign_cells(rows, key, cells, tie).where("n = 7").groupBy(N._RANGE, N._CELL).count()
-    assert placed.count() > 50 and placed.agg(F.max("count")).first()[0] < 2000
-    got = N.with_row_number(rows, "n", "rn", descending=True, tie_cols=("seen",)).collect()
-    want = sorted((-r.n, r.seen) for r in got)
-    assert [(-r.n, r.seen) for r in sorted(got, key=lambda r: r.rn)] == want
-    assert sorted(r.rn for r in got) == list(range(1, 30001))
+KEYS = {"exponential": "cast(exp(id / 1500.0) as bigint) * 100000 + id", "power": "id * id * id * id", "a third of one value": "case when id % 3 = 0 then 7 else id end",
+        "0.3 % of one value": "case when id % 300 = 0 then 7 else id end", "all of one value": "7"}
+
+
+@pytest.mark.parametrize("name", KEYS)
+@pytest.mark.parametrize("descending", [False, True])
+def test_cells_follow_the_data(spark, monkeypatch, name, descending):
+    monkeypatch.setattr(N, "CELL_ROWS", 300)
+    df = spark.range(0, 30000, 1, 4).select(F.expr(KEYS[name]).alias("n"), (F.col("id") * 7 % 30011).alias("seen"))
+    order = [F.col("n").desc() if descending else F.col("n").asc(), F.col("seen").asc()]
+    placed, cells = N.in_cells(df, order)
+    sizes = placed.groupBy(N._CELL).count()
+    assert cells == 100 and sizes.agg(F.max("count")).first()[0] <= 4 * N.CELL_ROWS
+    got = sorted(N.with_row_number(df, "n", "rn", descending=descending, tie_cols=("seen",)).collect(), key=lambda r: r.rn)
+    assert [r.rn for r in got] == list(range(1, 30001))
+    assert [(r.n, r.seen) for r in got] == sorted(((r.n, r.seen) for r in got), key=lambda t: (-t[0] if descending else t[0], t[1]))
+
+
+def test_texts_with_a_long_common_beginning(spark, monkeypatch):
+    monkeypatch.setattr(N, "CELL_ROWS", 300)
+    names = spark.range(0, 20000, 1, 4).select(F.concat(F.lit("the same twenty-two by "), F.lpad((F.col("id") * 7 % 20011).cast("string"), 9, "0")).alias("name"))
+    placed, cells = N.in_cells(names, [F.col("name").asc()])
+    sizes = placed.groupBy(N._CELL).count()
+    assert sizes.count() > cells // 2 and sizes.agg(F.max("count")).first()[0] <= 4 * N.CELL_ROWS
+    got = sorted(N.rank_text(names, "name", "at").collect(), key=lambda r: r["at"])
+    assert [r.name for r in got] == sorted(r.name for r in got) and [r["at"] for r in got] == list(range(20000))
+
+
+def test_texts_in_code_point_order_and_nulls(spark):
+    names = ["b", "a", "", "é", "z", "\uffff", "😀", "a b", "A", None]
+    got = N.rank_text(spark.createDataFrame([(n,) for n in names], "name string"), "name", "at").where("name <> ''").orderBy("at").collect()
+    assert [r.name for r in got] == sorted(n for n in names if n)
 
 
 @pytest.mark.parametrize("shuffles", ["1", "17", "2000"])
@@ -106,7 +116,7 @@ def test_plan_does_not_follow_the_shuffle_partitions(spark, shuffles):
     spark.conf.set("spark.sql.shuffle.partitions", shuffles)
     try:
         df = spark.range(0, 3000).select((F.col("id") * 5).alias("pos"))
-        assert len(N.plan_cells(df, N.numeric_key(df, "pos")).splits) <= N.RANGES + 1
+        assert N.in_cells(df, [F.col("pos").asc()])[1] == 1
         assert [r.rn for r in N.with_row_number(df, "pos").orderBy("pos").collect()] == list(range(1, 3001))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
