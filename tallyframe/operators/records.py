@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyframe.functions.text import ustrip
+from tallyframe.session import shared_table
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -60,14 +61,31 @@ def scale(factor: float) -> Step:
     return lambda df: df.withColumn("value", F.col("value") * F.lit(float(factor)))
 
 
-def spy(observation: Observation) -> Step:
-    """Observe how many records reach this point; changes nothing.
+_SEEN = "__tf_seen_"
 
-    The count is per execution of the plan: a global ``orderBy`` downstream
-    samples its input in an extra pass, which is observed too, so read spies
-    from an action without a range sort (e.g. a write or ``collect``).
+
+def spy(what: Observation | str) -> Step:
+    """Count the records that reach this point without an error; changes nothing.
+
+    A name counts through the written result (``spied``): whatever stage runs
+    again, only what the committer kept is added up.  An ``Observation`` counts
+    per execution of the plan, for interactive use: a stage that samples its
+    input is observed twice.
     """
-    return lambda df: df.observe(observation, F.count(F.lit(1)).alias("records"))
+    def step(df: DataFrame) -> DataFrame:
+        passing = F.col(ERROR).isNull() if ERROR in df.columns else F.lit(True)
+        if isinstance(what, str):
+            return df.withColumn(_SEEN + what, passing)
+        return df.observe(what, F.count(F.lit(1)).alias("records"))
+    return step
+
+
+def spied(df: DataFrame, steps: list[Step]) -> tuple[DataFrame, DataFrame]:
+    """The written result of ``steps``, and one row with the count of every named spy."""
+    written = shared_table(run(df, steps), "spied")
+    names = [c for c in written.columns if c.startswith(_SEEN)]
+    counts = written.agg(*[F.count_if(F.col(c)).alias(c.removeprefix(_SEEN)) for c in names])
+    return written.drop(*names), counts
 
 
 def python_step(fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> Step:

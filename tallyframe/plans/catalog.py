@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tallyframe.operators import logs, rules
 from tallyframe.plans import bindings as B
 from tallyframe.session import checkpoint_dir, shared_table
-from tallyframe.sources.logs import LEVELS, fake_log_lines, read_log_text, write_lines
+from tallyframe.sources.logs import LEVELS, fake_log_lines, first_page_of, read_log_text, write_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -145,6 +145,18 @@ def log_first_page(spark, sf_dir):
     return logs.first_page(parsed_log(spark, sf_dir), ERROR_LEVEL, PAGE_SIZE).select("pos", "ts", "level", "msg")
 
 
+@register("log_text_first_page", f"""
+WITH placed AS (SELECT *, row_number() OVER (ORDER BY pos) AS line FROM {_PARSED_SQL}),
+head AS (SELECT * FROM placed WHERE level = '{ERROR_LEVEL}' ORDER BY line LIMIT {PAGE_SIZE})
+SELECT ts, level, msg, CAST((SELECT CASE WHEN count(*) < {PAGE_SIZE} THEN (SELECT count(*) FROM placed) ELSE max(line) END FROM head) AS BIGINT) AS lines_read FROM head""")
+def log_text_first_page(spark, sf_dir):
+    """The log written as text files in order; the first page and how many lines it took, read no further."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/log-{uuid.uuid4().hex[:12]}"
+    write_lines(B.log_lines(spark, sf_dir).orderBy("pos"), folder)
+    page = first_page_of(spark, folder, ERROR_LEVEL, PAGE_SIZE)
+    return page.rows.select("ts", "level", "msg", F.lit(page.lines_read).cast("bigint").alias("lines_read"))
+
+
 @register("log_scan_depth", f"""
 WITH head AS (SELECT pos FROM {_PARSED_SQL} WHERE level = '{ERROR_LEVEL}' ORDER BY pos LIMIT {PAGE_SIZE})
 SELECT CAST(CASE WHEN (SELECT count(*) FROM head) >= {PAGE_SIZE}
@@ -583,13 +595,19 @@ SELECT CAST(count(*) AS BIGINT) AS seen_first,
        CAST(count(*) FILTER (WHERE {_PIPE_ERR} IS NULL) AS BIGINT) AS ok_after_value
   FROM {B.RECORDS_SQL}""")
 def pipe_step_counts(spark, sf_dir):
-    """How many records pass each step, from flags that the pipeline carries along."""
-    def after(name):
-        return lambda df: df.withColumn(name, F.col(P.ERROR).isNull())
+    """How many records pass each step, counted by spies in the written result."""
+    steps = [P.spy("seen_first"), P.required_name(), P.spy("ok_after_name"), P.require_non_negative_value(), P.spy("ok_after_value"), P.normalize(), P.scale(SCALE)]
+    return P.spied(B.records(spark, sf_dir), steps)[1]
+
+
+def _letters(records):
+    return records.assign(letters=["".join(sorted(set(name))) for name in records["name"]])[["id", "letters"]]
 
-    steps = [P.required_name(), after("name_ok"), P.require_non_negative_value(), after("value_ok"), P.normalize(), P.scale(SCALE)]
-    return P.run(B.records(spark, sf_dir), steps).agg(
-        F.count(F.lit(1)).alias("seen_first"), F.count_if("name_ok").alias("ok_after_name"), F.count_if("value_ok").alias("ok_after_value"))
+
+@register("pipe_python_step", f"SELECT id, array_to_string(list_sort(list_distinct(string_split(name, ''))), '') AS letters FROM {B.RECORDS_SQL}")
+def pipe_python_step(spark, sf_dir):
+    """A step in Python, batch by batch: the different letters of each name."""
+    return P.python_step(_letters, "id bigint, letters string")(B.records(spark, sf_dir))
 
 
 @register("pipe_to_json", f"""
@@ -812,6 +830,20 @@ def log_stream_counts(spark, sf_dir):
     return latest_counts(spark, f"{base}/counts").select("level", F.col("n").cast("bigint").alias("n"))
 
 
+@register("log_follow", f"SELECT ts, level, msg, malformed FROM {_PARSED_SQL} WHERE level = '{ERROR_LEVEL}'")
+def log_follow(spark, sf_dir):
+    """A log folder followed in two runs, with files added between them: the second goes on from the
+    first one's checkpoint, and the sink holds every record once."""
+    from tallyframe.streaming.logs import start_follow
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/follow-{uuid.uuid4().hex[:8]}"
+    lines = B.log_lines(spark, sf_dir)
+    for part in range(2):
+        write_lines(lines.where(F.col("pos") % 2 == part), f"{base}/log/{part}")
+        start_follow(spark, f"{base}/log/*", ERROR_LEVEL, f"{base}/found", checkpoint=f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/found").select("ts", "level", "msg", "malformed")
+
+
 # ---------------------------------------------------------------------------
 # Stored ledger records (SRC-3, PRJ-8, VAL-6, VAL-7, SET-2), other tables (DML-3, DML-6, DML-7, ORD-2, SRC-2, UDF-5, UDF-7, UDF-8)
 # ---------------------------------------------------------------------------

@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -331,16 +332,44 @@ def _is_parquet(spark: SparkSession, version_dir: str) -> bool:
     return False
 
 
+def _claim(spark: SparkSession, path: str) -> int:
+    """The next version number, taken by creating its claim file: of two writers only one can.
+
+    Numbers of unfinished versions and of claims that came to nothing are not
+    used again.  The store's exclusive create decides (on a local path the
+    operating system's).
+    """
+    fs, folder, jvm = _fs(spark, f"{path.rstrip('/')}/_claims")
+    fs.mkdirs(folder)
+    while True:
+        n = _next_number(spark, path)
+        claim = jvm.org.apache.hadoop.fs.Path(folder, f"v{n:06d}")
+        try:
+            if fs.getUri().getScheme() == "file":
+                jvm.java.nio.file.Files.createFile(jvm.java.io.File(fs.makeQualified(claim).toUri().getPath()).toPath(), spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0))
+            else:
+                fs.create(claim, False).close()
+            return n
+        except Py4JJavaError as e:
+            if "AlreadyExists" not in e.java_exception.getClass().getName():
+                raise
+
+
+def _next_number(spark: SparkSession, path: str) -> int:
+    fs, folder, _ = _fs(spark, f"{path.rstrip('/')}/_claims")
+    claimed = [int(st.getPath().getName()[1:]) for st in fs.listStatus(folder)]
+    return max([*claimed, *(v for v, _, _ in _versions(spark, path))], default=0) + 1
+
+
 def save_ledger(df: DataFrame, path: str, fmt: str = "json") -> str:
     """Write ``df`` as the next version of the ledger at ``path``; returns the
     version folder.  ``json``: JSON Lines with amounts and dates as strings,
     in ``pos`` order; ``parquet``: the typed columns."""
     spark = df.sparkSession
     try:
-        n = max([v for v, _, _ in _versions(spark, path)], default=0) + 1  # past unfinished ones too
-        target = f"{path.rstrip('/')}/v{n:06d}"
         if not df.where("pos is null").isEmpty() or not df.groupBy("pos").count().where("count > 1").isEmpty():
             raise ValueError("positions must be distinct and not null")
+        target = f"{path.rstrip('/')}/v{_claim(spark, path):06d}"
         if fmt == "parquet":
             # laid out by month, a large month in several files
             (df.select(*L.LEDGER_DDL_COLS).withColumn("month", F.date_format("date", "yyyy-MM"))

@@ -110,3 +110,58 @@ def test_generator_shape_and_partition_independence(spark, tmp):
     assert read_log_text(spark, out).count() == 100
     write_lines(generate_log_lines(spark, 10), out)  # overwrite, not append
     assert read_log_text(spark, out).count() == 10
+
+
+def test_first_page_over_several_files(spark, tmp):
+    from tallyframe.sources.logs import first_page_of
+
+    d = os.path.join(tmp, "many logs")
+    os.makedirs(d)
+    every = []
+    for f in range(7):
+        rows = [f"2026-06-11 10:00:{i % 60:02d} {'ERROR' if (f, i) in {(0, 3), (3, 0), (3, 49), (6, 20)} else 'INFO'} file {f} line {i}" for i in range(50)]
+        with open(os.path.join(d, f"part {f}.log"), "w") as fh:
+            fh.write("\n".join(rows) + "\n")
+        every += rows
+    at = [i for i, r in enumerate(every) if " ERROR " in r]
+    for n in (0, 1, 2, 3, 4, 9):
+        page = first_page_of(spark, d, "ERROR", n)
+        got = page.rows.orderBy("pos").collect()
+        assert [r.msg for r in got] == [every[i].split(" ", 3)[3] for i in at[:n]]
+        assert page.lines_read == (0 if n == 0 else at[n - 1] + 1 if n <= len(at) else len(every)) and page.matches == len(got)
+        assert [r.pos for r in got] == [r.pos for r in logs.first_page(logs.parse_lines(read_log_text(spark, d)), "ERROR", n).orderBy("pos").collect()]
+
+
+def test_first_page_reads_under_one_percent(tmp):
+    import glob
+    import json
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+from tallyframe.sources.logs import first_page_of, generate_log_lines, write_lines
+conf = {{"spark.ui.enabled": "false", "spark.checkpoint.dir": {tmp + "/ckpt"!r}}}
+spark = SparkSession.builder.master("local[2]").config(map=conf).getOrCreate()
+write_lines(generate_log_lines(spark, 100000, partitions=1), {tmp + "/log"!r})
+spark.stop()
+conf |= {{"spark.eventLog.enabled": "true", "spark.eventLog.dir": {"file://" + tmp!r}, "spark.eventLog.compress": "false"}}
+spark = SparkSession.builder.master("local[2]").config(map=conf).getOrCreate()
+page = first_page_of(spark, {tmp + "/log"!r}, "ERROR", 5)
+assert page.rows.count() == 5
+print("lines", page.lines_read)
+spark.stop()
+"""
+    said = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert said.returncode == 0, said.stderr[-2000:]
+    lines = int(said.stdout.split("lines ")[1])
+    read = 0
+    for log in [p for p in glob.glob(tmp + "/**/*", recursive=True) if os.path.isfile(p) and "local-" in os.path.basename(p) and not p.endswith(".crc")]:
+        for line in open(log):
+            event = json.loads(line)
+            if event["Event"] == "SparkListenerTaskEnd":
+                read += event["Task Metrics"]["Input Metrics"]["Records Read"]
+    assert 0 < lines <= read < 1000

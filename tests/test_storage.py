@@ -177,3 +177,32 @@ def test_an_id_that_is_no_integer_is_rejected(spark, tmp, value, kind):
     with pytest.raises(ValidationError, match=f"txn_id must be an integer or null, got {kind}"):
         load_ledger(spark, write(tmp, [GOOD[0], dict(GOOD[1], txn_id=value)]))
     assert load_ledger(spark, write(tmp, [dict(GOOD[0], txn_id=None)])).first().txn_id is None
+
+
+def test_two_writers_of_one_version_get_two(spark, tmp, monkeypatch):
+    from tallyframe.sources import ledger_store as S
+
+    store = os.path.join(tmp, "shared")
+    df = load_ledger(spark, write(tmp, GOOD))
+    real, stale = S._next_number, []
+
+    def late(spark, path):  # both writers look before either has claimed
+        stale.append(1)
+        return 1 if len(stale) <= 2 else real(spark, path)
+    monkeypatch.setattr(S, "_next_number", late)
+    one, two = save_ledger(df.where("txn_id = 1"), store), save_ledger(df.where("txn_id > 1"), store)
+    assert [os.path.basename(p) for p in (one, two)] == ["v000001", "v000002"] and len(stale) == 3
+    assert sorted(r.txn_id for r in load_ledger(spark, store).collect()) == [2, 7]
+
+
+def test_the_rules_stand_in_the_plan_once(spark):
+    from tallyframe.operators.rules import quarantine
+    from tallyframe.sources.ledger_store import typed_elements
+
+    lines = spark.createDataFrame([(0, json.dumps(GOOD[0])), (1, "{}")], "pos long, value string")
+    from pyspark.sql import functions as F
+    both = quarantine(typed_elements(lines.select("pos", F.try_parse_json("value").alias("v"))))
+    for part in (both.good, both.bad):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("missing field(s)") == 1 and plan.count("try_parse_json") + plan.count("parse_json") <= 2
+    assert both.good.count() == 1 and both.bad.first().error.startswith("Record at position 1 is invalid: missing field(s)")
