@@ -8,7 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyframe.session import checkpoint_dir
 
@@ -47,6 +48,26 @@ def byte_slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
+#: Places of a mark table: 64 to a row, so at most 262,144 rows are sent to the executors, however many keys there are.
+MARK_BITS = 1 << 24
+
+
+def marked(df: DataFrame, key: Column, members: DataFrame, member: Column, out: str) -> DataFrame:
+    """``df`` with ``out``: false only if ``key`` is surely none of the members.
+
+    A table of bits of bounded size (a Bloom filter of one hash) that saves rows
+    that need no join from being shuffled for one.  With very many members it says
+    true more often and saves less, the answer of the join behind it stays.
+    """
+    def place(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(MARK_BITS))
+
+    bit = F.expr("shiftleft(1L, cast(pmod(__mark, 64) as int))")
+    words = members.select(place(member).alias("__mark")).groupBy(F.expr("__mark div 64").alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    known = df.withColumn("__mark", place(key)).join(F.broadcast(words), F.expr("__mark div 64") == F.col("__word"), "left")
+    return known.withColumn(out, F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False))).drop("__mark", "__word", "__bits")
+
+
 def give_back() -> None:
     """Return a finished task's freed memory to the system: Python workers live on, two and more to an executor."""
     import ctypes

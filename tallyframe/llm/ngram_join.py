@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import give_back, stored
+from tallyframe.llm.common import give_back, marked, stored
 from tallyframe.llm.graph import components
 from tallyframe.llm.shingles import shingle_sets
 
@@ -367,7 +367,8 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
             yield full.filter(keep)
         give_back()
 
-    texts = narrow.join(members.hint("shuffle_hash"), F.col("doc").eqNullSafe(F.col("member"))).select("body", "v", "copies", "label", "block", "blocks")
+    near = marked(narrow, F.col("doc"), members, F.col("member"), "__near").where("__near").drop("__near")  # other texts are not shuffled
+    texts = near.join(members.hint("shuffle_hash"), F.col("doc").eqNullSafe(F.col("member"))).select("body", "v", "copies", "label", "block", "blocks")
     links = stored(_links(texts.mapInArrow(sets, "v long, copies long, label long, block int, blocks int, shingles binary"), percent), "links")
     linked = components(links.where("b is not null").select("a", "b")).withColumnRenamed("v", "linked_v")
     if with_links:

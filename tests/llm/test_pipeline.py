@@ -2,6 +2,7 @@
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("tokenizers")
 pytest.importorskip("public_tokenizers")
@@ -62,3 +63,16 @@ def test_empty_documents(spark):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_columns_of_the_user_come_back_as_they_were(spark):
+    names = ["place", "lines_removed", "score", "held_out", "predicted", "doubt", "other", "component_id", "with.dot"]
+    docs = given(spark)
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{i}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    docs = docs.cache()
+    for _, stage in P.STAGES[:3]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert [r[n] for n in names] == [f"{i}:{'none' if r.doc_id is None else r.doc_id}" for i in range(len(names))]
