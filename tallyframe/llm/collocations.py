@@ -13,6 +13,7 @@ a phrase can only be frequent if its two shorter parts are.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,23 +32,23 @@ TILE_BITS, CORNER, DENSE = 10, 16, 1 / 16
 
 
 def _sliced(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """Slices of the corpus: rows with ``numbers`` (0 between pieces) and rows with words."""
+    """Slices of the corpus: a row with ``numbers`` (0 between pieces), and a row with the words of each language."""
     narrow = docs.select(F.col(text_col).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"))
     kind = W.kinds(BLANKS, BREAKS)
-    empty = {"group": None, "first": None, "words": None, "n0": None, "numbers": None}
-    schema = "slice long, numbers binary, group string, first int, words array<string>, n0 array<long>"
+    wire = pa.schema([("slice", pa.int64()), ("numbers", pa.binary()), ("lang", pa.string()), ("words", pa.binary()), ("locals", pa.binary()),
+                      ("n0", pa.binary()), ("tokens", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.strip().split(" ")[0] for f in schema.split(", ")]
         nth, size, numbers, sequence = 0, 0, W.Numbers(), []
 
         def flush() -> pa.RecordBatch:
-            here = W.slice_number(nth)
-            whole = np.concatenate(sequence) if sequence else np.empty(0, "u4")
-            rows = [empty | {"slice": here, "numbers": W.packed(whole)}, *(empty | r for r in numbers.rows(here))]
-            return pa.RecordBatch.from_pylist([{n: r[n] for n in names} for r in rows], pa.schema(
-                [("slice", pa.int64()), ("numbers", pa.binary()), ("group", pa.string()), ("first", pa.int32()),
-                 ("words", pa.list_(pa.string())), ("n0", pa.list_(pa.int64()))]))
+            here, counts = W.slice_number(nth), numbers.counted()[0]
+            rows = [{"slice": here, "numbers": W.packed(np.concatenate(sequence))}]
+            for lang, mine in numbers.by_group():
+                n = counts[mine - 1]
+                rows.append({"slice": here, "lang": lang, "words": W.packed_words([numbers.words[i - 1] for i in mine.tolist()]),
+                             "locals": W.packed(mine), "n0": W.packed(n.astype("u4")), "tokens": int(n.sum())})
+            return pa.RecordBatch.from_pylist(rows, wire)
 
         for chunk in W.chunks(batches, 0):
             langs = chunk.column(1).dictionary_encode()
@@ -68,7 +69,74 @@ def _sliced(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
             yield flush()
         give_back()
 
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(run, "slice long, numbers binary, lang string, words binary, locals binary, n0 binary, tokens long")
+
+
+def _words_asked(sliced: DataFrame, buckets: int) -> DataFrame:
+    """Blocks of the distinct words of each slice and language, with their numbers there."""
+    wire = pa.schema([("slice", pa.int64()), ("lang", pa.string()), ("bucket", pa.int32()), ("keys", pa.binary()), ("locals", pa.binary()), ("n0", pa.binary())])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in W.rows_of(batches):
+            data = W.unpacked_words(row["words"])
+            words, local, n = np.array(data.split(b"\n"), object), W.unpacked(row["locals"], "u4"), W.unpacked(row["n0"], "u4")
+            hashes = np.fromiter(map(zlib.crc32, words), "u8", len(words))
+            for b, at in W.bucketed(hashes, buckets):
+                yield pa.RecordBatch.from_pylist([{"slice": row["slice"], "lang": row["lang"], "bucket": b, "keys": W.packed_words(words[at].tolist()),
+                                                   "locals": W.packed(local[at]), "n0": W.packed(n[at])}], wire)
+        give_back()
+
+    listed = sliced.where("words is not null").select("slice", "lang", "words", "locals", "n0")
+    return listed.mapInArrow(ask, "slice long, lang string, bucket int, keys binary, locals binary, n0 binary")
+
+
+def _frequent_words(blocks: DataFrame, least: int) -> DataFrame:
+    """``lang, bucket, slice, keys, locals, totals``: the frequent words of each slice; without a slice, all of a bucket with their counts."""
+    def reply(rows, keys, places, sums):
+        often = sums[0] >= least
+        where = {"lang": rows[0]["lang"], "bucket": rows[0]["bucket"]}
+        yield where | {"words": [w.decode() for w in keys.filter(pa.array(often)).to_pylist()], "totals": sums[0][often].tolist()}
+        for row, mine in zip(rows, places):
+            kept = often[mine]
+            yield where | {"slice": row["slice"], "keys": W.packed_words(keys.take(pa.array(mine[kept])).to_pylist()),
+                           "locals": W.packed(W.unpacked(row["locals"], "u4")[kept])}
+    return W.added_up(blocks, ["n0"], reply, "lang string, bucket int, slice long, keys binary, locals binary, words array<string>, totals array<long>",
+                      words=True, by=("lang", "bucket"))
+
+
+_IDS = "slice long, keys binary, ids binary"
+_IDS_WIRE = pa.schema([("slice", pa.int64()), ("keys", pa.binary()), ("ids", pa.binary())])
+
+
+def _word_ids(blocks: DataFrame, numbered: DataFrame) -> DataFrame:
+    """``slice, keys, ids``: numbers that the slice's frequent words have there and in the corpus."""
+    def tell(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids = dict(zip((w.encode() for w in right.column("word").to_pylist()), right.column("id").to_pylist()))
+        rows = []
+        for row in left.to_pylist():
+            local = W.unpacked(row["locals"], "u4")
+            words = W.unpacked_words(row["keys"]).split(b"\n") if len(local) else []
+            rows.append({"slice": row["slice"], "keys": W.packed(local.astype("u8")), "ids": W.packed(np.array([ids[w] for w in words], "u4"))})
+        return pa.Table.from_pylist(rows, _IDS_WIRE)
+
+    here = blocks.where("slice is not null").select("lang", "bucket", "slice", "keys", "locals")
+    return here.groupBy("lang", "bucket").cogroup(numbered.select("lang", "bucket", "word", "id").groupBy("lang", "bucket")).applyInArrow(tell, _IDS)
+
+
+def _pair_ids(blocks: DataFrame, numbered: DataFrame) -> DataFrame:
+    """``slice, keys, ids``: numbers of the slice's frequent pairs."""
+    def tell(left: pa.Table, right: pa.Table) -> pa.Table:
+        known, ids = right.column("key").to_numpy().astype("u8"), right.column("id").to_numpy().astype("u4")
+        order = np.argsort(known)
+        known, ids = known[order], ids[order]
+        rows = []
+        for row in left.to_pylist():
+            keys = W.unpacked_sorted(row["keys"])
+            rows.append({"slice": row["slice"], "keys": W.packed(keys), "ids": W.packed(ids[np.searchsorted(known, keys)])})
+        return pa.Table.from_pylist(rows, _IDS_WIRE)
+
+    here = blocks.where("slice is not null").select("bucket", "slice", "keys")
+    return here.groupBy("bucket").cogroup(numbered.select("bucket", "key", "id").groupBy("bucket")).applyInArrow(tell, _IDS)
 
 
 def _pairs(line: np.ndarray) -> np.ndarray:
@@ -132,13 +200,14 @@ _STEP_WIRE = pa.schema([("slice", pa.int64()), ("numbers", pa.binary()), ("bucke
 def _counted(lines: DataFrame, ids: DataFrame, buckets: int, words: bool) -> DataFrame:
     """Next sequence of every slice, and the counts of its pairs in blocks.
 
-    ``ids``: ``slice, key, id``; a key is a slice's number of a word (``words``) or a pair.
+    ``ids``: ``slice, keys, ids``; a key is a slice's number of a word (``words``) or a pair.
     """
     def step(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = []
+        rows, told = [], right.to_pylist()
+        keys = np.concatenate([W.unpacked(r["keys"], "u8") for r in told] or [np.empty(0, "u8")])
+        new = np.concatenate([W.unpacked(r["ids"], "u4") for r in told] or [np.empty(0, "u4")])
         for row in left.to_pylist():
             line = W.unpacked(row["numbers"], "u4")
-            keys, new = right.column("key").to_numpy().astype("u8"), right.column("id").to_numpy().astype("u4")
             if words:
                 table = np.zeros(max(int(line.max(initial=0)), int(keys.max(initial=0))) + 1, "u4")
                 table[keys.astype("i8")] = new
@@ -155,14 +224,14 @@ def _counted(lines: DataFrame, ids: DataFrame, buckets: int, words: bool) -> Dat
     return lines.groupBy("slice").cogroup(ids.groupBy("slice")).applyInArrow(step, _STEP)
 
 
-def _frequent(blocks: DataFrame, least: int) -> DataFrame:
-    """``slice, keys, totals``: the frequent pairs of each slice; with slice -1, all of a bucket with their counts."""
+def _frequent_pairs(blocks: DataFrame, least: int) -> DataFrame:
+    """``bucket, slice, keys, pairs, totals``: the frequent pairs of each slice; without a slice, all of a bucket with their counts."""
     def reply(rows, keys, places, sums):
         often = sums[0] >= least
-        yield {"slice": -1, "keys": keys[often].astype("i8").tolist(), "totals": sums[0][often].tolist()}
+        yield {"bucket": rows[0]["bucket"], "pairs": keys[often].astype("i8").tolist(), "totals": sums[0][often].tolist()}
         for row, mine in zip(rows, places):
-            yield {"slice": row["slice"], "keys": keys[mine[often[mine]]].astype("i8").tolist(), "totals": None}
-    return W.added_up(blocks, ["n0"], reply, "slice long, keys array<long>, totals array<long>")
+            yield {"bucket": row["bucket"], "slice": row["slice"], "keys": W.packed_sorted(keys[mine[often[mine]]])}
+    return W.added_up(blocks, ["n0"], reply, "bucket int, slice long, keys binary, pairs array<long>, totals array<long>")
 
 
 class TooManyPhrases(ValueError):
@@ -182,24 +251,23 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most_words: int = MOST
     counts of its first and last ``k`` words.
     """
     sliced = stored(_sliced(docs, text_col, lang_col), "phrase-slices", "zstd")
-    totals = sliced.where("words is not null").groupBy(F.col("group").alias("lang")).agg(
-        F.sum(F.aggregate("n0", F.lit(0).cast("long"), lambda x, y: x + y)).alias("total"))
-    totals = stored(totals, "phrase-totals")
+    totals = stored(sliced.where("words is not null").groupBy("lang").agg(F.sum("tokens").alias("total")), "phrase-totals")
     buckets = max(1, -(-(totals.agg(F.sum("total")).first()[0] or 0) // W.BUCKET_WORDS))
 
-    everywhere = Window.partitionBy("group", "word")
-    known = stored(W.words_of(sliced).withColumn("n", F.sum("n0").over(everywhere)).where(F.col("n") >= least)
-                   .select("slice", "local", "group", "word", "n"), "phrase-words")
-    numbered, n = W.ranked(known.groupBy("group", "word").agg(F.first("n").alias("n")), "phrase-1", F.desc("n"), "group", "word")
+    known = stored(_frequent_words(_words_asked(sliced, buckets), least), "phrase-words")
+    found = known.where("slice is null").select("lang", "bucket", F.explode(F.arrays_zip("words", "totals")).alias("w")).select(
+        "lang", "bucket", F.col("w.words").alias("word"), F.col("w.totals").alias("n"))
+    numbered, n = W.ranked(found, "phrase-1", F.desc("n"), "lang", "word")
     _check(n, 1)
-    ids = known.join(numbered.select("group", "word", "id"), ["group", "word"]).select("slice", F.col("local").alias("key"), "id")
-    lengths = [numbered.select("id", F.col("group").alias("lang"), F.array("word").alias("words"), "n", F.array("n").alias("heads"), F.array("n").alias("tails"))]
+    ids = _word_ids(known, numbered)
+    lengths = [numbered.select("id", "lang", F.array("word").alias("words"), "n", F.array("n").alias("heads"), F.array("n").alias("tails"))]
 
     lines = sliced.where("numbers is not null").select("slice", "numbers")
     for length in range(2, most_words + 1):
         step = stored(_counted(lines, ids, buckets, words=length == 2), f"phrase-{length}-counts", "zstd")
-        pairs = stored(_frequent(step.where("keys is not null").select("bucket", "slice", "keys", "n0"), least), f"phrase-{length}-pairs")
-        found = pairs.where("slice = -1").select(F.explode(F.arrays_zip("keys", "totals")).alias("p")).select(F.col("p.keys").alias("key"), F.col("p.totals").alias("n"))
+        pairs = stored(_frequent_pairs(step.where("keys is not null").select("bucket", "slice", "keys", "n0"), least), f"phrase-{length}-pairs")
+        found = pairs.where("slice is null").select("bucket", F.explode(F.arrays_zip("pairs", "totals")).alias("p")).select(
+            "bucket", F.col("p.pairs").alias("key"), F.col("p.totals").alias("n"))
         numbered, n = W.ranked(found, f"phrase-{length}-sort", F.desc("n"), "key")
         _check(n, length)
         parts = numbered.select("id", "n", F.shiftright("key", 32).alias("left"), F.col("key").bitwiseAND(0xFFFFFFFF).alias("right"))
@@ -211,7 +279,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most_words: int = MOST
             "id", "lang", F.array_append("first_words", F.col("last_word")).alias("words"), "n", F.array_append("first_heads", F.col("n")).alias("heads"),
             F.array_append("last_tails", F.col("n")).alias("tails"), "left", "right"), f"phrase-{length}"))
         lines = step.where("numbers is not null").select("slice", "numbers")
-        ids = pairs.where("slice >= 0").select("slice", F.explode("keys").alias("key")).join(numbered.select("key", "id"), "key")
+        ids = _pair_ids(pairs, numbered)
     return lengths, totals
 
 

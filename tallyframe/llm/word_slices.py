@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from tallyframe.llm.common import byte_slices, give_back, stored
 from tallyframe.llm.shingles import mixed
 
-#: Text in a slice (a longer document is alone), text that is split at once, and words in a written row.
-SLICE_BYTES, CHUNK_BYTES, ROW_WORDS = 32 << 20, 4 << 20, 20_000
+#: Text in a slice (a longer document is alone), and text that is split at once.
+SLICE_BYTES, CHUNK_BYTES = 32 << 20, 4 << 20
 #: Words of input for each bucket of keys.
 BUCKET_WORDS = 4_000_000
 
@@ -120,13 +120,10 @@ class Numbers:
         new[:len(self.counts[which])] += self.counts[which]
         self.counts[which] = new
 
-    def rows(self, of_slice: int) -> Iterator[dict]:
-        counts = self.counted()
-        for group, first, last in self.groups:
-            for lo in range(first, last + 1, ROW_WORDS):
-                hi = min(lo + ROW_WORDS, last + 1)
-                yield {"slice": of_slice, "group": group, "first": lo, "words": [w.decode() for w in self.words[lo - 1:hi - 1]],
-                       **{f"n{i}": c[lo - 1:hi - 1].tolist() for i, c in enumerate(counts)}}
+    def by_group(self) -> Iterator[tuple[str, np.ndarray]]:
+        """Each group's numbers."""
+        for group in dict.fromkeys(g for g, _, _ in self.groups):
+            yield group, np.concatenate([np.arange(lo, hi + 1, dtype="u4") for g, lo, hi in self.groups if g == group])
 
 
 def slice_number(nth: int) -> int:
@@ -147,14 +144,6 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(i, 1).to_pylist()[0]
 
 
-def words_of(sliced: DataFrame, classes: int = 1) -> DataFrame:
-    """``slice, local, group, word, n0, ...``: a row for each distinct word of a slice."""
-    listed = F.arrays_zip("words", *[f"n{i}" for i in range(classes)])
-    return sliced.where("words is not null").select("slice", "group", "first", F.posexplode(listed).alias("at", "w")).select(
-        "slice", (F.col("first") + F.col("at")).alias("local"), "group", F.col("w.words").alias("word"),
-        *[F.col(f"w.n{i}").alias(f"n{i}") for i in range(classes)])
-
-
 def bucketed(keys: np.ndarray, buckets: int, hashed: bool = False) -> Iterator[tuple[int, np.ndarray]]:
     """Places of keys by bucket; those that are hashes already are cut by their range, so that they lie close in a block."""
     where = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32) if hashed else mixed(keys) % np.uint64(buckets)).astype("i8")
@@ -165,8 +154,8 @@ def bucketed(keys: np.ndarray, buckets: int, hashed: bool = False) -> Iterator[t
             yield b, order[cuts[b]:cuts[b + 1]]
 
 
-def added_up(blocks: DataFrame, counts: list[str], reply: Callable[[list, pa.Array, list[np.ndarray], list[np.ndarray]], Iterator[dict]], schema: str, words: bool = False) -> DataFrame:
-    """Add up the blocks ``bucket, slice, keys, <counts>`` of each bucket and let ``reply`` say what goes out.
+def added_up(blocks: DataFrame, counts: list[str], reply: Callable[[list, pa.Array, list[np.ndarray], list[np.ndarray]], Iterator[dict]], schema: str, words: bool = False, by: tuple[str, ...] = ("bucket",)) -> DataFrame:
+    """Add up the blocks ``<by>, slice, keys, <counts>`` of each bucket and let ``reply`` say what goes out.
 
     ``reply`` gets the blocks' rows, the bucket's distinct keys (``words``: the words), where each block's
     keys are among them, and the sums.
@@ -197,7 +186,7 @@ def added_up(blocks: DataFrame, counts: list[str], reply: Callable[[list, pa.Arr
     from pyspark.sql.types import StructType
 
     wire = to_arrow_schema(StructType.fromDDL(schema))
-    return blocks.groupBy("bucket").applyInArrow(merge, schema)
+    return blocks.groupBy(*by).applyInArrow(merge, schema)
 
 
 def ranked(df: DataFrame, name: str, *order) -> tuple[DataFrame, int]:

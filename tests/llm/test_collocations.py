@@ -61,7 +61,7 @@ def test_equals_phrases_counted_one_by_one(spark, least, most, first):
 
 def test_slices_tiles_and_buckets_change_nothing(spark, monkeypatch):
     rows = some_rows()
-    for name, value in (("SLICE_BYTES", 300), ("CHUNK_BYTES", 100), ("ROW_WORDS", 2), ("BUCKET_WORDS", 50)):
+    for name, value in (("SLICE_BYTES", 300), ("CHUNK_BYTES", 100), ("BUCKET_WORDS", 50)):
         monkeypatch.setattr(W, name, value)
     monkeypatch.setattr(C, "TILE_BITS", 1)
     monkeypatch.setattr(C, "CORNER", 2)
