@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.operators.numbering import _CELL, _PLACE, in_cells
+from tallyframe.operators.numbering import _CELL, _PLACE, _RANGE, cell_range, in_cells
 from tallyframe.session import shared_table
 
 
@@ -40,6 +40,6 @@ def peak_overlap(df: DataFrame, start: str = "start", end: str = "end",
 
     instants = placed.withColumn("peak", F.col("d"))
     by_cell = add_up(instants, [_CELL], Window.partitionBy(_CELL).orderBy(_PLACE))
-    by_many = add_up(by_cell.withColumn("__tf_many", F.shiftright(_CELL, 12)), ["__tf_many"], Window.partitionBy("__tf_many").orderBy(_CELL))
-    whole = add_up(by_many, [], Window.orderBy("__tf_many"))
+    by_many = add_up(by_cell.select("*", cell_range()), [_RANGE], Window.partitionBy(_RANGE).orderBy(_CELL))
+    whole = add_up(by_many, [], Window.orderBy(_RANGE))
     return whole.select(F.greatest(F.coalesce("peak", F.lit(0)), F.lit(0)).cast("bigint").alias("peak"))

@@ -22,11 +22,18 @@ from pyspark.sql import functions as F
 from tallyframe.session import shared_table
 
 _CELL = "__tf_cell"
+_RANGE = "__tf_range"
 _PLACE = "__tf_place"
 _OFFSET = "__tf_offset"
 
 #: Rows that a cell should hold; cells whose offsets (16 bytes each) are sent to all executors, beyond them they are joined by a shuffle.
 CELL_ROWS, MOST_BROADCAST_CELLS = 1_000_000, 1_000_000
+#: Cells are added up in ranges of 2 to this power, about four thousand million rows each.
+RANGE_BITS = 12
+
+
+def cell_range() -> Column:
+    return F.shiftright(_CELL, RANGE_BITS).alias(_RANGE)
 
 
 def in_cells(df: DataFrame, order: list[Column], cells: int | None = None) -> tuple[DataFrame, int]:
@@ -55,9 +62,14 @@ def with_row_number(df: DataFrame, order_col: str, out: str = "rn",
     """
     order = [F.col(order_col).desc() if descending else F.col(order_col).asc(), *[F.col(c).asc() for c in tie_cols]]
     placed, cells = in_cells(df, order, buckets)
-    sizes = placed.groupBy(_CELL).agg(F.count(F.lit(1)).alias("__tf_count"))
-    before = Window.orderBy(_CELL).rowsBetween(Window.unboundedPreceding, -1)  # a row a cell
-    offsets = sizes.select(_CELL, F.coalesce(F.sum("__tf_count").over(before), F.lit(0)).alias(_OFFSET))
+    sizes = placed.groupBy(cell_range(), _CELL).agg(F.count(F.lit(1)).alias("__tf_count"))
+
+    def before(keys: Window) -> Column:
+        return F.coalesce(F.sum("__tf_count").over(keys.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    ranges = sizes.groupBy(_RANGE).agg(F.sum("__tf_count").alias("__tf_count")).select(F.col(_RANGE).alias("__tf_of"), before(Window.orderBy(_RANGE)).alias("__tf_base"))
+    inside = sizes.select(_RANGE, _CELL, before(Window.partitionBy(_RANGE).orderBy(_CELL)).alias("__tf_inside"))
+    offsets = inside.join(ranges, F.col(_RANGE) == F.col("__tf_of")).select(_CELL, (F.col("__tf_base") + F.col("__tf_inside")).alias(_OFFSET))
     if cells <= MOST_BROADCAST_CELLS:
         offsets = F.broadcast(offsets)
     return placed.join(offsets, _CELL).withColumn(out, (F.col(_OFFSET) + F.col(_PLACE) + 1).cast("bigint")).drop(_CELL, _PLACE, _OFFSET)
