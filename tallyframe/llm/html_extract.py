@@ -24,6 +24,9 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from array import array
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -63,8 +66,13 @@ promoted recommended related replies respond share sharing sidebar signup skip s
 HOLDERS = set("box boxes button buttons link links list slot unit".split())
 #: Elements that are no shell around a page; an article in one counts only if the page has none elsewhere.
 ASIDES = DROPPED - {"head", "form"}
+#: Elements beyond which a start tag closes nothing.
+HOLD_OPEN = set("div section article main body table blockquote li form".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*"|'[^']*')*+)>|(<)(?=/?[a-zA-Z])""", re.S)
+_MARK = re.compile(r"<(?:[!?]|/?([a-zA-Z]))")
+_NAME_END = re.compile(r"[\s/>]")
+_EVENTS = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _NAME_PARTS = re.compile(r"[^a-z0-9]+")
 
@@ -78,6 +86,9 @@ class Node:
     article: Node | None = None  # the outermost one it is or stands in
     furniture: bool = False  # by its own tag or attributes, whatever it stands in
     start: int = 0  # number of its start tag
+    depth: int = 0
+    above: Node | None = None  # the nearest furniture it stands in
+    aside: bool = False  # it is, or stands in, furniture that is no shell around a page
     holds: bool = False  # paragraphs
     digest: object = field(default_factory=lambda: hashlib.blake2b(digest_size=8))
     key: int | None = None
@@ -114,6 +125,50 @@ def _is_furniture(tag: str, attributes: str, zone: int) -> bool:
     return False
 
 
+class Markup:
+    """Tags and comments of a source in order; a ``<`` whose tag never ends is text.
+
+    From the first such ``<`` on, one pass backwards tells of every ``>`` and
+    quotation mark whether a tag that comes to it ends, so that no ``<`` is
+    followed to the end of the page in vain.
+    """
+
+    def __init__(self, source: str):
+        self.source = source
+        self.events: array | None = None
+        self.name_end = 0
+
+    def after(self, at: int) -> re.Match | None:
+        if self.events is None:
+            token = _TOKEN.search(self.source, at)
+            if not token or not token[4]:
+                return token
+            self._look_ahead(token.start())
+        while mark := _MARK.search(self.source, at):
+            if not mark[1] or self._ends(mark.end()):
+                return _TOKEN.match(self.source, mark.start())
+            at = mark.start() + 1
+        return None
+
+    def _look_ahead(self, at: int) -> None:
+        self.events = array("q", (m.start() for m in _EVENTS.finditer(self.source, at)))
+        self.ending = bytearray(len(self.events) + 1)
+        quotes = {'"': len(self.events), "'": len(self.events)}  # the next of each
+        for i in range(len(self.events) - 1, -1, -1):
+            if (mark := self.source[self.events[i]]) == ">":
+                self.ending[i] = 1
+            else:
+                self.ending[i] = self.ending[min(quotes[mark] + 1, len(self.events))]
+                quotes[mark] = i
+
+    def _ends(self, name: int) -> bool:
+        """Whether a tag whose name goes on here ends."""
+        if self.name_end < name:
+            found = _NAME_END.search(self.source, name)
+            self.name_end = found.start() if found else len(self.source)
+        return bool(self.ending[bisect_left(self.events, self.name_end)])
+
+
 class Page:
     """Blocks of a page with the elements around them; tolerant of unclosed and stray tags."""
 
@@ -122,15 +177,12 @@ class Page:
         self.blocks: list[tuple[str, Node]] = []
         self.nodes: list[Node] = []
         self.top = Node("", False, 0, None)
+        self.open: dict[str, list[Node]] = defaultdict(list)
         self.parts: list[str] = []
-        at = 0
-        while at < len(source):
-            token = _TOKEN.search(source, at)
-            if not token:
-                self._text(source[at:])
-                break
+        markup, at = Markup(source), 0
+        while token := markup.after(at):
             self._text(source[at:token.start()])
-            at, (slash, tag, attributes) = token.end(), token.groups()
+            at, (slash, tag, attributes) = token.end(), token.group(1, 2, 3)
             if tag is None:
                 continue
             tag = tag.lower()
@@ -142,6 +194,7 @@ class Page:
                     stop = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(source, at)
                     at = stop.end() if stop else len(source)
                     self._end(tag)
+        self._text(source[at:])
         while self.top.parent:
             self._pop()
         self._flush()
@@ -153,11 +206,12 @@ class Page:
         shells, last, free = set(), set(), False
         for node in self.nodes:
             if node.tag in ("article", "main") and not node.furniture and node.parent.zone < 2:
-                above, up = [], node.parent
-                while up:
-                    above, up = above + [up] * up.furniture, up.parent
-                free |= not above
-                (last if any(n.tag in ASIDES for n in above) else shells).update(n.start for n in above)
+                up = node.parent if node.parent.furniture else node.parent.above
+                free |= up is None
+                found = last if up and up.aside else shells
+                while up and up.start not in found:  # what is there already, is there with all above it
+                    found.add(up.start)
+                    up = up.above
         return shells if shells or free else last
 
     def _text(self, raw: str) -> None:
@@ -175,11 +229,15 @@ class Page:
                 self.top.digest.update(text.encode())
                 self.blocks.append((text, self.top))
 
-    def _pop(self) -> None:
-        self._flush()
+    def _leave(self) -> None:
         self.top.close()
+        self.open[self.top.tag].pop()
         self.top = self.top.parent
 
+    def _pop(self) -> None:
+        self._flush()
+        self._leave()
+
     def _start(self, tag: str, attributes: str) -> None:
         self.starts += 1
         if tag in BLOCKS:
@@ -199,7 +257,9 @@ class Page:
                 self._flush()
             else:
                 self.parts.append(" ")
-        self.top = Node(tag, dropped, zone, self.top, self.top.article, furniture, self.starts)
+        over = self.top
+        self.top = Node(tag, dropped, zone, over, over.article, furniture, self.starts, over.depth + 1, over if over.furniture else over.above, over.aside or furniture and tag in ASIDES)
+        self.open[tag].append(self.top)
         if tag == "article" and not self.top.article:
             self.top.article = self.top
         self.nodes.append(self.top)
@@ -210,26 +270,23 @@ class Page:
 
     def _close_open(self, tag: str, within: set[str]) -> None:
         """Close an open ``tag`` that the next start tag ends, up to the elements that hold it."""
-        node = self.top
-        while node.parent and node.tag != tag and node.tag not in within and node.tag not in ("div", "section", "article", "main", "body", "table", "blockquote", "li", "form"):
-            node = node.parent
-        if node.parent and node.tag == tag:
-            while self.top is not node:
+        if self.open[tag]:
+            node = self.open[tag][-1]
+            if all(not self.open[t] or self.open[t][-1].depth <= node.depth for t in within | HOLD_OPEN):
+                while self.top is not node:
+                    self._pop()
                 self._pop()
-            self._pop()
 
     def _end(self, tag: str) -> None:
-        node = self.top
-        while node.parent and node.tag != tag:
-            node = node.parent
-        if node.parent:
+        if self.open[tag]:
+            node = self.open[tag][-1]
             if tag in BLOCKS:
                 self._flush()
             held = self.parts if tag not in BLOCKS else []
             while self.top is not node:
                 self._pop()
-            self.top.close()
-            self.top, self.parts = node.parent, held
+            self._leave()
+            self.parts = held
         elif tag in BLOCKS:
             self._flush()
 
@@ -263,14 +320,24 @@ class Page:
         longest = max(kept.split("\n\n"), key=len)
         return _hash(longest if len(longest) >= LONG_BLOCK else kept)
 
+    def _inside(self, cards: set[int], templates: set[int], alone: bool = False) -> set[int]:
+        """Start tags of the elements that are template or stand in it."""
+        inside: set[int] = set()
+        for n in self.nodes:  # each behind the one it stands in
+            if n.parent.start in inside or n.key in templates and _can_be_template(n, cards) and (not alone or n.counted() or n.tag == "article"):
+                inside.add(n.start)
+        return inside
+
     def text(self, templates: set[int], recurring: set[int] = frozenset()) -> str:
         """Text without the host's ``templates`` and what recurs there by count alone."""
         scope, cards = self._scope(), self._cards() if templates or recurring else set()
         if templates:
-            scope = [(t, n) for t, n in scope if not _in_template(n, cards, templates)] or scope
+            inside = self._inside(cards, templates)
+            scope = [(t, n) for t, n in scope if n.start not in inside] or scope
         kept = _story(scope)
         if recurring:
-            left = _story([(t, n) for t, n in scope if not _in_template(n, cards, recurring, alone=True)])
+            inside = self._inside(cards, recurring, alone=True)
+            left = _story([(t, n) for t, n in scope if n.start not in inside])
             if LEAST_LEFT * _length(left) >= _length(kept):
                 kept = left
         return "\n\n".join(t for t, _ in kept)
@@ -301,14 +368,6 @@ def _can_be_template(node: Node, cards: set[int]) -> bool:
     return node.tag in CONTAINERS or node.tag in PARAGRAPHS and node.zone < 2 or node is node.article and node.start in cards
 
 
-def _in_template(node: Node, cards: set[int], templates: set[int], alone: bool = False) -> bool:
-    while node.parent:
-        if node.key in templates and _can_be_template(node, cards) and (not alone or node.counted() or node.tag == "article"):
-            return True
-        node = node.parent
-    return False
-
-
 def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(errors="surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
@@ -351,6 +410,12 @@ def _by_host(recurring: DataFrame, name: str) -> DataFrame:
     return recurring.groupBy("host").agg(F.collect_list("subtree").alias(name))
 
 
+def _size(recurring: DataFrame) -> tuple[int, int]:
+    """Hashes of all hosts (a host counts as eight more), and of the host that has most."""
+    row = recurring.groupBy("host").count().agg(F.sum(F.col("count") + 8), F.max("count")).first()
+    return row[0] or 0, row[1] or 0
+
+
 def site_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``host, templates array<long>``: subtrees on a share of a host's pages.
 
@@ -370,16 +435,20 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """
     found = stored(recurring_subtrees(pages, url_col, html_col), "subtrees")
     shared, alone = found.where("by_share"), found.where("not by_share")
-    templates, recurring = _by_host(shared, "templates"), _by_host(alone, "recurring")
-    size = templates.agg(F.sum(F.size("templates") + 8)).first()[0] or 0
-    most, more = recurring.agg(F.max(F.size("recurring")), F.sum(F.size("recurring") + 8)).first()
+    size, _ = _size(shared)
+    more, most = _size(alone)
+    templates = _by_host(shared, "templates")
     narrow = pages.select(host_and_path(F.col(url_col))[0].alias("host"), _page_key(html_col).alias("key"), F.col(id_col).alias("page"), F.col(url_col).alias("address"), F.col(html_col).alias("source"))
-    joined = narrow.join(F.broadcast(templates) if size <= MOST_BROADCAST_HASHES else templates, "host", "left")
-    if (most or 0) <= MOST_OF_HOST and (more or 0) <= MOST_BROADCAST_HASHES:
-        joined = joined.join(F.broadcast(recurring), "host", "left")
+    every_salt, salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))), F.expr(f"cast(pmod(key, {SALTS}) as int)")
+    if size <= MOST_BROADCAST_HASHES:
+        joined = narrow.join(F.broadcast(templates), "host", "left")
+    else:
+        joined = narrow.withColumn("salt", salt).join(templates.withColumn("salt", every_salt), ["host", "salt"], "left").drop("salt")
+    if most <= MOST_OF_HOST and more <= MOST_BROADCAST_HASHES:
+        joined = joined.join(F.broadcast(_by_host(alone, "recurring")), "host", "left")
     else:
-        salted = alone.select("host", "subtree").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        on_pages = _subtrees(pages, url_col, html_col).select("host", F.col("page").alias("key"), "subtree").distinct().withColumn("salt", F.expr(f"cast(pmod(key, {SALTS}) as int)"))
+        salted = alone.select("host", "subtree").withColumn("salt", every_salt)
+        on_pages = _subtrees(pages, url_col, html_col).select("host", F.col("page").alias("key"), "subtree").distinct().withColumn("salt", salt)
         joined = joined.join(on_pages.join(salted, ["host", "subtree", "salt"]).groupBy("host", "key").agg(F.collect_list("subtree").alias("recurring")), ["host", "key"], "left")
     id_type = pages.schema[id_col].dataType.simpleString()
 

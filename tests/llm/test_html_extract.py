@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 
@@ -43,6 +44,28 @@ def test_deep_and_long_pages():
     assert text("<a '" * 2000 + "<p>x") .endswith("x")
 
 
+@pytest.mark.parametrize("part", ["<a ", "<a", "</a ", "<p a=\"", "<p a=\"'", "<div></b></p>", "<main>x", "<ul><dd></dd>", "<aside><article>x", "<!--", "<script>", "<div>x"])
+def test_damaged_pages_take_time_in_proportion(part):
+    def taken(n):
+        start = time.process_time()
+        page = H.Page(part * (n // len(part)))
+        page.text({1}, {2})
+        return time.process_time() - start
+
+    assert taken(800_000) < 16 * max(min(taken(100_000), taken(100_000)), 0.1)
+
+
+@pytest.mark.parametrize("source,want", [
+    ("<p>a <b <i>c", "a c"),  # <b goes on to the next >
+    ("<p>a <b <p>c</p> <d <e", "a c <d <e"),
+    ("<p>x <a t=\"y <p>z</p>", "x <a t=\"y z"),
+    ("<p>x <a t=\"<p>y</p>\" <p>z</p>", "x z"),
+    ("<p>x <a t=\"'<p>y</p>' <p>z</p><!-- no -->", "x <a t=\"' y ' z"),
+])
+def test_tags_that_never_end_are_text(source, want):
+    assert " ".join(text(source).split()) == want
+
+
 def page(body):
     return f"<html><body>{body}</body></html>"
 
@@ -75,7 +98,9 @@ def test_templates_are_those_that_a_plain_count_finds(spark, monkeypatch):
         want = {k for k in set().union(*own) if sum(k in o for o in own) >= max(H.LEAST_PAGES, H.LEAST_SHARE * len(own))}
         assert got.get(host, set()) == want
     before = sorted(map(tuple, H.extract_text(df).collect()))
+    plain = sorted(map(tuple, H.extract_text(df).collect()))
     monkeypatch.setattr(H, "MOST_BROADCAST_HASHES", 0)  # the shuffled way
+    assert sorted(map(tuple, H.extract_text(df).collect())) == plain
     assert sorted(map(tuple, H.extract_text(df).collect())) == before
 
 
