@@ -172,7 +172,11 @@ def _through(costs: list[np.ndarray], reach: np.ndarray) -> tuple[np.ndarray, li
 
 
 def _matrices(group: pa.Table) -> list[np.ndarray]:
-    return [np.array(c, "i8").reshape(4, 4) for c in group.column("costs").to_pylist()]
+    return [_matrix(c) for c in group.column("costs").to_pylist()]
+
+
+def _matrix(costs: list[int]) -> np.ndarray:
+    return np.array(costs, "i8").reshape(4, 4)
 
 
 def _states(back: list[np.ndarray], leave: int) -> list[int]:
@@ -190,28 +194,46 @@ def _ends(reach: np.ndarray) -> tuple[int, int]:
 
 
 _FROM_START = np.array([0, NEVER, NEVER, NEVER])
+_CUTS = [("chunk", pa.int64()), ("enters", pa.int32()), ("leaves", pa.int32()), ("before", pa.int64()), ("last", pa.bool_()), ("cost", pa.int64())]
 
 
 def _cuts(chunks: DataFrame) -> DataFrame:
     """``conv, chunk, enters, leaves, before, last, cost``: each chunk's states and the turns before it."""
-    def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by("chunk")
-        reach, back = _through(_matrices(group), _FROM_START)
+    def cuts(rows: list[dict]) -> list[dict]:
+        reach, back = _through([_matrix(r["costs"]) for r in rows], _FROM_START)
         leave, cost = _ends(reach)
-        states, n = _states(back, leave), np.array(group.column("n").to_pylist())
-        return pa.table({
-            "conv": group.column("conv"), "chunk": group.column("chunk"), "enters": pa.array(states[:-1], pa.int32()), "leaves": pa.array(states[1:], pa.int32()),
-            "before": pa.array(np.cumsum(n) - n, pa.int64()), "last": pa.array([i == len(n) - 1 for i in range(len(n))]),
-            "cost": pa.array([cost] * len(n), pa.int64())})
+        states, before, out = _states(back, leave), 0, []
+        for i, r in enumerate(rows):
+            out.append({"conv": r["conv"], "chunk": r["chunk"], "enters": states[i], "leaves": states[i + 1], "before": before, "last": i == len(rows) - 1, "cost": cost})
+            before += r["n"]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, rows = None, []
+        for batch in batches:
+            schema, done = pa.schema([("conv", batch.schema.field("conv").type), *_CUTS]), []
+            for row in batch.to_pylist():
+                if rows and row["conv"] != rows[0]["conv"]:
+                    done += cuts(rows)
+                    rows = []
+                rows.append(row)
+            yield pa.RecordBatch.from_pylist(done, schema)
+        if rows:
+            yield pa.RecordBatch.from_pylist(cuts(rows), schema)
+
+    def by_conversation(small: DataFrame) -> DataFrame:
+        """Conversations one behind the other, in as many tasks as a shuffle has: their cost rows are too few bytes for Spark to tell."""
+        parts = int(small.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return small.repartition(parts, "conv").sortWithinPartitions("conv", "chunk").mapInArrow(run, shape)
 
     conv = chunks.schema["conv"].dataType.simpleString()
     small = chunks.select("conv", "chunk", "costs", F.size("roles").cast("long").alias("n"))
     many = stored(small.groupBy("conv").agg(F.count(F.lit(1)).alias("chunks")).where(F.col("chunks") > 1 << RUN_BITS).select(F.col("conv").alias("of")), "long")
     shape = f"conv {conv}, chunk long, enters int, leaves int, before long, last boolean, cost long"
     if many.isEmpty():
-        return small.groupBy("conv").applyInArrow(run, shape)
+        return by_conversation(small)
     same = F.col("conv").eqNullSafe(F.col("of"))
-    return small.join(many, same, "left_anti").groupBy("conv").applyInArrow(run, shape).unionByName(_long_cuts(small.join(many, same, "left_semi"), conv))
+    return by_conversation(small.join(many, same, "left_anti")).unionByName(_long_cuts(small.join(many, same, "left_semi"), conv))
 
 
 def _long_cuts(small: DataFrame, conv: str) -> DataFrame:

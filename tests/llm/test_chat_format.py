@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyframe.llm import chat_format as C
 
@@ -104,6 +105,16 @@ def test_a_conversation_over_many_chunks_is_repaired_as_one(spark):
     assert got[0].cost == whole // 1000
 
 
+def test_short_conversations_are_cut_by_many_tasks(spark):
+    rows = [(i // 2, i % 2, ("user", "assistant")[i % 2], "t", 1) for i in range(400)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, position int")
+    chunks = C.stored(C._chunks(df.select("conv_id", "turn", "role", "text").withColumnRenamed("conv_id", "conv")), "test")
+    cuts = C._cuts(chunks)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert cuts.select(F.spark_partition_id()).distinct().count() == parts
+    assert cuts.count() == 200 and cuts.where("before = 0 and last").count() == 200
+
+
 @pytest.mark.parametrize("n", [0, 1])
 def test_small_tables(spark, n):
     got = run(spark, [(9, 0, "user", "y" * 300_000)][:n])
