@@ -95,10 +95,10 @@ def _unsteps(data: bytes | None) -> np.ndarray:
     return np.cumsum(np.frombuffer(data or b"", "<u4"), dtype="u4")
 
 
-def _cut(keys: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
-    """``bucket, from, to`` in ascending keys, whose bits above 32 are the bucket."""
-    bounds = np.searchsorted(keys, np.arange((1 << bits) + 1, dtype="u8") << np.uint64(32)).tolist()
-    return list(zip(range(1 << bits), bounds[:-1], bounds[1:]))
+def _cut(keys: np.ndarray, buckets: np.ndarray) -> list[tuple[int, int]]:
+    """``from, to`` of some ascending buckets in ascending keys, whose bits above 32 are the bucket."""
+    high = keys >> np.uint64(32)
+    return list(zip(np.searchsorted(high, buckets, "left").tolist(), np.searchsorted(high, buckets, "right").tolist()))
 
 
 def _sent_shingles(docs: DataFrame, text_col: str, bits: int) -> DataFrame:
@@ -125,9 +125,10 @@ def _sent_shingles(docs: DataFrame, text_col: str, bits: int) -> DataFrame:
             once, often = new[times == 1], new[times > 1]
             shared = np.repeat(times > 1, times)
             number = part << 32 | flushes
+            buckets = np.unique(key >> np.uint64(32))  # those the flush has, of all that there are
             rows = [{"bucket": b, "flush": number, "once": _steps(key[once[i:j]]), "owner": owner[once[i:j]].tobytes(),
                      "often": _steps(key[often[k:m]]), "times": times[times > 1][k:m].astype("<u4").tobytes()}
-                    for (b, i, j), (_, k, m) in zip(_cut(key[once], bits), _cut(key[often], bits)) if j > i or m > k]
+                    for b, (i, j), (k, m) in zip(buckets.tolist(), _cut(key[once], buckets), _cut(key[often], buckets))]
             rows.append({"bucket": number % (1 << bits), "flush": number, "lkey": key[shared].tobytes(), "lowner": owner[shared].tobytes(),
                          "v": np.array(classes, "i8").tobytes(), "n": sizes.astype("i8").tobytes()})
             return pa.RecordBatch.from_pylist(rows, _SENT)
@@ -174,7 +175,7 @@ def _counted(group: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(out, _KNOWN)
 
 
-def _short_lists(bits: int, percent: int):
+def _short_lists(percent: int):
     """For a flush: the shared shingles among each set's rarest ``n - T + 1``, as list entries by bucket."""
 
     def run(group: pa.Table) -> pa.Table:
@@ -193,10 +194,11 @@ def _short_lists(bits: int, percent: int):
         taken = nth < (n - needed(n, percent) + 1 - alone)[owner]
         shingle, first, a, b = _linked_runs(key[taken], v[owner[taken]])
         pairs = _edges(a, b)
-        share = np.linspace(0, len(pairs), (1 << bits) + 1).astype(int)  # found edges travel with any bucket
+        buckets = np.unique(shingle >> np.uint64(32))
+        share = np.linspace(0, len(pairs), len(buckets) + 1).astype(int)  # found edges travel with any bucket that there is
         return pa.Table.from_pylist([
-            {"bucket": i, "shingles": shingle[lo:hi].tobytes(), "firsts": first[lo:hi].tobytes(), "pairs": pairs[share[i]:share[i + 1]].tobytes()}
-            for i, lo, hi in _cut(shingle, bits) if hi > lo or share[i + 1] > share[i]], _SHORT)
+            {"bucket": b, "shingles": shingle[lo:hi].tobytes(), "firsts": first[lo:hi].tobytes(), "pairs": pairs[share[i]:share[i + 1]].tobytes()}
+            for i, (b, (lo, hi)) in enumerate(zip(buckets.tolist(), _cut(shingle, buckets)))], _SHORT)
 
     return run
 
@@ -212,7 +214,7 @@ def _candidate_edges(docs: DataFrame, text_col: str, bits: int, percent: int) ->
     """Edges ``a, b`` between class keys that meet in short lists."""
     counted = _sent_shingles(docs, text_col, bits).groupBy("bucket").applyInArrow(
         _counted, "flush long, key binary, owner binary, df binary, okey binary, odf binary, lkey binary, lowner binary, v binary, n binary")
-    short = counted.groupBy("flush").applyInArrow(_short_lists(bits, percent), "bucket int, shingles binary, firsts binary, pairs binary")
+    short = counted.groupBy("flush").applyInArrow(_short_lists(percent), "bucket int, shingles binary, firsts binary, pairs binary")
     return short.groupBy("bucket").applyInArrow(_merged_lists, "a long, b long").distinct()
 
 
