@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,6 +39,8 @@ from tallyframe.llm.common import give_back
 #: Bounds of the training sample (documents) and of what the SVM sees of it (words).
 MOST_TOXIC, MOST_CLEAN = 2_500, 5_000
 MOST_INSULTS, MOST_OTHERS, LANDMARKS = 1_000, 3_000, 256
+#: Letters that are told apart, those that insults use most (their cube is the table of weights); all others count as one.
+MOST_LETTERS = 120
 #: Fixed values of the kernel: weight of each letter that a subsequence stretches over, and the most letters.
 DECAY, REACH = 0.7, 7
 #: Pieces of so many letters mark insults from this log-likelihood ratio on, if they stand in toxic documents so much oftener.
@@ -179,6 +182,21 @@ def _insults(rows: list) -> tuple[list[str], list[str]]:
     return [w for _, w in insults][:MOST_INSULTS], others
 
 
+def alphabet(insults: list[str]) -> list[str]:
+    """Letters of the insults (the most used, ties by code point) and of Latin, in order."""
+    used = Counter(c for w in insults for c in w)
+    latin = "abcdefghijklmnopqrstuvwxyz*.-"
+    return sorted(sorted(set(latin) | set(used), key=lambda c: (-used[c], c))[:MOST_LETTERS])
+
+
+def numbered(letters: list[str]) -> np.ndarray:
+    """Letter number by code point; the last entry stands for all beyond."""
+    numbers = np.ones(max(map(ord, letters)) + 2, "u1")
+    numbers[[0, 2, 3]] = 0, 2, 3
+    numbers[[ord(c) for c in letters]] = np.arange(len(letters)) + 4
+    return numbers
+
+
 def _varied(words: list[str]) -> list[str]:
     """The words, and with a strange letter put in or a letter doubled at every third place."""
     out = list(words)
@@ -240,12 +258,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = training_sample(docs, labels, id_col, text_col, label_col).cache()
     try:
         insults, others = _insults([tuple(r) for r in _surroundings(sample)])
-        letters = sorted({c for w in insults[:LANDMARKS // 2] for c in w} | set("abcdefghijklmnopqrstuvwxyz*.-"))[:58]
-        numbers = np.ones(0x3000, "u1")
-        numbers[0], numbers[2], numbers[3] = 0, 2, 3
-        for n, c in enumerate(letters):
-            numbers[min(ord(c), 0x2FFF)] = n + 4
-        model = Model(numbers, len(letters) + 4, np.zeros((len(letters) + 4) ** 3, "f4"), 0.0, 1.0)
+        letters = alphabet(insults[:LANDMARKS // 2])
+        model = Model(numbered(letters), len(letters) + 4, np.zeros((len(letters) + 4) ** 3, "f4"), 0.0, 1.0)
         if not insults:
             model.threshold = 30.0
             return model

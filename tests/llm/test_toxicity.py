@@ -58,6 +58,16 @@ def test_long_words_are_read_to_their_end():
         assert model.margins([long])[0] > 4 * abs(model.margins(["z" * 65])[0]) + 0.1
 
 
+def test_letters_are_chosen_by_use_not_by_code_point():
+    cyrillic, rare = [chr(c) for c in range(0x430, 0x450)], [chr(c) for c in range(0x4E00, 0x4E00 + 100)]
+    letters = T.alphabet(cyrillic * 3 + ["\U0001F595"] * 2 + rare)
+    assert len(letters) == T.MOST_LETTERS and {*cyrillic, "\U0001F595"} <= set(letters)
+    model = T.Model(T.numbered(letters), len(letters) + 4, np.zeros((len(letters) + 4) ** 3, "f4"), 0.0, 1.0)
+    codes = model.codes(["дурак", "\U0001F595", "\U0001F596"])[0]
+    assert len(set(codes[0][1:6].tolist())) == 5
+    assert codes[1][1] > 3 and codes[2][1] == 1
+
+
 def test_spelled_words():
     assert T.spelled_words("you i d i o t there") == ["idiot"]
     assert T.spelled_words("s.t.u.p.i.d") == ["stupid"]
