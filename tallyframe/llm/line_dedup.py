@@ -67,6 +67,15 @@ def repeated_windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return joined.join(origin, "run").where(start > F.col("origin")).select("place", "first", "last")
 
 
+def merged_spans(windows: DataFrame) -> DataFrame:
+    """``place, first, last``: windows that overlap or touch as one."""
+    in_order = Window.partitionBy("place").orderBy("first", "last")
+    earlier = F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = windows.withColumn("apart", F.when(F.col("first") <= earlier + 1, 0).otherwise(1))
+    numbered = apart.withColumn("span", F.sum("apart").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("place", "span").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("span")
+
+
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with later repeated runs taken out of ``text_col``, and ``lines_removed int``.
 
@@ -80,13 +89,23 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     """
     place = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"))
     narrow = docs.select(place.alias("place"), F.col(text_col).alias("body")).where("body is not null")
-    spans = repeated_windows(narrow, min_words).groupBy("place").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
-    gone = spans.select("place.id", "place.text_hash", F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["last"]))).alias("gone"))
+    spans = merged_spans(repeated_windows(narrow, min_words)).groupBy("place").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"))
+    gone = spans.select("place.id", "place.text_hash", "spans")
 
     text = F.col(f"d.`{text_col}`")
     both = docs.alias("d").join(gone.hint("shuffle_hash").alias("g"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("g.id")) & (F.xxhash64(text) == F.col("g.text_hash")), "left")
-    lines = F.split(text, "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("g.gone"))
-    changed = F.when(F.col("g.gone").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    removed = F.when(F.col("g.gone").isNull(), 0).otherwise(F.size(lines) - F.size(kept)).alias("lines_removed")
+    spans = F.col("g.spans")
+
+    def between(lines: Column) -> Column:
+        """The lines before each span, and behind the last."""
+        def before(span: Column, i: Column) -> Column:
+            start = F.coalesce(F.get(spans, i - 1)["last"] + 2, F.lit(1))
+            return F.slice(lines, start, span["first"] + 1 - start)
+
+        tail = F.slice(lines, F.get(spans, F.size(spans) - 1)["last"] + 2, F.size(lines))
+        return F.array_join(F.concat(F.flatten(F.transform(spans, before)), tail), "\n")
+
+    # a variable holds the lines, so that a text is split once and not for every span
+    changed = F.when(spans.isNull(), text).otherwise(F.get(F.transform(F.array(F.split(text, "\n")), between), F.lit(0)))
+    removed = F.when(spans.isNull(), 0).otherwise(F.aggregate(spans, F.lit(0), lambda n, s: n + s["last"] - s["first"] + 1)).alias("lines_removed")
     return both.select(*(changed.alias(c) if c == text_col else F.col(f"d.`{c}`") for c in docs.columns if c != "lines_removed"), removed)
