@@ -25,8 +25,8 @@ from tallyframe.llm.common import give_back, stored
 
 END_ID = 1
 LENGTH = 2048
-TABLE_WORDS = 600_000
-SLICE_BYTES = 16 << 20
+TABLE_WORDS = 150_000
+SLICE_BYTES = 8 << 20
 #: One row of 16 bytes for each input partition; beyond it the offsets are joined by a shuffle.
 MOST_BROADCAST_PARTITIONS = 1_000_000
 
