@@ -77,7 +77,7 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\
 _NAME_PARTS = re.compile(r"[^a-z0-9]+")
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     tag: str
     dropped: bool
@@ -126,24 +126,18 @@ def _is_furniture(tag: str, attributes: str, zone: int) -> bool:
 
 
 class Markup:
-    """Tags and comments of a source in order; a ``<`` whose tag never ends is text.
+    """Tags and comments of a source from the first ``<`` on whose tag never ends; such a ``<`` is text.
 
-    From the first such ``<`` on, one pass backwards tells of every ``>`` and
-    quotation mark whether a tag that comes to it ends, so that no ``<`` is
-    followed to the end of the page in vain.
+    One pass backwards tells of every ``>`` and quotation mark whether a tag
+    that comes to it ends, so that no ``<`` is followed to the end of the page
+    in vain.
     """
 
-    def __init__(self, source: str):
-        self.source = source
-        self.events: array | None = None
-        self.name_end = 0
+    def __init__(self, source: str, at: int):
+        self.source, self.name_end = source, 0
+        self._look_ahead(at)
 
     def after(self, at: int) -> re.Match | None:
-        if self.events is None:
-            token = _TOKEN.search(self.source, at)
-            if not token or not token[4]:
-                return token
-            self._look_ahead(token.start())
         while mark := _MARK.search(self.source, at):
             if not mark[1] or self._ends(mark.end()):
                 return _TOKEN.match(self.source, mark.start())
@@ -179,10 +173,14 @@ class Page:
         self.top = Node("", False, 0, None)
         self.open: dict[str, list[Node]] = defaultdict(list)
         self.parts: list[str] = []
-        markup, at = Markup(source), 0
-        while token := markup.after(at):
+        markup, at = None, 0
+        while token := markup.after(at) if markup else _TOKEN.search(source, at):
+            slash, tag, attributes, endless = token.groups()
+            if endless:
+                markup = Markup(source, token.start())
+                continue
             self._text(source[at:token.start()])
-            at, (slash, tag, attributes) = token.end(), token.group(1, 2, 3)
+            at = token.end()
             if tag is None:
                 continue
             tag = tag.lower()
@@ -242,9 +240,10 @@ class Page:
         self.starts += 1
         if tag in BLOCKS:
             self._flush()
-            self._close_open("p", set())
-            if tag in CLOSES_ITSELF:
-                self._close_open(tag, CLOSES_ITSELF[tag])
+            if self.open["p"]:
+                self._close_open("p")
+            if tag in CLOSES_ITSELF and self.open[tag]:
+                self._close_open(tag)
         elif tag in SPACES and not self.top.dropped:
             self.parts.append(" ")
         if tag in VOID or tag not in BLOCKS and tag not in DROPPED and not _is_furniture(tag, attributes, self.top.zone):
@@ -268,14 +267,16 @@ class Page:
             while node and not node.holds:
                 node.holds, node = True, node.parent
 
-    def _close_open(self, tag: str, within: set[str]) -> None:
-        """Close an open ``tag`` that the next start tag ends, up to the elements that hold it."""
-        if self.open[tag]:
-            node = self.open[tag][-1]
-            if all(not self.open[t] or self.open[t][-1].depth <= node.depth for t in within | HOLD_OPEN):
-                while self.top is not node:
-                    self._pop()
+    def _close_open(self, tag: str) -> None:
+        """Close an open ``tag`` that the next start tag ends, unless an element that holds it stands between."""
+        node = self.open[tag][-1]
+        if self.top is not node:
+            for t in HOLD_OPEN | CLOSES_ITSELF.get(tag, set()):
+                if self.open[t] and self.open[t][-1].depth > node.depth:
+                    return
+            while self.top is not node:
                 self._pop()
+        self._pop()
 
     def _end(self, tag: str) -> None:
         if self.open[tag]:
