@@ -6,13 +6,17 @@ weighted by ``DECAY`` to the power of the letters it stretches over (at most
 into an insult, or a suffix, costs part of the weight only.
 
 Training reads a bounded sample of labelled documents (``MOST_TOXIC`` and
-``MOST_CLEAN``, by hash of the id): Spark counts, over both classes, in how many
-different surroundings a word stands, so copies of a document count once.
-Pieces of four to seven letters that are tied to toxic documents mark the words to learn
-as insults; words of clean documents are the other class.  Landmarks from both
-give the Nyström features, a linear SVM is trained on them, and since the
-kernel is a sum over subsequences, its weights are folded into one table of
-three-letter weights.  Scoring a word is then a sum of table entries.
+``MOST_CLEAN``, by hash of the id) and minimises the loss of their labels (a
+multiple-instance SVM): a document's margin is that of its worst word, so a toxic
+document pulls its worst word up and a clean one pushes its worst words down, whatever
+they are.  Each round Spark finds the worst words under the weights so far, the
+words found join those to train on, and the SVM is solved again.  The first
+words of toxic documents are those that hold pieces of four to seven letters tied
+to toxic documents; Spark counts in how many different surroundings a word stands,
+so copies of a document count once.  No word is left out for its length or rank.
+Landmarks from both sides give the Nyström features, and since the kernel is a
+sum over subsequences, the weights are folded into one table of three-letter
+weights.  Scoring a word is then a sum of table entries.
 
 A document's margin is that of its worst word; runs of single letters ("i d i o
 t") are read as one word too.  The margins of the sample's documents fix the
@@ -34,11 +38,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.llm.common import give_back
+from tallyframe.llm.common import give_back, stored
 
-#: Bounds of the training sample (documents) and of what the SVM sees of it (words).
+#: Bounds of the training sample (labelled documents): the only bound on what is learnt from.
 MOST_TOXIC, MOST_CLEAN = 2_500, 5_000
-MOST_INSULTS, MOST_OTHERS, LANDMARKS = 1_000, 3_000, 256
+#: Nyström landmarks, rounds of training, and words that a clean document shows in a round.
+LANDMARKS, ROUNDS, SHOWN = 384, 5, 2
 #: Letters that are told apart, those that insults use most (their cube is the table of weights); all others count as one.
 MOST_LETTERS = 120
 #: Fixed values of the kernel: weight of each letter that a subsequence stretches over, and the most letters.
@@ -60,6 +65,18 @@ def _lengths_norm(length: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(total, DECAY ** 4))
 
 
+def _rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The words between edge marks, long ones in pieces that overlap by what a subsequence can reach; each row's word."""
+    owner, rows = [], []
+    for n, word in enumerate(words):
+        marked = f"\x02{word}\x03"
+        starts = range(0, max(1, len(marked) - REACH), _STRIDE) if len(marked) > _WIDTH else (0,)
+        for at in starts:
+            owner.append(n)
+            rows.append(marked[at:at + _WIDTH])
+    return np.array(rows, f"U{_WIDTH}"), np.array(owner, int)
+
+
 @dataclass
 class Model:
     """Three-letter weights, the alphabet they are over, and the threshold."""
@@ -72,25 +89,15 @@ class Model:
 
     def codes(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Letter numbers of the words between edge marks, in rows of ``_WIDTH``; each row's word and its letters."""
-        owner, rows = [], []
-        for n, word in enumerate(words):
-            marked = f"\x02{word}\x03"
-            if len(marked) <= _WIDTH:
-                owner.append(n)
-                rows.append(marked)
-            else:  # pieces that overlap by what a subsequence can reach
-                for at in range(0, max(1, len(marked) - REACH), _STRIDE):
-                    owner.append(n)
-                    rows.append(marked[at:at + _WIDTH])
-        text = np.array(rows, f"U{_WIDTH}")
-        points = text.view("u4").reshape(len(rows), _WIDTH) if rows else np.empty((0, _WIDTH), "u4")
-        length = np.char.str_len(text) if rows else np.empty(0, int)
-        return self.letters[np.minimum(points, len(self.letters) - 1)], np.array(owner, int), length
+        text, owner = _rows(words)
+        points = text.view("u4").reshape(len(text), _WIDTH) if len(text) else np.empty((0, _WIDTH), "u4")
+        length = np.char.str_len(text) if len(text) else np.empty(0, int)
+        return self.letters[np.minimum(points, len(self.letters) - 1)], owner, length
 
-    def margins(self, words: list[str]) -> np.ndarray:
-        """Margin of each word (of a long one, its worst piece)."""
-        out = np.full(len(words), -np.inf)
+    def row_margins(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Margin and word of each row of ``codes``."""
         codes, owner, length = self.codes(words)
+        out = np.zeros(len(owner))
         for lo, hi in ((0, 8), (8, 12), (12, 16), (16, _WIDTH)):
             some = np.flatnonzero((length > lo) & (length <= hi))
             for part in np.array_split(some, len(some) // 20_000 + 1):
@@ -99,9 +106,23 @@ class Model:
                 for a, b in _STEPS:
                     at = (x[:, :hi - b] * self.size + x[:, a:hi - b + a]) * self.size + x[:, b:]
                     total += self.weights[at].sum(1, dtype="f4") * np.float32(DECAY ** b)
-                np.maximum.at(out, owner[part], total / _lengths_norm(length[part]))
+                out[part] = total / _lengths_norm(length[part])
+        return out, owner
+
+    def margins(self, words: list[str]) -> np.ndarray:
+        """Margin of each word (of a long one, its worst piece)."""
+        out = np.full(len(words), -np.inf)
+        margin, owner = self.row_margins(words)
+        np.maximum.at(out, owner, margin)
         return out
 
+    def worst_pieces(self, words: list[str], shown: int) -> list[tuple[str, float]]:
+        """The pieces (words but for the long) of the highest margins, and these."""
+        margin, _ = self.row_margins(words)
+        best = np.argsort(-margin, kind="stable")[:shown]
+        text, _ = _rows(words)
+        return [(str(text[i]).strip("\x02\x03"), float(margin[i])) for i in best]
+
     def scores(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * (margin - self.threshold), -30, 30)))
 
@@ -147,39 +168,61 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     return texts.join(chosen, F.col("id") == F.col("labelled")).select("body", "toxic")
 
 
-def _surroundings(sample: DataFrame) -> list:
-    """``word, toxic_places, clean_places``: the different neighbourhoods a word stands in, by class."""
+def _words(sample: DataFrame) -> DataFrame:
+    """``doc, toxic, w``: the words of each different text of the sample."""
     trimmed = F.transform(F.split(F.lower("body"), r"\s+"), lambda w: F.btrim(w, F.lit(_EDGES)))
-    words = sample.select("toxic", F.filter(trimmed, lambda w: w != "").alias("w"))
-    near = F.transform(F.col("w"), lambda x, i: F.struct(x.alias("word"), F.xxhash64(F.get("w", i - 1), F.get("w", i + 1)).alias("near")))
-    places = words.select("toxic", F.explode(near).alias("p")).select("toxic", "p.word", "p.near").distinct()
-    return places.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")).where("length(word) <= 64").collect()
+    return sample.select(F.xxhash64("body").alias("doc"), "toxic", F.filter(trimmed, lambda w: w != "").alias("w"))
 
 
-def _pieces(word: str) -> set[str]:
-    marked = f"\x02{word}"
-    return {marked[i:i + n] for n in PIECES for i in range(max(1, len(marked) - n + 1))}
+def _surroundings(words: DataFrame) -> DataFrame:
+    """``word, t, c``: the different neighbourhoods a word stands in, by class."""
+    near = F.transform(F.col("w"), lambda x, i: F.struct(x.alias("word"), F.xxhash64(F.get("w", i - 1), F.get("w", i + 1)).alias("near")))
+    places = words.select("toxic", F.explode(near).alias("p")).select("toxic", "p.word", "p.near").distinct()
+    return places.groupBy("word").agg(F.sum("toxic").cast("long").alias("t"), F.sum(1 - F.col("toxic")).cast("long").alias("c"))
 
 
-def _insults(rows: list) -> tuple[list[str], list[str]]:
-    """Words to learn as insults (most places first) and words of clean documents."""
-    toxic, clean = 1 + sum(t for _, t, _ in rows), 1 + sum(c for _, _, c in rows)
+def _pieces(words: DataFrame) -> DataFrame:
+    """``word, t, c, piece`` for the different pieces of each word, its beginning marked."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 2000):
+                some = batch.slice(lo, 2000)
+                at, out = [], []
+                for n, word in enumerate(some.column(0).to_pylist()):
+                    marked = f"\x02{word}"
+                    own = {marked[i:i + k] for k in PIECES for i in range(max(1, len(marked) - k + 1))}
+                    at += [n] * len(own)
+                    out += own
+                rows = some.take(pa.array(at, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(out, pa.string())], names=["word", "t", "c", "piece"])
+
+    return words.select("word", "t", "c").mapInArrow(run, "word string, t long, c long, piece string")
+
+
+def first_insults(sample: DataFrame) -> list[tuple[str, int]]:
+    """One word for each toxic document that has a word with a telling piece, and how many documents gave it."""
+    docs = _words(sample)
+    words = stored(_surroundings(docs), "toxic-words")
+    toxic, clean = (1 + (n or 0) for n in words.agg(F.sum("t"), F.sum("c")).first())
     share = toxic / (toxic + clean)
-    by_piece: dict[str, list[int]] = {p: [0, 0] for w, t, c in rows if t > c for p in _pieces(w)}
-    for word, t, c in rows:
-        for piece in by_piece.keys() & _pieces(word):
-            count = by_piece[piece]
-            count[0] += t
-            count[1] += c
-
-    def evidence(t: int, c: int) -> float:
-        own = t / (t + c)
-        return t * np.log(own / share) + (c * np.log((1 - own) / (1 - share)) if c else 0)
-
-    marks = {p for p, (t, c) in by_piece.items() if t > PURITY * c and evidence(t, c) >= EVIDENCE}
-    insults = sorted(((t, w) for w, t, c in rows if t > PURITY * c and not marks.isdisjoint(_pieces(w))), reverse=True)
-    others = sorted((w for w, t, c in rows if c > 0 and c >= t), key=lambda w: zlib.crc32(w.encode()))
-    return [w for _, w in insults][:MOST_INSULTS], others
+    own = F.col("t") / (F.col("t") + F.col("c"))
+    evidence = F.col("t") * F.log(own / share) + F.when(F.col("c") > 0, F.col("c") * F.log((1 - own) / (1 - share))).otherwise(0)
+    sums = [F.sum("t").alias("t"), F.sum("c").alias("c")]
+    # a piece needs so many places in toxic documents at the least
+    often = _pieces(words.where("t > c")).groupBy("piece").agg(*sums).where((F.col("t") > PURITY * F.col("c")) & (evidence >= EVIDENCE)).select("piece")
+    marks = _pieces(words).join(often, "piece").groupBy("piece").agg(*sums).where((F.col("t") > PURITY * F.col("c")) & (evidence >= EVIDENCE))
+    marks = stored(marks.select("piece", evidence.alias("evidence")), "toxic-marks")
+    insults = _pieces(words.where(f"t > {PURITY} * c")).join(marks, "piece").groupBy("word").agg(F.max("evidence").alias("evidence"))
+    stand = docs.where("toxic = 1").select("doc", F.explode(F.array_distinct("w")).alias("word"))
+    one = stand.join(insults, "word").groupBy("doc").agg(F.max_by("word", F.struct("evidence", "word")).alias("word"))
+    return [(r.word, r.n) for r in one.groupBy("word").agg(F.count("*").alias("n")).collect()]
+
+
+def first_others(sample: DataFrame) -> list[str]:
+    """One word of each clean document, drawn by hash."""
+    drawn = F.array_min(F.transform("w", lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("word"))))
+    rows = _words(sample.where("toxic = 0")).where("size(w) > 0").select(drawn["word"].alias("word")).distinct().collect()
+    return sorted((r.word for r in rows), key=lambda w: (zlib.crc32(w.encode()), w))
 
 
 def alphabet(insults: list[str]) -> list[str]:
@@ -232,69 +275,104 @@ class Explicit:
 
     def kernel(self, words: list[str]) -> np.ndarray:
         """Kernel values with the landmarks."""
-        parts = [self.rows(words[lo:lo + 1000]) @ self.landmarks.T for lo in range(0, len(words), 1000)]
+        parts = [self.rows(words[lo:lo + 500]) @ self.landmarks.T for lo in range(0, len(words), 500)]
         return np.concatenate(parts or [np.empty((0, len(self.landmarks)))]).astype("f8")
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 150, cost: float = 300.0) -> np.ndarray:
-    """Linear SVM (hinge loss, bias as last column) by dual coordinate ascent."""
-    alpha, w = np.zeros(len(y)), np.zeros(x.shape[1])
-    square, order = (x * x).sum(1) + 1e-12, np.random.default_rng(1)
-    for _ in range(rounds):
-        for i in order.permutation(len(y)):
-            new = min(max(alpha[i] + (1 - y[i] * (x[i] @ w)) / square[i], 0), cost * weight[i])
-            if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
-                alpha[i] = new
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 30.0) -> np.ndarray:
+    """Linear SVM (squared hinge loss, bias as last column, not shrunk) by Newton steps on the rows inside the margin."""
+    shrunk = np.append(np.ones(x.shape[1] - 1), 1e-6) / cost
+
+    def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
+        short = np.maximum(0, 1 - y * (x @ w.astype(x.dtype)))
+        return float(w @ (shrunk * w) + (weight * short * short).sum()), short
+
+    w = np.zeros(x.shape[1])
+    now, short = loss(w)
+    for _ in range(60):
+        inside = np.flatnonzero(short > 0)
+        xa, wa = x[inside].astype("f8"), weight[inside]
+        slope = shrunk * w - xa.T @ (wa * y[inside] * short[inside])
+        step = np.linalg.solve((xa.T * wa) @ xa + np.diag(shrunk), slope)
+        size = 1.0
+        while size > 1e-4:
+            then, at = loss(w - size * step)
+            if then < now:
+                break
+            size /= 2
+        else:
+            break
+        gain, w, now, short = now - then, w - size * step, then, at
+        if gain < 1e-7 * now:
+            break
     return w
 
 
+def _solved(model: Model, insults: list[str], others: list[str], near: list[str]) -> float:
+    """Fold the weights learnt from both sorts of words into the model; the margin that parts them."""
+    marks = insults[:LANDMARKS // 2] + near[:LANDMARKS // 3]
+    marks = list(dict.fromkeys(marks + others))[:LANDMARKS]
+    explicit = Explicit(model, marks)
+    values, vectors = np.linalg.eigh(explicit.kernel(marks))
+    kept = values > 1e-6 * values[-1]
+    root = vectors[:, kept] / np.sqrt(values[kept])
+    positive = list(dict.fromkeys(_varied(insults)))
+    y = np.array([1.0] * len(positive) + [-1.0] * len(others))
+    x = np.vstack([np.hstack([explicit.kernel(some) @ root, np.ones((len(some), 1))]).astype("f4") for some in (positive, others)])
+    w = _svm(x, y, np.where(y > 0, len(y) / (2 * len(positive)), len(y) / (2 * max(1, len(others)))))
+    model.weights[:] = 0
+    model.weights[explicit.found] = (root @ w[:-1]) @ explicit.landmarks
+    return -w[-1]
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Learn from labelled rows outside the held-out fold.
 
-    Without an insult to learn (no labels, or none tied to any words) the model
+    Without an insult to start from (no labels, or none tied to any words) the model
     gives every text the same score of almost 0.
     """
     sample = training_sample(docs, labels, id_col, text_col, label_col).cache()
     try:
-        insults, others = _insults([tuple(r) for r in _surroundings(sample)])
-        letters = alphabet(insults[:LANDMARKS // 2])
+        first = dict(first_insults(sample))
+        insults = sorted(first, key=lambda w: (-first[w], w))
+        letters = alphabet(insults)
         model = Model(numbered(letters), len(letters) + 4, np.zeros((len(letters) + 4) ** 3, "f4"), 0.0, 1.0)
         if not insults:
             model.threshold = 30.0
             return model
-        positive = _varied(insults[:MOST_INSULTS // 4]) + insults[MOST_INSULTS // 4:]
-        negative, near = others[:MOST_OTHERS], []
-        for again in (True, True, False):
-            marks = insults[:LANDMARKS // 2] + near[:LANDMARKS // 4]
-            marks += others[:LANDMARKS - len(marks)]
-            explicit = Explicit(model, marks)
-            values, vectors = np.linalg.eigh(explicit.kernel(marks))
-            kept = values > 1e-6 * values[-1]
-            root = vectors[:, kept] / np.sqrt(values[kept])
-            words = positive + negative
-            y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
-            x = np.hstack([explicit.kernel(words) @ root, np.ones((len(words), 1))])
-            w = _svm(x, y, np.where(y > 0, len(y) / (2 * len(positive)), len(y) / (2 * max(1, len(negative)))))
-            model.weights[:] = 0
-            model.weights[explicit.found], bias = (root @ w[:-1]) @ explicit.landmarks, w[-1]
-            if again and others:  # the clean words nearest to insults join the other class and the landmarks
-                near = [others[i] for i in np.argsort(-model.margins(others))[:MOST_OTHERS // 4]]
-                negative = list(dict.fromkeys(negative + near))
-        margins = _sample_margins(sample, model)
-        model.threshold, model.slope = _threshold(margins, -bias)
+        others, near = first_others(sample), []
+        for again in range(ROUNDS):
+            bias = _solved(model, insults, others, near)
+            shown = worst_words(sample, model)
+            if again == ROUNDS - 1:
+                break
+            clean = {w: m for w, m, toxic, _ in shown if toxic == 0}
+            near = sorted((w for w, m in clean.items() if w and m > bias - 1), key=lambda w: (-clean[w], w))
+            others = list(dict.fromkeys(others + near))
+            if clean:  # a toxic document's worst word speaks for it if few clean documents have one like it
+                level = np.quantile([m for _, m, toxic, nth in shown if toxic == 0 and nth == 0], 0.9)
+                found = Counter(w for w, m, toxic, nth in shown if toxic == 1 and nth == 0 and m > level and w not in clean)
+                insults = sorted(found, key=lambda w: (-found[w], w)) or insults
+            others = [w for w in others if w in clean or w not in set(insults)]
+        model.threshold, model.slope = _threshold(np.array([(m, toxic) for _, m, toxic, nth in shown if nth == 0], "f8").reshape(-1, 2), bias)
         return model
     finally:
         sample.unpersist()
 
 
-def _sample_margins(sample: DataFrame, model: Model) -> np.ndarray:
+def worst_words(sample: DataFrame, model: Model) -> list[tuple[str, float, int, int]]:
+    """``word, margin, toxic, nth`` of each document's ``SHOWN`` worst words (an empty one of margin -10, if it has none)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(document_margins(model, batch.column(0))), batch.column(1).cast(pa.int32())], names=["margin", "toxic"])
-
-    rows = sample.mapInArrow(run, "margin double, toxic int").collect()
-    return np.array([tuple(r) for r in rows], "f8").reshape(-1, 2)
+            out = []
+            for body, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                words = words_of(pa.array([body.as_py()], pa.string()))[0] + spelled_words(body.as_py())
+                worst = model.worst_pieces(words, SHOWN) or [("", -10.0)]
+                out += [(w, max(m, -10.0), toxic, nth) for nth, (w, m) in enumerate(worst)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.string(), pa.float64(), pa.int32(), pa.int32()), strict=True)], names=["word", "margin", "toxic", "nth"])
+
+    rows = sample.mapInArrow(run, "word string, margin double, toxic int, nth int").collect()
+    return sorted((r.word, r.margin, r.toxic, r.nth) for r in rows)
 
 
 def _threshold(margins: np.ndarray, default: float) -> tuple[float, float]:
