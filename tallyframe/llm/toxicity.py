@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.llm.common import give_back, stored
+from tallyframe.llm.common import byte_slices, give_back, stored
 
 #: Bounds of the training sample (labelled documents): the only bound on what is learnt from.
 MOST_TOXIC, MOST_CLEAN = 2_500, 5_000
@@ -116,12 +116,13 @@ class Model:
         np.maximum.at(out, owner, margin)
         return out
 
-    def worst_pieces(self, words: list[str], shown: int) -> list[tuple[str, float]]:
-        """The pieces (words but for the long) of the highest margins, and these."""
-        margin, _ = self.row_margins(words)
-        best = np.argsort(-margin, kind="stable")[:shown]
+    def worst_pieces(self, words: list[str]) -> tuple[np.ndarray, list[str]]:
+        """Margin of each word and the piece that has it (the word itself, unless it is long)."""
+        margin, owner = self.row_margins(words)
+        order = np.lexsort((-margin, owner))
+        first = order[np.unique(owner[order], return_index=True)[1]]
         text, _ = _rows(words)
-        return [(str(text[i]).strip("\x02\x03"), float(margin[i])) for i in best]
+        return margin[first], [str(t).strip("\x02\x03") for t in text[first]]
 
     def scores(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * (margin - self.threshold), -30, 30)))
@@ -210,6 +211,7 @@ def first_insults(sample: DataFrame) -> list[tuple[str, int]]:
     sums = [F.sum("t").alias("t"), F.sum("c").alias("c")]
     # a piece needs so many places in toxic documents at the least
     often = _pieces(words.where("t > c")).groupBy("piece").agg(*sums).where((F.col("t") > PURITY * F.col("c")) & (evidence >= EVIDENCE)).select("piece")
+    often = stored(often, "toxic-often")  # a small file, so that the planner need not shuffle the pieces of all words
     marks = _pieces(words).join(often, "piece").groupBy("piece").agg(*sums).where((F.col("t") > PURITY * F.col("c")) & (evidence >= EVIDENCE))
     marks = stored(marks.select("piece", evidence.alias("evidence")), "toxic-marks")
     insults = _pieces(words.where(f"t > {PURITY} * c")).join(marks, "piece").groupBy("word").agg(F.max("evidence").alias("evidence"))
@@ -362,14 +364,26 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def worst_words(sample: DataFrame, model: Model) -> list[tuple[str, float, int, int]]:
     """``word, margin, toxic, nth`` of each document's ``SHOWN`` worst words (an empty one of margin -10, if it has none)."""
+    def shown(bodies: pa.Array, labels: list[int]) -> list[tuple]:
+        words, number, bounds = words_of(bodies)
+        margin, piece = model.worst_pieces(words)
+        out = []
+        for n, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+            own = np.unique(number[lo:hi])
+            own = own[np.argsort(-margin[own], kind="stable")[:SHOWN]]
+            worst = [(float(margin[i]), piece[i]) for i in own]
+            if spelled := spelled_words(bodies[n].as_py()):
+                worst = sorted(worst + list(zip(*model.worst_pieces(spelled), strict=True)), key=lambda p: -p[0])[:SHOWN]
+            out += [(w, max(float(m), -10.0), labels[n], nth) for nth, (m, w) in enumerate(worst or [(-10.0, "")])]
+        return out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for body, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                words = words_of(pa.array([body.as_py()], pa.string()))[0] + spelled_words(body.as_py())
-                worst = model.worst_pieces(words, SHOWN) or [("", -10.0)]
-                out += [(w, max(m, -10.0), toxic, nth) for nth, (w, m) in enumerate(worst)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.string(), pa.float64(), pa.int32(), pa.int32()), strict=True)], names=["word", "margin", "toxic", "nth"])
+            for lo, hi in byte_slices(batch.column(0), 4_000_000):
+                part = batch.slice(lo, hi - lo)
+                columns = zip(*shown(part.column(0), part.column(1).to_pylist()), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.float64(), pa.int32(), pa.int32()), strict=True)], names=["word", "margin", "toxic", "nth"])
+        give_back()
 
     rows = sample.mapInArrow(run, "word string, margin double, toxic int, nth int").collect()
     return sorted((r.word, r.margin, r.toxic, r.nth) for r in rows)
