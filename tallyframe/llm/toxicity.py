@@ -418,8 +418,8 @@ def annotated(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2000):
-                some = batch.slice(lo, 2000)
+            for lo, hi in byte_slices(batch.column(at), 4_000_000):
+                some = batch.slice(lo, hi - lo)
                 value = model.scores(document_margins(model, some.column(at)))
                 yield pa.RecordBatch.from_arrays([*some.columns, pa.array(value), pa.array((value >= 0.5).astype("i4"))], names=schema.names)
         give_back()
