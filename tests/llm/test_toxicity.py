@@ -129,6 +129,41 @@ def test_labels_of_the_held_out_fold_change_nothing(spark, fitted):
     assert np.array_equal(again.weights, model.weights) and again.threshold == model.threshold
 
 
+def test_worst_words_are_those_of_the_highest_margins(spark, fitted):
+    d, _, model = fitted
+    bodies = [r.text for r in d.where("doc_id < 40").collect()] + ["", "i d i o t the", "the the the", "z" * 200 + "moron" + "z" * 200]
+    got = T.worst_words(spark.createDataFrame([(b, n % 2) for n, b in enumerate(bodies)], "body string, toxic int"), model)
+    want = []
+    for n, body in enumerate(bodies):
+        words, _, _ = T.words_of(pa.array([body]))
+        margins = [*model.margins(words), *(model.margins(T.spelled_words(body)) if T.spelled_words(body) else [])]
+        want += [(n % 2, nth, max(float(m), -10.0)) for nth, m in enumerate(sorted(margins, reverse=True)[:T.SHOWN] or [-10.0])]
+    assert sorted((t, nth, round(m, 4)) for _, m, t, nth in got) == sorted((t, nth, round(m, 4)) for t, nth, m in want)
+    assert all(len(w) <= T._WIDTH for w, *_ in got)
+
+
+def test_inflected_cyrillic_and_very_long_insults_are_learnt(spark):
+    rnd = random.Random(5)
+    syllables, long = "на по ко ра то во ли не де му ти ре са ло".split(), "ж" * 70
+    docs, labels = [], []
+    for i in range(700):
+        words = ["".join(rnd.choices(syllables, k=rnd.randrange(1, 4))) for _ in range(rnd.randrange(5, 60))]
+        if i % 5 == 0:  # a stem with an ending that need not have been seen, or a word of more than 64 letters
+            words.insert(rnd.randrange(len(words)), "дурак" + "".join(rnd.choices(syllables, k=2)) if i % 10 else long)
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 5 == 0)))
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    model = T.fit(d, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    rows = [r for r in T.score(d, model).collect() if r.held_out]
+    assert sum(r.predicted == int(r.doc_id % 5 == 0) for r in rows) >= 0.97 * len(rows)
+
+
+def test_copies_of_a_document_are_one_place(spark):
+    once = [("the odd glimmerwort here", 1)] * 50 + [(f"re{n} stupid ou{n}", 1) for n in range(30)] + [(f"the an{n} in{n} glim", 0) for n in range(90)]
+    found = dict(T.first_insults(spark.createDataFrame(once, "body string, toxic int")))
+    assert found.get("stupid") == 30 and "glimmerwort" not in found
+
+
 @pytest.mark.parametrize("docs,labels", [([], []), ([(1, "a b")], []), ([(1, "a b"), (2, None)], [(1, 1), (2, 0)])])
 def test_nothing_to_learn_rejects_nothing(spark, docs, labels):
     d, lab = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
