@@ -55,10 +55,9 @@ def date_from_text(c: Column | str) -> Column:
     """Text → date with ``strptime('%Y-%m-%d')`` rules; null when invalid.
 
     The shape (digits, optional zero or space padding) is checked by one
-    regex; the calendar check (no 2026-02-30) is Spark's strict parser on
-    ``yyyy-M-d`` after dropping a space-padded day's space.
+    regex; the calendar check (no 2026-02-30) is Spark's cast, after dropping a
+    space-padded day's space.
     """
     s = _col(c)
     ok = s.rlike(DATE_PATTERN) & ~s.startswith("0000")
-    parsed = F.try_to_timestamp(F.replace(s, F.lit("- "), F.lit("-")), F.lit("yyyy-M-d")).cast("date")
-    return F.when(ok, parsed)
+    return F.when(ok, F.replace(s, F.lit("- "), F.lit("-")).try_cast("date"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tallyframe.operators.records import pretty_json
@@ -22,11 +23,12 @@ def write_arrays(df: DataFrame, path: str, col: str = "value") -> None:
     def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark = "["
         for batch in batches:
-            lines = []
-            for text in batch.column(0).to_pylist():
-                lines.append(mark + text)
-                mark = ","
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+            if batch.column(0).null_count:
+                raise ValueError("a record has no JSON text")
+            for part in (batch.slice(0, 1), batch.slice(1)):
+                if len(part):
+                    yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(mark, part.column(0), "")], names=["value"])
+                    mark = ","
         yield pa.RecordBatch.from_pylist([{"value": "]" if mark == "," else "[]"}])
 
     df.select(col).mapInArrow(bracketed, "value string").write.mode("overwrite").text(path)

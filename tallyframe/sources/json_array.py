@@ -17,11 +17,12 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -68,10 +69,14 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bool,
     """
     before = None
     for batch in batches:
-        names = batch.schema.names
-        keys = list(zip(*(batch.column(i).to_pylist() for i in range(len(names) - 1))))
-        for key, group in groupby(zip(keys, batch.column(len(names) - 1).to_pylist()), lambda r: r[0]):
-            text = b"}".join(r[1] or b"" for r in group)
+        if not len(batch):
+            continue
+        *keys, values = batch.columns
+        changes = [pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)).to_numpy(zero_copy_only=False) for c in keys[:2]]
+        for lo, hi in pairwise([0, *(np.flatnonzero(changes[0] | changes[1]) + 1).tolist(), len(batch)]):
+            key = tuple(c[lo].as_py() for c in keys)
+            rows = pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), values.slice(lo, hi - lo))
+            text = pc.binary_join(rows, b"}")[0].as_py()
             new = key[:2] != before
             before = key[:2]
             yield key, new, text if new else b"}" + text
@@ -93,8 +98,8 @@ def structure(text: bytes) -> Structure:
         ends = slashes[np.append(begins[1:] - 1, len(slashes) - 1)]
         escaped = (ends + 1)[(ends - slashes[begins]) % 2 == 0]
         marks[escaped[escaped < len(raw)]] = False
-    upto = np.cumsum(marks, dtype="i8")
-    return Structure(raw, (upto - marks) % 2 == 1, bool(len(raw) and upto[-1] % 2))
+    upto = np.cumsum(marks, dtype="u1")  # only whether it is odd is asked
+    return Structure(raw, ((upto ^ marks) & 1).astype(bool), bool(len(raw) and upto[-1] % 2))
 
 
 _MEASURED = pa.schema([("file", pa.string()), ("block", pa.int64()), ("size", pa.int64()), ("bytes", pa.int64()), ("odd", pa.int32()),
@@ -108,7 +113,9 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def add(text: bytes) -> None:
         found = structure(text)
         step = _STEP[found.raw]
-        sums = int(step[~found.inside].sum(dtype="i8")), int(step[found.inside].sum(dtype="i8"))
+        at = np.flatnonzero(step)
+        step, inside = step[at], found.inside[at]
+        sums = int(step[~inside].sum(dtype="i8")), int(step[inside].sum(dtype="i8"))
         now["outside"] += sums[now["odd"]]
         now["inside"] += sums[1 - now["odd"]]
         now["odd"] ^= found.odd
@@ -165,6 +172,7 @@ class _Cutter:
         self.in_string, self.depth, self.line, self.begun = in_string, depth, line, begun
         self.local, self.parts, self.since = 0, [], line if depth > 0 else None
         self.rows: list[dict] = []
+        self.batches: list[pa.RecordBatch] = []
         self.nested = self.plain = 0
         self.closed = begun and depth <= 0
 
@@ -173,42 +181,73 @@ class _Cutter:
         raw, inside = found.raw, found.inside != self.in_string
         if not len(raw):
             return
-        step = np.where(inside, 0, _STEP[raw]).astype("i8")
-        after = self.depth + np.cumsum(step)
-        before = after - step
-        lines = self.line + np.cumsum(raw == _NEWLINE)  # behind each byte
-        out = np.flatnonzero((before <= 0) & ~_BLANK[raw])
+        step, blank, comma = _STEP[raw], _BLANK[raw], (raw == _COMMA) & ~inside
+        brackets = np.flatnonzero((step != 0) & ~inside)
+        depths = self.depth + np.concatenate(([0], np.cumsum(step[brackets], dtype="i8")))  # before each bracket, and behind the last
+        opens, closes = depths[:-1], depths[1:]
+        level = np.clip(depths, 0, 2).astype("u1")  # outside the array, between its elements, in one that has brackets
+        before = np.repeat(level, np.diff(np.concatenate(([0], brackets + 1, [len(raw)]))))
+        after = before.copy()
+        after[brackets] = level[1:]
+        newlines = np.flatnonzero(raw == _NEWLINE)
+
+        def behind(at):  # line behind a byte
+            return self.line + np.searchsorted(newlines, at, side="right")
+
+        out = np.flatnonzero((before == 0) & ~blank)
         if len(out) and not self.begun:  # the bracket that opens the array
             self.begun, out = True, out[1:]
-        shut = np.flatnonzero((before == 1) & (after == 0))
+        shut = brackets[(opens == 1) & (closes == 0)]
         wrong = np.concatenate((out, shut[raw[shut] != _END]))
         if len(wrong):
             at = int(wrong.min())
-            self.rows.append(self.place | {"problem": int(lines[at] - (raw[at] == _NEWLINE))})
-        content = np.flatnonzero((before >= 1) & (after >= 1)) if not self.closed else shut[:0]
+            self.rows.append(self.place | {"problem": int(behind(at) - (raw[at] == _NEWLINE))})
+        content = (before > 0) & (after > 0)
+        if self.closed:
+            content[:] = False
         if len(shut):  # what opens behind the end is wrong already
-            content, self.closed = content[content < shut[0]], True
-        if len(content):
-            lo, hi = int(content[0]), int(content[-1]) + 1
-            commas = lo + np.flatnonzero(((raw == _COMMA) & ~inside & (before == 1))[lo:hi])
+            content[shut[0]:], self.closed = False, True
+        if content.any():
+            lo, hi = int(content.argmax()), len(raw) - int(content[::-1].argmax())
+            commas = lo + np.flatnonzero((comma & (before == 1))[lo:hi])
             if self.since is None:
-                self.since = int(lines[lo - 1]) if lo else self.line
-            nested = np.cumsum((before == 1) & (after == 2))
-            plain = np.cumsum((before == 1) & (after == 1) & ~inside & ~_BLANK[raw] & (raw != _COMMA))
-            for comma in commas.tolist():
-                self._count(nested, plain, lo, comma)
-                self._end(text[lo:comma])
-                lo, self.since = comma + 1, int(lines[comma])
+                self.since = int(behind(lo - 1)) if lo else self.line
+            nested = brackets[(opens == 1) & (closes == 2)]
+            plain = np.flatnonzero((before == 1) & (after == 1) & ~inside & ~blank & (raw != _COMMA))
+            if len(commas):
+                first, last = int(commas[0]), int(commas[-1])
+                self._count(nested, plain, lo, first)
+                self._end(text[lo:first])
+                if last > first:
+                    self._between(text, raw, commas, nested, plain, behind(commas[:-1]))
+                lo, self.since = last + 1, int(behind(last))
             self._count(nested, plain, lo, hi)
             self.parts.append(text[lo:hi])
         elif self.since is None and (after >= 1).any():  # nothing yet behind the bracket
-            self.since = int(lines[np.flatnonzero(after >= 1)[0]])
-        self.depth, self.line, self.in_string = int(after[-1]), int(lines[-1]), self.in_string != found.odd
+            self.since = int(behind(int((after >= 1).argmax())))
+        self.depth, self.line, self.in_string = int(depths[-1]), int(behind(len(raw))), self.in_string != found.odd
 
     def _count(self, nested: np.ndarray, plain: np.ndarray, lo: int, hi: int) -> None:
-        if hi > lo:
-            self.nested += int(nested[hi - 1] - (nested[lo - 1] if lo else 0))
-            self.plain += int(plain[hi - 1] - (plain[lo - 1] if lo else 0))
+        self.nested += int(np.diff(np.searchsorted(nested, (lo, hi)))[0])
+        self.plain += int(np.diff(np.searchsorted(plain, (lo, hi)))[0])
+
+    def _between(self, text: bytes, raw: np.ndarray, commas: np.ndarray, nested: np.ndarray, plain: np.ndarray, lines: np.ndarray) -> None:
+        """The elements from the first comma to the last, all of them whole, as one batch."""
+        n, first, last = len(commas) - 1, int(commas[0]), int(commas[-1])
+        try:
+            text[first:last].decode("utf-8")
+            kept = np.ones(last - first - 1, bool)
+            kept[commas[1:-1] - first - 1] = False
+            offsets = (commas - first - np.arange(n + 1)).astype("i4")
+            texts = pa.StringArray.from_buffers(n, pa.py_buffer(offsets), pa.py_buffer(raw[first + 1:last][kept]))
+        except UnicodeDecodeError:
+            texts = pa.array([text[lo + 1:hi].decode("utf-8", "replace") for lo, hi in pairwise(commas.tolist())], pa.string())
+        counts = [np.diff(np.searchsorted(at, commas)).astype("i8") for at in (nested, plain)]
+        self.batches.append(pa.RecordBatch.from_arrays([
+            pa.repeat(pa.scalar(self.place["file"], pa.string()), n), pa.repeat(pa.scalar(self.place["block"], pa.int64()), n),
+            pa.array(np.arange(self.local, self.local + n, dtype="i8")), pa.repeat(pa.scalar(True), n), pa.array(lines.astype("i8")), texts,
+            *map(pa.array, counts), pa.nulls(n, pa.int64())], schema=_PIECES))
+        self.local += n
 
     def _end(self, text: bytes, whole: bool = True) -> None:
         self.parts.append(text)
@@ -216,18 +255,18 @@ class _Cutter:
                                        "nested": self.nested, "plain": self.plain})
         self.local, self.parts, self.nested, self.plain = self.local + 1, [], 0, 0
 
-    def taken(self, end: bool = False) -> pa.RecordBatch:
+    def taken(self, end: bool = False) -> list[pa.RecordBatch]:
         if end and self.since is not None:
             self._end(b"", whole=False)
-        rows, self.rows = self.rows, []
-        return pa.RecordBatch.from_pylist(rows, _PIECES)
+        found, self.rows, self.batches = [pa.RecordBatch.from_pylist(self.rows, _PIECES), *self.batches], [], []
+        return found
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pass two: the elements of each split; its first and last may go on in its neighbours."""
     cutter, bare = None, False
 
-    def finished() -> pa.RecordBatch:
+    def finished() -> list[pa.RecordBatch]:
         if not bare:
             cutter.add(b"}")
         return cutter.taken(end=True)
@@ -235,12 +274,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for (file, block, in_string, depth, line, begun, ends_bare), new, text in _stretches(batches):
         if new:
             if cutter:
-                yield finished()
+                yield from finished()
             cutter, bare = _Cutter(file, block, in_string, depth, line, begun), ends_bare
         cutter.add(text)
-        yield cutter.taken()
+        yield from cutter.taken()
     if cutter:
-        yield finished()
+        yield from finished()
 
 
 def _whole_value(spark: SparkSession, file: str) -> Exception:
@@ -274,7 +313,7 @@ def read_array(spark: SparkSession, path: str) -> DataFrame:
 
     Raises ``NotAnArray`` or, naming the line where reading would stop,
     ``ArraySyntaxError``: a file is an array as a whole or not at all.  The
-    elements are written to the shared folder once and read from there.
+    elements are written to the shared folder once, as they are cut, and read from there.
     """
     chunks = _chunks(spark, path)
     measured = chunks.select("file", "block", "size", "value").mapInArrow(
@@ -290,21 +329,23 @@ def read_array(spark: SparkSession, path: str) -> DataFrame:
     # in file order whatever join the planner takes; sorted rows stay where they are
     placed = chunks.join(starts.select("file", "block", "in_string", "depth", "line", "begun", "bare"), ["file", "block"])
     ordered = placed.sortWithinPartitions("file", "block", "row").select("file", "block", "in_string", "depth", "line", "begun", "bare", "value")
-    pieces = shared_table(ordered.mapInArrow(_cut, _PIECE), "array-pieces")
+    one = F.when(F.col("nested") == 0, F.col("text").rlike(_ONE_SCALAR)).otherwise((F.col("nested") == 1) & (F.col("plain") == 0))
+    good = one & F.try_parse_json("text").isNotNull()
+    pieces = shared_table(ordered.mapInArrow(_cut, _PIECE).withColumn("good", F.when(F.col("whole"), good)), "array-pieces")
+    # a split ends in a piece that is not whole; written, so that the planner knows the size and whole pieces stay where they are
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    counts = pieces.where("local is not null").groupBy("file", "block").agg(F.max("local").alias("commas"))
-    counts = counts.select("file", "block", F.coalesce(F.sum("commas").over(before), F.lit(0)).alias("before"))
+    counts = pieces.where("not whole").groupBy("file", "block").agg(F.max("local").alias("commas"))
+    counts = shared_table(counts.withColumn("before", F.coalesce(F.sum("commas").over(before), F.lit(0))), "array-counts")
     numbered = pieces.where("local is not null").join(counts, ["file", "block"]).withColumn("pos", F.col("before") + F.col("local"))
     torn = numbered.where("not whole").groupBy("file", "pos").agg(
         F.array_sort(F.collect_list(F.struct("block", "line", "text"))).alias("parts"), F.sum("nested").alias("nested"), F.sum("plain").alias("plain")).select(
         "file", "pos", F.get("parts", F.lit(0))["line"].alias("line"), F.array_join(F.col("parts.text"), "").alias("text"), "nested", "plain")
-    one = F.when(F.col("nested") == 0, F.col("text").rlike(_ONE_SCALAR)).otherwise((F.col("nested") == 1) & (F.col("plain") == 0))
-    every = numbered.where("whole").select("file", "pos", "line", "text", "nested", "plain").unionByName(torn)
+    columns = ["file", "pos", "line", "text", "good"]
     # the text is stored, not the variant: a written column of variants does not keep 20 and 20.0 apart
-    every = shared_table(every.withColumn("good", one & F.try_parse_json("text").isNotNull()).drop("nested", "plain"), "array-elements")
+    every = numbered.where("whole").select(columns).unionByName(shared_table(torn.withColumn("good", good).select(columns), "array-torn"))
 
     empty = F.col("text").rlike(r"^[ \t\n\r]*$")
-    sizes = every.where(empty).select("file").distinct().join(every, "file").groupBy("file").agg(F.max("pos").alias("end"))
+    sizes = counts.groupBy("file").agg(F.max(F.col("before") + F.col("commas")).alias("end"))
     bad = every.where(~F.col("good")).join(sizes, "file", "left")
     kept = bad.where(~(empty & (F.col("end") == 0)))  # the nothing in an empty array
     first = kept.agg(F.min_by(F.struct("text", "line", (empty & (F.col("pos") == F.col("end"))).alias("trailing"), "file"), F.struct("file", "pos"))).first()[0]

@@ -128,9 +128,21 @@ def _staged_rules() -> list[tuple[str, Column]]:
     ]
 
 
-# Fixed value: how the schema of a record of the stored form reads, amounts as text.
-_PLAIN = (r"^OBJECT<amount: STRING, category: STRING, date: STRING, description: STRING, (pos: BIGINT, )?"
-          r"title: STRING, txn_id: (BIGINT|VOID)>$")
+# How the schema of a record of the stored form reads, amounts as text.
+_PLAIN = [f"OBJECT<amount: STRING, category: STRING, date: STRING, description: STRING, {pos}title: STRING, txn_id: {txn_id}>"
+          for pos in ("", "pos: BIGINT, ") for txn_id in ("BIGINT", "VOID")]
+
+
+def _stripped(name: str) -> Column:
+    """``ustrip``, which goes through a text sign by sign, only where the first or the last byte may be blank."""
+    c = F.col(name)
+    visible = [F.ascii(end).between(33, 126) for end in (F.left(c, F.lit(1)), F.right(c, F.lit(1)))]
+    return F.when(visible[0] & visible[1], c).otherwise(ustrip(c))
+
+
+def _apart(df: DataFrame) -> DataFrame:
+    """The same rows out of a generator: filters are not pushed through it, and code in front of and behind it becomes methods of its own."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
 def _checked(elements: DataFrame, v: str = "v", with_errors_: bool = True) -> DataFrame:
@@ -140,21 +152,22 @@ def _checked(elements: DataFrame, v: str = "v", with_errors_: bool = True) -> Da
     an element is good if its five values are.  Only what is left is taken apart
     field by field for the rules.  Fields and results come out of generators, which
     filters are not pushed through: a filter on the error would copy the whole
-    chain of rules, and what it reads, into itself.
+    chain of rules, and what it reads, into itself.  In one method the chain would be
+    too long for the JVM's compiler (8,000 bytes) and be interpreted for every element.
     """
     doc = F.col("__doc")
-    seen = elements.select("pos", F.col(v).alias("__doc"), F.schema_of_variant(F.col(v)).rlike(_PLAIN).alias("__plain"))
-    read = seen.select("*", *[F.when(F.col("__plain"), F.variant_get(doc, f"$.{name}", "string")).alias(f"__t_{name}") for name in FIELD_NAMES])
-    valued = read.withColumns({
-        **{f"__t_{name}": ustrip(F.col(f"__t_{name}")) for name in ("title", "category", "description")},
+    seen = elements.select("pos", F.col(v).alias("__doc"), F.schema_of_variant(F.col(v)).isin(_PLAIN).alias("__plain"))
+    read = _apart(seen).select("*", *[F.when(F.col("__plain"), F.variant_get(doc, f"$.{name}", "string")).alias(f"__t_{name}") for name in FIELD_NAMES])
+    valued = _apart(read).withColumns({
+        **{f"__t_{name}": _stripped(f"__t_{name}") for name in ("title", "category", "description")},
         "__t_amount": amount_from_text(F.col("__t_amount")), "__t_date": date_from_text(F.col("__t_date"))})
     ok = F.coalesce(F.col("__plain") & (F.col("__t_title") != "") & (F.col("__t_category") != "") & (F.col("__t_amount") > 0) & F.col("__t_date").isNotNull(), F.lit(False))
-    staged = _stage(valued.withColumn("__ok", ok).withColumn("v", F.when(~F.col("__ok"), doc)))
+    staged = _stage(_apart(valued.withColumn("__ok", ok)).withColumn("v", F.when(~F.col("__ok"), doc)))
 
     def one(name: str, checked: Column) -> Column:
         return F.when(F.col("__ok"), F.col(f"__t_{name}")).otherwise(checked).alias(name)
 
-    staged = staged.select(F.inline(F.array(F.struct(*staged.columns))))
+    staged = _apart(staged)
     columns = [
         F.col("pos"), F.try_variant_get(doc, "$.txn_id", "bigint").alias("txn_id"), one("date", F.col("__date")),
         one("title", ustrip(F.col("__s_title"))), one("category", ustrip(F.col("__s_category"))), one("amount", F.col("__money")),
@@ -162,7 +175,7 @@ def _checked(elements: DataFrame, v: str = "v", with_errors_: bool = True) -> Da
     if with_errors_:
         columns += [F.when(~F.col("__ok"), e).alias(name) for name, e in zip(("error_code", "reason"), first_error(_staged_rules()))]
     checked = staged.select(*columns)
-    return checked.select(F.inline(F.array(F.struct(*checked.columns)))) if with_errors_ else checked
+    return _apart(checked) if with_errors_ else checked
 
 
 def typed_values(elements: DataFrame) -> DataFrame:

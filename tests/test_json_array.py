@@ -3,7 +3,9 @@
 import json
 import os
 import random
+import sys
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,3 +95,50 @@ def test_other_values(spark, tmp, text, kind):
     with pytest.raises(A.NotAnArray) as e:
         A.read_array(spark, write(tmp, text))
     assert e.value.kind == kind
+
+
+def test_no_python_step_for_each_element():
+    """A batch is measured and cut by as many calls, whatever number of elements it holds."""
+    def steps(fn, n, keys):
+        chunks = [b'[{"a": "x, y"'] + [b',\n{"a": "x, y"'] * (n - 1)
+        columns = [pa.array([k] * n) for k in keys.values()] + [pa.array(chunks, pa.binary())]
+        batch = pa.RecordBatch.from_arrays(columns, names=[*keys, "value"])
+        calls = 0
+
+        def count(frame, event, arg):
+            nonlocal calls
+            calls += event in ("call", "c_call")
+        sys.setprofile(count)
+        try:
+            found = list(fn([batch]))
+        finally:
+            sys.setprofile(None)
+        return calls, sum(len(b) for b in found)
+
+    place = {"file": "f", "block": 0}
+    start = {"in_string": False, "depth": 0, "line": 1, "begun": False, "bare": False}
+    for fn, keys, rows in ((A._measure, place | {"size": 9}, 1), (A._cut, place | start, 4000)):
+        steps(fn, 40, keys)
+        few, many = steps(fn, 40, keys), steps(fn, 4000, keys)
+        assert many[1] == rows and many[0] < few[0] + 100
+
+
+def test_bytes_that_are_no_text(spark, tmp, small_splits):
+    path = os.path.join(tmp, "a.json")
+    with open(path, "wb") as f:
+        f.write(b'["\xc3","\xa9", {"a": "\xc3\xa9"},"\xff, }", {"b": "\xed\xa0\x80"}, 1, 2, {}, {"a": "}"}]')
+    with open(path, encoding="utf-8", errors="replace") as f:
+        want = json.load(f)
+    got = A.read_array(spark, path).select("pos", F.to_json("v").alias("v")).orderBy("pos").collect()
+    assert [json.loads(r.v) for r in got] == want
+
+
+def test_elements_are_written_once(spark, tmp):
+    """Texts go from the cut to one table, not through a shuffle into a second one."""
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    rows = [{"text": random.Random(i).randbytes(30).hex()} for i in range(5000)]
+    assert A.read_array(spark, write(tmp, json.dumps(rows))).count() == 5000
+    made = [os.path.join(shared, f) for f in set(os.listdir(shared)) - before]
+    sizes = [os.path.getsize(os.path.join(d, f)) for m in made for d, _, files in os.walk(m) for f in files if f.endswith(".parquet")]
+    assert 300_000 < sum(sizes) < 600_000

@@ -8,6 +8,7 @@ import pytest
 
 from tallyframe.operators import ledger as L
 from tallyframe.operators.rules import ValidationError
+from tallyframe.sources import ledger_store as S
 from tallyframe.sources.ledger_store import LoadError, load_ledger, save_ledger
 
 GOOD = [
@@ -206,3 +207,10 @@ def test_the_rules_stand_in_the_plan_once(spark):
         plan = part._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("missing field(s)") == 1 and plan.count("try_parse_json") + plan.count("parse_json") <= 2
     assert both.good.count() == 1 and both.bad.first().error.startswith("Record at position 1 is invalid: missing field(s)")
+
+
+def test_texts_stripped_as_python_does(spark):
+    ends = ["", " ", "\t", "\x1f", "\u00a0", "\u3000", "\u200b", "é", "~", "!", "😀", "\x7f"]
+    texts = [None, "", *[a + b + c for a in ends for b in ("", "x", "x y") for c in ends]]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select("t", S._stripped("t").alias("s")).collect()
+    assert [r.s for r in found] == [None if r.t is None else r.t.strip() for r in found] and len(found) == len(texts)
