@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyframe.session import shared_table
-from tallyframe.sources.logs import file_table
 
 _COMMA, _QUOTE, _BACKSLASH, _NEWLINE, _END = b',"\\\n]'
 _STEP = np.zeros(256, "i1")
@@ -319,7 +318,7 @@ def read_array(spark: SparkSession, path: str) -> DataFrame:
     measured = chunks.select("file", "block", "size", "value").mapInArrow(
         _measure, "file string, block long, size long, bytes long, odd int, outside long, inside long, lines long, head string")
     starts = shared_table(_starts(measured), "array-starts")
-    if starts.isEmpty() and not file_table(spark, path).isEmpty():
+    if starts.isEmpty() and spark.read.text(path).inputFiles():  # a scan leaves empty files out, the listing does not
         raise ArraySyntaxError(1)  # nothing in the file
     first_sign = F.min_by("head", F.when(F.col("head").isNotNull(), F.col("block")))
     strange = starts.groupBy("file").agg(first_sign.alias("head")).where("head is null or head <> '['").agg(F.min("file")).first()[0]
