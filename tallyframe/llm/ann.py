@@ -10,25 +10,31 @@ every code within r.  Those are reranked by the exact cosine of the original
 vectors.  r is learnt too: the radius within which ``COVERED`` of the sample's
 own neighbours lie; neighbours in the whole table are nearer than in a sample.
 
-All rows are indexed, in blocks.  A query that finds too few within r is
-searched again with the full radius, which is exact.
+All rows are indexed, in blocks, and a block's buckets are bitmaps of its rows:
+those within a byte's share of a value are the value's bitmap and those of the
+values around it put together, once for all queries.  A query that finds too few
+within r is searched again with the full radius, which is exact.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from tallyframe.llm.common import stored
-from tallyframe.llm.vectors import INDEX_ROWS, best, matrix, met, query_blocks, ranked, sample_of, searched, unique_rows, valid_vectors
+from tallyframe.llm.vectors import INDEX_VALUES, QUERY_VALUES, Reached, best, matrix, met, one_each, ranked, sample_of, searched, slices, unpacked, valid_vectors
 
 BITS, COVERED, ROUNDS = 128, 0.98, 15
-#: Pairs whose products are computed at once.
-PAIRS = 50_000
+#: Pairs whose products are computed at once; pairs of one query from which on they are computed as its own product.
+PAIRS, RUN = 4096, 16
+#: Queries whose codes are compared with a block's at once, and the share of pairs found above which this is done for all of them.
+TOGETHER, DENSE = 8, 1 / 16
 _ONES = np.array([bin(i).count("1") for i in range(256)], "u1")
-_APART = _ONES[np.arange(256)[:, None] ^ np.arange(256)[None, :]]
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -73,13 +79,26 @@ def learn_radius(x: np.ndarray, rotations: np.ndarray, k: int) -> int:
 
 def bucket_rows(code: np.ndarray) -> np.ndarray:
     """For every byte position the rows in order of its value."""
-    return np.argsort(code, axis=0, kind="stable").T.astype("u4")
+    return np.argsort(code, axis=0, kind="stable").T.astype("u2" if len(code) <= 1 << 16 else "u4")
 
 
 def products(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Products of row i of q and row j of x, pair by pair."""
-    cuts = range(0, len(i), PAIRS)
-    return np.concatenate([np.einsum("ij,ij->i", q[i[lo:lo + PAIRS]], x[j[lo:lo + PAIRS]]) for lo in cuts]) if len(i) else np.empty(0)
+    """Products of row i of q and row j of x, pair by pair (i in order)."""
+    out = np.empty(len(i), q.dtype)
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(i)) + 1, [len(i)]))
+    if len(i) >= RUN * (len(cuts) - 1):
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            out[lo:hi] = x[j[lo:hi]] @ q[i[lo]] if hi > lo else 0
+    else:
+        for lo in range(0, len(i), PAIRS):
+            out[lo:lo + PAIRS] = np.einsum("ij,ij->i", q[i[lo:lo + PAIRS]], x[j[lo:lo + PAIRS]])
+    return out
+
+
+def words(code: np.ndarray) -> np.ndarray:
+    """Codes as whole numbers of eight bytes, a row for each place."""
+    width = -(-code.shape[1] // 8) * 8
+    return np.ascontiguousarray(np.pad(code, ((0, 0), (0, width - code.shape[1]))).view("u8").T)
 
 
 class CodeIndex:
@@ -89,36 +108,80 @@ class CodeIndex:
         self.code = code
         self.rows = bucket_rows(code) if rows is None else rows
         self.bounds = [np.concatenate(([0], np.cumsum(np.bincount(code[:, j], minlength=256)))) for j in range(code.shape[1])]
+        self.words = words(code)
+        self.balls: dict[tuple[int, int], np.ndarray] = {}
+
+    def around(self, j: int, share: int) -> np.ndarray:
+        """By value of byte ``j``, as bits: rows whose byte is at most ``share`` bits from it."""
+        if (j, share) not in self.balls:
+            member = np.zeros((256, len(self.code)), bool)
+            member[np.repeat(np.arange(256), np.diff(self.bounds[j])), self.rows[j]] = True
+            ball = np.packbits(member, axis=1)
+            for _ in range(min(share, 8)):
+                inner, ball = ball, ball.copy()
+                for bit in range(8):
+                    ball |= inner[np.arange(256) ^ (1 << bit)]
+            self.balls[j, share] = ball
+        return self.balls[j, share]
 
     def within(self, query: np.ndarray, radius: int) -> np.ndarray:
         """Query by row: codes at most ``radius`` apart, found through the bytes' buckets."""
-        found = np.zeros((len(query), len(self.code)), bool)
-        for j, share in enumerate(shares(radius, self.code.shape[1])):
+        probed = np.zeros((len(query), -(-len(self.code) // 8)), "u1")
+        for j, share in enumerate(shares(radius, self.code.shape[1]).tolist()):
             if share >= 0:
-                buckets = _APART[query[:, j]] <= share  # by query, the values to look up
-                occupied = np.flatnonzero(np.diff(self.bounds[j]))
-                probed = np.repeat(buckets[:, occupied], np.diff(self.bounds[j])[occupied], axis=1)
-                found[:, self.rows[j]] |= probed
-        q, row = np.nonzero(found)
-        near = _ONES[query[q] ^ self.code[row]].sum(1) <= radius
-        found[q[~near], row[~near]] = False
+                probed |= self.around(j, share)[query[:, j]]
+        found = np.unpackbits(probed, axis=1, count=len(self.code)).view(bool)
+        if np.count_nonzero(found) > DENSE * found.size:
+            mine, kind = words(query), "u1" if self.code.shape[1] < 32 else "u4"
+            for lo in range(0, len(query), TOGETHER):
+                apart = sum(np.bitwise_count(a[lo:lo + TOGETHER, None] ^ b).astype(kind, copy=False) for a, b in zip(mine, self.words, strict=True))
+                found[lo:lo + TOGETHER] &= apart <= radius
+        else:
+            q, row = np.nonzero(found)
+            far = _ONES[query[q] ^ self.code[row]].sum(1) > radius
+            found[q[far], row[far]] = False
         return found
 
 
 def _search(rotations: np.ndarray, radius: int, k: int, d: int):
+    asked: dict[bytes, tuple] = {}  # the task's blocks of queries
+    block: list = [b""]  # the block of the index, which meets them one after the other
+    slack = (d + 8) * 2.0 ** -22  # of products in single precision
+
     def run(qid: bytes, qvector: bytes, ids: bytes, vector: bytes, code: bytes, rows: bytes) -> tuple:
-        qid, ids = np.frombuffer(qid, "i8"), np.frombuffer(ids, "i8")
-        q, x = np.frombuffer(qvector, "f8").reshape(-1, d), np.frombuffer(vector, "f8").reshape(-1, d)
-        code = np.frombuffer(code, "u1").reshape(len(ids), -1)
-        index = CodeIndex(code, np.frombuffer(rows, "u4").reshape(code.shape[::-1]))
-        found = index.within(codes(unit(q), rotations), radius) & (qid[:, None] != ids[None, :])
-        i, j = np.nonzero(found)
-        rough = np.full(found.shape, -2.0)  # which to rerank
-        rough[i, j] = products(unit(q), unit(x), i, j)
-        at = max(0, len(ids) - k)
-        least = np.maximum(np.partition(rough, at, axis=1)[:, at] - 1e-9, -1.5)
-        i, j = np.nonzero(rough >= least[:, None])
-        return best(qid[i], ids[j], cosine(q[i], x[j]), k)
+        n, q = len(ids) // 8, unpacked(qvector, len(qid) // 8, d)
+        if qid not in asked:
+            if len(asked) >= 256:
+                asked.clear()
+            queries = np.frombuffer(qid, "i8")
+            direction = unit(q.astype("f8"))
+            asked[qid] = queries, codes(direction, rotations), direction.astype("f4"), Reached(queries, k)
+        queries, qcode, qunit, reached = asked[qid]
+        if block[0] != ids:
+            x, known = unpacked(vector, n, d), unpacked(code, n, len(code) // n, "u")
+            index = CodeIndex(known, unpacked(rows, known.shape[1], n, "u"))
+            numbers = np.frombuffer(ids, "i8")
+            block[:] = ids, numbers, np.argsort(numbers), index, x, unit(x.astype("f8")).astype("f4")
+        _, ids, order, index, x, xunit = block
+        found = index.within(qcode, radius)
+        own = order[np.minimum(np.searchsorted(ids, queries, sorter=order), n - 1)]
+        mine = np.flatnonzero(ids[own] == queries)
+        found[mine, own[mine]] = False
+        each = np.count_nonzero(found, axis=1)
+        i = np.repeat(np.arange(len(queries)), each)
+        j = np.flatnonzero(found) - i * n
+        rough = products(qunit, xunit, i, j)
+        least = reached.least
+        if not np.isfinite(least).all():  # until the query has k
+            table = np.full(found.shape, -2, "f4")
+            table[i, j] = rough
+            at = max(0, n - k)
+            least = np.maximum(least, np.partition(table, at, axis=1)[:, at])
+        near = rough >= (least - slack)[i]  # which to rerank
+        i, j = i[near], j[near]
+        got = best(queries[i], ids[j], cosine(q[i].astype("f8"), x[j].astype("f8")), k)
+        reached.add(got[0], got[2])
+        return got
 
     return run
 
@@ -144,31 +207,39 @@ def nearest(df: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
     Vectors that are null, zero, of another dimension than most, or hold null or
     non-finite components take no part, nor do rows without id.
     """
-    vectors = stored(valid_vectors(df, id_col, vector_col).where(F.exists("vector", lambda x: x != 0)), "vectors")
+    vectors = stored(one_each(valid_vectors(df, id_col, vector_col).where(F.exists("vector", lambda x: x != 0))), "vectors")
     rows = vectors.count()
-    _, sample = sample_of(vectors)
-    d = sample.shape[1]
-    rotations = learn_rotations(unit(sample)) if rows else np.zeros((0, BITS))
+    if not rows:
+        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    _, sample = sample_of(vectors, rows)
+    d, kind = sample.shape[1], "f4" if isinstance(vectors.schema["vector"].dataType.elementType, FloatType) else "f8"
+    rotations = learn_rotations(unit(sample))
     radius = learn_radius(unit(sample), rotations, k) if rows > 1 else BITS
-    blocks = -(-rows // INDEX_ROWS)
-
-    def pack(group: pa.Table) -> pa.Table:
-        ids, x = unique_rows(group.column("id").to_numpy(), matrix(group.column("vector").combine_chunks()))
-        code = codes(unit(x), rotations)
-        return pa.table({"block": group.column("block").slice(0, 1), "ids": pa.array([ids.tobytes()], pa.binary()),
-                         "vector": pa.array([x.tobytes()], pa.binary()), "code": pa.array([code.tobytes()], pa.binary()),
-                         "rows": pa.array([bucket_rows(code).tobytes()], pa.binary())})
-
-    index = vectors.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(max(1, blocks))).cast("int")).groupBy("block").applyInArrow(
-        pack, "block int, ids binary, vector binary, code binary, rows binary")
-    index = stored(index, "codes")
-    queries = stored(query_blocks(vectors, every, lambda x: x), "queries")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, x in slices(batches, max(1, INDEX_VALUES // d)):
+            code = codes(unit(x), rotations)
+            row = ids.astype("i8").tobytes(), x.astype(kind).tobytes(), code.tobytes(), bucket_rows(code).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([cell], pa.binary()) for cell in row], names=["ids", "vector", "code", "rows"])
+
+    def pack_queries(group: pa.Table) -> pa.Table:
+        cells = group.column("id").to_numpy().astype("i8"), matrix(group.column("vector").combine_chunks()).astype(kind)
+        return pa.table({name: pa.array([cell.tobytes()], pa.binary()) for name, cell in zip(("qid", "qvector"), cells, strict=True)})
+
+    def search(some: DataFrame, n: int, radius: int) -> DataFrame:
+        blocks = max(1, -(-n * d // QUERY_VALUES))
+        dealt = some.withColumn("qblock", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+        queries = stored(dealt.groupBy("qblock").applyInArrow(pack_queries, "qid binary, qvector binary"), "queries")
+        return ranked(searched(met(queries, index, n * d), columns, _search(rotations, radius, k, d), "double"), k)
+
+    index = stored(vectors.mapInArrow(pack, "ids binary, vector binary, code binary, rows binary"), "codes")
     columns = ["qid", "qvector", "ids", "vector", "code", "rows"]
-    found = stored(ranked(searched(met(queries, index, blocks), columns, _search(rotations, radius, k, d), "double"), k), "nearest")
+    asked = vectors.where(F.col("id") % every == 0)
+    found = stored(search(asked, asked.count(), radius), "nearest")
 
     enough = found.where(F.col("rank") == min(k, max(1, rows - 1))).select(F.col("query_id").alias("id"))
-    few = vectors.join(enough, "id", "left_anti")
-    if few.where(F.col("id") % every == 0).isEmpty():
+    few = asked.join(enough, "id", "left_anti")
+    left = few.count()
+    if not left:
         return found
-    again = searched(met(query_blocks(few, every, lambda x: x), index, blocks), columns, _search(rotations, BITS, k, d), "double")
-    return found.join(enough, found.query_id == enough.id, "left_semi").unionByName(ranked(again, k))
+    return found.join(enough, found.query_id == enough.id, "left_semi").unionByName(search(few, left, BITS))

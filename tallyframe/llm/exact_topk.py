@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import stored
-from tallyframe.llm.vectors import INDEX_ROWS, best, matrix, met, query_blocks, ranked, sample_of, searched, valid_vectors
+from tallyframe.llm.vectors import INDEX_ROWS, all_met, best, matrix, one_each, query_blocks, ranked, sample_of, searched, valid_vectors
 
 SCALE, PIVOTS = 256, 32
 
@@ -135,9 +135,8 @@ def top_products(df: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_
     null or non-finite components take no part, nor do rows without id; zero
     vectors do.  A score beyond a long is an error.
     """
-    raw = valid_vectors(df, id_col, vector_col)
-    vectors = stored(raw.groupBy("id").agg(F.min("vector").alias("vector")), "vectors")
-    ids, sample = sample_of(vectors)
+    vectors = stored(one_each(valid_vectors(df, id_col, vector_col)), "vectors")
+    ids, sample = sample_of(vectors, vectors.count())
     if not len(ids):
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     d, sample = sample.shape[1], whole(sample)
@@ -159,6 +158,6 @@ def top_products(df: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_
     # numbers for the blocks: few rows of four numbers each stand for a block of rows
     numbered = annuli.withColumn("block", F.pmod(F.xxhash64("pivot", "low", "high", "ids"), F.lit(max(1, annuli.count()))).cast("int"))
     queries = stored(query_blocks(vectors, every, whole), "queries")
-    pairs = met(queries, numbered, max(1, annuli.count())).sortWithinPartitions("qblock", "pivot", "low")
+    pairs = all_met(queries, numbered, max(1, annuli.count())).sortWithinPartitions("qblock", "pivot", "low")
     columns = ["qid", "qvector", "pivot", "low", "high", "length", "ids", "vector"]
     return ranked(searched(pairs, columns, _search(pivots, ids, sample, k, d), "long"), k)

@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from tallyframe.llm import ann, exact_topk
+from tallyframe.llm import ann, exact_topk, vectors
 
 SCHEMA = "vec_id long, embedding array<double>, id int, vector string, block int"
 
@@ -140,3 +140,51 @@ def test_only_pairs_within_the_radius_are_multiplied(monkeypatch):
     for q in range(20):
         want = [c for c in np.argsort(-cosines[q])[:5] if within[q, c]]
         assert near[query == q].tolist() == want and np.allclose(score[query == q], cosines[q, want])
+
+
+@pytest.mark.parametrize("module", [ann])
+def test_pairs_are_neither_shuffled_nor_broadcast(spark, monkeypatch, module):
+    rows, seen, plain = odd_rows(7), [], module.searched
+    monkeypatch.setattr(module, "searched", lambda pairs, *a: seen.append(pairs) or plain(pairs, *a))
+    (ann.nearest if module is ann else exact_topk.top_products)(frame(spark, rows)).collect()
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Broadcast", "Exchange", "Generate", "Explode"))
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_many_parts_and_blocks_give_the_same(spark, monkeypatch, parts):
+    monkeypatch.setattr(vectors, "INDEX_PARTS", 3)
+    monkeypatch.setattr(vectors, "PART_VALUES", 12 * 5)
+    monkeypatch.setattr(ann, "INDEX_VALUES", 12 * 50)
+    monkeypatch.setattr(ann, "QUERY_VALUES", 12 * 4)
+    rows = odd_rows(8)
+    monkeypatch.setattr(ann, "learn_radius", lambda *a: ann.BITS)  # everything is within it
+    got, want = sorted(map(tuple, ann.nearest(frame(spark, rows, parts)).collect())), brute(rows, 5, 50, False, cosine)
+    assert [(q, r) for q, r, *_ in got] == [(q, r) for q, r, *_ in want] and np.allclose([g[3] for g in got], [w[3] for w in want])
+
+
+def test_floats_stay_floats_and_give_the_same(spark, monkeypatch):
+    rnd = np.random.default_rng(10)
+    rows = [(i, list(map(float, rnd.standard_normal(12).astype("f4")))) for i in range(600)]
+    double = frame(spark, rows)
+    single, seen, plain = double.withColumn("embedding", double.embedding.cast("array<float>")), [], ann.searched
+    monkeypatch.setattr(ann, "searched", lambda pairs, *a: seen.append(pairs) or plain(pairs, *a))
+    assert sorted(map(tuple, ann.nearest(single).collect())) == sorted(map(tuple, ann.nearest(double).collect()))
+    assert [len(s.first().vector) / len(s.first().ids) for s in seen] == [6, 12]
+    assert sorted(map(tuple, exact_topk.top_products(single).collect())) == sorted(map(tuple, exact_topk.top_products(double).collect()))
+
+
+def test_the_sample_is_the_lowest_hashes_however_it_is_found(spark):
+    some = spark.range(3000).selectExpr("id", "array(cast(id as double), 1.0) vector")
+    all_ids, _ = vectors.sample_of(some, 0, 60)
+    for count in (3000, 10 ** 6):  # of too few low hashes all rows are sorted
+        ids, x = vectors.sample_of(some, count, 60)
+        assert ids.tolist() == all_ids.tolist() and x[:, 0].tolist() == all_ids.tolist() and len(ids) == 60
+
+
+def test_what_queries_have_rises():
+    reached = vectors.Reached(np.array([7, 3, 5]), 2, np.array([-np.inf, 1.0, 4.0]))
+    reached.add(np.array([3, 3, 7]), np.array([9.0, 2.0, 6.0]))
+    assert reached.least.tolist() == [-np.inf, 2.0, 4.0]
+    reached.add(np.array([3, 5, 5, 7]), np.array([3.0, 2.0, 1.0, 5.0]))
+    assert reached.least.tolist() == [5.0, 3.0, 4.0]
