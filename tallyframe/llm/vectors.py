@@ -149,25 +149,4 @@ def searched(pairs: DataFrame, columns: list[str], search: Callable[..., tuple],
     return pairs.select(*columns).mapInArrow(run, f"query_id long, vec_id long, score {score_type}")
 
 
-INDEX_ROWS, QUERY_ROWS = 1024, 256
-
-
-def query_blocks(vectors: DataFrame, every: int, transform: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """``qblock, qid, qvector`` (packed) of the rows whose id ``every`` divides; one row per id."""
-    queries = vectors.where(F.col("id") % every == 0)
-    blocks = max(1, -(-queries.count() // QUERY_ROWS))
-
-    def pack(group: pa.Table) -> pa.Table:
-        ids, x = group.column("id").to_numpy().astype("i8"), matrix(group.column("vector").combine_chunks())
-        return pa.table({"qblock": group.column("qblock").slice(0, 1), "qid": pa.array([ids.tobytes()], pa.binary()), "qvector": pa.array([transform(x).tobytes()], pa.binary())})
-
-    return queries.withColumn("qblock", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).groupBy("qblock").applyInArrow(pack, "qblock int, qid binary, qvector binary")
-
-
-def all_met(queries: DataFrame, index: DataFrame, blocks: int) -> DataFrame:
-    """Every block of queries beside every block of the index (``block`` from 0 to ``blocks`` - 1)."""
-    everywhere = queries.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) if blocks else queries.withColumn("at", F.lit(0)).limit(0)
-    return everywhere.join(index, F.col("at") == F.col("block"))
-
-
 __all__ = ["INDEX_VALUES", "QUERY_VALUES", "Reached", "best", "matrix", "met", "one_each", "ranked", "sample_of", "searched", "slices", "stored", "unpacked", "valid_vectors"]

@@ -142,7 +142,7 @@ def test_only_pairs_within_the_radius_are_multiplied(monkeypatch):
         assert near[query == q].tolist() == want and np.allclose(score[query == q], cosines[q, want])
 
 
-@pytest.mark.parametrize("module", [ann])
+@pytest.mark.parametrize("module", [ann, exact_topk])
 def test_pairs_are_neither_shuffled_nor_broadcast(spark, monkeypatch, module):
     rows, seen, plain = odd_rows(7), [], module.searched
     monkeypatch.setattr(module, "searched", lambda pairs, *a: seen.append(pairs) or plain(pairs, *a))
@@ -155,14 +155,29 @@ def test_pairs_are_neither_shuffled_nor_broadcast(spark, monkeypatch, module):
 def test_many_parts_and_blocks_give_the_same(spark, monkeypatch, parts):
     monkeypatch.setattr(vectors, "INDEX_PARTS", 3)
     monkeypatch.setattr(vectors, "PART_VALUES", 12 * 5)
-    monkeypatch.setattr(ann, "INDEX_VALUES", 12 * 50)
-    monkeypatch.setattr(ann, "QUERY_VALUES", 12 * 4)
-    rows = odd_rows(8)
+    for module in (ann, exact_topk):
+        monkeypatch.setattr(module, "INDEX_VALUES", 12 * 50)
+        monkeypatch.setattr(module, "QUERY_VALUES", 12 * 4)
+    rows = odd_rows(8) + [(6000, [-0.001] * 12), (6050, [300.0] * 12)]
+    assert sorted(map(tuple, exact_topk.top_products(frame(spark, rows, parts)).collect())) == brute(rows, 5, 50, True, product)
     monkeypatch.setattr(ann, "learn_radius", lambda *a: ann.BITS)  # everything is within it
     got, want = sorted(map(tuple, ann.nearest(frame(spark, rows, parts)).collect())), brute(rows, 5, 50, False, cosine)
     assert [(q, r) for q, r, *_ in got] == [(q, r) for q, r, *_ in want] and np.allclose([g[3] for g in got], [w[3] for w in want])
 
 
+def test_annuli_out_of_reach_do_not_meet_the_queries(spark, monkeypatch):
+    rnd = np.random.default_rng(9)
+    centres = rnd.standard_normal((12, 8))
+    centres /= np.sqrt((centres ** 2).sum(1, keepdims=True))
+    rows = [(i, list(map(float, centres[i % 12] + 0.01 * rnd.standard_normal(8)))) for i in range(3000)]
+    seen, plain = [], exact_topk.searched
+    monkeypatch.setattr(exact_topk, "searched", lambda pairs, *a: seen.append(pairs) or plain(pairs, *a))
+    got = sorted(map(tuple, exact_topk.top_products(frame(spark, rows)).collect()))
+    assert got == brute(rows, 5, 50, True, product)
+    sides = {c: seen[0].select(c).distinct().count() for c in ("qid", "ids")}
+    assert seen[0].count() < sides["qid"] * sides["ids"] / 2
+
+
 def test_floats_stay_floats_and_give_the_same(spark, monkeypatch):
     rnd = np.random.default_rng(10)
     rows = [(i, list(map(float, rnd.standard_normal(12).astype("f4")))) for i in range(600)]
@@ -188,3 +203,14 @@ def test_what_queries_have_rises():
     assert reached.least.tolist() == [-np.inf, 2.0, 4.0]
     reached.add(np.array([3, 5, 5, 7]), np.array([3.0, 2.0, 1.0, 5.0]))
     assert reached.least.tolist() == [5.0, 3.0, 4.0]
+
+
+def test_products_of_whole_numbers_are_exact_at_every_size():
+    rnd = np.random.default_rng(11)
+    for most, kind in ((200, "i2"), (4000, "f4"), (2 ** 25, "f8"), (2 ** 40, "f8")):
+        q, x = (rnd.integers(-most, most, (n, 64)).astype(kind) for n in (5, 9))
+        want = [[sum(int(a) * int(b) for a, b in zip(u, v)) for v in x] for u in q]
+        assert [list(map(int, row)) for row in exact_topk.products(q, x)] == want
+        least = np.array([sorted(row)[4] for row in want], "f8")
+        places = exact_topk.at_least(exact_topk.products(q, x), exact_topk.below(least))
+        assert places.tolist() == [i * 9 + j for i in range(5) for j in range(9) if want[i][j] >= least[i]]
