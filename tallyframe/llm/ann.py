@@ -148,16 +148,19 @@ def _search(rotations: np.ndarray, radius: int, k: int, d: int):
     block: list = [b""]  # the block of the index, which meets them one after the other
     slack = (d + 8) * 2.0 ** -22  # of products in single precision
 
-    def run(qid: bytes, qvector: bytes, ids: bytes, vector: bytes, code: bytes, rows: bytes) -> tuple:
-        n, q = len(ids) // 8, unpacked(qvector, len(qid) // 8, d)
+    def run(qid: bytes, qvector: bytes | None, ids: bytes, vector: bytes | None, code: bytes | None, rows: bytes | None) -> tuple:
+        """Only the numbers of a block that the task has met already may come without the rest."""
+        n = len(ids) // 8
         if qid not in asked:
-            if len(asked) >= 256:
-                asked.clear()
-            queries = np.frombuffer(qid, "i8")
+            if qvector is None:
+                raise RuntimeError("queries that were not told")
+            queries, q = np.frombuffer(qid, "i8"), unpacked(qvector, len(qid) // 8, d)
             direction = unit(q.astype("f8"))
-            asked[qid] = queries, codes(direction, rotations), direction.astype("f4"), Reached(queries, k)
-        queries, qcode, qunit, reached = asked[qid]
+            asked[qid] = queries, q, codes(direction, rotations), direction.astype("f4"), Reached(queries, k)
+        queries, q, qcode, qunit, reached = asked[qid]
         if block[0] != ids:
+            if vector is None:
+                raise RuntimeError("a block of the index that was not told")
             x, known = unpacked(vector, n, d), unpacked(code, n, len(code) // n, "u")
             index = CodeIndex(known, unpacked(rows, known.shape[1], n, "u"))
             numbers = np.frombuffer(ids, "i8")
@@ -230,7 +233,7 @@ def nearest(df: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
         blocks = max(1, -(-n * d // QUERY_VALUES))
         dealt = some.withColumn("qblock", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
         queries = stored(dealt.groupBy("qblock").applyInArrow(pack_queries, "qid binary, qvector binary"), "queries")
-        return ranked(searched(met(queries, index, n * d), columns, _search(rotations, radius, k, d), "double"), k)
+        return ranked(searched(met(queries, index, n * d, once=(columns[1:2], columns[3:])), columns, _search(rotations, radius, k, d), "double"), k)
 
     index = stored(vectors.mapInArrow(pack, "ids binary, vector binary, code binary, rows binary"), "codes")
     columns = ["qid", "qvector", "ids", "vector", "code", "rows"]

@@ -88,15 +88,21 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[np.nd
     yield from cut(True)
 
 
-def met(queries: DataFrame, index: DataFrame, values: int, only: Column | None = None) -> DataFrame:
+def met(queries: DataFrame, index: DataFrame, values: int, only: Column | None = None, once: tuple[list[str], list[str]] = ([], [])) -> DataFrame:
     """Every block of queries (``values`` components in all) beside every block of the index, or those pairs that ``only`` holds for.
 
     Tasks read their parts of both tables; the queries' part is kept for the blocks of the index.
+    ``once``: columns of the queries that a task is told only beside its first
+    block of the index, and of the index only beside its first block of
+    queries; they are null in its other pairs.
     """
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit(2 ** 33 - 1)) == 0  # of the part
     context = index.sparkSession.sparkContext
-    index = index.coalesce(max(INDEX_PARTS, 4 * context.defaultParallelism)).hint("shuffle_replicate_nl")
-    queries = queries.coalesce(max(1, -(-values // PART_VALUES)))
-    return index.crossJoin(queries) if only is None else index.join(queries, only)
+    index = index.coalesce(max(INDEX_PARTS, 4 * context.defaultParallelism)).withColumn("__block", first).hint("shuffle_replicate_nl")
+    queries = queries.coalesce(max(1, -(-values // PART_VALUES))).withColumn("__queries", first)
+    pairs = index.crossJoin(queries) if only is None else index.join(queries, only)
+    told = {c: F.when(F.col(of), F.col(c)) for of, columns in zip(("__block", "__queries"), once, strict=True) for c in columns}
+    return pairs.withColumns(told).drop("__block", "__queries") if told else pairs.drop("__block", "__queries")
 
 
 def best(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -165,6 +165,23 @@ def test_many_parts_and_blocks_give_the_same(spark, monkeypatch, parts):
     assert [(q, r) for q, r, *_ in got] == [(q, r) for q, r, *_ in want] and np.allclose([g[3] for g in got], [w[3] for w in want])
 
 
+def test_a_task_is_told_a_block_once(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "PART_VALUES", 12 * 9)
+    monkeypatch.setattr(ann, "INDEX_VALUES", 12 * 20)
+    monkeypatch.setattr(ann, "QUERY_VALUES", 12 * 2)
+    rows, seen, plain = [(i, v) for i, v in odd_rows(12) if v and len(v) == 12], [], ann.searched
+    monkeypatch.setattr(ann, "searched", lambda pairs, *a: seen.append(pairs) or plain(pairs, *a))
+    ann.nearest(frame(spark, rows)).collect()
+    pairs = seen[0].collect()
+    blocks, asked = {p.ids for p in pairs}, {p.qid for p in pairs}
+    assert len(pairs) == len(blocks) * len(asked) and len(blocks) > 20 and len(asked) > 5
+    told, qtold = [p.ids for p in pairs if p.vector], [p.qid for p in pairs if p.qvector]
+    assert all((p.vector is None) == (p.code is None) == (p.rows is None) for p in pairs)
+    assert set(told) == blocks and set(qtold) == asked and len(told) < len(pairs) / 2
+    with pytest.raises(RuntimeError):
+        ann._search(np.zeros((12, 128)), 5, 5, 12)(pairs[0].qid, None, pairs[0].ids, None, None, None)
+
+
 def test_annuli_out_of_reach_do_not_meet_the_queries(spark, monkeypatch):
     rnd = np.random.default_rng(9)
     centres = rnd.standard_normal((12, 8))
