@@ -84,6 +84,8 @@ def bucket_rows(code: np.ndarray) -> np.ndarray:
 
 def products(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Products of row i of q and row j of x, pair by pair (i in order)."""
+    if 2 * len(i) > len(q) * len(x):  # as with the full radius: cheaper all at once
+        return (q @ x.T)[i, j]
     out = np.empty(len(i), q.dtype)
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(i)) + 1, [len(i)]))
     if len(i) >= RUN * (len(cuts) - 1):
@@ -126,6 +128,8 @@ class CodeIndex:
 
     def within(self, query: np.ndarray, radius: int) -> np.ndarray:
         """Query by row: codes at most ``radius`` apart, found through the bytes' buckets."""
+        if radius >= 8 * self.code.shape[1]:
+            return np.ones((len(query), len(self.code)), bool)
         probed = np.zeros((len(query), -(-len(self.code) // 8)), "u1")
         for j, share in enumerate(shares(radius, self.code.shape[1]).tolist()):
             if share >= 0:

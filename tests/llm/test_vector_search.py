@@ -182,6 +182,14 @@ def test_a_task_is_told_a_block_once(spark, monkeypatch):
         ann._search(np.zeros((12, 128)), 5, 5, 12)(pairs[0].qid, None, pairs[0].ids, None, None, None)
 
 
+def test_products_of_pairs_are_the_same_however_they_are_taken():
+    rnd = np.random.default_rng(13)
+    q, x = rnd.standard_normal((20, 8)), rnd.standard_normal((90, 8))
+    for share in (0.0, 0.05, 0.4, 0.9, 1.0):  # chunks, query by query, all at once
+        i, j = np.nonzero(rnd.random((20, 90)) < share)
+        assert np.allclose(ann.products(q, x, i, j), (q @ x.T)[i, j])
+
+
 def test_annuli_out_of_reach_do_not_meet_the_queries(spark, monkeypatch):
     rnd = np.random.default_rng(9)
     centres = rnd.standard_normal((12, 8))
